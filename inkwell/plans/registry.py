@@ -125,3 +125,70 @@ def q_reply_pairs(spark, sf_dir):
 @register("all_samples", _with(SAMPLE_CTES, "SELECT * FROM samples"))
 def q_all_samples(spark, sf_dir):
     return C.flatten_samples(C.all_samples(messages(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ sampling
+
+from inkwell.operators import sampling as S  # noqa: E402
+
+CAP_CHECK = 250  # cap used by the registered cap/split queries (below the corpus size, so the cap applies)
+
+
+def _key_sql(purpose: str) -> str:
+    return f"md5(concat_ws(':', '{fixed.SEED}', '{purpose}', sample_id))"
+
+
+SPLIT_CTES = SAMPLE_CTES + f""",
+counts AS (SELECT task_type, count(*) AS n FROM samples GROUP BY task_type),
+tot AS (SELECT sum(n) AS total, coalesce(sum(n) FILTER (WHERE task_type = 'compose'), 0) AS nc FROM counts),
+quota AS (
+  SELECT c.task_type,
+         CASE WHEN {CAP_CHECK} = 0 OR t.total <= {CAP_CHECK} THEN c.n
+              WHEN c.task_type = 'compose' THEN CAST(floor({CAP_CHECK} * t.nc / t.total) AS BIGINT)
+              ELSE {CAP_CHECK} - CAST(floor({CAP_CHECK} * t.nc / t.total) AS BIGINT) END AS n_take
+  FROM counts c, tot t),
+cap_ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY task_type ORDER BY {_key_sql('cap')}, sample_id) AS rn FROM samples s),
+capped AS (SELECT c.* EXCLUDE (rn) FROM cap_ranked c JOIN quota q ON c.task_type = q.task_type WHERE c.rn <= q.n_take),
+vquota AS (SELECT task_type, greatest(1, CAST(floor(count(*) * CAST({fixed.VAL_RATIO} AS DOUBLE)) AS BIGINT)) AS n_val
+           FROM capped GROUP BY task_type),
+split_ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY task_type ORDER BY {_key_sql('split')}, sample_id) AS rn FROM capped c),
+splits AS (
+  SELECT s.* EXCLUDE (rn), CASE WHEN s.rn <= v.n_val THEN 'val' ELSE 'train' END AS split
+  FROM split_ranked s JOIN vquota v ON s.task_type = v.task_type)
+"""
+
+
+def _capped(spark, sf_dir):
+    return S.cap_samples(C.all_samples(messages(spark, sf_dir)), max_samples=CAP_CHECK)
+
+
+@register("shuffled_order", _with(SAMPLE_CTES,
+                                  f"SELECT sample_id, task_type, {_key_sql('order')} AS order_key FROM samples "
+                                  "ORDER BY order_key, sample_id"))
+def q_shuffled_order(spark, sf_dir):
+    return S.shuffled(C.all_samples(messages(spark, sf_dir))).select("sample_id", "task_type", "order_key")
+
+
+@register("capped_samples", _with(SPLIT_CTES, "SELECT sample_id, task_type FROM capped"))
+def q_capped_samples(spark, sf_dir):
+    return _capped(spark, sf_dir).select("sample_id", "task_type")
+
+
+@register("train_val_split", _with(SPLIT_CTES, "SELECT sample_id, task_type, split FROM splits"))
+def q_train_val_split(spark, sf_dir):
+    return S.stratified_split(_capped(spark, sf_dir)).select("sample_id", "task_type", "split")
+
+
+@register("split_summary", _with(SPLIT_CTES,
+                                 "SELECT split, task_type, count(*) AS n_samples FROM splits GROUP BY CUBE (split, task_type)"))
+def q_split_summary(spark, sf_dir):
+    return S.split_summary(S.stratified_split(_capped(spark, sf_dir)))
+
+
+@register("task_counts", _with(SAMPLE_CTES,
+                               "SELECT coalesce(task_type, 'unknown') AS task_type, count(*) AS n_samples FROM samples "
+                               "GROUP BY 1 ORDER BY n_samples DESC, task_type"))
+def q_task_counts(spark, sf_dir):
+    return S.task_counts(C.all_samples(messages(spark, sf_dir)))
