@@ -63,16 +63,29 @@ def char_count(c) -> Column:
     return F.length(col_(c)).cast("long")
 
 
+def let(value: Column, fn) -> Column:
+    """Bind ``value`` to a lambda variable once and return ``fn(variable)``.
+
+    Inside higher-order functions an outer *expression* is re-evaluated on every
+    lambda call; binding it first keeps per-element work constant and the
+    expression tree linear.
+    """
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def ngrams(tokens, n: int, sep: str = " ") -> Column:
     """Contiguous n-grams of a token array, each joined by ``sep``.
 
     ``sep`` must not occur inside tokens (true for whitespace tokens). Arrays
     shorter than ``n`` give an empty array (``sequence(1, 0)`` would count down).
     """
-    t = col_(tokens)
-    grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                        lambda i: F.array_join(F.slice(t, i, n), sep))
-    return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
+    def build(t):
+        grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
+                            lambda i: F.array_join(F.slice(t, i, n), sep))
+        return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    # A column name is a cheap reference; an expression is bound once.
+    return build(F.col(tokens)) if isinstance(tokens, str) else let(tokens, build)
 
 
 def lines(c) -> Column:

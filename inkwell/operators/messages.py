@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
-from inkwell.functions.text import PY_WS, SPLITLINES, col_, lines, py_strip
+from inkwell.functions.text import PY_WS, SPLITLINES, col_, let, lines, py_strip
 
 # fixed values: header keys projected by the parser (output column, header name)
 HEADER_FIELDS = (
@@ -128,11 +128,6 @@ def drop_quoted_lines(text) -> Column:
     return F.array_join(F.filter(lines(text), lambda ln: ~ln.rlike(QUOTED_LINE)), "\n")
 
 
-def let(value: Column, fn) -> Column:
-    """Bind ``value`` to a lambda variable once: ``fn(value)`` without copying the tree."""
-    return F.get(F.transform(F.array(value), fn), 0)
-
-
 def clean_body(text) -> Column:
     """Cut reply/forward chains, drop quoted lines and disclaimers, collapse whitespace.
 

@@ -131,3 +131,88 @@ def strip_subject_prefix(x: str) -> str:
 
 def normalise_subject(x: str) -> str:
     return f"lower({strip_subject_prefix(x)})"
+
+
+# ------------------------------------------------------------------ metric CTEs
+
+GREETING_RE2 = (r"(?im)^(?:(?:dear|hi|hello|hey|good" + WS + r"+(?:morning|afternoon|evening)|greetings)"
+                r"(?:[^\pL\pN_]|$)|to whom)")
+CLOSING_RE2 = (r"(?im)(?:regards|sincerely|best|thanks|thank you|cheers|warm regards|kind regards|"
+               r"respectfully|take care|all the best|cordially)" + WS + r"*[,.]?" + WS + r"*$")
+
+
+def _grams_union(kind_orders) -> str:
+    parts = []
+    for kind, col_p, col_r, orders in kind_orders:
+        for n in orders:
+            for side, col in (("p", col_p), ("r", col_r)):
+                parts.append(f"SELECT model_name, sample_id, '{kind}' AS kind, {n} AS n, '{side}' AS side, "
+                             f"unnest({ngrams(col, n)}) AS g FROM tok")
+    return "\nUNION ALL ".join(parts)
+
+
+def n_total(tokens: str, n: int) -> str:
+    return f"greatest(len({tokens}) - {n - 1}, 0)"
+
+
+def metric_ctes(with_text: bool = True) -> str:
+    """pairs -> tok -> per-pair overlap -> pair_metrics (no ROUGE-L)."""
+    kinds = (("rouge", "pr", "rr", (1, 2)), ("bleu", "pb", "rb", (1, 2, 3, 4)))
+    ov_cols = []
+    for kind, cp, cr, orders in kinds:
+        for n in orders:
+            ov_cols.append(f"coalesce(sum(overlap) FILTER (WHERE kind = '{kind}' AND n = {n}), 0) AS {kind}{n}")
+
+    def rouge(n):
+        p = f"(o.rouge{n} / greatest({n_total('t.pr', n)}, 1))"
+        r = f"(o.rouge{n} / greatest({n_total('t.rr', n)}, 1))"
+        return f"CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+    bleu_terms = " + ".join(
+        f"0.25 * ln(CASE WHEN num{n} = 0 THEN 0.1 / den{n} ELSE num{n} / den{n} END)" for n in (1, 2, 3, 4))
+    return f"""
+pairs AS ({view_sql('pairs')}),
+tok AS (
+  SELECT model_name, sample_id, task_type, prompt, prediction, reference,
+         regexp_extract_all(lower(prediction), '[a-z0-9]+') AS pr,
+         regexp_extract_all(lower(reference), '[a-z0-9]+') AS rr,
+         {ws_tokens('prediction')} AS pb, {ws_tokens('reference')} AS rb,
+         {ws_tokens('lower(prediction)')} AS pl
+  FROM pairs),
+grams AS ({_grams_union(kinds)}),
+gram_counts AS (SELECT model_name, sample_id, kind, n, side, g, count(*) AS c FROM grams GROUP BY ALL),
+gram_overlap AS (
+  SELECT p.model_name, p.sample_id, p.kind, p.n, sum(least(p.c, r.c)) AS overlap
+  FROM gram_counts p JOIN gram_counts r
+    ON p.model_name = r.model_name AND p.sample_id = r.sample_id AND p.kind = r.kind AND p.n = r.n
+   AND p.g = r.g AND p.side = 'p' AND r.side = 'r'
+  GROUP BY ALL),
+ov AS (SELECT model_name, sample_id, {', '.join(ov_cols)} FROM gram_overlap GROUP BY model_name, sample_id),
+pair_counts AS (
+  SELECT t.model_name, t.sample_id, t.task_type, t.prompt, t.prediction, t.reference,
+         {rouge(1)} AS rouge1, {rouge(2)} AS rouge2,
+         {', '.join(f"coalesce(o.bleu{n}, 0) AS num{n}, greatest({n_total('t.pb', n)}, 1) AS den{n}" for n in (1, 2, 3, 4))},
+         len(t.pb) AS hyp_len, len(t.rb) AS ref_len, t.pl
+  FROM tok t LEFT JOIN ov o ON t.model_name = o.model_name AND t.sample_id = o.sample_id),
+pair_metrics AS (
+  SELECT *,
+         CASE WHEN num1 = 0 THEN 0.0 ELSE
+           (CASE WHEN hyp_len > ref_len THEN 1.0 WHEN hyp_len = 0 THEN 0.0 ELSE exp(1.0 - ref_len / hyp_len) END)
+           * exp({bleu_terms}) END AS bleu,
+         {', '.join(f"CASE WHEN len({ngrams('pl', n)}) > 0 THEN len(list_distinct({ngrams('pl', n)})) / len({ngrams('pl', n)}) ELSE 0.0 END AS distinct_{n}" for n in (1, 2, 3))},
+         regexp_matches(prediction, {q(GREETING_RE2)}) AS has_greeting,
+         length({strip('prediction')}) >= 20 AS has_body,
+         regexp_matches(prediction, {q(CLOSING_RE2)}) AS has_closing,
+         len({ws_tokens('prediction')}) AS pred_word_count,
+         len(regexp_split_to_array(prediction, '[.!?]+')) AS pred_sentence_count,
+         length(prediction) AS pred_char_count,
+         len({ws_tokens('reference')}) AS ref_word_count,
+         len(regexp_split_to_array(reference, '[.!?]+')) AS ref_sentence_count,
+         length(reference) AS ref_char_count
+  FROM pair_counts)
+"""
+
+
+def compliance_sql(g="has_greeting", b="has_body", c="has_closing") -> str:
+    return (f"(CAST(0.33 AS DOUBLE) * CAST({g} AS DOUBLE) + CAST(0.34 AS DOUBLE) * CAST({b} AS DOUBLE)"
+            f" + CAST(0.33 AS DOUBLE) * CAST({c} AS DOUBLE))")

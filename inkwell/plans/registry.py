@@ -16,6 +16,7 @@ from inkwell.functions import fixed
 from inkwell.operators import corpus as C
 from inkwell.operators import messages as M
 from inkwell.plans import oracle as O
+from inkwell.session import materialize
 from inkwell.sources import tables as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +40,16 @@ def _with(ctes: str, body: str) -> str:
 # ------------------------------------------------------------------ corpus build
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed, cleaned, valid, deduplicated messages from raw_messages."""
-    return C.dedup_first(M.prepare_messages(T.raw_messages(spark, sf_dir)))
+    """Parsed, cleaned, valid, deduplicated messages from raw_messages.
+
+    Materialised once: compose, reply threading and the summaries all read it.
+    """
+    return materialize(C.dedup_first(M.prepare_messages(T.raw_messages(spark, sf_dir))), "messages")
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All chat samples, materialised (the exact cut reads its input three times)."""
+    return materialize(C.all_samples(messages(spark, sf_dir)), "samples")
 
 
 @register("folder_filter", _with(O.CORPUS_CTES, 'SELECT doc_id, path, "user", folder, box FROM chosen'))
@@ -161,14 +170,14 @@ splits AS (
 
 
 def _capped(spark, sf_dir):
-    return S.cap_samples(C.all_samples(messages(spark, sf_dir)), max_samples=CAP_CHECK)
+    return S.cap_samples(samples(spark, sf_dir), max_samples=CAP_CHECK)
 
 
 @register("shuffled_order", _with(SAMPLE_CTES,
                                   f"SELECT sample_id, task_type, {_key_sql('order')} AS order_key FROM samples "
                                   "ORDER BY order_key, sample_id"))
 def q_shuffled_order(spark, sf_dir):
-    return S.shuffled(C.all_samples(messages(spark, sf_dir))).select("sample_id", "task_type", "order_key")
+    return S.shuffled(samples(spark, sf_dir)).select("sample_id", "task_type", "order_key")
 
 
 @register("capped_samples", _with(SPLIT_CTES, "SELECT sample_id, task_type FROM capped"))
@@ -178,17 +187,186 @@ def q_capped_samples(spark, sf_dir):
 
 @register("train_val_split", _with(SPLIT_CTES, "SELECT sample_id, task_type, split FROM splits"))
 def q_train_val_split(spark, sf_dir):
-    return S.stratified_split(_capped(spark, sf_dir)).select("sample_id", "task_type", "split")
+    return S.stratified_split(materialize(_capped(spark, sf_dir), "capped")).select(
+        "sample_id", "task_type", "split")
 
 
 @register("split_summary", _with(SPLIT_CTES,
                                  "SELECT split, task_type, count(*) AS n_samples FROM splits GROUP BY CUBE (split, task_type)"))
 def q_split_summary(spark, sf_dir):
-    return S.split_summary(S.stratified_split(_capped(spark, sf_dir)))
+    return S.split_summary(S.stratified_split(materialize(_capped(spark, sf_dir), "capped")))
 
 
 @register("task_counts", _with(SAMPLE_CTES,
                                "SELECT coalesce(task_type, 'unknown') AS task_type, count(*) AS n_samples FROM samples "
                                "GROUP BY 1 ORDER BY n_samples DESC, task_type"))
 def q_task_counts(spark, sf_dir):
-    return S.task_counts(C.all_samples(messages(spark, sf_dir)))
+    return S.task_counts(samples(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ metrics
+
+from inkwell.operators import metrics as MT  # noqa: E402
+
+R = MT.round_doubles
+MCTES = O.metric_ctes()
+
+
+def _pairs(spark, sf_dir):
+    return T.pairs(spark, sf_dir)
+
+
+def _r6(expr: str, alias: str) -> str:
+    return f"round({expr}, 6) AS {alias}"
+
+
+@register("rouge_n", _with(MCTES, f"SELECT model_name, sample_id, {_r6('rouge1', 'rouge1')}, "
+                                  f"{_r6('rouge2', 'rouge2')} FROM pair_metrics"))
+def q_rouge_n(spark, sf_dir):
+    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=False).select(*MT.KEYS, "rouge1", "rouge2"))
+
+
+@register("bleu_per_sample", _with(MCTES, f"SELECT model_name, sample_id, {_r6('bleu', 'bleu')} FROM pair_metrics"))
+def q_bleu_per_sample(spark, sf_dir):
+    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=False).select(*MT.KEYS, "bleu"))
+
+
+_BLEU_CORPUS_SQL = " + ".join(
+    f"0.25 * ln(CASE WHEN sum(num{n}) = 0 THEN 0.1 / sum(den{n}) ELSE sum(num{n}) / sum(den{n}) END)" for n in (1, 2, 3, 4))
+
+
+@register("bleu_corpus", _with(MCTES, f"""
+SELECT model_name, round(CASE WHEN sum(num1) = 0 THEN 0.0 ELSE
+  (CASE WHEN sum(hyp_len) > sum(ref_len) THEN 1.0 WHEN sum(hyp_len) = 0 THEN 0.0
+        ELSE exp(1.0 - sum(ref_len) / sum(hyp_len)) END) * exp({_BLEU_CORPUS_SQL}) END, 6) AS bleu
+FROM pair_metrics GROUP BY model_name"""))
+def q_bleu_corpus(spark, sf_dir):
+    ev = MT.evaluate(_pairs(spark, sf_dir), with_lcs=False)
+    return R(ev.where(F.col("metric") == "bleu").select("model_name", F.col("value").alias("bleu")))
+
+
+@register("rouge_l")
+def q_rouge_l(spark, sf_dir):
+    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=True).select(*MT.KEYS, "rougeL"))
+
+
+@register("distinct_n", _with(MCTES, """
+SELECT model_name, 'distinct_' || n AS metric,
+       round(CASE WHEN count(*) FILTER (WHERE g IS NOT NULL) = 0 THEN 0.0
+                  ELSE count(DISTINCT g) / count(*) FILTER (WHERE g IS NOT NULL) END, 6) AS value
+FROM (SELECT model_name, n, unnest(CASE n WHEN 1 THEN g1 WHEN 2 THEN g2 ELSE g3 END) AS g
+      FROM (SELECT model_name, """ + ", ".join(f"{O.ngrams('pl', n)} AS g{n}" for n in (1, 2, 3)) + """ FROM pair_metrics) x,
+           (SELECT unnest([1, 2, 3]) AS n) ns
+      UNION ALL SELECT DISTINCT model_name, n, NULL AS g FROM pair_metrics, (SELECT unnest([1, 2, 3]) AS n) ns) y
+GROUP BY model_name, n"""))
+def q_distinct_n(spark, sf_dir):
+    return R(MT.distinct_n_corpus(_pairs(spark, sf_dir)))
+
+
+@register("distinct_n_per_sample", _with(MCTES, "SELECT model_name, sample_id, " + ", ".join(
+    _r6(f"distinct_{n}", f"distinct_{n}") for n in (1, 2, 3)) + " FROM pair_metrics"))
+def q_distinct_n_per_sample(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
+    return R(MT.text_features(p).select(*MT.KEYS, "distinct_1", "distinct_2", "distinct_3"))
+
+
+@register("format_compliance", _with(MCTES, f"""
+SELECT model_name, {_r6('avg(' + O.compliance_sql() + ')', 'format_compliance')},
+       {_r6('avg(CAST(has_greeting AS DOUBLE))', 'has_greeting_rate')},
+       {_r6('avg(CAST(has_body AS DOUBLE))', 'has_body_rate')},
+       {_r6('avg(CAST(has_closing AS DOUBLE))', 'has_closing_rate')}
+FROM pair_metrics GROUP BY model_name"""))
+def q_format_compliance(spark, sf_dir):
+    f = MT.text_features(_pairs(spark, sf_dir))
+    g, b, c = F.col("has_greeting"), F.col("has_body"), F.col("has_closing")
+    return R(f.groupBy("model_name").agg(
+        F.avg(MT.compliance_score(g, b, c)).alias("format_compliance"),
+        F.avg(g.cast("double")).alias("has_greeting_rate"),
+        F.avg(b.cast("double")).alias("has_body_rate"),
+        F.avg(c.cast("double")).alias("has_closing_rate")))
+
+
+_LEN_SQL = ", ".join(
+    f"{_r6(f'avg({side}_{s})', f'{side}_{s}_mean')}, {_r6(f'stddev_pop({side}_{s})', f'{side}_{s}_std')}"
+    for side in ("pred", "ref") for s in MT.LENGTH_STATS)
+
+
+@register("length_stats", _with(MCTES, f"SELECT model_name, {_LEN_SQL} FROM pair_metrics GROUP BY model_name"))
+def q_length_stats(spark, sf_dir):
+    f = MT.text_features(_pairs(spark, sf_dir))
+    aggs = []
+    for side in ("pred", "ref"):
+        for s in MT.LENGTH_STATS:
+            aggs += [F.avg(f"{side}_{s}").alias(f"{side}_{s}_mean"),
+                     F.stddev_pop(f"{side}_{s}").alias(f"{side}_{s}_std")]
+    return R(f.groupBy("model_name").agg(*aggs))
+
+
+PER_SAMPLE_COLS = ["rouge1", "rouge2", "bleu", "distinct_1", "distinct_2", "distinct_3", "format_compliance",
+                   "has_greeting_rate", "has_body_rate", "has_closing_rate"] + [
+    f"{side}_{s}_{k}" for side in ("pred", "ref") for s in MT.LENGTH_STATS for k in ("mean", "std")]
+
+PS_CTES = MCTES + f""",
+per_sample AS (
+  SELECT model_name, sample_id, coalesce(task_type, 'unknown') AS task_type, substr(prompt, 1, 200) AS prompt,
+         substr(prediction, 1, 500) AS prediction, substr(reference, 1, 500) AS reference,
+         rouge1, rouge2, bleu, distinct_1, distinct_2, distinct_3,
+         {O.compliance_sql()} AS format_compliance,
+         CAST(has_greeting AS DOUBLE) AS has_greeting_rate, CAST(has_body AS DOUBLE) AS has_body_rate,
+         CAST(has_closing AS DOUBLE) AS has_closing_rate,
+         {', '.join(f"CAST({side}_{s} AS DOUBLE) AS {side}_{s}_mean, 0.0 AS {side}_{s}_std" for side in ('pred', 'ref') for s in MT.LENGTH_STATS)}
+  FROM pair_metrics)
+"""
+
+
+def per_sample_table(spark, sf_dir, with_lcs=False):
+    return MT.per_sample(_pairs(spark, sf_dir), with_lcs=with_lcs)
+
+
+@register("per_sample_metrics", _with(PS_CTES, "SELECT model_name, sample_id, task_type, prompt, prediction, reference, "
+                                      + ", ".join(_r6(c, c) for c in PER_SAMPLE_COLS) + " FROM per_sample"))
+def q_per_sample_metrics(spark, sf_dir):
+    return R(per_sample_table(spark, sf_dir))
+
+
+_EVAL_METRICS = (["rouge1", "rouge2", "bleu", "format_compliance", "has_greeting_rate", "has_body_rate",
+                  "has_closing_rate"] + [f"{side}_{s}_{k}" for side in ("pred", "ref") for s in MT.LENGTH_STATS
+                                         for k in ("mean", "std")])
+
+_EVAL_SQL = f"""
+, run AS (
+  SELECT model_name, avg(rouge1) AS rouge1, avg(rouge2) AS rouge2,
+         CASE WHEN sum(num1) = 0 THEN 0.0 ELSE
+           (CASE WHEN sum(hyp_len) > sum(ref_len) THEN 1.0 WHEN sum(hyp_len) = 0 THEN 0.0
+                 ELSE exp(1.0 - sum(ref_len) / sum(hyp_len)) END) * exp({_BLEU_CORPUS_SQL}) END AS bleu,
+         avg({O.compliance_sql()}) AS format_compliance,
+         avg(CAST(has_greeting AS DOUBLE)) AS has_greeting_rate, avg(CAST(has_body AS DOUBLE)) AS has_body_rate,
+         avg(CAST(has_closing AS DOUBLE)) AS has_closing_rate,
+         {', '.join(f"avg({side}_{s}) AS {side}_{s}_mean, stddev_pop({side}_{s}) AS {side}_{s}_std" for side in ('pred', 'ref') for s in MT.LENGTH_STATS)}
+  FROM pair_metrics GROUP BY model_name),
+dn AS (
+  SELECT model_name, 'distinct_' || n AS metric,
+         CASE WHEN count(g) = 0 THEN 0.0 ELSE count(DISTINCT g) / count(g) END AS value
+  FROM (SELECT model_name, n, unnest(CASE n WHEN 1 THEN g1 WHEN 2 THEN g2 ELSE g3 END) AS g
+        FROM (SELECT model_name, {', '.join(f"{O.ngrams('pl', n)} AS g{n}" for n in (1, 2, 3))} FROM pair_metrics) x,
+             (SELECT unnest([1, 2, 3]) AS n) ns
+        UNION ALL SELECT DISTINCT model_name, n, NULL AS g FROM pair_metrics, (SELECT unnest([1, 2, 3]) AS n) ns) y
+  GROUP BY model_name, n),
+run_metrics AS (
+  SELECT model_name, metric, value FROM (UNPIVOT run ON {', '.join(_EVAL_METRICS)} INTO NAME metric VALUE value)
+  UNION ALL SELECT model_name, metric, value FROM dn)
+"""
+
+
+@register("evaluate_runs", _with(MCTES + _EVAL_SQL, "SELECT model_name, metric, round(value, 6) AS value FROM run_metrics"))
+def q_evaluate_runs(spark, sf_dir):
+    return R(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False))
+
+
+@register("metric_mean_std", _with(PS_CTES, """
+SELECT model_name, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
+FROM (UNPIVOT (SELECT model_name, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PER_SAMPLE_COLS) + """ FROM per_sample)
+      ON """ + ", ".join(PER_SAMPLE_COLS) + """ INTO NAME metric VALUE value)
+GROUP BY model_name, metric"""))
+def q_metric_mean_std(spark, sf_dir):
+    return R(MT.metric_mean_std(per_sample_table(spark, sf_dir)))

@@ -71,3 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used for tables read by several later branches (deduplicated messages, chat
+    samples, per-sample features): the upstream work runs once, the lineage is
+    cut (a lost executor costs a re-read, not a recomputation), and re-reads keep
+    column pruning and filter pushdown.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/inkwell-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
