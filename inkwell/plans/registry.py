@@ -370,3 +370,243 @@ FROM (UNPIVOT (SELECT model_name, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}"
 GROUP BY model_name, metric"""))
 def q_metric_mean_std(spark, sf_dir):
     return R(MT.metric_mean_std(per_sample_table(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ error analysis and reports
+
+from inkwell.operators import errors as ER  # noqa: E402
+from inkwell.operators import reports as RP  # noqa: E402
+
+
+def labelled_table(spark, sf_dir):
+    """Per-sample results with failure labels, materialised (read by several reports)."""
+    return materialize(ER.failure_labels(per_sample_table(spark, sf_dir)), "labelled")
+
+
+_NO_GREETING_RE2 = "(?im)^(dear|hi|hello|hey|good)"
+_NO_CLOSING_RE2 = "(?i)(regards|sincerely|best|thanks|thank you)"
+
+LAB_CTES = PS_CTES + f""",
+ps_tok AS (SELECT *, {O.ws_tokens('lower(prediction)')} AS lw, len({O.ws_tokens('prediction')}) AS pwc,
+                  len({O.ws_tokens('reference')}) AS rwc FROM per_sample),
+tri AS (SELECT model_name, sample_id, unnest({O.ngrams('lw', 3)}) AS g FROM ps_tok),
+tri_c AS (SELECT model_name, sample_id, g, count(*) AS c FROM tri GROUP BY ALL),
+tri_s AS (SELECT model_name, sample_id, max(c) AS maxc, sum(c) AS total, count(*) AS uniq FROM tri_c GROUP BY ALL),
+flags AS (
+  SELECT p.*, coalesce(t.maxc, 0) AS maxc, coalesce(t.total, 0) AS total, coalesce(t.uniq, 0) AS uniq,
+         (len(p.lw) > 10 AND coalesce(t.maxc, 0) >= 3) AS repetition,
+         (p.pwc < 10) AS too_short,
+         (p.pwc > 2 * p.rwc AND p.rwc > 10) AS too_long,
+         NOT regexp_matches(p.prediction, {O.q(_NO_GREETING_RE2)}) AS no_greeting,
+         NOT regexp_matches(p.prediction, {O.q(_NO_CLOSING_RE2)}) AS no_closing,
+         (coalesce(p.rouge1, 0.0) < 0.1) AS off_topic,
+         CASE WHEN len(p.lw) < 4 OR coalesce(t.total, 0) = 0 THEN 0.0
+              ELSE (t.total - t.uniq) / t.total END AS repetition_score
+  FROM ps_tok p LEFT JOIN tri_s t ON p.model_name = t.model_name AND p.sample_id = t.sample_id),
+labelled AS (
+  SELECT *, coalesce(nullif(concat_ws(', ',
+            CASE WHEN repetition THEN 'repetition' END, CASE WHEN too_short THEN 'too_short' END,
+            CASE WHEN too_long THEN 'too_long' END, CASE WHEN no_greeting THEN 'no_greeting' END,
+            CASE WHEN no_closing THEN 'no_closing' END, CASE WHEN off_topic THEN 'off_topic' END), ''), 'none')
+         AS failure_str
+  FROM flags),
+modes AS (SELECT model_name, sample_id, unnest(string_split(failure_str, ', ')) AS mode FROM labelled),
+mode_counts AS (
+  SELECT m.model_name, m.mode, count(*) AS count, any_value(n.n) AS n_samples
+  FROM modes m JOIN (SELECT model_name, count(*) AS n FROM labelled GROUP BY model_name) n
+    ON m.model_name = n.model_name
+  GROUP BY m.model_name, m.mode)
+"""
+
+_FLAGS = ("repetition", "too_short", "too_long", "no_greeting", "no_closing", "off_topic")
+
+
+@register("failure_labels", _with(LAB_CTES, "SELECT model_name, sample_id, failure_str, " + ", ".join(_FLAGS)
+                                  + " FROM labelled"))
+def q_failure_labels(spark, sf_dir):
+    return ER.failure_labels(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "failure_str", *_FLAGS)
+
+
+@register("failure_counts", _with(LAB_CTES, "SELECT model_name, mode, count, round(100.0 * count / n_samples, 6) AS pct "
+                                  "FROM mode_counts ORDER BY model_name, count DESC, mode"))
+def q_failure_counts(spark, sf_dir):
+    return R(ER.failure_counts(labelled_table(spark, sf_dir)))
+
+
+@register("repetition_scores", _with(LAB_CTES, "SELECT model_name, sample_id, round(repetition_score, 6) AS repetition_score "
+                                     "FROM labelled"))
+def q_repetition_scores(spark, sf_dir):
+    return R(RP.with_repetition(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score"))
+
+
+_RULES_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS rule_pos, {O.q(m)} AS mode, CAST({t} AS DOUBLE) AS threshold, {O.q(msg)} AS message"
+    for i, (m, t, msg) in enumerate(fixed.RECOMMENDATION_RULES))
+
+
+@register("recommendations", _with(LAB_CTES + f", rules AS ({_RULES_SQL})",
+                                   "SELECT c.model_name, r.rule_pos, r.mode, r.message FROM mode_counts c "
+                                   "JOIN rules r ON c.mode = r.mode AND c.count > r.threshold * c.n_samples "
+                                   "ORDER BY c.model_name, r.rule_pos"))
+def q_recommendations(spark, sf_dir):
+    return ER.recommendations(labelled_table(spark, sf_dir))
+
+
+@register("error_summary", _with(LAB_CTES, """
+SELECT model_name, count(*) AS n_samples, count(*) FILTER (WHERE failure_str = 'none') AS n_clean,
+       round(100.0 * count(*) FILTER (WHERE failure_str = 'none') / count(*), 6) AS pct_clean,
+       round(avg(rouge1), 6) AS mean_rouge1, round(avg(repetition_score), 6) AS mean_repetition,
+       round(max(repetition_score), 6) AS max_repetition,
+       count(*) FILTER (WHERE repetition_score > 0.1) AS n_high_repetition,
+       round(avg(pwc), 6) AS pred_words_mean, round(stddev_samp(pwc), 6) AS pred_words_std,
+       round(avg(rwc), 6) AS ref_words_mean, round(stddev_samp(rwc), 6) AS ref_words_std
+FROM labelled GROUP BY model_name"""))
+def q_error_summary(spark, sf_dir):
+    return R(RP.error_summary(labelled_table(spark, sf_dir)))
+
+
+@register("worst_samples", _with(LAB_CTES, """
+SELECT model_name, sample_id, task_type, round(rouge1, 6) AS rouge1, failure_str, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY rouge1, sample_id) AS rank
+  FROM labelled WHERE rouge1 IS NOT NULL AND NOT isnan(rouge1)) w WHERE rank <= 5"""))
+def q_worst_samples(spark, sf_dir):
+    return R(RP.worst_samples(labelled_table(spark, sf_dir)).select(
+        *MT.KEYS, "task_type", "rouge1", "failure_str", "rank"))
+
+
+@register("most_repetitive", _with(LAB_CTES, """
+SELECT model_name, sample_id, round(repetition_score, 6) AS repetition_score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY repetition_score DESC, sample_id) AS rank
+  FROM labelled WHERE model_name IN (SELECT model_name FROM labelled GROUP BY model_name
+                                     HAVING max(repetition_score) > 0.1)) w WHERE rank <= 3"""))
+def q_most_repetitive(spark, sf_dir):
+    return R(RP.most_repetitive(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score", "rank"))
+
+
+@register("sample_listing", _with(PS_CTES, """
+SELECT model_name, sample_id, task_type, prompt, prediction, reference, round(rouge1, 6) AS rouge1, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY sample_id) AS rank FROM per_sample) w WHERE rank <= 5"""))
+def q_sample_listing(spark, sf_dir):
+    return R(RP.sample_listing(per_sample_table(spark, sf_dir)).select(
+        *MT.KEYS, "task_type", "prompt", "prediction", "reference", "rouge1", "rank"))
+
+
+_TASK_COLS = [c for c in fixed.TASK_METRICS if c in PER_SAMPLE_COLS]
+
+
+@register("task_metric_stats", _with(PS_CTES, """
+SELECT model_name, task_type, metric, round_even(avg(value), 4) AS mean, round_even(stddev_samp(value), 4) AS std
+FROM (UNPIVOT (SELECT model_name, task_type, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _TASK_COLS)
+                                     + " FROM per_sample) ON " + ", ".join(_TASK_COLS) + """ INTO NAME metric VALUE value)
+GROUP BY model_name, task_type, metric"""))
+def q_task_metric_stats(spark, sf_dir):
+    return RP.task_metric_stats(per_sample_table(spark, sf_dir))
+
+
+@register("task_types", _with(PS_CTES, "SELECT DISTINCT task_type FROM per_sample"))
+def q_task_types(spark, sf_dir):
+    return RP.task_types(per_sample_table(spark, sf_dir))
+
+
+@register("box_stats", _with(PS_CTES, """
+, quart AS (
+  SELECT model_name, task_type, count(*) AS n, quantile_cont(rouge1, [0.25, 0.5, 0.75]) AS q
+  FROM per_sample GROUP BY model_name, task_type)
+SELECT p.model_name, p.task_type, any_value(q.n) AS n, round(any_value(q.q[1]), 6) AS q1,
+       round(any_value(q.q[2]), 6) AS median, round(any_value(q.q[3]), 6) AS q3,
+       round(min(p.rouge1) FILTER (WHERE p.rouge1 BETWEEN q.q[1] - 1.5 * (q.q[3] - q.q[1]) AND q.q[3] + 1.5 * (q.q[3] - q.q[1])), 6) AS whisker_low,
+       round(max(p.rouge1) FILTER (WHERE p.rouge1 BETWEEN q.q[1] - 1.5 * (q.q[3] - q.q[1]) AND q.q[3] + 1.5 * (q.q[3] - q.q[1])), 6) AS whisker_high,
+       count(*) FILTER (WHERE NOT (p.rouge1 BETWEEN q.q[1] - 1.5 * (q.q[3] - q.q[1]) AND q.q[3] + 1.5 * (q.q[3] - q.q[1]))) AS n_outliers
+FROM per_sample p JOIN quart q ON p.model_name = q.model_name AND p.task_type = q.task_type
+GROUP BY p.model_name, p.task_type""".replace("\n, quart", ", quart", 1)))
+def q_box_stats(spark, sf_dir):
+    return R(RP.box_stats(per_sample_table(spark, sf_dir)))
+
+
+@register("length_histogram", _with(LAB_CTES, """
+, series AS (
+  SELECT model_name, 'generated' AS series, CAST(pwc AS DOUBLE) AS x FROM labelled
+  UNION ALL SELECT model_name, 'reference' AS series, CAST(rwc AS DOUBLE) AS x FROM labelled),
+rng0 AS (SELECT model_name, series, min(x) AS lo0, max(x) AS hi0 FROM series GROUP BY ALL),
+rng AS (SELECT model_name, series, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+               CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM rng0),
+binned AS (SELECT s.model_name, s.series, CAST(least(floor((s.x - r.lo) / ((r.hi - r.lo) / 30)), 29) AS INTEGER) AS bin
+           FROM series s JOIN rng r ON s.model_name = r.model_name AND s.series = r.series),
+counts AS (SELECT model_name, series, bin, count(*) AS c FROM binned GROUP BY ALL),
+grid AS (SELECT model_name, series, lo, hi, unnest(range(0, 30)) AS bin FROM rng)
+SELECT g.model_name, g.series, CAST(g.bin AS INTEGER) AS bin, round(g.lo + g.bin * ((g.hi - g.lo) / 30), 6) AS bin_start,
+       round(CASE WHEN g.bin = 29 THEN g.hi ELSE g.lo + (g.bin + 1) * ((g.hi - g.lo) / 30) END, 6) AS bin_end,
+       coalesce(c.c, 0) AS count
+FROM grid g LEFT JOIN counts c ON g.model_name = c.model_name AND g.series = c.series AND g.bin = c.bin
+""".replace("\n, series", ", series", 1)))
+def q_length_histogram(spark, sf_dir):
+    return R(RP.length_histogram(per_sample_table(spark, sf_dir)))
+
+
+@register("length_scatter", _with(LAB_CTES, """
+SELECT l.model_name, l.sample_id, l.rwc AS ref_word_count, l.pwc AS pred_word_count, m.line_max
+FROM labelled l JOIN (SELECT model_name, greatest(max(rwc), max(pwc)) AS line_max FROM labelled GROUP BY model_name) m
+  ON l.model_name = m.model_name"""))
+def q_length_scatter(spark, sf_dir):
+    return RP.length_scatter(per_sample_table(spark, sf_dir))
+
+
+# ---- reports over run metrics
+
+def run_metrics_table(spark, sf_dir):
+    return materialize(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False), "run_metrics")
+
+
+_GROUPS_SQL = " UNION ALL ".join(
+    f"SELECT {gi} AS group_pos, {O.q(g)} AS metric_group, {mi} AS metric_pos, {O.q(m)} AS metric"
+    for gi, (g, ms) in enumerate(fixed.METRIC_GROUPS) for mi, m in enumerate(ms))
+
+
+@register("results_table", _with(MCTES + _EVAL_SQL + f", groups AS ({_GROUPS_SQL})", """
+SELECT r.model_name, g.group_pos, g.metric_group, g.metric_pos, g.metric, printf('%.4f', r.value) AS display
+FROM run_metrics r JOIN groups g ON r.metric = g.metric ORDER BY r.model_name, g.group_pos, g.metric_pos"""))
+def q_results_table(spark, sf_dir):
+    return RP.results_table(run_metrics_table(spark, sf_dir))
+
+
+_KEYS_SQL = " UNION ALL ".join(f"SELECT {i} AS pos, {O.q(k)} AS metric" for i, k in enumerate(fixed.COMPARE_KEYS))
+
+
+@register("compare_runs", _with(MCTES + _EVAL_SQL + f", ckeys AS ({_KEYS_SQL})", """
+, cmp AS (
+  SELECT k.pos, k.metric,
+         coalesce(max(r.value) FILTER (WHERE r.model_name = 'base'), 0.0) AS base,
+         coalesce(max(r.value) FILTER (WHERE r.model_name = 'fine_tuned'), 0.0) AS fine_tuned
+  FROM ckeys k LEFT JOIN run_metrics r ON r.metric = k.metric GROUP BY k.pos, k.metric)
+SELECT pos, metric, round(base, 6) AS base, round(fine_tuned, 6) AS fine_tuned, round(fine_tuned - base, 6) AS delta,
+       printf('%.4f', base) AS base_display, printf('%.4f', fine_tuned) AS fine_tuned_display,
+       CASE WHEN fine_tuned - base >= 0 THEN '+' ELSE '' END || printf('%.4f', fine_tuned - base) AS delta_display
+FROM cmp ORDER BY pos""".replace("\n, cmp", ", cmp", 1)))
+def q_compare_runs(spark, sf_dir):
+    return R(RP.compare_runs(run_metrics_table(spark, sf_dir)))
+
+
+_SERIES_SQL = " UNION ALL ".join(f"SELECT {O.q(c)} AS chart, {i} AS pos, {O.q(m)} AS metric"
+                                 for c, ms in fixed.CHART_SERIES for i, m in enumerate(ms))
+
+
+@register("chart_bars", _with(MCTES + _EVAL_SQL + f", series AS ({_SERIES_SQL})", """
+SELECT m.model_name, s.chart, s.pos, s.metric, round(coalesce(r.value, 0.0), 6) AS value
+FROM (SELECT DISTINCT model_name FROM run_metrics) m CROSS JOIN series s
+LEFT JOIN run_metrics r ON r.model_name = m.model_name AND r.metric = s.metric"""))
+def q_chart_bars(spark, sf_dir):
+    return R(RP.chart_bars(run_metrics_table(spark, sf_dir)))
+
+
+@register("chart_lengths", _with(MCTES + _EVAL_SQL, """
+SELECT model_name, pos, category, round(coalesce(pred, 0.0) / scale, 6) AS generated,
+       round(coalesce(ref, 0.0) / scale, 6) AS reference
+FROM (SELECT r.model_name, c.pos, c.category, c.scale,
+             max(r.value) FILTER (WHERE r.metric = 'pred_' || c.stat || '_mean') AS pred,
+             max(r.value) FILTER (WHERE r.metric = 'ref_' || c.stat || '_mean') AS ref
+      FROM run_metrics r, (SELECT 0 AS pos, 'Words' AS category, 'word_count' AS stat, 1.0 AS scale
+                           UNION ALL SELECT 1, 'Sentences', 'sentence_count', 1.0
+                           UNION ALL SELECT 2, 'Chars (÷10)', 'char_count', 10.0) c
+      GROUP BY r.model_name, c.pos, c.category, c.scale) x"""))
+def q_chart_lengths(spark, sf_dir):
+    return R(RP.chart_lengths(run_metrics_table(spark, sf_dir)))
