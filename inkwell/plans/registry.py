@@ -610,3 +610,110 @@ FROM (SELECT r.model_name, c.pos, c.category, c.scale,
       GROUP BY r.model_name, c.pos, c.category, c.scale) x"""))
 def q_chart_lengths(spark, sf_dir):
     return R(RP.chart_lengths(run_metrics_table(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ prompts, chats, sequences
+
+from inkwell.operators import prompts as PR  # noqa: E402
+
+
+def chats(spark, sf_dir):
+    return PR.conversations_to_chats(T.read_table(spark, sf_dir, "conversations"))
+
+
+_HDR = "'<|start_header_id|>' || x.role || '<|end_header_id|>' || chr(10) || chr(10)"
+CHAT_CTES = f"""
+chats AS (
+  SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn) AS messages
+  FROM conversations GROUP BY conv_id),
+chat_parts AS (
+  SELECT conv_id, messages,
+         list_filter(messages, lambda x: x.role <> 'assistant') AS prompt_messages,
+         coalesce(list_filter(messages, lambda x: x.role = 'assistant')[-1].content, '') AS reference
+  FROM chats),
+rendered AS (
+  SELECT *, '<|begin_of_text|>' || array_to_string(list_transform(messages, lambda x: {_HDR} || x.content || '<|eot_id|>'), '') AS chat_text,
+         '<|begin_of_text|>' || array_to_string(list_transform(prompt_messages, lambda x: {_HDR} || x.content || '<|eot_id|>'), '')
+           || '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) AS prompt_text
+  FROM chat_parts),
+seq AS (
+  SELECT conv_id, len({O.ws_tokens('chat_text')}) AS n_tokens FROM rendered)
+"""
+
+
+def _chat_parts(spark, sf_dir):
+    c = chats(spark, sf_dir)
+    prompt, reference = PR.prompt_and_reference("messages")
+    return c.select("conv_id", "messages", prompt.alias("prompt_messages"), reference.alias("reference"))
+
+
+@register("prompt_reference", _with(CHAT_CTES, """
+SELECT conv_id, len(prompt_messages) AS n_prompt_messages, substr(coalesce(prompt_messages[-1].content, ''), 1, 200) AS prompt,
+       substr(reference, 1, 500) AS reference, length(reference) AS reference_chars FROM chat_parts"""))
+def q_prompt_reference(spark, sf_dir):
+    p = _chat_parts(spark, sf_dir)
+    t = PR.truncate_fields(p.withColumn("prediction", F.lit("")).withColumn("task_type", F.lit(None).cast("string")))
+    return t.select("conv_id", F.size("prompt_messages").cast("long").alias("n_prompt_messages"),
+                    F.col("prompt_display").alias("prompt"), F.col("reference_display").alias("reference"),
+                    F.length("reference").cast("long").alias("reference_chars"))
+
+
+@register("render_chat", _with(CHAT_CTES, "SELECT conv_id, chat_text, prompt_text FROM rendered"))
+def q_render_chat(spark, sf_dir):
+    p = _chat_parts(spark, sf_dir)
+    return p.select("conv_id", PR.render_chat("messages").alias("chat_text"),
+                    PR.render_chat("prompt_messages", generation_cue=True).alias("prompt_text"))
+
+
+_REQ_HDR = lambda role: f"'<|start_header_id|>{role}<|end_header_id|>' || chr(10) || chr(10)"
+
+
+def _tone_sql() -> str:
+    return "CASE WHEN tone <> 'Professional' THEN ' Use a ' || lower(tone) || ' tone.' ELSE '' END"
+
+
+@register("request_prompts", _with(f"requests AS ({T.view_sql('requests')})", f"""
+, p AS (
+  SELECT item_id,
+         CASE WHEN {O.strip('subject')} <> '' THEN {O.q(fixed.COMPOSE_PREFIX)} || subject || {_tone_sql()} ||
+              CASE WHEN {O.strip('context')} <> '' THEN chr(10) || chr(10) || 'Additional context: ' || context ELSE '' END END AS compose_prompt,
+         CASE WHEN {O.strip('subject')} = '' THEN {O.q(fixed.BLANK_SUBJECT_MESSAGE)} END AS compose_error,
+         CASE WHEN {O.strip('original_email')} <> '' THEN 'Reply to this email:' || {_tone_sql()} || chr(10) || chr(10) || original_email END AS reply_prompt,
+         CASE WHEN {O.strip('original_email')} = '' THEN {O.q(fixed.BLANK_EMAIL_MESSAGE)} END AS reply_error
+  FROM requests)
+SELECT item_id, compose_prompt, compose_error,
+       '<|begin_of_text|>' || {_REQ_HDR('system')} || {O.q(fixed.SYSTEM_PROMPT_COMPOSE)} || '<|eot_id|>' || {_REQ_HDR('user')}
+         || compose_prompt || '<|eot_id|>' || {_REQ_HDR('assistant')} AS compose_chat,
+       reply_prompt, reply_error,
+       '<|begin_of_text|>' || {_REQ_HDR('system')} || {O.q(fixed.SYSTEM_PROMPT_REPLY)} || '<|eot_id|>' || {_REQ_HDR('user')}
+         || reply_prompt || '<|eot_id|>' || {_REQ_HDR('assistant')} AS reply_chat
+FROM p""".replace("\n, p AS", ", p AS", 1)))
+def q_request_prompts(spark, sf_dir):
+    return PR.request_prompts(T.requests(spark, sf_dir))
+
+
+def _seq(spark, sf_dir):
+    p = _chat_parts(spark, sf_dir)
+    return PR.seq_length_cut(p.select("conv_id", PR.render_chat("messages").alias("text")), "text")
+
+
+@register("seq_length_cut", _with(CHAT_CTES, f"""
+SELECT conv_id, n_tokens, n_tokens > {fixed.MAX_SEQ_LENGTH} AS over_length, least(n_tokens, {fixed.MAX_SEQ_LENGTH}) AS kept_tokens
+FROM seq"""))
+def q_seq_length_cut(spark, sf_dir):
+    return _seq(spark, sf_dir).select("conv_id", "n_tokens", "over_length", "kept_tokens")
+
+
+@register("pack_sequences", _with(CHAT_CTES, f"""
+, st AS (
+  SELECT conv_id, n_tokens, coalesce(sum(n_tokens) OVER (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM seq),
+pieces AS (
+  SELECT conv_id, n_tokens, s, unnest(range(CAST(floor(s / {fixed.MAX_SEQ_LENGTH}) AS BIGINT),
+                                            CAST(floor((s + n_tokens - 1) / {fixed.MAX_SEQ_LENGTH}) AS BIGINT) + 1)) AS chunk
+  FROM st WHERE n_tokens > 0)
+SELECT chunk, conv_id, greatest(s, chunk * {fixed.MAX_SEQ_LENGTH}) - s AS token_from,
+       least(s + n_tokens, (chunk + 1) * {fixed.MAX_SEQ_LENGTH}) - s AS token_to
+FROM pieces""".replace("\n, st AS", ", st AS", 1)))
+def q_pack_sequences(spark, sf_dir):
+    return PR.pack_sequences(_seq(spark, sf_dir), "conv_id", "n_tokens", fixed.MAX_SEQ_LENGTH)
