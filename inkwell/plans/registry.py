@@ -717,3 +717,52 @@ SELECT chunk, conv_id, greatest(s, chunk * {fixed.MAX_SEQ_LENGTH}) - s AS token_
 FROM pieces""".replace("\n, st AS", ", st AS", 1)))
 def q_pack_sequences(spark, sf_dir):
     return PR.pack_sequences(_seq(spark, sf_dir), "conv_id", "n_tokens", fixed.MAX_SEQ_LENGTH)
+
+
+# ------------------------------------------------------------------ file sources and sinks
+
+import uuid  # noqa: E402
+
+from inkwell.session import ensure_checkpoint_dir  # noqa: E402
+from inkwell.sources import jsonl as JS  # noqa: E402
+from inkwell.sources import maildir as MD  # noqa: E402
+from inkwell.sources import results as RS  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    return f"{base}/inkwell-io/{name}-{uuid.uuid4().hex}"
+
+
+@register("mail_tree_scan", _with(O.CORPUS_CTES,
+                                  'SELECT "user", box, subject, from_addr, body, body_hash FROM messages'))
+def q_mail_tree_scan(spark, sf_dir):
+    """raw_messages written as a real mail tree, then scanned back (S1-S4) and
+    run through parse/clean/filter/dedup."""
+    root = _scratch(spark, "maildir")
+    JS.write_mail_tree(T.raw_messages(spark, sf_dir), root)
+    raw = MD.read_maildir(spark, root)
+    msgs = C.dedup_first(M.prepare_messages(raw, size_col="length"))
+    return msgs.select("user", "box", "subject", "from_addr", "body", "body_hash")
+
+
+@register("jsonl_roundtrip", _with(SPLIT_CTES, "SELECT sample_id, task_type, split, user_content FROM splits"))
+def q_jsonl_roundtrip(spark, sf_dir):
+    """Split samples written as JSON Lines (raw + partitioned train/val) and read back (S5-S8)."""
+    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    paths = JS.write_splits(split, _scratch(spark, "samples"))
+    back = (JS.read_samples(spark, paths["train"]).withColumn("split", F.lit("train"))
+            .unionByName(JS.read_samples(spark, paths["val"]).withColumn("split", F.lit("val"))))
+    return back.select("sample_id", "task_type", "split", F.col("messages")[1]["content"].alias("user_content"))
+
+
+@register("results_roundtrip", _with(MCTES + _EVAL_SQL, "SELECT model_name, metric, round(value, 6) AS value FROM run_metrics"))
+def q_results_roundtrip(spark, sf_dir):
+    """Run metrics and per-sample results written as tables and read back (S9-S10)."""
+    out = _scratch(spark, "results")
+    RS.write_results(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False), per_sample_table(spark, sf_dir), out,
+                     {"max_samples": fixed.EVAL_MAX_SAMPLES})
+    metrics, _ = RS.read_results(spark, out)
+    return R(metrics)
