@@ -766,3 +766,54 @@ def q_results_roundtrip(spark, sf_dir):
                      {"max_samples": fixed.EVAL_MAX_SAMPLES})
     metrics, _ = RS.read_results(spark, out)
     return R(metrics)
+
+
+# ------------------------------------------------------------------ stemming and embedding match
+
+from inkwell.operators import embedding as EM  # noqa: E402
+
+
+@register("rouge_stemmed")
+def q_rouge_stemmed(spark, sf_dir):
+    """ROUGE-1/2/L with Porter-stemmed tokens (distinct-vocabulary stemming)."""
+    return R(MT.pair_scores(_pairs(spark, sf_dir), stem=True, with_lcs=True).select(
+        *MT.KEYS, "rouge1", "rouge2", "rougeL"))
+
+
+_EMB_CTES = MCTES + f"""
+, emb_n AS (SELECT count(*) AS n FROM embeddings),
+etok AS (
+  SELECT model_name, sample_id, side, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM (
+    SELECT model_name, sample_id, 'p' AS side, {O.ws_tokens('lower(prediction)')} AS t FROM pairs
+    UNION ALL SELECT model_name, sample_id, 'r' AS side, {O.ws_tokens('lower(reference)')} AS t FROM pairs) s),
+ev AS (
+  SELECT e.model_name, e.sample_id, e.side, e.pos, CAST(x.embedding AS DOUBLE[]) AS v
+  FROM etok e CROSS JOIN emb_n
+  JOIN embeddings x ON x.vec_id = CAST('0x' || substr(md5(e.token), 1, 4) AS BIGINT) % emb_n.n),
+best AS (
+  SELECT a.model_name, a.sample_id, a.side, a.pos, max(list_cosine_similarity(a.v, b.v)) AS s
+  FROM ev a JOIN ev b ON a.model_name = b.model_name AND a.sample_id = b.sample_id AND a.side <> b.side
+  GROUP BY ALL),
+pr AS (
+  SELECT model_name, sample_id, avg(s) FILTER (WHERE side = 'p') AS precision, avg(s) FILTER (WHERE side = 'r') AS recall
+  FROM best GROUP BY ALL),
+em AS (
+  SELECT p.model_name, p.sample_id, coalesce(pr.precision, 0.0) AS precision, coalesce(pr.recall, 0.0) AS recall
+  FROM pairs p LEFT JOIN pr ON p.model_name = pr.model_name AND p.sample_id = pr.sample_id)
+""".replace("\n, emb_n", ", emb_n", 1)
+
+
+@register("embedding_match", _with(_EMB_CTES, """
+SELECT model_name, sample_id, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1
+FROM em"""))
+def q_embedding_match(spark, sf_dir):
+    return R(EM.embedding_match(_pairs(spark, sf_dir), T.read_table(spark, sf_dir, "embeddings")))
+
+
+@register("evaluate_full")
+def q_evaluate_full(spark, sf_dir):
+    """Every corpus metric per run: stemmed ROUGE-1/2/L, BLEU, embedding match,
+    distinct-n, format compliance, length stats."""
+    return R(MT.evaluate(_pairs(spark, sf_dir), stem=True, with_lcs=True,
+                         embeddings=T.read_table(spark, sf_dir, "embeddings")))
