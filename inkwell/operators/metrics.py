@@ -40,8 +40,7 @@ CLOSING = (r"(?imdU)(regards|sincerely|best|thanks|thank you|cheers|warm regards
 
 def rouge_tokens(text) -> Column:
     """ROUGE tokens without stemming: lower-case runs of [a-z0-9]."""
-    return F.regexp_extract_all(F.lower(text if isinstance(text, Column) else F.col(text)),
-                                F.lit("[a-z0-9]+"), 0)
+    return F.array_remove(F.split(F.lower(text if isinstance(text, Column) else F.col(text)), "[^a-z0-9]+", -1), "")
 
 
 def bleu_tokens(text) -> Column:
