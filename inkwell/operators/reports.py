@@ -83,7 +83,7 @@ def worst_samples(per_sample: DataFrame, k: int = fixed.WORST_K, group=("model_n
     """Bottom-k by rouge1 per run (ties by sample_id); null/NaN rouge excluded (O3)."""
     w = Window.partitionBy(*group).orderBy("rouge1", "sample_id")
     ok = per_sample.where(F.col("rouge1").isNotNull() & ~F.isnan("rouge1"))
-    return ok.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return ok.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def with_repetition(per_sample: DataFrame) -> DataFrame:
@@ -99,13 +99,13 @@ def most_repetitive(per_sample: DataFrame, k: int = fixed.REPETITIVE_K, group=("
     # one row per run: which runs have any score above the threshold (broadcast side).
     runs = scored.groupBy(*group).agg(F.max(F.col("repetition_score") > threshold).alias("_any")).where("_any")
     shown = scored.join(F.broadcast(runs.select(*group)), group, "left_semi")
-    return shown.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return shown.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def sample_listing(per_sample: DataFrame, k: int = fixed.LISTING_K, group=("model_name",)) -> DataFrame:
     """First k samples per run by sample_id (O5)."""
     w = Window.partitionBy(*group).orderBy("sample_id")
-    return per_sample.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return per_sample.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def task_metric_stats(per_sample: DataFrame, group=("model_name",), metrics=fixed.TASK_METRICS) -> DataFrame:

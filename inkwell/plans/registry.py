@@ -314,7 +314,7 @@ per_sample AS (
          {O.compliance_sql()} AS format_compliance,
          CAST(has_greeting AS DOUBLE) AS has_greeting_rate, CAST(has_body AS DOUBLE) AS has_body_rate,
          CAST(has_closing AS DOUBLE) AS has_closing_rate,
-         {', '.join(f"CAST({side}_{s} AS DOUBLE) AS {side}_{s}_mean, 0.0 AS {side}_{s}_std" for side in ('pred', 'ref') for s in MT.LENGTH_STATS)}
+         {', '.join(f"CAST({side}_{s} AS DOUBLE) AS {side}_{s}_mean, CAST(0.0 AS DOUBLE) AS {side}_{s}_std" for side in ('pred', 'ref') for s in MT.LENGTH_STATS)}
   FROM pair_metrics)
 """
 
@@ -706,7 +706,7 @@ def q_seq_length_cut(spark, sf_dir):
 
 @register("pack_sequences", _with(CHAT_CTES, f"""
 , st AS (
-  SELECT conv_id, n_tokens, coalesce(sum(n_tokens) OVER (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  SELECT conv_id, n_tokens, CAST(coalesce(sum(n_tokens) OVER (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
   FROM seq),
 pieces AS (
   SELECT conv_id, n_tokens, s, unnest(range(CAST(floor(s / {fixed.MAX_SEQ_LENGTH}) AS BIGINT),
