@@ -188,19 +188,26 @@ def tokenize_pairs(pairs: DataFrame, keys=KEYS, stem: bool = False, num_partitio
 
 
 def pair_scores(pairs: DataFrame, keys=KEYS, stem: bool = False, with_lcs: bool = True,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, carry=(), features: bool = False) -> DataFrame:
     """Per-pair overlap metrics: rouge1, rouge2, rougeL (optional), per-pair BLEU and
-    the BLEU sufficient statistics (for corpus BLEU)."""
+    the BLEU sufficient statistics (for corpus BLEU).
+
+    ``carry`` columns of ``pairs`` and, with ``features``, the in-row text features
+    ride along from the one pair-keyed repartition, so every later join on the
+    key is co-partitioned.
+    """
     keys = list(keys)
-    tok = tokenize_pairs(pairs, keys, stem, num_partitions)
+    carry = [c for c in carry if c not in keys and c not in ("prediction", "reference")]
+    tok = tokenize_pairs(pairs, keys, stem, num_partitions, extra=carry)
     wide = _wide_overlap(ngram_overlap(tok, keys), keys, ROUGE_ORDERS, BLEU_ORDERS)
-    lens = tok.select(*keys, F.size("pred_bt").cast("long").alias("hyp_len"),
-                      F.size("ref_bt").cast("long").alias("ref_len"),
+    feat_cols = _feature_columns(F.col("prediction"), F.col("reference")) if features else []
+    lens = tok.select(*keys, *carry, F.size("pred_bt").cast("long").alias("hyp_len"),
+                      F.size("ref_bt").cast("long").alias("ref_len"), *feat_cols,
                       *([lcs_udf("pred_rt", "ref_rt").alias("lcs"),
                          F.size("pred_rt").alias("pred_rn"), F.size("ref_rt").alias("ref_rn")]
                         if with_lcs else []))
     j = lens.join(wide, keys, "inner")
-    out = [*keys, "hyp_len", "ref_len"]
+    out = [*keys, *carry, "hyp_len", "ref_len", *(FEATURE_NAMES if features else [])]
     for n in ROUGE_ORDERS:
         out.append(rouge_f(f"rouge{n}_overlap", f"rouge{n}_pred_total", f"rouge{n}_ref_total").alias(f"rouge{n}"))
     if with_lcs:
@@ -216,19 +223,23 @@ def pair_scores(pairs: DataFrame, keys=KEYS, stem: bool = False, with_lcs: bool
     return res.withColumn("bleu", bleu_from_counts(nums, dens, F.col("hyp_len"), F.col("ref_len")))
 
 
+FEATURE_NAMES = ("distinct_1", "distinct_2", "distinct_3", "has_greeting", "has_body", "has_closing",
+                 "pred_word_count", "pred_sentence_count", "pred_char_count",
+                 "ref_word_count", "ref_sentence_count", "ref_char_count")
+
+
+def _feature_columns(p: Column, r: Column) -> list:
+    lt = lower_ws_tokens(p)
+    cols = [*[distinct_ratio(lt, n) for n in (1, 2, 3)],
+            has_greeting(p), has_body(p), has_closing(p),
+            word_count(p), sentence_count(p), char_count(p),
+            word_count(r), sentence_count(r), char_count(r)]
+    return [c.alias(n) for c, n in zip(cols, FEATURE_NAMES)]
+
+
 def text_features(df: DataFrame, keys=KEYS) -> DataFrame:
     """In-row features: distinct-n, format flags and length counts of both texts."""
-    p, r = F.col("prediction"), F.col("reference")
-    lt = lower_ws_tokens(p)
-    return df.select(
-        *keys,
-        *[distinct_ratio(lt, n).alias(f"distinct_{n}") for n in (1, 2, 3)],
-        has_greeting(p).alias("has_greeting"), has_body(p).alias("has_body"), has_closing(p).alias("has_closing"),
-        word_count(p).alias("pred_word_count"), sentence_count(p).alias("pred_sentence_count"),
-        char_count(p).alias("pred_char_count"),
-        word_count(r).alias("ref_word_count"), sentence_count(r).alias("ref_sentence_count"),
-        char_count(r).alias("ref_char_count"),
-    )
+    return df.select(*keys, *_feature_columns(F.col("prediction"), F.col("reference")))
 
 
 LENGTH_STATS = ("word_count", "sentence_count", "char_count")
@@ -239,15 +250,16 @@ def per_sample(pairs: DataFrame, keys=KEYS, stem: bool = False, with_lcs: bool =
     """All per-sample metrics (each pair scored as a one-pair corpus), plus task,
     truncated prompt/prediction/reference (task missing -> 'unknown')."""
     keys = list(keys)
-    scores = pair_scores(pairs, keys, stem, with_lcs)
-    feats = text_features(pairs, keys)
-    meta = pairs.select(*keys, F.coalesce(F.col("task_type"), F.lit("unknown")).alias("task_type"),
-                        F.substring("prompt", 1, prompt_chars).alias("prompt"),
-                        F.substring("prediction", 1, text_chars).alias("prediction"),
-                        F.substring("reference", 1, text_chars).alias("reference"))
-    j = scores.join(feats, keys).join(meta, keys)
+    shown = pairs.select(*keys, "prediction", "reference",
+                         F.coalesce(F.col("task_type"), F.lit("unknown")).alias("task_type"),
+                         F.substring("prompt", 1, prompt_chars).alias("prompt"),
+                         F.substring("prediction", 1, text_chars).alias("prediction_display"),
+                         F.substring("reference", 1, text_chars).alias("reference_display"))
+    j = pair_scores(shown, keys, stem, with_lcs, features=True,
+                    carry=("task_type", "prompt", "prediction_display", "reference_display"))
     g, b, c = F.col("has_greeting"), F.col("has_body"), F.col("has_closing")
-    cols = [*keys, "task_type", "prompt", "prediction", "reference", "rouge1", "rouge2"]
+    cols = [*keys, "task_type", "prompt", F.col("prediction_display").alias("prediction"),
+            F.col("reference_display").alias("reference"), "rouge1", "rouge2"]
     if with_lcs:
         cols.append("rougeL")
     cols += ["bleu", "distinct_1", "distinct_2", "distinct_3",
@@ -291,9 +303,7 @@ def evaluate(pairs: DataFrame, keys=KEYS, group=("model_name",), stem: bool = Fa
     The embedding match (M6) is added when an ``embeddings`` table is given.
     """
     keys, group = list(keys), list(group)
-    scores = pair_scores(pairs, keys, stem, with_lcs)
-    feats = text_features(pairs, keys)
-    j = scores.join(feats, keys)
+    j = pair_scores(pairs, keys, stem, with_lcs, features=True)
     g, b, c = F.col("has_greeting"), F.col("has_body"), F.col("has_closing")
     aggs = [F.avg("rouge1").alias("rouge1"), F.avg("rouge2").alias("rouge2")]
     if with_lcs:
@@ -309,9 +319,7 @@ def evaluate(pairs: DataFrame, keys=KEYS, group=("model_name",), stem: bool = Fa
         for s in LENGTH_STATS:
             aggs.append(F.avg(f"{side}_{s}").alias(f"{side}_{s}_mean"))
             aggs.append(F.stddev_pop(f"{side}_{s}").alias(f"{side}_{s}_std"))
-    # model_name is part of the pair key, so this groupBy reuses the pair partitioning.
-    wide = j.join(pairs.select(*keys, *[x for x in group if x not in keys]), keys) if set(group) - set(keys) else j
-    run = wide.groupBy(*group).agg(*aggs)
+    run = j.groupBy(*group).agg(*aggs)
     metric_cols = [a for a in run.columns if a not in group]
     long = run.unpivot(group, metric_cols, "metric", "value")
     parts = [long, distinct_n_corpus(pairs, group)]
