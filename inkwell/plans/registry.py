@@ -520,7 +520,8 @@ SELECT p.model_name, p.task_type, any_value(q.n) AS n, round(any_value(q.q[1]),
 FROM per_sample p JOIN quart q ON p.model_name = q.model_name AND p.task_type = q.task_type
 GROUP BY p.model_name, p.task_type""".replace("\n, quart", ", quart", 1)))
 def q_box_stats(spark, sf_dir):
-    return R(RP.box_stats(per_sample_table(spark, sf_dir)))
+    # exact distributed quartiles read their input several times: materialise it once
+    return R(RP.box_stats(materialize(per_sample_table(spark, sf_dir), "per_sample")))
 
 
 @register("length_histogram", _with(LAB_CTES, """

@@ -52,3 +52,16 @@ def test_ngram_overlap_single_exchange(spark):
     plan = MT.ngram_overlap(tok)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 or "AdaptiveSparkPlan" in plan
     assert "CartesianProduct" not in plan
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    rng = random.Random(11)
+    rows = [(g, float(rng.choice([rng.random(), 0.5, 0.25]))) for g in ("a", "b", "c") for _ in range(rng.randint(1, 400))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for acc in (10, 1000, 1_000_000):
+        got = {r["g"]: r["q"] for r in RP.exact_quantiles(df, ["g"], "x", (0.25, 0.5, 0.75, 1.0), acc).collect()}
+        for g in ("a", "b", "c"):
+            xs = [x for gg, x in rows if gg == g]
+            want = np.quantile(xs, [0.25, 0.5, 0.75, 1.0])
+            assert np.allclose(got[g], want, rtol=0, atol=1e-12), (acc, g)
