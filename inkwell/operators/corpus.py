@@ -115,3 +115,46 @@ def flatten_samples(samples: DataFrame) -> DataFrame:
 def user_box_counts(messages: DataFrame) -> DataFrame:
     """Messages per (user, box) with per-user and grand totals (rollup)."""
     return messages.rollup("user", "box").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
+                 max_body_len: int = fixed.MAX_BODY_LENGTH, size_col: str | None = None) -> DataFrame:
+    """Rows removed or kept at each corpus stage, as ``(stage, n)``.
+
+    Stages, in pipeline order: files, skipped_folder, oversize, no_blank_line,
+    body_length, blank_subject, auto_subject (first failing check), duplicates,
+    and the kept messages per box (sent, inbox). Small aggregates over one
+    parse; no row reaches the driver.
+    """
+    from inkwell.operators.messages import clean_body, evaluated_once, folder_box, parse_messages
+
+    limit = max_body_len + fixed.FILE_SIZE_SLACK
+    size = F.col(size_col) if size_col else F.octet_length("content")
+    tagged = raw.select("*", folder_box("folder").alias("box"), size.alias("_size"),
+                        F.instr("content", "\n\n").alias("_pos"))
+    front = tagged.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("box").isNull()).alias("skipped_folder"),
+        F.count_if(F.col("box").isNotNull() & (F.col("_size") > limit)).alias("oversize"),
+        F.count_if(F.col("box").isNotNull() & (F.col("_size") <= limit) & (F.col("_pos") == 0)).alias("no_blank_line"),
+    ).unpivot([], ["files", "skipped_folder", "oversize", "no_blank_line"], "stage", "n")
+    parseable = tagged.where(F.col("box").isNotNull() & (F.col("_size") <= limit) & (F.col("_pos") > 0))
+    parsed = evaluated_once(parse_messages(parseable.drop("_size", "_pos")).withColumn("body", clean_body("body")))
+    n = F.length("body")
+    low = F.lower("subject")
+    auto = F.lit(False)
+    for kw in fixed.AUTO_SUBJECT_KEYWORDS:
+        auto = auto | F.contains(low, F.lit(kw))
+    reason = (F.when((n < min_body_len) | (n > max_body_len), F.lit("body_length"))
+              .when(py_strip("subject") == "", F.lit("blank_subject"))
+              .when(auto, F.lit("auto_subject")))
+    checked = evaluated_once(parsed.select("user", "path", "box", reason.alias("reason"),
+                                           body_hash("body").alias("h")))
+    rejects = (checked.where(F.col("reason").isNotNull()).groupBy("reason")
+               .agg(F.count(F.lit(1)).alias("n")).select(F.col("reason").alias("stage"), "n"))
+    valid = checked.where(F.col("reason").isNull())
+    dups = valid.agg((F.count(F.lit(1)) - F.count_distinct("h")).alias("n")).select(
+        F.lit("duplicates").alias("stage"), "n")
+    kept = (valid.groupBy("h").agg(F.min(F.struct("user", "path", "box")).alias("m"))
+            .groupBy(F.col("m.box").alias("stage")).agg(F.count(F.lit(1)).alias("n")))
+    return front.unionByName(rejects).unionByName(dups).unionByName(kept)

@@ -818,3 +818,30 @@ def q_evaluate_full(spark, sf_dir):
     distinct-n, format compliance, length stats."""
     return R(MT.evaluate(_pairs(spark, sf_dir), stem=True, with_lcs=True,
                          embeddings=T.read_table(spark, sf_dir, "embeddings")))
+
+
+# ------------------------------------------------------------------ pipeline audits
+
+@register("stage_counts", _with(O.CORPUS_CTES, f"""
+, rejected AS (
+  SELECT CASE WHEN length(c.body) < 50 OR length(c.body) > 2000 THEN 'body_length'
+              WHEN {O.strip('c.subject')} = '' THEN 'blank_subject'
+              ELSE 'auto_subject' END AS stage
+  FROM cleaned c WHERE c.doc_id NOT IN (SELECT doc_id FROM valid))
+SELECT 'files' AS stage, count(*) AS n FROM raw_messages
+UNION ALL SELECT 'skipped_folder', count(*) FROM sel WHERE box IS NULL
+UNION ALL SELECT 'oversize', count(*) FROM chosen WHERE octet_length(encode(content)) > 7000
+UNION ALL SELECT 'no_blank_line', count(*) FROM sized WHERE pos = 0
+UNION ALL SELECT stage, count(*) FROM rejected GROUP BY stage
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM valid) - (SELECT count(*) FROM messages)
+UNION ALL SELECT box, count(*) FROM messages GROUP BY box""".replace("\n, rejected", ", rejected", 1)))
+def q_stage_counts(spark, sf_dir):
+    return C.stage_counts(T.raw_messages(spark, sf_dir))
+
+
+@register("leakage_audit", _with(SPLIT_CTES, """
+SELECT count(*) AS bodies_in_both FROM (
+  SELECT md5(assistant_content) AS h FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1) x"""))
+def q_leakage_audit(spark, sf_dir):
+    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    return S.leakage_audit(split)
