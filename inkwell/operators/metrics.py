@@ -14,7 +14,6 @@ and stemming (once per distinct word).
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -353,6 +352,3 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(f.name), places).alias(f.name) if f.dataType.typeName() == "double"
                        else F.col(f.name) for f in df.schema.fields])
 
-
-__all__ = ["lcs_length", "per_sample", "evaluate", "pair_scores", "ngram_overlap", "distinct_n_corpus",
-           "metric_mean_std", "round_doubles", "np"]

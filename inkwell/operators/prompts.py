@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
-from inkwell.functions.text import col_, last_or_empty, py_strip, ws_tokens
+from inkwell.functions.text import col_, py_strip, ws_tokens
 
 
 # ------------------------------------------------------------------ chats
@@ -127,7 +127,8 @@ def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", win
     running sum over that small table, and exact running sums run inside each
     bucket only. A sample straddling window boundaries yields one row per window
     it touches: ``(chunk, order key, token_from, token_to)`` (0-based, half-open).
-    ``order_col`` must be a unique non-negative integer key.
+    ``order_col`` must be a unique non-negative integer key; with dense keys (row
+    numbers, sequential ids) the bucket table has about n / bucket_width rows.
     """
     b = F.floor(F.col(order_col) / bucket_width).cast("long")
     keyed = df.select(F.col(order_col).cast("long").alias("_k"), F.col(len_col).cast("long").alias("_len"),
@@ -136,9 +137,9 @@ def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", win
     before = (totals.withColumn("_off", F.coalesce(F.sum("_t").over(
         Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
         .select("_bucket", "_off"))
-    # one row per bucket: bounded by key range / bucket_width; broadcast.
+    # one row per non-empty bucket; Spark broadcasts it only if its measured size allows.
     in_bucket = Window.partitionBy("_bucket").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (keyed.join(F.broadcast(before), "_bucket")
+    starts = (keyed.join(before, "_bucket")
               .withColumn("_start", F.col("_off") + F.coalesce(F.sum("_len").over(in_bucket), F.lit(0).cast("long"))))
     nonempty = starts.where(F.col("_len") > 0)
     first = F.floor(F.col("_start") / window).cast("long")
@@ -148,6 +149,3 @@ def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", win
     hi = F.least(F.col("_start") + F.col("_len"), (F.col("chunk") + 1) * window) - F.col("_start")
     return pieces.select("chunk", F.col("_k").alias(order_col), lo.alias("token_from"), hi.alias("token_to"))
 
-
-__all__ = ["conversations_to_chats", "prompt_and_reference", "truncate_fields", "render_chat",
-           "render_system_user", "request_prompts", "seq_length_cut", "pack_sequences", "last_or_empty"]

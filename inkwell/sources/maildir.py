@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
-from inkwell.operators.messages import folder_box
 
 
 def _fs(spark: SparkSession, path: str):
@@ -111,5 +110,3 @@ def _box(folder: str):
         return "inbox"
     return None
 
-
-__all__ = ["read_maildir", "list_folders", "count_hidden", "decode_text", "folder_box"]

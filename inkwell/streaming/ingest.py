@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fixed
 from inkwell.operators.corpus import body_hash
 from inkwell.operators.messages import prepare_messages
+from inkwell.sources.maildir import _fs
 
 RAW_SCHEMA = "path string, user string, folder string, content string"
 
@@ -48,11 +49,10 @@ def start_ingest(raw: DataFrame, sink_path: str, checkpoint_path: str, trigger_o
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = dedup_batch(batch)
-        try:
+        fs, path = _fs(spark, sink_path)
+        if fs.exists(path):
             seen = spark.read.parquet(sink_path).select("body_hash")
             fresh = fresh.join(seen, "body_hash", "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: sink does not exist yet
-            pass
         fresh.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
 
     writer = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
