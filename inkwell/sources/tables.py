@@ -1,14 +1,17 @@
 """Driver tables and the derived input views.
 
 The views give the generated prose email cues (headers, quoted lines,
-disclaimers, greetings). Their SQL is valid in both Spark and DuckDB; the same
-text feeds ``queries()`` (through ``spark.sql`` with DataFrame arguments, so no
-session-global view names are needed) and ``oracle_sql()``.
+disclaimers, greetings). Their SQL is valid in both Spark and DuckDB and feeds
+``oracle_sql()``; ``raw_messages`` and ``requests`` run the same text on Spark
+(``spark.sql`` with DataFrame arguments, so no session-global view names),
+while ``pairs`` is written with the DataFrame API on the Spark side to replace
+the SQL's cross join with an explode.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -109,7 +112,34 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "pairs")
+    """The pairs view in DataFrame form (same rows as ``PAIRS_SQL``).
+
+    Each assistant turn answering a user turn becomes one pair per model; the
+    model rows come from exploding the two names, not from a join, and the lag
+    windows are per conversation (a handful of turns).
+    """
+    conv = read_table(spark, sf_dir, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    t = conv.select("conv_id", "turn", "role", "text",
+                    F.lag("role").over(w).alias("prev_role"), F.lag("text").over(w).alias("prev_text"),
+                    F.lag("text", 2).over(w).alias("prev2_text"))
+    t = t.where((F.col("role") == "assistant") & (F.col("prev_role") == "user"))
+    m = t.select("*", F.explode(F.array(F.lit("base"), F.lit("fine_tuned"))).alias("model_name"))
+    nl = F.lit("\n")
+    k = (F.col("conv_id") + F.col("turn")) % 6
+    tuned = (F.when(k == 0, F.concat(F.lit("Dear team,"), nl, nl, F.substring("text", 1, 300), nl, nl,
+                                     F.lit("Best regards,"), nl, F.lit("A")))
+             .when(k == 1, F.concat(F.lit("Hi,"), nl, F.col("prev_text"), nl, F.lit("Thanks.")))
+             .when(k == 2, F.substring("text", 1, 40))
+             .when(k == 3, F.concat(F.col("prev_text"), F.lit(" "), F.col("prev_text"), F.lit(" "), F.col("prev_text")))
+             .when(k == 4, F.col("text"))
+             .otherwise(F.concat(F.lit("History of the matter: "), F.coalesce("prev2_text", "prev_text"))))
+    return m.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("sample_id"), "model_name",
+        F.when(F.col("conv_id") % 3 == 0, F.lit("reply")).otherwise(F.lit("compose")).alias("task_type"),
+        F.col("prev_text").alias("prompt"),
+        F.when(F.col("model_name") == "base", F.col("prev_text")).otherwise(tuned).alias("prediction"),
+        F.col("text").alias("reference"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
