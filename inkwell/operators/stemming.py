@@ -2,10 +2,11 @@
 
 Stemming runs once per distinct word, not once per token: token arrays are
 exploded with their positions, the distinct words longer than 3 characters are
-stemmed by an Arrow pandas UDF, and the stems are joined back. When the
-vocabulary is small (counted first) the stem table is broadcast and the token
-rows never leave their partition, so re-assembling each array by key needs no
-shuffle; a larger vocabulary is joined by a shuffle on the word.
+stemmed by an Arrow pandas UDF, and the stems are joined back. When the stem
+table is small it is broadcast and the token rows never leave their partition,
+so re-assembling each array by key needs no shuffle; a larger vocabulary is
+joined by a shuffle on the word. The choice is Spark's: AQE measures the stem
+table at runtime and broadcasts it only under the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from pyspark.sql.types import StringType
 
 from inkwell.functions.porter import stem
 
-BROADCAST_VOCAB_ROWS = 500_000  # ~ tens of MB of (word, stem) pairs
-
 
 @F.pandas_udf(StringType())
 def stem_udf(words: pd.Series) -> pd.Series:
@@ -35,14 +34,11 @@ def stem_token_arrays(df: DataFrame, cols, keys) -> DataFrame:
     """Replace each token array column in ``cols`` by its stemmed tokens (order kept)."""
     keys = list(keys)
     cols = list(cols)
-    spark = df.sparkSession
     exploded = df.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(c).alias("_toks")) for c in cols])))
     tokens = exploded.select(*keys, "_col", F.posexplode("_toks").alias("_pos", "word"))
     vocab = stem_vocabulary(tokens)
-    n_vocab = vocab.count()
-    stems = F.broadcast(vocab) if n_vocab <= BROADCAST_VOCAB_ROWS else vocab
-    joined = tokens.join(stems, "word", "left").select(
+    joined = tokens.join(vocab, "word", "left").select(
         *keys, "_col", "_pos", F.coalesce(F.col("stem"), F.col("word")).alias("tok"))
     regrouped = joined.groupBy(*keys, "_col").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "tok"))).alias("_pt"))
