@@ -845,3 +845,32 @@ SELECT count(*) AS bodies_in_both FROM (
 def q_leakage_audit(spark, sf_dir):
     split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
     return S.leakage_audit(split)
+
+
+@register("val_load", _with(SPLIT_CTES, f"""
+SELECT sample_id, task_type, user_content FROM splits WHERE split = 'val'
+ORDER BY sample_id LIMIT {fixed.EVAL_MAX_SAMPLES}"""))
+def q_val_load(spark, sf_dir):
+    """Validation samples written as JSONL, then loaded back limited to the first
+    ``max_samples`` by id (the evaluation loader; the limit is the feature)."""
+    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    paths = JS.write_splits(split, _scratch(spark, "samples"))
+    val = JS.read_val(spark, paths["val"], fixed.EVAL_MAX_SAMPLES)
+    return val.select("sample_id", "task_type", F.col("messages")[1]["content"].alias("user_content"))
+
+
+# ------------------------------------------------------------------ streaming
+
+from inkwell.streaming import ingest as IG  # noqa: E402
+
+
+@register("stream_ingest", _with(O.CORPUS_CTES,
+                                 'SELECT "user", box, subject, body, body_hash FROM messages'))
+def q_stream_ingest(spark, sf_dir):
+    """raw_messages landed as files and ingested by the Structured Streaming job
+    (stateless cleaning, per-trigger dedup against the sink), run to completion."""
+    src, sink, ckpt = _scratch(spark, "landing"), _scratch(spark, "ingested"), _scratch(spark, "ingest-ckpt")
+    T.raw_messages(spark, sf_dir).select("path", "user", "folder", "content").write.parquet(src)
+    q = IG.start_ingest(IG.read_raw_stream(spark, src), sink, ckpt, trigger_once=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("user", "box", "subject", "body", "body_hash")
