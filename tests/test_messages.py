@@ -105,3 +105,9 @@ def test_quality_filter(spark):
     got = [r[0] for r in df.select(M.is_valid_email("body", "subject")).collect()]
     assert got == [True, False, False, False, False, False]
     assert re.search("x", "x")
+
+
+def test_clean_guard_dotted_capital_i(spark):
+    # Java's Unicode case-insensitive match equates U+0130 with "i"; the guard must not skip it.
+    got = clean(spark, ["Keep\n-----Orİginal Message-----\nold"])
+    assert got == ["Keep"]
