@@ -77,21 +77,36 @@ def first_inbox_by_subject(messages: DataFrame) -> DataFrame:
             .select("norm_subject", "o.from_addr", "o.orig_subject", "o.orig_body"))
 
 
-def reply_pairs(messages: DataFrame) -> DataFrame:
+HOT_SUBJECT_ROWS = 1_000_000
+
+
+def reply_pairs(messages: DataFrame, hot_threshold: int | None = HOT_SUBJECT_ROWS) -> DataFrame:
     """Sent replies ('Re:' subjects) joined to the first inbox message with the same subject.
 
     The inbox side is reduced to one row per subject first, so the join cannot fan
-    out; many replies may share one original. A hot subject on the sent side is
-    split by AQE's skew-join handling; Spark broadcasts the original side only
-    when its measured size is under the broadcast threshold.
+    out; many replies may share one original. Skew on the reply side is split
+    explicitly: subjects with more than ``hot_threshold`` replies (found by a
+    partial count; at most n / hot_threshold of them, a proven bound) join a
+    broadcast of just their originals, so their rows never shuffle; all other
+    replies take the regular join (broadcast or shuffle by measured size, with
+    AQE skew splitting as a second line). ``hot_threshold=None`` disables the split.
     """
     replies = (messages.where((F.col("box") == "sent") & is_reply_subject("subject"))
                .select("path", normalise_subject("subject").alias("norm_subject"),
                        py_strip("body").alias("reply_body"))
                .where(F.col("norm_subject") != ""))
     originals = first_inbox_by_subject(messages)
-    joined = replies.join(originals, "norm_subject", "inner").where(
-        (F.col("orig_body") != "") & (F.col("reply_body") != ""))
+    if hot_threshold is None:
+        joined = replies.join(originals, "norm_subject", "inner")
+    else:
+        hot = (replies.groupBy("norm_subject").agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > hot_threshold).select("norm_subject"))
+        hot_orig = originals.join(F.broadcast(hot), "norm_subject", "left_semi")
+        hot_rows = replies.join(F.broadcast(hot), "norm_subject", "left_semi")
+        cold_rows = replies.join(F.broadcast(hot), "norm_subject", "left_anti")
+        joined = (cold_rows.join(originals, "norm_subject", "inner")
+                  .unionByName(hot_rows.join(F.broadcast(hot_orig), "norm_subject", "inner")))
+    joined = joined.where((F.col("orig_body") != "") & (F.col("reply_body") != ""))
     prompt = F.concat(F.lit(fixed.REPLY_PREFIX + "\n\nFrom: "), F.col("from_addr"),
                       F.lit("\nSubject: "), F.col("orig_subject"), F.lit("\n\n"), F.col("orig_body"))
     return joined.select(sample_id("reply").alias("sample_id"), F.lit("reply").alias("task_type"),

@@ -4,6 +4,7 @@ skipped folders, CRLF, bad UTF-8, size prefilter, hidden files."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from inkwell.operators import corpus as C
 from inkwell.operators import messages as M
@@ -64,3 +65,18 @@ def test_hidden_files_are_reported(spark, tmp_path):
 def test_missing_root(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_maildir(spark, str(tmp_path / "nope"))
+
+
+def test_hot_subject_split_equals_plain_join(spark):
+    rows = []
+    for i in range(30):
+        rows.append(("u", f"p/s{i:03d}", "sent", "Re: budget" if i % 3 else f"Re: t{i}", f"reply body number {i}"))
+    rows += [("u", "p/i1", "inbox", "budget", "original budget"), ("u", "p/i2", "inbox", "t3", "orig t3"),
+             ("v", "p/i0", "inbox", "Budget", "another original")]
+    msgs = spark.createDataFrame(rows, "user string, path string, box string, subject string, body string") \
+        .withColumn("from_addr", F.lit("x"))
+    plain = {tuple(r) for r in C.flatten_samples(C.reply_pairs(msgs, hot_threshold=None)).collect()}
+    split = {tuple(r) for r in C.flatten_samples(C.reply_pairs(msgs, hot_threshold=2)).collect()}
+    assert plain == split and len(plain) == 21  # 20 hot "Re: budget" replies + "Re: t3"
+    budget = [r for r in plain if "Subject: budget" in r[3]]
+    assert len(budget) == 20 and all(r[3].endswith("original budget") for r in budget)
