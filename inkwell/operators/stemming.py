@@ -38,8 +38,12 @@ def stem_token_arrays(df: DataFrame, cols, keys) -> DataFrame:
         F.struct(F.lit(c).alias("_col"), F.col(c).alias("_toks")) for c in cols])))
     tokens = exploded.select(*keys, "_col", F.posexplode("_toks").alias("_pos", "word"))
     vocab = stem_vocabulary(tokens)
-    joined = tokens.join(vocab, "word", "left").select(
-        *keys, "_col", "_pos", F.coalesce(F.col("stem"), F.col("word")).alias("tok"))
+    # words of 3 characters or fewer are never stemmed: they (and the most frequent
+    # words with them) skip the join
+    long_words = tokens.where(F.length("word") > 3)
+    short_words = tokens.where(F.length("word") <= 3).select(*keys, "_col", "_pos", F.col("word").alias("tok"))
+    joined = long_words.join(vocab, "word", "left").select(
+        *keys, "_col", "_pos", F.coalesce(F.col("stem"), F.col("word")).alias("tok")).unionByName(short_words)
     regrouped = joined.groupBy(*keys, "_col").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "tok"))).alias("_pt"))
     stemmed = regrouped.groupBy(*keys).agg(*[

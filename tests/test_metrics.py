@@ -95,3 +95,31 @@ def test_format_compliance_rules(spark):
     c = re.compile(r"(regards|sincerely|best|thanks|thank you|cheers|warm regards|kind regards|respectfully|"
                    r"take care|all the best|cordially)\s*[,.]?\s*$", re.I | re.M)
     assert got == [(bool(g.search(t)), len(t.strip()) >= 20, bool(c.search(t))) for t in texts]
+
+
+def test_stemmed_rouge_against_model(spark):
+    from inkwell.functions.porter import stem
+
+    def stoks(t):
+        return [stem(w) if len(w) > 3 else w for w in toks(t)]
+
+    def rouge_s(pred, ref, n):
+        p, r = Counter(grams(stoks(pred), n)), Counter(grams(stoks(ref), n))
+        o = sum(min(c, p[g]) for g, c in r.items())
+        P, R = o / max(sum(p.values()), 1), o / max(sum(r.values()), 1)
+        return 2 * P * R / (P + R) if P + R > 0 else 0.0
+
+    words = ["running", "runs", "connected", "connection", "the", "generalization", "general", "ponies", "a"]
+    rng = random.Random(9)
+    rows = [("m", str(i), "t", "p", " ".join(rng.choice(words) for _ in range(rng.randint(0, 15))),
+             " ".join(rng.choice(words) for _ in range(rng.randint(0, 15)))) for i in range(40)]
+    df = spark.createDataFrame(rows, "model_name string, sample_id string, task_type string, prompt string, "
+                                     "prediction string, reference string")
+    got = {r["sample_id"]: r for r in MT.pair_scores(df, stem=True).collect()}
+    for _, sid, _, _, pred, ref in rows:
+        assert abs(got[sid]["rouge1"] - rouge_s(pred, ref, 1)) < 1e-12
+        assert abs(got[sid]["rouge2"] - rouge_s(pred, ref, 2)) < 1e-12
+        a, b = stoks(pred), stoks(ref)
+        lcs = lcs_dp(a, b)
+        want = 0.0 if not a or not b or lcs == 0 else 2 * (lcs / len(a)) * (lcs / len(b)) / (lcs / len(a) + lcs / len(b))
+        assert abs(got[sid]["rougeL"] - want) < 1e-12
