@@ -36,7 +36,9 @@ def read_run_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     A missing or null ``base`` simply contributes no rows (no comparison).
     """
     doc = spark.read.option("multiLine", "true").option("primitivesAsString", "false").json(path)
-    sides = [s for s in ("fine_tuned", "base") if s in doc.columns]
+    # a side that is null in every document is inferred as a plain (string) column: no rows
+    sides = [s for s in ("fine_tuned", "base")
+             if s in doc.columns and doc.schema[s].dataType.typeName() == "struct"]
     metrics, samples = None, None
     for side in sides:
         d = doc.where(F.col(side).isNotNull()).select(F.col(side + ".*"))
