@@ -169,8 +169,11 @@ def clean_body(text) -> Column:
         t = t0
         for guard, fn in guarded:
             t = let(t, step(guard, fn))
-        t = F.regexp_replace(t, r"\n{3,}", "\n\n")
-        t = F.regexp_replace(t, r" {2,}", " ")
+        # Spark's regex replace re-encodes the whole text even without a match: guard
+        # the collapses with byte searches for their targets (on the current text).
+        t = let(t, lambda x: F.when(F.contains(x, F.lit("\n\n\n")),
+                                    F.regexp_replace(x, r"\n{3,}", "\n\n")).otherwise(x))
+        t = let(t, lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, r" {2,}", " ")).otherwise(x))
         return py_strip(t)
 
     return let(F.lower(F.upper(t0)), steps)
