@@ -94,19 +94,22 @@ def ngram_overlap(tok: DataFrame, keys=KEYS, rouge_orders=ROUGE_ORDERS,
     ``pred_rt, ref_rt`` (ROUGE) and ``pred_bt, ref_bt`` (BLEU). Returns
     ``(*keys, kind, n, overlap, pred_total, ref_total)``; every (pair, kind, n)
     is present, with zeros when a side has no grams.
+
+    Each (pair, order, side) becomes one row holding its gram array (``inline``),
+    then one row per gram (``explode_outer``, so empty sides keep the pair); both
+    generators run in generated code. Counting per side is two ``count_if``s.
     """
     keys = list(keys)
     spec = _gram_specs("pred_rt", "ref_rt", "pred_bt", "ref_bt", rouge_orders, bleu_orders)
     per_order = tok.select(*keys, F.inline(spec))
-    tagged = per_order.select(
-        *keys, "kind", "n",
-        F.explode_outer(F.concat(
-            F.transform("p", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("cp"), F.lit(0).alias("cr"))),
-            F.transform("r", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("cp"), F.lit(1).alias("cr"))),
-        )).alias("t"))
-    per_gram = (tagged.groupBy(*keys, "kind", "n", F.col("t.gram").alias("gram"))
-                .agg(F.coalesce(F.sum("t.cp"), F.lit(0)).alias("cp"),
-                     F.coalesce(F.sum("t.cr"), F.lit(0)).alias("cr")))
+    sides = per_order.select(*keys, "kind", "n", F.inline(F.array(
+        F.struct(F.col("p").alias("g"), F.lit(0).alias("side")),
+        F.struct(F.col("r").alias("g"), F.lit(1).alias("side")))))
+    grams = sides.select(*keys, "kind", "n", "side", F.explode_outer("g").alias("gram"))
+    present = F.col("gram").isNotNull()
+    per_gram = (grams.groupBy(*keys, "kind", "n", "gram")
+                .agg(F.count_if(present & (F.col("side") == 0)).alias("cp"),
+                     F.count_if(present & (F.col("side") == 1)).alias("cr")))
     return (per_gram.groupBy(*keys, "kind", "n")
             .agg(F.sum(F.least("cp", "cr")).cast("long").alias("overlap"),
                  F.sum("cp").cast("long").alias("pred_total"),
