@@ -25,15 +25,19 @@ def order_key(seed: int, purpose: str, id_col: str = "sample_id") -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(purpose), F.col(id_col)))
 
 
-def exact_cut(df: DataFrame, quota: DataFrame, key_col: str, strata_col: str = "task_type",
+def exact_cut(df: DataFrame, quota, key_col: str, strata_col: str = "task_type",
               id_col: str = "sample_id", digits: int = 4, flag_col: str = "_take") -> DataFrame:
     """Flag the first ``n_take`` rows (by ``key_col``, then ``id_col``) of every stratum.
 
-    ``quota`` has one row per stratum: ``(strata_col, n_take)``. Returns ``df``
+    ``quota`` has one row per stratum: ``(strata_col, n_take)``, or is a function
+    from the per-stratum sizes ``(strata_col, n)`` to that table. Returns ``df``
     with a boolean ``flag_col``; no row is dropped.
     """
     keyed = df.withColumn("_bucket", F.substring(F.col(key_col), 1, digits))
     counts = keyed.groupBy(strata_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    if callable(quota):
+        # per-stratum sizes come from the small bucket-count table, not another scan
+        quota = quota(counts.groupBy(strata_col).agg(F.sum("_n").alias("n")))
     w = (Window.partitionBy(strata_col).orderBy("_bucket")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     marks = (counts.withColumn("_cum", F.sum("_n").over(w))
@@ -52,13 +56,9 @@ def exact_cut(df: DataFrame, quota: DataFrame, key_col: str, strata_col: str = "
     return rest.unionByName(boundary).drop("_bucket", "_mode", "_need")
 
 
-def _task_counts(samples: DataFrame, strata_col: str) -> DataFrame:
-    return samples.groupBy(strata_col).agg(F.count(F.lit(1)).alias("n"))
-
-
-def cap_quota(samples: DataFrame, max_samples: int, strata_col: str = "task_type") -> DataFrame:
-    """Per-task quota of the proportional cap (compose gets floor, reply the rest)."""
-    counts = _task_counts(samples, strata_col)
+def cap_quota(counts: DataFrame, max_samples: int, strata_col: str = "task_type") -> DataFrame:
+    """Per-task quota of the proportional cap (compose gets floor, reply the rest),
+    from the per-task sizes ``(strata_col, n)``."""
     everything = Window.partitionBy()  # over the per-task count table: one row per task
     total = F.sum("n").over(everything)
     n_compose = F.coalesce(F.sum(F.when(F.col(strata_col) == "compose", F.col("n"))).over(everything), F.lit(0))
@@ -73,13 +73,13 @@ def cap_samples(samples: DataFrame, max_samples: int = fixed.MAX_SAMPLES, seed:
                 strata_col: str = "task_type", digits: int = 4) -> DataFrame:
     """Cap to ``max_samples`` keeping the task ratio; exact counts; 0 = no cap."""
     keyed = samples.withColumn("_key", order_key(seed, "cap"))
-    flagged = exact_cut(keyed, cap_quota(samples, max_samples, strata_col), "_key", strata_col,
+    flagged = exact_cut(keyed, lambda counts: cap_quota(counts, max_samples, strata_col), "_key", strata_col,
                         digits=digits)
     return flagged.where("_take").drop("_take", "_key")
 
 
-def split_quota(samples: DataFrame, val_ratio: float, strata_col: str = "task_type") -> DataFrame:
-    counts = _task_counts(samples, strata_col)
+def split_quota(counts: DataFrame, val_ratio: float, strata_col: str = "task_type") -> DataFrame:
+    """Per-task validation size max(1, int(n * ratio)) from the per-task sizes ``(strata_col, n)``."""
     return counts.select(strata_col,
                          F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(val_ratio))).cast("long"))
                          .alias("n_take"))
@@ -89,7 +89,7 @@ def stratified_split(samples: DataFrame, val_ratio: float = fixed.VAL_RATIO, see
                      strata_col: str = "task_type", digits: int = 4) -> DataFrame:
     """Add ``split`` ('val' for the first max(1, int(n*ratio)) rows of each task, else 'train')."""
     keyed = samples.withColumn("_key", order_key(seed, "split"))
-    flagged = exact_cut(keyed, split_quota(samples, val_ratio, strata_col), "_key", strata_col,
+    flagged = exact_cut(keyed, lambda counts: split_quota(counts, val_ratio, strata_col), "_key", strata_col,
                         digits=digits)
     return (flagged.withColumn("split", F.when(F.col("_take"), F.lit("val")).otherwise(F.lit("train")))
             .drop("_take", "_key"))
