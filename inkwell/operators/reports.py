@@ -124,14 +124,15 @@ def task_types(per_sample: DataFrame) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, group, value: str, probs=(0.25, 0.5, 0.75),
-                    accuracy: int = 1_000_000) -> DataFrame:
+                    accuracy: int = 100_000) -> DataFrame:
     """Exact quantiles with linear interpolation, without holding a group in one task.
 
     A mergeable ``percentile_approx`` sketch brackets each target rank (rank error
     at most n/accuracy; the bracket uses 3x that). Rows below the bracket are only
     counted; rows inside it (about 6n/accuracy per group) are ranked exactly. A
     group whose target ranks fall outside its bracket (not expected) is computed
-    with the exact ``percentile`` aggregate instead. Returns
+    with the exact ``percentile`` aggregate instead. ``accuracy`` trades sketch
+    memory (grows with it, per group and task) against the bracket size. Returns
     ``(*group, n, q)`` with ``q`` an array aligned with ``probs``.
     """
     group = list(group)
@@ -178,7 +179,7 @@ def exact_quantiles(df: DataFrame, group, value: str, probs=(0.25, 0.5, 0.75),
 
 
 def box_stats(per_sample: DataFrame, value: str = "rouge1", group=("model_name", "task_type"),
-              approx: bool = False, accuracy: int = 1_000_000) -> DataFrame:
+              approx: bool = False, accuracy: int = 100_000) -> DataFrame:
     """Box-plot numbers (C7): quartiles (linear interpolation), whiskers at the most
     extreme data within 1.5 IQR, outlier count.
 
