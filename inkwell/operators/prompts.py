@@ -118,8 +118,11 @@ def seq_length_cut(df: DataFrame, text_col: str = "text", max_len: int = fixed.M
         "kept_tokens", F.least(n, F.lit(max_len).cast("long")))
 
 
+ROWS_PER_BUCKET = 1 << 16
+
+
 def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", window: int = fixed.MAX_SEQ_LENGTH,
-                   bucket_width: int = 1 << 16) -> DataFrame:
+                   bucket_width: int | None = None) -> DataFrame:
     """Pack samples, in ``order_col`` order, into fixed windows of ``window`` tokens.
 
     Running token offsets come from a distributed prefix sum: rows are bucketed by
@@ -127,9 +130,14 @@ def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", win
     running sum over that small table, and exact running sums run inside each
     bucket only. A sample straddling window boundaries yields one row per window
     it touches: ``(chunk, order key, token_from, token_to)`` (0-based, half-open).
-    ``order_col`` must be a unique non-negative integer key; with dense keys (row
-    numbers, sequential ids) the bucket table has about n / bucket_width rows.
+    ``order_col`` must be a unique non-negative integer key. Without
+    ``bucket_width`` the width is derived from the key span and row count (three
+    scalars) so that uniformly spread keys give about 65k rows per bucket.
     """
+    if bucket_width is None:
+        lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
+        span = (hi - lo + 1) if n else 1
+        bucket_width = max(1, span * ROWS_PER_BUCKET // max(n, 1))
     b = F.floor(F.col(order_col) / bucket_width).cast("long")
     keyed = df.select(F.col(order_col).cast("long").alias("_k"), F.col(len_col).cast("long").alias("_len"),
                       b.alias("_bucket"))

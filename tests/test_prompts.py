@@ -55,3 +55,16 @@ def test_seq_length_cut(spark):
            PR.seq_length_cut(df, max_len=2).select("n_tokens", "over_length", "kept_tokens").collect()]
     assert got == [(3, True, 2), (0, False, 0)]
     assert F is not None
+
+
+def test_packing_sparse_keys_default_width(spark):
+    rng = random.Random(6)
+    rows = [(k, rng.choice([0, 3, 50, 700])) for k in rng.sample(range(10 ** 12), 200)]
+    df = spark.createDataFrame(rows, "k long, n_tokens long")
+    got = sorted((r["chunk"], r["k"], r["token_from"], r["token_to"]) for r in PR.pack_sequences(df, "k", window=512).collect())
+    want, start = [], 0
+    for k, n in sorted(rows):
+        for c in range(start // 512, (start + n - 1) // 512 + 1) if n > 0 else []:
+            want.append((c, k, max(start, c * 512) - start, min(start + n, (c + 1) * 512) - start))
+        start += n
+    assert got == sorted(want)
