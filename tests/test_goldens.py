@@ -11,3 +11,12 @@ def test_stage_counts_sf001(spark):
 
 def test_reply_pairs_sf001(spark):
     assert E.queries()["reply_pairs"](spark, "/root/testdata/sf0.01").count() == 120
+
+
+def test_stage_counts_independent_of_partitioning(spark):
+    from inkwell.operators import corpus as C
+    from inkwell.sources import tables as T
+    raw = T.raw_messages(spark, "/root/testdata/sf0.001")
+    a = {r["stage"]: r["n"] for r in C.stage_counts(raw.repartition(1)).collect()}
+    b = {r["stage"]: r["n"] for r in C.stage_counts(raw.repartition(9)).collect()}
+    assert a == b

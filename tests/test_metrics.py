@@ -123,3 +123,14 @@ def test_stemmed_rouge_against_model(spark):
         lcs = lcs_dp(a, b)
         want = 0.0 if not a or not b or lcs == 0 else 2 * (lcs / len(a)) * (lcs / len(b)) / (lcs / len(a) + lcs / len(b))
         assert abs(got[sid]["rougeL"] - want) < 1e-12
+
+
+def test_results_independent_of_partitioning(spark):
+    from inkwell.sources import tables as T
+    from conftest import SF_SMALL
+    pairs = T.pairs(spark, SF_SMALL)
+    a = {(r["model_name"], r["sample_id"]): (r["rouge1"], r["rouge2"], r["bleu"])
+         for r in MT.pair_scores(pairs, with_lcs=False, num_partitions=1).collect()}
+    b = {(r["model_name"], r["sample_id"]): (r["rouge1"], r["rouge2"], r["bleu"])
+         for r in MT.pair_scores(pairs.repartition(5), with_lcs=False, num_partitions=7).collect()}
+    assert a == b and len(a) > 0
