@@ -65,3 +65,15 @@ def test_exact_quantiles_match_numpy(spark):
             xs = [x for gg, x in rows if gg == g]
             want = np.quantile(xs, [0.25, 0.5, 0.75, 1.0])
             assert np.allclose(got[g], want, rtol=0, atol=1e-12), (acc, g)
+
+
+def test_compare_runs_missing_base_and_metrics(spark):
+    rm = spark.createDataFrame([("fine_tuned", "rouge1", 0.5), ("fine_tuned", "bleu", 0.125)],
+                               "model_name string, metric string, value double")
+    got = {r["metric"]: r for r in RP.compare_runs(rm).collect()}
+    assert len(got) == 8
+    assert got["rouge1"]["base"] == 0.0 and got["rouge1"]["delta"] == 0.5
+    assert got["rouge1"]["delta_display"] == "+0.5000" and got["bleu"]["fine_tuned_display"] == "0.1250"
+    assert got["bertscore_f1"]["fine_tuned"] == 0.0 and got["bertscore_f1"]["delta_display"] == "+0.0000"
+    table = RP.results_table(rm).collect()
+    assert [(r["metric_group"], r["metric"]) for r in table] == [("N-gram Overlap", "rouge1"), ("N-gram Overlap", "bleu")]
