@@ -43,7 +43,8 @@ def dedup_batch(batch: DataFrame) -> DataFrame:
 def start_ingest(raw: DataFrame, sink_path: str, checkpoint_path: str, trigger_once: bool = False):
     """Run the ingest: stateless cleaning, then per trigger: in-batch first-by-order,
     anti-join against hashes already in the sink, append. Restartable from
-    ``checkpoint_path`` (exactly-once per trigger via the batch id)."""
+    ``checkpoint_path``; a replayed trigger finds its committed hashes in the sink
+    and appends nothing twice (the parquet write commits atomically per job)."""
     cleaned = clean_stream(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
