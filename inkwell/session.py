@@ -88,3 +88,34 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{base}/inkwell-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers, from whatever folder the job was started.
+
+    The package goes as one zip through the shared folder, once per Spark context.
+    """
+    import io
+    import uuid
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_inkwell_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("inkwell", os.path.relpath(full, top)))
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/inkwell-{uuid.uuid4().hex}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buffer.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    sc._inkwell_shipped = True
