@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import chat, decontaminate, exact_dedup, packing, simhash, suffix_dedup, token_counts, toxicity
+from inkwell.llm import (chat, decontaminate, exact_dedup, ngram_lm, packing, quality, simhash, suffix_dedup, token_counts,
+                         toxicity)
 from inkwell.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +52,17 @@ def op3(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), TOKENIZER, limit=512)
 
 
+@register("op4_quality")
+def op4(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@register("op5_lm_score")
+def op5(spark, sf_dir):
+    return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 @register("op6_packing")
 def op6(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER, size=2048)

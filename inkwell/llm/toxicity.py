@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import doc_crc, small_batches, text_or_empty
+from inkwell.llm.learn import logistic, sigmoid
 
 SAMPLE = 20_000   # most labelled documents that the weights are fitted on
 REACH = 4         # words between a target or a negation and what it governs
@@ -141,23 +142,7 @@ class Model:
     bias: float
 
     def score(self, rows: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(rows @ self.weights + self.bias, -30, 30)))
-
-
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 50) -> tuple[np.ndarray, float]:
-    """Newton's method on the regularised log-loss; the bias is not penalised."""
-    xb = np.hstack([x, np.ones((len(x), 1))])
-    penalty = np.diag([l2 * max(1, len(x)) ** 0.5] * x.shape[1] + [1e-6])
-    w = np.zeros(xb.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
-        g = xb.T @ (p - y) + penalty @ w
-        h = (xb * (p * (1 - p) + 1e-9)[:, None]).T @ xb + penalty
-        step = np.linalg.solve(h, g)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w[:-1], float(w[-1])
+        return sigmoid(rows @ self.weights + self.bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 4, held: int = 2) -> Model:
