@@ -67,11 +67,11 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     while len(steps) <= limit and not reach.where("up IS NOT NULL").isEmpty():
         above = reach.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"),
                              F.col("depth").alias("d2"), F.col("sum").alias("s2"))
-        reach = store(
-            reach.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")), "left")
-            .select("tree", "node", F.col("up2").alias("up"),
-                    (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                    (F.col("sum") + F.coalesce("s2", F.lit(0.0))).alias("sum")), "reach")
+        going = reach.where("up IS NOT NULL")  # nodes that have reached their root stay as they are
+        further = (going.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")))
+                   .select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"),
+                           (F.col("sum") + F.col("s2")).alias("sum")))
+        reach = store(reach.where("up IS NULL").unionByName(further), "reach")
         steps.append(reach)
     parents = m.where("parent IS NOT NULL").select(F.col("tree").alias("t2"), F.col("parent").alias("p2")).distinct()
     leaves = (reach.where("up IS NULL")
