@@ -1,11 +1,12 @@
-"""Porter stemmer (M. F. Porter, "An algorithm for suffix stripping", 1980).
-
-A per-word helper applied once per distinct vocabulary word (see
-``operators/stemming.py``). It follows the published algorithm, with two
-widely used later revisions by its author (BLI->BLE instead of ABLI->ABLE and
-LOGI->LOG). ROUGE implementations commonly use NLTK's extended mode, which
-additionally special-cases a few irregular words and changes step 1a/1c for very
-short words; scores can differ on such words.
+"""Porter stemmer in the mode that ROUGE tools use.
+
+The published algorithm (M. F. Porter, "An algorithm for suffix stripping", 1980) with the
+extensions of the NLTK library's default mode: a short list of irregular words; ``ies``/``ied`` of
+four-letter words become ``ie``; a final y becomes i only after a consonant that is not the
+word's first letter; a two-letter vowel-consonant stem counts as consonant-vowel-consonant; ``alli`` is
+rewritten before step 2 goes on; ``fulli`` becomes ``ful``; and the l of ``logi`` belongs to
+the stem. ``rouge_stem`` leaves words of up to three letters as they are, as the ROUGE
+tools do.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ def _double_cons(w: str) -> bool:
 
 
 def _cvc(w: str) -> bool:
+    if len(w) == 2:
+        return not _cons(w, 0) and _cons(w, 1)
     if len(w) < 3:
         return False
     return (_cons(w, len(w) - 3) and not _cons(w, len(w) - 2) and _cons(w, len(w) - 1)
@@ -62,13 +65,21 @@ def _rule_step(w: str, rules, min_m: int) -> str:
     return w
 
 
+# fixed values: irregular words
+IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed",
+    "succeed": "succeed",
+}
+
 # fixed values: suffix rules of steps 2, 3 and 4 (suffix, replacement), longest first per ending
 _STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
     ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
     ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
     ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
-    ("logi", "log"),
+    ("fulli", "ful"),
 )
 _STEP3 = (
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
@@ -89,22 +100,39 @@ _STEP3_L = _longest_first(_STEP3)
 _STEP4_L = _longest_first(_STEP4)
 
 
+def rouge_stem(word: str) -> str:
+    """The stem of a ROUGE token; short tokens stand for themselves."""
+    return stem(word) if len(word) > 3 else word
+
+
+def _step2(w: str) -> str:
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        return _step2(w[:-2])
+    if w.endswith("logi"):
+        return w[:-1] if _measure(w[:-3]) > 0 else w
+    return _rule_step(w, _STEP2_L, 0)
+
+
 def stem(word: str) -> str:
-    w = word
+    w = word.lower()
+    if w in IRREGULAR:
+        return IRREGULAR[w]
     if len(w) <= 2:
         return w
     # step 1a
     if w.endswith("sses"):
         w = w[:-2]
     elif w.endswith("ies"):
-        w = w[:-2]
+        w = w[:-1] if len(w) == 4 else w[:-2]
     elif w.endswith("ss"):
         pass
     elif w.endswith("s"):
         w = w[:-1]
     # step 1b
     extra = False
-    if w.endswith("eed"):
+    if w.endswith("ied"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("eed"):
         if _measure(w[:-3]) > 0:
             w = w[:-1]
     elif w.endswith("ed") and _has_vowel(w[:-2]):
@@ -114,15 +142,16 @@ def stem(word: str) -> str:
     if extra:
         if w.endswith(("at", "bl", "iz")):
             w += "e"
-        elif _double_cons(w) and w[-1] not in "lsz":
-            w = w[:-1]
+        elif _double_cons(w):
+            if w[-1] not in "lsz":
+                w = w[:-1]
         elif _measure(w) == 1 and _cvc(w):
             w += "e"
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    if w.endswith("y") and len(w) > 2 and _cons(w, len(w) - 2):
         w = w[:-1] + "i"
     # steps 2 and 3
-    w = _rule_step(w, _STEP2_L, 0)
+    w = _step2(w)
     w = _rule_step(w, _STEP3_L, 0)
     # step 4
     for suf in _STEP4_L:

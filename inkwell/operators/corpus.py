@@ -31,11 +31,11 @@ def dedup_first(messages: DataFrame) -> DataFrame:
     with a bad subject must not win.
     """
     cols = [c for c in MESSAGE_COLUMNS if c in messages.columns]
-    rest = [c for c in cols if c not in ("user", "path")]
-    first = (messages.withColumn("body_hash", body_hash("body"))
-             .groupBy("body_hash")
-             .agg(F.min(F.struct("user", "path", *rest)).alias("m")))
-    return first.select(*[F.col("m")[c].alias(c) for c in cols], "body_hash")
+    hashed = messages.select(*cols, body_hash("body").alias("body_hash"))
+    # the choice needs the order only: bodies are not sorted or compared
+    first = (hashed.groupBy("body_hash").agg(F.min(F.struct("user", "path")).alias("m"))
+             .select("body_hash", F.col("m.user").alias("user"), F.col("m.path").alias("path")))
+    return hashed.join(first, ["body_hash", "user", "path"], "left_semi").select(*cols, "body_hash")
 
 
 def sample_id(task_type: str, key="path") -> Column:
@@ -77,35 +77,19 @@ def first_inbox_by_subject(messages: DataFrame) -> DataFrame:
             .select("norm_subject", "o.from_addr", "o.orig_subject", "o.orig_body"))
 
 
-HOT_SUBJECT_ROWS = 1_000_000
-
-
-def reply_pairs(messages: DataFrame, hot_threshold: int | None = HOT_SUBJECT_ROWS) -> DataFrame:
+def reply_pairs(messages: DataFrame) -> DataFrame:
     """Sent replies ('Re:' subjects) joined to the first inbox message with the same subject.
 
     The inbox side is reduced to one row per subject first, so the join cannot fan
-    out; many replies may share one original. Skew on the reply side is split
-    explicitly: subjects with more than ``hot_threshold`` replies (found by a
-    partial count; at most n / hot_threshold of them, a proven bound) join a
-    broadcast of just their originals, so their rows never shuffle; all other
-    replies take the regular join (broadcast or shuffle by measured size, with
-    AQE skew splitting as a second line). ``hot_threshold=None`` disables the split.
+    out; many replies may share one original. It is a plain equi-join: Spark broadcasts the
+    originals if their measured size allows, and otherwise AQE splits a subject that holds
+    many replies, as the other side has one row for it.
     """
     replies = (messages.where((F.col("box") == "sent") & is_reply_subject("subject"))
                .select("path", normalise_subject("subject").alias("norm_subject"),
                        py_strip("body").alias("reply_body"))
                .where(F.col("norm_subject") != ""))
-    originals = first_inbox_by_subject(messages)
-    if hot_threshold is None:
-        joined = replies.join(originals, "norm_subject", "inner")
-    else:
-        hot = (replies.groupBy("norm_subject").agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > hot_threshold).select("norm_subject"))
-        hot_orig = originals.join(F.broadcast(hot), "norm_subject", "left_semi")
-        hot_rows = replies.join(F.broadcast(hot), "norm_subject", "left_semi")
-        cold_rows = replies.join(F.broadcast(hot), "norm_subject", "left_anti")
-        joined = (cold_rows.join(originals, "norm_subject", "inner")
-                  .unionByName(hot_rows.join(F.broadcast(hot_orig), "norm_subject", "inner")))
+    joined = replies.join(first_inbox_by_subject(messages), "norm_subject", "inner")
     joined = joined.where((F.col("orig_body") != "") & (F.col("reply_body") != ""))
     prompt = F.concat(F.lit(fixed.REPLY_PREFIX + "\n\nFrom: "), F.col("from_addr"),
                       F.lit("\nSubject: "), F.col("orig_subject"), F.lit("\n\n"), F.col("orig_body"))
@@ -138,38 +122,40 @@ def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
 
     Stages, in pipeline order: files, skipped_folder, oversize, no_blank_line,
     body_length, blank_subject, auto_subject (first failing check), duplicates,
-    and the kept messages per box (sent, inbox). Small aggregates over one
-    parse; no row reaches the driver.
+    and the kept messages per box (sent, inbox). One scan and one parse give a narrow row per file
+    (stage, or the body's hash); one aggregate by hash and one of its few kinds follow.
     """
-    from inkwell.operators.messages import clean_body, evaluated_once, folder_box, parse_messages
+    from inkwell.operators.messages import clean_body, evaluated_once, folder_box, message_columns
 
     limit = max_body_len + fixed.FILE_SIZE_SLACK
     size = F.col(size_col) if size_col else F.octet_length("content")
-    tagged = raw.select("*", folder_box("folder").alias("box"), size.alias("_size"),
-                        F.instr("content", "\n\n").alias("_pos"))
-    front = tagged.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("box").isNull()).alias("skipped_folder"),
-        F.count_if(F.col("box").isNotNull() & (F.col("_size") > limit)).alias("oversize"),
-        F.count_if(F.col("box").isNotNull() & (F.col("_size") <= limit) & (F.col("_pos") == 0)).alias("no_blank_line"),
-    ).unpivot([], ["files", "skipped_folder", "oversize", "no_blank_line"], "stage", "n")
-    parseable = tagged.where(F.col("box").isNotNull() & (F.col("_size") <= limit) & (F.col("_pos") > 0))
-    parsed = evaluated_once(parse_messages(parseable.drop("_size", "_pos")).withColumn("body", clean_body("body")))
+    early = (F.when(F.col("box").isNull(), F.lit("skipped_folder"))
+             .when(F.col("_size") > limit, F.lit("oversize"))
+             .when(F.instr("content", "\n\n") == 0, F.lit("no_blank_line")))
+    tagged = raw.select("user", "path", "content", folder_box("folder").alias("box"), size.alias("_size"))
+    tagged = tagged.select("user", "path", "box", early.alias("_early"), "content")
+    parsed = message_columns(
+        tagged.withColumn("content", F.when(F.col("_early").isNull(), F.col("content")))).withColumn(
+        "body", clean_body("body"))
     n = F.length("body")
     low = F.lower("subject")
     auto = F.lit(False)
     for kw in fixed.AUTO_SUBJECT_KEYWORDS:
         auto = auto | F.contains(low, F.lit(kw))
-    reason = (F.when((n < min_body_len) | (n > max_body_len), F.lit("body_length"))
+    reason = (F.when(F.col("_early").isNotNull(), F.col("_early"))
+              .when((n < min_body_len) | (n > max_body_len), F.lit("body_length"))
               .when(py_strip("subject") == "", F.lit("blank_subject"))
               .when(auto, F.lit("auto_subject")))
-    checked = evaluated_once(parsed.select("user", "path", "box", reason.alias("reason"),
-                                           body_hash("body").alias("h")))
-    rejects = (checked.where(F.col("reason").isNotNull()).groupBy("reason")
-               .agg(F.count(F.lit(1)).alias("n")).select(F.col("reason").alias("stage"), "n"))
-    valid = checked.where(F.col("reason").isNull())
-    dups = valid.agg((F.count(F.lit(1)) - F.count_distinct("h")).alias("n")).select(
-        F.lit("duplicates").alias("stage"), "n")
-    kept = (valid.groupBy("h").agg(F.min(F.struct("user", "path", "box")).alias("m"))
-            .groupBy(F.col("m.box").alias("stage")).agg(F.count(F.lit(1)).alias("n")))
-    return front.unionByName(rejects).unionByName(dups).unionByName(kept)
+    checked = evaluated_once(evaluated_once(parsed.select("user", "path", "box", "_early", "subject", "body")).select(
+        "user", "path", "box", reason.alias("reason"), body_hash("body").alias("h")))
+    valid = F.col("reason").isNull()
+    by_hash = checked.groupBy("reason", F.when(valid, F.col("h")).alias("h")).agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.when(valid, F.struct("user", "path", "box"))).alias("m"))
+    kept = F.array(F.struct(F.lit("files").alias("stage"), F.col("c").alias("n")),
+                   F.struct(F.lit("duplicates"), F.col("c") - 1), F.struct(F.col("m.box"), F.lit(1).cast("long")))
+    lost = F.array(F.struct(F.lit("files").alias("stage"), F.col("c").alias("n")),
+                   F.struct(F.col("reason"), F.col("c")))
+    rows = by_hash.select(F.inline(F.when(valid, kept).otherwise(lost)))
+    always = raw.sparkSession.createDataFrame(
+        [(x, 0) for x in ("files", "skipped_folder", "oversize", "no_blank_line", "duplicates")], "stage string, n long")
+    return rows.unionByName(always).groupBy("stage").agg(F.sum("n").alias("n"))

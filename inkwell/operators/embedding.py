@@ -1,15 +1,16 @@
 """Embedding-match score (greedy cosine matching of token vectors, BERTScore-style).
 
 Re-aimed from a neural encoder to a vector table: a token's vector is
-``embeddings[vec_id]`` with ``vec_id = int(md5(token)[:4], 16) mod count(embeddings)``.
+``embeddings[vec_id]`` with ``vec_id = int(md5(token)[:15], 16) mod count(embeddings)``.
 Per pair: precision = mean over prediction tokens of the best cosine against the
 reference tokens, recall the converse, F1 from both; 0 when a side is empty.
+A token whose ``vec_id`` is missing from the table has a zero vector and so matches nothing.
 
 Plan: tokens are counted per (pair, side, token) after the pair partitioning
-(no shuffle), joined to the vectors (broadcast when the table is measured
-small, else a shuffle join on ``vec_id``), and gathered per pair — a pair's
-tokens are bounded by its two texts. The similarity matrix of one pair is a
-NumPy product inside an Arrow UDF; no pair rows are ever emitted.
+(no shuffle) and joined to the float32 vectors by a join that Spark
+chooses from measured sizes. A pair's tokens are bounded by its two texts. The best matches of one
+pair come from NumPy products of blocks of rows with a running maximum inside an Arrow UDF;
+no pair rows are ever emitted and no full similarity matrix is held.
 """
 
 from __future__ import annotations
@@ -21,28 +22,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from inkwell.functions.text import lower_ws_tokens
+from inkwell.session import ship_package
 
-BROADCAST_MAX_VECTORS = 1_000_000  # 64 floats each: ~256 MB
+HASH_DIGITS = 15  # hex digits of the token's hash that pick its vector
+BLOCK = 1024      # prediction tokens compared at once
 
 
-def vec_id(token, n_vectors: int):
-    return F.pmod(F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("long"), F.lit(n_vectors))
+def vec_id(token, n_vectors):
+    return F.pmod(F.conv(F.substring(F.md5(token), 1, HASH_DIGITS), 16, 10).cast("long"), n_vectors)
 
 
 def _match(pred_w, pred_v, ref_w, ref_v):
     if pred_v is None or ref_v is None or len(pred_v) == 0 or len(ref_v) == 0:
         return 0.0, 0.0, 0.0
-    p = np.asarray([np.asarray(v, dtype=np.float64) for v in pred_v])
-    r = np.asarray([np.asarray(v, dtype=np.float64) for v in ref_v])
-    pn = np.linalg.norm(p, axis=1, keepdims=True)
-    rn = np.linalg.norm(r, axis=1, keepdims=True)
-    p = np.divide(p, pn, out=np.zeros_like(p), where=pn > 0)
-    r = np.divide(r, rn, out=np.zeros_like(r), where=rn > 0)
-    sim = p @ r.T
-    pw = np.asarray(pred_w, dtype=np.float64)
-    rw = np.asarray(ref_w, dtype=np.float64)
-    prec = float((sim.max(axis=1) * pw).sum() / pw.sum())
-    rec = float((sim.max(axis=0) * rw).sum() / rw.sum())
+    width = max((len(v) for side in (pred_v, ref_v) for v in side if v is not None), default=1)
+    p, r = (np.array([np.zeros(width) if v is None else v for v in side], np.float64) for side in (pred_v, ref_v))
+    p, r = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (p, r))
+    best_p, best_r = np.empty(len(p)), np.full(len(r), -np.inf)
+    for i in range(0, len(p), BLOCK):
+        sim = p[i:i + BLOCK] @ r.T
+        best_p[i:i + BLOCK] = sim.max(axis=1)
+        best_r = np.maximum(best_r, sim.max(axis=0))
+    pw, rw = np.asarray(pred_w, dtype=np.float64), np.asarray(ref_w, dtype=np.float64)
+    prec, rec = float((best_p * pw).sum() / pw.sum()), float((best_r * rw).sum() / rw.sum())
     f = 2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
     return prec, rec, f
 
@@ -54,22 +56,19 @@ def match_udf(pred_w: pd.Series, pred_v: pd.Series, ref_w: pd.Series, ref_v: pd.
     return pd.DataFrame(out, columns=["precision", "recall", "f1"])
 
 
-def embedding_match(pairs: DataFrame, embeddings: DataFrame, keys=("model_name", "sample_id"),
-                    num_partitions: int | None = None) -> DataFrame:
+def embedding_match(pairs: DataFrame, embeddings: DataFrame, keys=("model_name", "sample_id")) -> DataFrame:
     """Per-pair (precision, recall, f1) of greedy token-vector matching."""
     keys = list(keys)
-    spark = pairs.sparkSession
-    n_vectors = embeddings.count()
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = pairs.select(*keys, "prediction", "reference").repartition(n, *keys)
+    ship_package(pairs.sparkSession)
+    n_vectors = embeddings.agg(F.count(F.lit(1))).scalar()  # a subquery of the one plan
+    base = pairs.select(*keys, "prediction", "reference").repartition(*keys)
     toks = base.select(*keys, F.inline(F.array(
         F.struct(F.lit("p").alias("side"), lower_ws_tokens("prediction").alias("t")),
         F.struct(F.lit("r").alias("side"), lower_ws_tokens("reference").alias("t")))))
     counted = (toks.select(*keys, "side", F.explode("t").alias("token"))
                .groupBy(*keys, "side", "token").agg(F.count(F.lit(1)).alias("w")))
-    vecs = embeddings.select(F.col("vec_id").alias("vid"), F.col("embedding").cast("array<double>").alias("v"))
-    vecs = F.broadcast(vecs) if n_vectors <= BROADCAST_MAX_VECTORS else vecs
-    with_v = counted.withColumn("vid", vec_id(F.col("token"), n_vectors)).join(vecs, "vid")
+    vecs = embeddings.select(F.col("vec_id").alias("vid"), F.col("embedding").cast("array<float>").alias("v"))
+    with_v = counted.withColumn("vid", vec_id(F.col("token"), n_vectors)).join(vecs, "vid", "left")
     side = lambda s: F.filter("items", lambda x: x["side"] == F.lit(s))
     gathered = with_v.groupBy(*keys).agg(F.collect_list(F.struct("side", "w", "v")).alias("items"))
     scored = gathered.select(

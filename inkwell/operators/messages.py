@@ -105,10 +105,15 @@ def parse_messages(raw: DataFrame, content_col: str = "content") -> DataFrame:
     Files without a blank line are dropped. Missing headers become ''.
     Output keeps all input columns except the content.
     """
+    return message_columns(raw.where(F.instr(F.col(content_col), "\n\n") > 0), content_col)
+
+
+def message_columns(raw: DataFrame, content_col: str = "content") -> DataFrame:
+    """The projection of ``parse_messages`` alone; a null content gives empty headers and a null body."""
     c = F.col(content_col)
     pos = F.instr(c, "\n\n")
     keep = [x for x in raw.columns if x != content_col]
-    with_parts = raw.where(pos > 0).select(
+    with_parts = raw.select(
         *keep,
         _header_fold(c.substr(F.lit(1), pos - 1)).alias("_h"),
         py_strip(c.substr(pos + 2, F.length(c))).alias("body"),

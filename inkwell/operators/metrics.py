@@ -3,23 +3,22 @@
 A pair is keyed by ``(model_name, sample_id)``; predictions are joined to
 references by key, never by position.
 
-Plan shape: the pairs are hash-partitioned once by the pair key. All n-gram
-work (ROUGE-1/2 and BLEU-1..4 in one explode) then aggregates by
-``(key, kind, n, gram)`` and by ``(key, kind, n)``; both groupings are
-satisfied by the existing partitioning, so the grams themselves never cross the
+Plan shape: only what is asked for is computed. Stemmed ROUGE and the LCS are counts from one
+Arrow step over a pair's token arrays, without a shuffle. N-grams that are counted on the JVM (BLEU, and
+ROUGE-1/2 without stems) hash-partition the pairs once by the pair key; they then aggregate by
+``(key, kind, n, gram)`` and by ``(key, kind, n)``, and both groupings are
+satisfied by that partitioning, so the grams themselves never cross the
 network. Corpus-level sums (BLEU, distinct-n) are small partial aggregates.
-Only two steps run Python: the ROUGE-L LCS (an Arrow pandas UDF on token arrays)
-and stemming (once per distinct word).
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from inkwell.functions import fixed
+from inkwell.operators.stemming import lcs_length, rouge_counts  # noqa: F401 - lcs_length is part of this API
+from inkwell.session import ship_package
 from inkwell.functions.text import (PY_WS, char_count, f1, let, lower_ws_tokens, ngrams, py_strip,
                                     safe_ratio, sentence_count, word_count, ws_tokens)
 
@@ -47,32 +46,6 @@ def bleu_tokens(text) -> Column:
     return ws_tokens(text)
 
 
-# ------------------------------------------------------------------ LCS (ROUGE-L)
-
-def lcs_length(a, b) -> int:
-    """Length of the longest common subsequence of two token sequences.
-
-    Bit-parallel form: one machine word per 64 positions of ``a`` (Python ints),
-    O(len(a) * len(b) / 64).
-    """
-    if a is None or b is None or len(a) == 0 or len(b) == 0:
-        return 0
-    masks: dict = {}
-    for i, tok in enumerate(a):
-        masks[tok] = masks.get(tok, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for tok in b:
-        u = v & masks.get(tok, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
-
-
-@F.pandas_udf(LongType())
-def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int64")
-
-
 # ------------------------------------------------------------------ n-gram overlap
 
 def _gram_specs(pred_rouge, ref_rouge, pred_bleu, ref_bleu, rouge_orders, bleu_orders):
@@ -173,49 +146,51 @@ def distinct_ratio(tokens, n: int) -> Column:
 
 # ------------------------------------------------------------------ per pair
 
-def tokenize_pairs(pairs: DataFrame, keys=KEYS, stem: bool = False, num_partitions: int | None = None,
-                   extra=()) -> DataFrame:
-    """Repartition pairs by key (the one shuffle) and attach token arrays."""
-    keys = list(keys)
-    spark = pairs.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = pairs.select(*keys, "prediction", "reference", *extra).repartition(n, *keys)
-    tok = base.select("*",
-                      rouge_tokens("prediction").alias("pred_rt"), rouge_tokens("reference").alias("ref_rt"),
-                      bleu_tokens("prediction").alias("pred_bt"), bleu_tokens("reference").alias("ref_bt"))
-    if stem:
-        from inkwell.operators.stemming import stem_token_arrays
-        tok = stem_token_arrays(tok, ["pred_rt", "ref_rt"], keys)
-    return tok
-
+def pair_scores(pairs: DataFrame, keys=KEYS, stem: bool = True, with_lcs: bool = True, with_rouge: bool = True,
+                with_bleu: bool = True, carry=(), features: bool = False) -> DataFrame:
+    """Per-pair overlap metrics, as asked: rouge1 and rouge2 (``with_rouge``), rougeL
+    (``with_lcs``), per-pair BLEU and the sufficient statistics of corpus BLEU (``with_bleu``).
 
-def pair_scores(pairs: DataFrame, keys=KEYS, stem: bool = False, with_lcs: bool = True,
-                num_partitions: int | None = None, carry=(), features: bool = False) -> DataFrame:
-    """Per-pair overlap metrics: rouge1, rouge2, rougeL (optional), per-pair BLEU and
-    the BLEU sufficient statistics (for corpus BLEU).
-
-    ``carry`` columns of ``pairs`` and, with ``features``, the in-row text features
-    ride along from the one pair-keyed repartition, so every later join on the
-    key is co-partitioned.
+    ``stem`` applies to ROUGE. ``carry`` columns of ``pairs`` and, with ``features``, the in-row
+    text features ride along. Pairs are repartitioned (by key, once) only when grams are exploded.
     """
     keys = list(keys)
     carry = [c for c in carry if c not in keys and c not in ("prediction", "reference")]
-    tok = tokenize_pairs(pairs, keys, stem, num_partitions, extra=carry)
-    wide = _wide_overlap(ngram_overlap(tok, keys), keys, ROUGE_ORDERS, BLEU_ORDERS)
+    python = with_lcs or (stem and with_rouge)
+    rouge_orders = ROUGE_ORDERS if with_rouge and not python else ()
+    bleu_orders = BLEU_ORDERS if with_bleu else ()
+    base = pairs.select(*keys, "prediction", "reference", *carry)
+    if rouge_orders or bleu_orders:
+        base = base.repartition(*keys)
+    tok = base.select("*", rouge_tokens("prediction").alias("pred_rt"), rouge_tokens("reference").alias("ref_rt"),
+                      bleu_tokens("prediction").alias("pred_bt"), bleu_tokens("reference").alias("ref_bt"))
     feat_cols = _feature_columns(F.col("prediction"), F.col("reference")) if features else []
-    lens = tok.select(*keys, *carry, F.size("pred_bt").cast("long").alias("hyp_len"),
-                      F.size("ref_bt").cast("long").alias("ref_len"), *feat_cols,
-                      *([lcs_udf("pred_rt", "ref_rt").alias("lcs"),
-                         F.size("pred_rt").alias("pred_rn"), F.size("ref_rt").alias("ref_rn")]
-                        if with_lcs else []))
-    j = lens.join(wide, keys, "inner")
-    out = [*keys, *carry, "hyp_len", "ref_len", *(FEATURE_NAMES if features else [])]
-    for n in ROUGE_ORDERS:
+    cols = [*keys, *carry, *feat_cols]
+    if with_bleu:
+        cols += [F.size("pred_bt").cast("long").alias("hyp_len"), F.size("ref_bt").cast("long").alias("ref_len")]
+    if python:
+        ship_package(pairs.sparkSession)
+        cols += [rouge_counts(stem, with_rouge, with_lcs)("pred_rt", "ref_rt").alias("rc"),
+                 F.size("pred_rt").alias("pred_rn"), F.size("ref_rt").alias("ref_rn")]
+    j = tok.select(*cols)
+    if rouge_orders or bleu_orders:
+        overlap = ngram_overlap(tok, keys, rouge_orders, bleu_orders)
+        j = j.join(_wide_overlap(overlap, keys, rouge_orders, bleu_orders), keys, "inner")
+    out = [*keys, *carry, *(FEATURE_NAMES if features else [])]
+    if with_rouge and python:
+        for n in ROUGE_ORDERS:
+            grams = lambda c: F.greatest(F.col(c) - (n - 1), F.lit(1))
+            out.append(f1(F.col(f"rc.overlap{n}") / grams("pred_rn"), F.col(f"rc.overlap{n}") / grams("ref_rn"))
+                       .alias(f"rouge{n}"))
+    for n in rouge_orders:
         out.append(rouge_f(f"rouge{n}_overlap", f"rouge{n}_pred_total", f"rouge{n}_ref_total").alias(f"rouge{n}"))
     if with_lcs:
         out.append(F.when((F.col("pred_rn") == 0) | (F.col("ref_rn") == 0), F.lit(0.0))
-                   .otherwise(f1(F.col("lcs") / F.col("pred_rn"), F.col("lcs") / F.col("ref_rn")))
+                   .otherwise(f1(F.col("rc.lcs") / F.col("pred_rn"), F.col("rc.lcs") / F.col("ref_rn")))
                    .alias("rougeL"))
+    if not with_bleu:
+        return j.select(*out)
+    out += ["hyp_len", "ref_len"]
     for n in BLEU_ORDERS:
         out.append(F.col(f"bleu{n}_overlap").alias(f"bleu_num_{n}"))
         out.append(F.greatest(F.col(f"bleu{n}_pred_total"), F.lit(1)).alias(f"bleu_den_{n}"))
@@ -247,7 +222,24 @@ def text_features(df: DataFrame, keys=KEYS) -> DataFrame:
 LENGTH_STATS = ("word_count", "sentence_count", "char_count")
 
 
-def per_sample(pairs: DataFrame, keys=KEYS, stem: bool = False, with_lcs: bool = True,
+def shown(pairs: DataFrame, keys=KEYS, rouge1: bool = False, rouge_l: bool = False, carry=(),
+          prompt_chars: int = fixed.PROMPT_CHARS, text_chars: int = fixed.TEXT_CHARS) -> DataFrame:
+    """Task (missing -> 'unknown') and cut prompt/prediction/reference per sample, with stemmed
+    rouge1 (and rougeL) of the whole texts if asked. One pass, no shuffle."""
+    keys = list(keys)
+    cols = {"task_type": F.coalesce(F.col("task_type"), F.lit("unknown")),
+            "prompt": F.substring("prompt", 1, prompt_chars),
+            "prediction_shown": F.substring("prediction", 1, text_chars),
+            "reference_shown": F.substring("reference", 1, text_chars)}
+    cut = pairs.select(*keys, *carry, "prediction", "reference", *[c.alias(n) for n, c in cols.items()])
+    scores = [n for n, want in (("rouge1", rouge1), ("rougeL", rouge_l)) if want]
+    if scores:
+        cut = pair_scores(cut, keys, with_rouge=rouge1, with_lcs=rouge_l, with_bleu=False, carry=[*carry, *cols])
+    return cut.select(*keys, *carry, "task_type", "prompt", F.col("prediction_shown").alias("prediction"),
+                      F.col("reference_shown").alias("reference"), *scores)
+
+
+def per_sample(pairs: DataFrame, keys=KEYS, stem: bool = True, with_lcs: bool = True,
                prompt_chars: int = fixed.PROMPT_CHARS, text_chars: int = fixed.TEXT_CHARS) -> DataFrame:
     """All per-sample metrics (each pair scored as a one-pair corpus), plus task,
     truncated prompt/prediction/reference (task missing -> 'unknown')."""
@@ -296,7 +288,14 @@ def distinct_n_corpus(pairs: DataFrame, group=("model_name",), text_col: str = "
                        safe_ratio(F.coalesce("uniq", F.lit(0)), F.coalesce("total", F.lit(0))).alias("value"))
 
 
-def evaluate(pairs: DataFrame, keys=KEYS, group=("model_name",), stem: bool = False,
+def bleu_corpus(pairs: DataFrame, keys=KEYS, group=("model_name",)) -> DataFrame:
+    """Corpus BLEU per run from summed counts."""
+    j = pair_scores(pairs, keys, with_rouge=False, with_lcs=False)
+    nums, dens = ([F.sum(f"bleu_{x}_{n}") for n in BLEU_ORDERS] for x in ("num", "den"))
+    return j.groupBy(*group).agg(bleu_from_counts(nums, dens, F.sum("hyp_len"), F.sum("ref_len")).alias("bleu"))
+
+
+def evaluate(pairs: DataFrame, keys=KEYS, group=("model_name",), stem: bool = True,
              with_lcs: bool = True, embeddings: DataFrame | None = None) -> DataFrame:
     """All corpus metrics per run, long form ``(model_name, metric, value)``.
 

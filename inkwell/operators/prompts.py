@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
+from inkwell.session import materialize
 from inkwell.functions.text import col_, py_strip, ws_tokens
 
 
@@ -118,29 +119,20 @@ def seq_length_cut(df: DataFrame, text_col: str = "text", max_len: int = fixed.M
         "kept_tokens", F.least(n, F.lit(max_len).cast("long")))
 
 
-ROWS_PER_BUCKET = 1 << 16
-
-
-def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens", window: int = fixed.MAX_SEQ_LENGTH,
-                   bucket_width: int | None = None) -> DataFrame:
+def pack_sequences(df: DataFrame, order_col: str, len_col: str = "n_tokens",
+                   window: int = fixed.MAX_SEQ_LENGTH) -> DataFrame:
     """Pack samples, in ``order_col`` order, into fixed windows of ``window`` tokens.
 
-    Running token offsets come from a distributed prefix sum: rows are bucketed by
-    ``order_col div bucket_width``; bucket totals (one row per bucket) get a
+    Running token offsets come from a distributed prefix sum: the (key, length) rows are
+    range-partitioned by key from sampled splitters, so that clustered keys spread too, and stored
+    once with their partition number; partition totals (one row each) get a
     running sum over that small table, and exact running sums run inside each
-    bucket only. A sample straddling window boundaries yields one row per window
+    partition only. A sample straddling window boundaries yields one row per window
     it touches: ``(chunk, order key, token_from, token_to)`` (0-based, half-open).
-    ``order_col`` must be a unique non-negative integer key. Without
-    ``bucket_width`` the width is derived from the key span and row count (three
-    scalars) so that uniformly spread keys give about 65k rows per bucket.
+    ``order_col`` must be a unique integer key.
     """
-    if bucket_width is None:
-        lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
-        span = (hi - lo + 1) if n else 1
-        bucket_width = max(1, span * ROWS_PER_BUCKET // max(n, 1))
-    b = F.floor(F.col(order_col) / bucket_width).cast("long")
-    keyed = df.select(F.col(order_col).cast("long").alias("_k"), F.col(len_col).cast("long").alias("_len"),
-                      b.alias("_bucket"))
+    ranged = df.select(F.col(order_col).cast("long").alias("_k"), F.col(len_col).cast("long").alias("_len"))
+    keyed = materialize(ranged.repartitionByRange("_k").withColumn("_bucket", F.spark_partition_id()), "ranges")
     totals = keyed.groupBy("_bucket").agg(F.sum("_len").alias("_t"))
     before = (totals.withColumn("_off", F.coalesce(F.sum("_t").over(
         Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))

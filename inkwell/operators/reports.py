@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fixed
 from inkwell.functions.text import word_count
 from inkwell.operators.errors import repetition_score
+from inkwell.session import materialize
 
 
 def _lookup(spark, rows, schema) -> DataFrame:
@@ -123,86 +124,68 @@ def task_types(per_sample: DataFrame) -> DataFrame:
     return per_sample.select("task_type").distinct()
 
 
-def exact_quantiles(df: DataFrame, group, value: str, probs=(0.25, 0.5, 0.75),
-                    accuracy: int = 100_000) -> DataFrame:
-    """Exact quantiles with linear interpolation, without holding a group in one task.
+def exact_quantiles(df: DataFrame, group, value: str, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles with linear interpolation: ``(*group, n, q)`` with ``q`` aligned with ``probs``."""
+    return quantiles_of_counts(stored_counts(df, group, value), group, probs)
 
-    A mergeable ``percentile_approx`` sketch brackets each target rank (rank error
-    at most n/accuracy; the bracket uses 3x that). Rows below the bracket are only
-    counted; rows inside it (about 6n/accuracy per group) are ranked exactly. A
-    group whose target ranks fall outside its bracket (not expected) is computed
-    with the exact ``percentile`` aggregate instead. ``accuracy`` trades sketch
-    memory (grows with it, per group and task) against the bracket size. Returns
-    ``(*group, n, q)`` with ``q`` an array aligned with ``probs``.
+
+def stored_counts(df: DataFrame, group, value: str) -> DataFrame:
+    """Counts of each value (group, x, c), range-partitioned by (group, x) from sampled splitters
+    and stored once with the number of their partition (``part``)."""
+    counts = value_counts(df, list(group), value)
+    return materialize(counts.repartitionByRange(*group, "x").withColumn("part", F.spark_partition_id()), "value_counts")
+
+
+def quantiles_of_counts(counts: DataFrame, group, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles from ``stored_counts``, without a sketch and without a group in one task.
+
+    Ties are one row. A value's rank is the count of smaller ones: the totals of the partitions before
+    its own (a few rows a group) plus a running sum inside its partition.
     """
     group = list(group)
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (counts.groupBy(*group, "part").agg(F.sum("c").alias("pc"))
+             .select(*group, "part", F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("base"),
+                     F.sum("pc").over(Window.partitionBy(*group)).alias("n")))
+    inside = Window.partitionBy(*group, "part").orderBy("x")
+    ranked = (counts.join(bases, [*group, "part"])
+              .withColumn("upto", F.col("base") + F.sum("c").over(inside))
+              .withColumn("first", F.col("upto") - F.col("c")))
+    aggs = []
+    for i, p in enumerate(probs):
+        at = (F.col("n") - 1) * F.lit(p)
+        for name, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("x"))).alias(f"{name}{i}"))
+    picked = ranked.groupBy(*group, "n").agg(*aggs)
+    frac = lambda p: (F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p))
+    return picked.select(*group, "n", F.array(*[
+        F.col(f"lo{i}") + frac(p) * (F.col(f"hi{i}") - F.col(f"lo{i}")) for i, p in enumerate(probs)]).alias("q"))
+
+
+def value_counts(df: DataFrame, group, value: str) -> DataFrame:
+    """(group, x, c): how often each value occurs in each group; nulls are left out."""
     x = F.col(value).cast("double")
-    m = 3.0 / accuracy
-    lows = [max(0.0, p - m) for p in probs]
-    highs = [min(1.0, p + m) for p in probs]
-    clean = df.select(*group, x.alias("_x")).where(F.col("_x").isNotNull())
-    stats = clean.groupBy(*group).agg(F.count(F.lit(1)).alias("n"),
-                                      F.percentile_approx("_x", lows + highs, accuracy).alias("_a"))
-    k = len(probs)
-    h = lambda p: (F.col("n") - 1) * F.lit(p)
-    bounds = stats.select(*group, "n", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"),
-                 F.floor(h(p)).cast("long").alias("_rlo"), F.ceil(h(p)).cast("long").alias("_rhi"),
-                 (h(p) - F.floor(h(p))).alias("_frac"),
-                 F.col("_a")[i].alias("_vlo"), F.col("_a")[k + i].alias("_vhi")) for i, p in enumerate(probs)])))
-    j = clean.join(bounds, group)
-    below = j.groupBy(*group, "_i").agg(F.count_if(F.col("_x") < F.col("_vlo")).alias("_below"),
-                                        F.count_if((F.col("_x") >= F.col("_vlo")) & (F.col("_x") <= F.col("_vhi")))
-                                        .alias("_ncand"))
-    w = Window.partitionBy(*group, "_i").orderBy("_x")
-    cand = (j.where((F.col("_x") >= F.col("_vlo")) & (F.col("_x") <= F.col("_vhi")))
-            .withColumn("_rn", F.row_number().over(w) - 1)
-            .join(below, [*group, "_i"])
-            .withColumn("_rank", F.col("_below") + F.col("_rn")))
-    picked = cand.where((F.col("_rank") == F.col("_rlo")) | (F.col("_rank") == F.col("_rhi"))).groupBy(
-        *group, "n", "_i", "_frac", "_rlo", "_rhi", "_below", "_ncand").agg(
-        F.max(F.when(F.col("_rank") == F.col("_rlo"), F.col("_x"))).alias("_xlo"),
-        F.max(F.when(F.col("_rank") == F.col("_rhi"), F.col("_x"))).alias("_xhi"))
-    ok = (F.col("_rlo") >= F.col("_below")) & (F.col("_rhi") < F.col("_below") + F.col("_ncand"))
-    vals = picked.select(*group, "n", "_i", ok.alias("_ok"),
-                         (F.col("_xlo") + F.col("_frac") * (F.col("_xhi") - F.col("_xlo"))).alias("_q"))
-    per_group = vals.groupBy(*group, "n").agg(
-        F.min(F.col("_ok").cast("int")).alias("_ok"), F.count(F.lit(1)).alias("_k"),
-        F.array_sort(F.collect_list(F.struct("_i", "_q"))).alias("_qs"))
-    good = per_group.where((F.col("_ok") == 1) & (F.col("_k") == k)).select(
-        *group, "n", F.transform("_qs", lambda s: s["_q"]).alias("q"))
-    bad_groups = stats.select(*group).join(good.select(*group), group, "left_anti")
-    fallback = (clean.join(bad_groups, group, "left_semi").groupBy(*group)
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("q")))
-    return good.unionByName(fallback)
-
-
-def box_stats(per_sample: DataFrame, value: str = "rouge1", group=("model_name", "task_type"),
-              approx: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """Box-plot numbers (C7): quartiles (linear interpolation), whiskers at the most
-    extreme data within 1.5 IQR, outlier count.
-
-    Quartiles are exact and distributed (``exact_quantiles``); ``approx=True``
-    returns the sketch values directly.
-    """
+    return (df.select(*group, x.alias("x")).where(F.col("x").isNotNull())
+            .groupBy(*group, "x").agg(F.count(F.lit(1)).alias("c")))
+
+
+def box_stats(per_sample: DataFrame, value: str = "rouge1", group=("model_name", "task_type")) -> DataFrame:
+    """Box-plot numbers (C7): quartiles (exact, linear interpolation), whiskers at the most
+    extreme data within 1.5 IQR, outlier count. Everything after the first sum reads the
+    counts of distinct values, which are stored once."""
     group = list(group)
-    v = F.col(value)
-    if approx:
-        quart = per_sample.groupBy(*group).agg(
-            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("q"), F.count(F.lit(1)).alias("n"))
-    else:
-        quart = exact_quantiles(per_sample, group, value, (0.25, 0.5, 0.75), accuracy)
+    counts = stored_counts(per_sample, group, value)
+    quart = quantiles_of_counts(counts, group)
     quart = quart.select(*group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                          F.col("q")[2].alias("q3"))
-    j = per_sample.select(*group, v.alias("x")).join(quart, group)
+    j = counts.join(quart, group)
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col("x") >= lo) & (F.col("x") <= hi)
     return j.groupBy(*group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("c"))).alias("n_outliers"))
 
 
 def length_columns(per_sample: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def exact_cut(df: DataFrame, quota, key_col: str, strata_col: str = "task_type",
 
     ``quota`` has one row per stratum: ``(strata_col, n_take)``, or is a function
     from the per-stratum sizes ``(strata_col, n)`` to that table. Returns ``df``
-    with a boolean ``flag_col``; no row is dropped.
+    with a boolean ``flag_col``; no row is dropped: a null stratum is a stratum like any other.
     """
     keyed = df.withColumn("_bucket", F.substring(F.col(key_col), 1, digits))
     counts = keyed.groupBy(strata_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -41,14 +41,15 @@ def exact_cut(df: DataFrame, quota, key_col: str, strata_col: str = "task_type",
     w = (Window.partitionBy(strata_col).orderBy("_bucket")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     marks = (counts.withColumn("_cum", F.sum("_n").over(w))
-             .join(quota, strata_col, "left")
-             .select(strata_col, "_bucket",
+             .join(quota.withColumnRenamed(strata_col, "_stratum"), F.col(strata_col).eqNullSafe(F.col("_stratum")), "left")
+             .select(F.col(strata_col).alias("_stratum"), F.col("_bucket").alias("_part"),
                      F.when(F.col("_cum") <= F.coalesce(F.col("n_take"), F.lit(0)), F.lit("all"))
                      .when(F.col("_cum") - F.col("_n") < F.col("n_take"), F.lit("part"))
                      .otherwise(F.lit("none")).alias("_mode"),
                      (F.col("n_take") - (F.col("_cum") - F.col("_n"))).alias("_need")))
     # marks has at most (#strata x 16**digits) rows: a proven size bound for broadcast.
-    j = keyed.join(F.broadcast(marks), [strata_col, "_bucket"], "inner")
+    j = (keyed.join(F.broadcast(marks), F.col(strata_col).eqNullSafe(F.col("_stratum"))
+                    & F.col("_bucket").eqNullSafe(F.col("_part")), "inner").drop("_stratum", "_part"))
     rest = j.where(F.col("_mode") != "part").withColumn(flag_col, F.col("_mode") == "all")
     rw = Window.partitionBy(strata_col).orderBy(key_col, id_col)
     boundary = (j.where(F.col("_mode") == "part")
@@ -57,15 +58,15 @@ def exact_cut(df: DataFrame, quota, key_col: str, strata_col: str = "task_type",
 
 
 def cap_quota(counts: DataFrame, max_samples: int, strata_col: str = "task_type") -> DataFrame:
-    """Per-task quota of the proportional cap (compose gets floor, reply the rest),
-    from the per-task sizes ``(strata_col, n)``."""
+    """Per-task quota of the proportional cap from the per-task sizes ``(strata_col, n)``: each
+    stratum in order of its name (null first) gets the floor of its share, the last one the remainder."""
     everything = Window.partitionBy()  # over the per-task count table: one row per task
     total = F.sum("n").over(everything)
-    n_compose = F.coalesce(F.sum(F.when(F.col(strata_col) == "compose", F.col("n"))).over(everything), F.lit(0))
-    compose_take = F.floor(F.lit(max_samples) * n_compose / total).cast("long")
+    share = F.floor(F.lit(max_samples) * F.col("n") / total).cast("long")
+    last = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col(strata_col).desc_nulls_last())) == 1
+    others = F.sum(share).over(everything) - share
     take = (F.when((F.lit(max_samples) == 0) | (total <= max_samples), F.col("n"))
-            .when(F.col(strata_col) == "compose", compose_take)
-            .otherwise(F.lit(max_samples) - compose_take))
+            .when(last, F.lit(max_samples) - others).otherwise(share))
     return counts.select(strata_col, take.alias("n_take"))
 
 

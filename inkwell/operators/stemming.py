@@ -1,49 +1,70 @@
-"""Stemmed ROUGE tokens via the distinct vocabulary.
-
-Stemming runs once per distinct word, not once per token: token arrays are
-exploded with their positions, the distinct words longer than 3 characters are
-stemmed by an Arrow pandas UDF, and the stems are joined back. When the stem
-table is small it is broadcast and the token rows never leave their partition,
-so re-assembling each array by key needs no shuffle; a larger vocabulary is
-joined by a shuffle on the word. The choice is Spark's: AQE measures the stem
-table at runtime and broadcasts it only under the broadcast threshold.
+"""Stemmed ROUGE counts of token arrays.
+
+One Arrow step reads both token arrays of a pair and returns counts only: clipped overlaps
+per n-gram order and the LCS length. Stems are remembered per worker, so a word is stemmed once
+and no token is exploded or shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from inkwell.functions.porter import stem
-
-
-@F.pandas_udf(StringType())
-def stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
-def stem_vocabulary(words: DataFrame, word_col: str = "word") -> DataFrame:
-    """(word, stem) for distinct words longer than 3 characters."""
-    vocab = words.select(F.col(word_col).alias("word")).where(F.length("word") > 3).distinct()
-    return vocab.select("word", stem_udf("word").alias("stem"))
-
-
-def stem_token_arrays(df: DataFrame, cols, keys) -> DataFrame:
-    """Replace each token array column in ``cols`` by its stemmed tokens (order kept)."""
-    keys = list(keys)
-    cols = list(cols)
-    exploded = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(c).alias("_toks")) for c in cols])))
-    tokens = exploded.select(*keys, "_col", F.posexplode("_toks").alias("_pos", "word"))
-    vocab = stem_vocabulary(tokens)
-    joined = tokens.join(vocab, "word", "left").select(
-        *keys, "_col", "_pos", F.coalesce(F.col("stem"), F.col("word")).alias("tok"))
-    regrouped = joined.groupBy(*keys, "_col").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "tok"))).alias("_pt"))
-    stemmed = regrouped.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_col") == c, F.transform("_pt", lambda x: x["tok"]))).alias(c) for c in cols])
-    out = df.drop(*cols).join(stemmed, keys, "left")
-    return out.select(*[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c) if c in cols else c
-                        for c in df.columns])
+
+from inkwell.functions.porter import rouge_stem
+
+REMEMBERED = 500_000
+_stems: dict[str, str] = {}
+
+
+def stems(tokens) -> list[str]:
+    """The tokens' stems, from this worker's memory where it has them."""
+    if len(_stems) > REMEMBERED:
+        _stems.clear()
+    out = []
+    for t in tokens:
+        s = _stems.get(t)
+        if s is None:
+            s = _stems[t] = rouge_stem(t)
+        out.append(s)
+    return out
+
+
+def lcs_length(a, b) -> int:
+    """Length of the longest common subsequence of two token sequences.
+
+    Bit-parallel form: one machine word per 64 positions of ``a`` (Python ints),
+    O(len(a) * len(b) / 64).
+    """
+    if a is None or b is None or len(a) == 0 or len(b) == 0:
+        return 0
+    masks: dict = {}
+    for i, tok in enumerate(a):
+        masks[tok] = masks.get(tok, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for tok in b:
+        u = v & masks.get(tok, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
+def clipped(a: list, b: list, n: int) -> int:
+    """Clipped n-gram matches of two token lists."""
+    grams = lambda t: Counter(zip(*(t[i:] for i in range(n))))
+    return (grams(a) & grams(b)).total()
+
+
+def rouge_counts(stem: bool, overlaps: bool, lcs: bool):
+    """Arrow function of two token arrays: struct of the asked counts (0 where not asked)."""
+    @F.pandas_udf("struct<overlap1:long,overlap2:long,lcs:long>")
+    def counts(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+        out = []
+        for p, r in zip(pred, ref):
+            p, r = (stems(p), stems(r)) if stem else (list(p), list(r))
+            out.append((clipped(p, r, 1) if overlaps else 0, clipped(p, r, 2) if overlaps else 0,
+                        lcs_length(p, r) if lcs else 0))
+        return pd.DataFrame(out, columns=["overlap1", "overlap2", "lcs"])
+
+    return counts

@@ -155,8 +155,82 @@ def n_total(tokens: str, n: int) -> str:
     return f"greatest(len({tokens}) - {n - 1}, 0)"
 
 
-def metric_ctes(with_text: bool = True) -> str:
-    """pairs -> tok -> per-pair overlap -> pair_metrics (no ROUGE-L)."""
+def _pattern(w: str) -> str:
+    """Vowels as V and consonants as C; a y is a consonant at the start and after a vowel."""
+    x = f"regexp_replace(regexp_replace({w}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g')"
+    x = f"regexp_replace({x}, '^y', 'C')"
+    for _ in range(4):  # runs of y resolve from the left
+        x = f"regexp_replace(regexp_replace({x}, 'Vy', 'VC', 'g'), 'Cy', 'CV', 'g')"
+    return x
+
+
+def stem_ctes(words: str) -> str:
+    """CTEs from ``words`` (a CTE with a column word) to stems(word, stem): the stemmer as one CASE per step."""
+    from inkwell.functions import porter
+
+    head = lambda x, k: f"substr({x}, 1, length(w) - {k})"
+    ends = lambda *sufs: "(" + " OR ".join(f"ends_with(w, '{x}')" for x in sufs) + ")"
+    m0 = lambda x: f"regexp_matches({x}, 'VC')"
+    m1 = lambda x: f"regexp_matches({x}, 'V+C+V+C')"
+    cvc = lambda x, q: (f"((length({x}) = 2 AND {q} = 'VC') OR (regexp_matches({q}, 'CVC$') "
+                        f"AND NOT regexp_matches({x}, '[wxy]$')))")
+    double = "(length(w) >= 2 AND w[-1] = w[-2] AND p[-1] = 'C')"
+    def rules(table, test):  # noqa: E306
+        return " ".join(f"WHEN ends_with(w, '{a}') THEN CASE WHEN {test(head('p', len(a)))} "
+                        f"THEN {head('w', len(a))} || '{b}' ELSE w END" for a, b in table)
+    step4 = " ".join(
+        f"WHEN ends_with(w, '{x}') THEN CASE WHEN {m1(head('p', len(x)))}"
+        + (f" AND regexp_matches({head('w', 3)}, '[st]$')" if x == "ion" else "")
+        + f" THEN {head('w', len(x))} ELSE w END" for x in porter._STEP4_L)
+    steps = [
+        (f"CASE WHEN {ends('sses')} THEN {head('w', 2)} "
+         f"WHEN {ends('ies')} THEN CASE WHEN length(w) = 4 THEN {head('w', 1)} ELSE {head('w', 2)} END "
+         f"WHEN {ends('ss')} THEN w WHEN {ends('s')} THEN {head('w', 1)} ELSE w END", "false"),
+        (f"CASE WHEN {ends('ied')} THEN CASE WHEN length(w) = 4 THEN {head('w', 1)} ELSE {head('w', 2)} END "
+         f"WHEN {ends('eed')} THEN CASE WHEN {m0(head('p', 3))} THEN {head('w', 1)} ELSE w END "
+         f"WHEN {ends('ed')} AND contains({head('p', 2)}, 'V') THEN {head('w', 2)} "
+         f"WHEN {ends('ing')} AND contains({head('p', 3)}, 'V') THEN {head('w', 3)} ELSE w END",
+         f"NOT {ends('ied', 'eed')} AND (({ends('ed')} AND contains({head('p', 2)}, 'V')) "
+         f"OR ({ends('ing')} AND contains({head('p', 3)}, 'V')))"),
+        (f"CASE WHEN NOT extra THEN w WHEN {ends('at', 'bl', 'iz')} THEN w || 'e' "
+         f"WHEN {double} THEN CASE WHEN w[-1] IN ('l', 's', 'z') THEN w ELSE {head('w', 1)} END "
+         f"WHEN {m0('p')} AND NOT {m1('p')} AND {cvc('w', 'p')} THEN w || 'e' ELSE w END", "false"),
+        (f"CASE WHEN {ends('y')} AND length(w) > 2 AND p[-2] = 'C' THEN {head('w', 1)} || 'i' ELSE w END", "false"),
+        (f"CASE WHEN {ends('alli')} AND {m0(head('p', 4))} THEN {head('w', 2)} "
+         f"WHEN {ends('logi')} THEN CASE WHEN {m0(head('p', 3))} THEN {head('w', 1)} ELSE w END "
+         f"{rules(porter._STEP2_L, m0)} ELSE w END", "false"),
+        (f"CASE {rules(porter._STEP3_L, m0)} ELSE w END", "false"),
+        (f"CASE {step4} ELSE w END", "false"),
+        (f"CASE WHEN {ends('e')} AND ({m1(head('p', 1))} OR ({m0(head('p', 1))} AND NOT {cvc(head('w', 1), head('p', 1))})) "
+         f"THEN {head('w', 1)} ELSE w END", "false"),
+        (f"CASE WHEN {m1(head('p', 1))} AND {ends('ll')} THEN {head('w', 1)} ELSE w END", "false"),
+    ]
+    out = [f"st0 AS (SELECT word, word AS w, {_pattern('word')} AS p, false AS extra "
+           f"FROM (SELECT DISTINCT word FROM {words} WHERE length(word) > 3) v)"]
+    for i, (w, extra) in enumerate(steps):
+        out.append(f"st{i + 1} AS (SELECT word, w, {_pattern('w')} AS p, extra "
+                   f"FROM (SELECT word, {w} AS w, {extra} AS extra FROM st{i}) x)")
+    irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in porter.IRREGULAR.items())
+    out.append(f"stems AS (SELECT word, CASE word {irregular} ELSE w END AS stem FROM st{len(steps)})")
+    return ",\n".join(out)
+
+
+LCS_CTES = """
+lcs AS (
+  SELECT model_name, sample_id, CASE WHEN len(pr) <= len(rr) THEN pr ELSE rr END AS a,
+         CASE WHEN len(pr) <= len(rr) THEN rr ELSE pr END AS b, 0 AS i,
+         list_transform(CASE WHEN len(pr) <= len(rr) THEN rr ELSE pr END, lambda x: 0) AS row
+  FROM tok WHERE len(pr) > 0 AND len(rr) > 0
+  UNION ALL
+  SELECT model_name, sample_id, a, b, i + 1, list_transform(cand, lambda x, j: list_max(cand[1:j]))
+  FROM (SELECT *, list_transform(b, lambda y, j: greatest(row[j],
+          (CASE WHEN j > 1 THEN row[j - 1] ELSE 0 END) + (CASE WHEN y = a[i + 1] THEN 1 ELSE 0 END))) AS cand
+        FROM lcs WHERE i < len(a)) x),
+lcs_len AS (SELECT model_name, sample_id, row[-1] AS n FROM lcs WHERE i = len(a))"""
+
+
+def metric_ctes(stem: bool = True, lcs: bool = True) -> str:
+    """pairs -> tok (stemmed if asked) -> per-pair overlap -> pair_metrics (rougeL if asked)."""
     kinds = (("rouge", "pr", "rr", (1, 2)), ("bleu", "pb", "rb", (1, 2, 3, 4)))
     ov_cols = []
     for kind, cp, cr, orders in kinds:
@@ -170,15 +244,32 @@ def metric_ctes(with_text: bool = True) -> str:
 
     bleu_terms = " + ".join(
         f"0.25 * ln(CASE WHEN num{n} = 0 THEN 0.1 / den{n} ELSE num{n} / den{n} END)" for n in (1, 2, 3, 4))
+    stemming = ""
+    if stem:
+        stemming = f""",
+toks AS (
+  SELECT model_name, sample_id, side, unnest(t) AS word, generate_subscripts(t, 1) AS pos
+  FROM (SELECT model_name, sample_id, 'p' AS side, pr AS t FROM tok0
+        UNION ALL SELECT model_name, sample_id, 'r', rr FROM tok0) x),
+{stem_ctes('toks')},
+stemmed AS (
+  SELECT t.model_name, t.sample_id, list(coalesce(s.stem, t.word) ORDER BY pos) FILTER (WHERE side = 'p') AS pr,
+         list(coalesce(s.stem, t.word) ORDER BY pos) FILTER (WHERE side = 'r') AS rr
+  FROM toks t LEFT JOIN stems s ON t.word = s.word GROUP BY t.model_name, t.sample_id),
+tok AS (
+  SELECT t.* REPLACE (coalesce(s.pr, []::VARCHAR[]) AS pr, coalesce(s.rr, []::VARCHAR[]) AS rr)
+  FROM tok0 t LEFT JOIN stemmed s ON t.model_name = s.model_name AND t.sample_id = s.sample_id)"""
+    p_l, r_l = "(l.n / len(t.pr))", "(l.n / len(t.rr))"
+    rouge_l = f", CASE WHEN l.n > 0 THEN 2 * {p_l} * {r_l} / ({p_l} + {r_l}) ELSE 0.0 END AS rougeL" if lcs else ""
     return f"""
 pairs AS ({view_sql('pairs')}),
-tok AS (
+{'tok0' if stem else 'tok'} AS (
   SELECT model_name, sample_id, task_type, prompt, prediction, reference,
          regexp_extract_all(lower(prediction), '[a-z0-9]+') AS pr,
          regexp_extract_all(lower(reference), '[a-z0-9]+') AS rr,
          {ws_tokens('prediction')} AS pb, {ws_tokens('reference')} AS rb,
          {ws_tokens('lower(prediction)')} AS pl
-  FROM pairs),
+  FROM pairs){stemming},{LCS_CTES + "," if lcs else ""}
 grams AS ({_grams_union(kinds)}),
 gram_counts AS (SELECT model_name, sample_id, kind, n, side, g, count(*) AS c FROM grams GROUP BY ALL),
 gram_overlap AS (
@@ -190,10 +281,11 @@ gram_overlap AS (
 ov AS (SELECT model_name, sample_id, {', '.join(ov_cols)} FROM gram_overlap GROUP BY model_name, sample_id),
 pair_counts AS (
   SELECT t.model_name, t.sample_id, t.task_type, t.prompt, t.prediction, t.reference,
-         {rouge(1)} AS rouge1, {rouge(2)} AS rouge2,
+         {rouge(1)} AS rouge1, {rouge(2)} AS rouge2{rouge_l},
          {', '.join(f"coalesce(o.bleu{n}, 0) AS num{n}, greatest({n_total('t.pb', n)}, 1) AS den{n}" for n in (1, 2, 3, 4))},
          len(t.pb) AS hyp_len, len(t.rb) AS ref_len, t.pl
-  FROM tok t LEFT JOIN ov o ON t.model_name = o.model_name AND t.sample_id = o.sample_id),
+  FROM tok t LEFT JOIN ov o ON t.model_name = o.model_name AND t.sample_id = o.sample_id
+  {"LEFT JOIN lcs_len l ON t.model_name = l.model_name AND t.sample_id = l.sample_id" if lcs else ""}),
 pair_metrics AS (
   SELECT *,
          CASE WHEN num1 = 0 THEN 0.0 ELSE

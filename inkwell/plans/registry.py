@@ -7,6 +7,7 @@ on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from inkwell.functions import fixed
 from inkwell.operators import corpus as C
 from inkwell.operators import messages as M
 from inkwell.plans import oracle as O
-from inkwell.session import materialize
+from inkwell.session import ensure_checkpoint_dir, materialize
+from inkwell.sources import jsonl as JS
+from inkwell.sources import maildir as MD
+from inkwell.sources import results as RS
 from inkwell.sources import tables as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +37,14 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _scratch(spark, name: str) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/inkwell-io/{name}-{uuid.uuid4().hex}"
+
+
 def _with(ctes: str, body: str) -> str:
-    return f"WITH {ctes.strip()}\n{body}"
+    recursive = "RECURSIVE " if "FROM lcs WHERE" in ctes else ""
+    return f"WITH {recursive}{ctes.strip()}\n{body}"
 
 
 # ------------------------------------------------------------------ corpus build
@@ -140,21 +150,23 @@ def q_all_samples(spark, sf_dir):
 
 from inkwell.operators import sampling as S  # noqa: E402
 
-CAP_CHECK = 250  # cap used by the registered cap/split queries (below the corpus size, so the cap applies)
+CAP_CHECK = 250  # the cap of ``capped_samples``, whose feature it is; the splits take every sample
+VAL_CHECK = 20   # the limit of ``val_load``, whose feature it is (below the number of validation samples)
 
 
 def _key_sql(purpose: str) -> str:
     return f"md5(concat_ws(':', '{fixed.SEED}', '{purpose}', sample_id))"
 
 
-SPLIT_CTES = SAMPLE_CTES + f""",
+def _split_ctes(cap: int) -> str:
+    return SAMPLE_CTES + f""",
 counts AS (SELECT task_type, count(*) AS n FROM samples GROUP BY task_type),
 tot AS (SELECT sum(n) AS total, coalesce(sum(n) FILTER (WHERE task_type = 'compose'), 0) AS nc FROM counts),
 quota AS (
   SELECT c.task_type,
-         CASE WHEN {CAP_CHECK} = 0 OR t.total <= {CAP_CHECK} THEN c.n
-              WHEN c.task_type = 'compose' THEN CAST(floor({CAP_CHECK} * t.nc / t.total) AS BIGINT)
-              ELSE {CAP_CHECK} - CAST(floor({CAP_CHECK} * t.nc / t.total) AS BIGINT) END AS n_take
+         CASE WHEN {cap} = 0 OR t.total <= {cap} THEN c.n
+              WHEN c.task_type = 'compose' THEN CAST(floor({cap} * t.nc / t.total) AS BIGINT)
+              ELSE {cap} - CAST(floor({cap} * t.nc / t.total) AS BIGINT) END AS n_take
   FROM counts c, tot t),
 cap_ranked AS (
   SELECT s.*, row_number() OVER (PARTITION BY task_type ORDER BY {_key_sql('cap')}, sample_id) AS rn FROM samples s),
@@ -169,6 +181,10 @@ splits AS (
 """
 
 
+CAPPED_CTES = _split_ctes(CAP_CHECK)
+SPLIT_CTES = _split_ctes(0)
+
+
 def _capped(spark, sf_dir):
     return S.cap_samples(samples(spark, sf_dir), max_samples=CAP_CHECK)
 
@@ -180,28 +196,31 @@ def q_shuffled_order(spark, sf_dir):
     return S.shuffled(samples(spark, sf_dir)).select("sample_id", "task_type", "order_key")
 
 
-@register("capped_samples", _with(SPLIT_CTES, "SELECT sample_id, task_type FROM capped"))
+@register("capped_samples", _with(CAPPED_CTES, "SELECT sample_id, task_type FROM capped"))
 def q_capped_samples(spark, sf_dir):
     return _capped(spark, sf_dir).select("sample_id", "task_type")
 
 
 @register("train_val_split", _with(SPLIT_CTES, "SELECT sample_id, task_type, split FROM splits"))
 def q_train_val_split(spark, sf_dir):
-    return S.stratified_split(materialize(_capped(spark, sf_dir), "capped")).select(
-        "sample_id", "task_type", "split")
+    return S.stratified_split(samples(spark, sf_dir)).select("sample_id", "task_type", "split")
 
 
 @register("split_summary", _with(SPLIT_CTES,
                                  "SELECT split, task_type, count(*) AS n_samples FROM splits GROUP BY CUBE (split, task_type)"))
 def q_split_summary(spark, sf_dir):
-    return S.split_summary(S.stratified_split(materialize(_capped(spark, sf_dir), "capped")))
+    return S.split_summary(S.stratified_split(samples(spark, sf_dir)))
 
 
 @register("task_counts", _with(SAMPLE_CTES,
-                               "SELECT coalesce(task_type, 'unknown') AS task_type, count(*) AS n_samples FROM samples "
-                               "GROUP BY 1 ORDER BY n_samples DESC, task_type"))
+                               "SELECT CASE WHEN sample_id < '2' THEN 'unknown' ELSE task_type END AS task_type, "
+                               "count(*) AS n_samples FROM samples GROUP BY 1 ORDER BY n_samples DESC, task_type"))
 def q_task_counts(spark, sf_dir):
-    return S.task_counts(samples(spark, sf_dir))
+    """Counts per task from a JSON Lines file in which some rows lack the task (A4, A5)."""
+    path = _scratch(spark, "samples")
+    task = F.when(F.col("sample_id") >= "2", F.col("task_type")).alias("task_type")
+    JS.write_jsonl(samples(spark, sf_dir).select("sample_id", task, "messages"), path)
+    return S.task_counts(JS.read_samples(spark, path))
 
 
 # ------------------------------------------------------------------ metrics
@@ -209,7 +228,9 @@ def q_task_counts(spark, sf_dir):
 from inkwell.operators import metrics as MT  # noqa: E402
 
 R = MT.round_doubles
-MCTES = O.metric_ctes()
+MCTES = O.metric_ctes()                            # stemmed ROUGE-1/2 and ROUGE-L
+STEM_CTES = O.metric_ctes(lcs=False)               # stemmed ROUGE-1/2
+RAW_CTES = O.metric_ctes(stem=False, lcs=False)    # ROUGE-1/2 without stems
 
 
 def _pairs(spark, sf_dir):
@@ -220,37 +241,38 @@ def _r6(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
 
-@register("rouge_n", _with(MCTES, f"SELECT model_name, sample_id, {_r6('rouge1', 'rouge1')}, "
+@register("rouge_n", _with(RAW_CTES, f"SELECT model_name, sample_id, {_r6('rouge1', 'rouge1')}, "
                                   f"{_r6('rouge2', 'rouge2')} FROM pair_metrics"))
 def q_rouge_n(spark, sf_dir):
-    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=False).select(*MT.KEYS, "rouge1", "rouge2"))
+    return R(MT.pair_scores(_pairs(spark, sf_dir), stem=False, with_lcs=False, with_bleu=False).select(
+        *MT.KEYS, "rouge1", "rouge2"))
 
 
-@register("bleu_per_sample", _with(MCTES, f"SELECT model_name, sample_id, {_r6('bleu', 'bleu')} FROM pair_metrics"))
+@register("bleu_per_sample", _with(RAW_CTES, f"SELECT model_name, sample_id, {_r6('bleu', 'bleu')} FROM pair_metrics"))
 def q_bleu_per_sample(spark, sf_dir):
-    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=False).select(*MT.KEYS, "bleu"))
+    return R(MT.pair_scores(_pairs(spark, sf_dir), with_rouge=False, with_lcs=False).select(*MT.KEYS, "bleu"))
 
 
 _BLEU_CORPUS_SQL = " + ".join(
     f"0.25 * ln(CASE WHEN sum(num{n}) = 0 THEN 0.1 / sum(den{n}) ELSE sum(num{n}) / sum(den{n}) END)" for n in (1, 2, 3, 4))
 
 
-@register("bleu_corpus", _with(MCTES, f"""
+@register("bleu_corpus", _with(RAW_CTES, f"""
 SELECT model_name, round(CASE WHEN sum(num1) = 0 THEN 0.0 ELSE
   (CASE WHEN sum(hyp_len) > sum(ref_len) THEN 1.0 WHEN sum(hyp_len) = 0 THEN 0.0
         ELSE exp(1.0 - sum(ref_len) / sum(hyp_len)) END) * exp({_BLEU_CORPUS_SQL}) END, 6) AS bleu
 FROM pair_metrics GROUP BY model_name"""))
 def q_bleu_corpus(spark, sf_dir):
-    ev = MT.evaluate(_pairs(spark, sf_dir), with_lcs=False)
-    return R(ev.where(F.col("metric") == "bleu").select("model_name", F.col("value").alias("bleu")))
+    return R(MT.bleu_corpus(_pairs(spark, sf_dir)))
 
 
-@register("rouge_l")
+@register("rouge_l", _with(O.metric_ctes(stem=False), "SELECT model_name, sample_id, round(rougeL, 6) AS \"rougeL\" FROM pair_metrics"))
 def q_rouge_l(spark, sf_dir):
-    return R(MT.pair_scores(_pairs(spark, sf_dir), with_lcs=True).select(*MT.KEYS, "rougeL"))
+    return R(MT.pair_scores(_pairs(spark, sf_dir), stem=False, with_rouge=False, with_bleu=False).select(
+        *MT.KEYS, "rougeL"))
 
 
-@register("distinct_n", _with(MCTES, """
+@register("distinct_n", _with(RAW_CTES, """
 SELECT model_name, 'distinct_' || n AS metric,
        round(CASE WHEN count(*) FILTER (WHERE g IS NOT NULL) = 0 THEN 0.0
                   ELSE count(DISTINCT g) / count(*) FILTER (WHERE g IS NOT NULL) END, 6) AS value
@@ -263,14 +285,14 @@ def q_distinct_n(spark, sf_dir):
     return R(MT.distinct_n_corpus(_pairs(spark, sf_dir)))
 
 
-@register("distinct_n_per_sample", _with(MCTES, "SELECT model_name, sample_id, " + ", ".join(
+@register("distinct_n_per_sample", _with(RAW_CTES, "SELECT model_name, sample_id, " + ", ".join(
     _r6(f"distinct_{n}", f"distinct_{n}") for n in (1, 2, 3)) + " FROM pair_metrics"))
 def q_distinct_n_per_sample(spark, sf_dir):
     p = _pairs(spark, sf_dir)
     return R(MT.text_features(p).select(*MT.KEYS, "distinct_1", "distinct_2", "distinct_3"))
 
 
-@register("format_compliance", _with(MCTES, f"""
+@register("format_compliance", _with(RAW_CTES, f"""
 SELECT model_name, {_r6('avg(' + O.compliance_sql() + ')', 'format_compliance')},
        {_r6('avg(CAST(has_greeting AS DOUBLE))', 'has_greeting_rate')},
        {_r6('avg(CAST(has_body AS DOUBLE))', 'has_body_rate')},
@@ -291,7 +313,7 @@ _LEN_SQL = ", ".join(
     for side in ("pred", "ref") for s in MT.LENGTH_STATS)
 
 
-@register("length_stats", _with(MCTES, f"SELECT model_name, {_LEN_SQL} FROM pair_metrics GROUP BY model_name"))
+@register("length_stats", _with(RAW_CTES, f"SELECT model_name, {_LEN_SQL} FROM pair_metrics GROUP BY model_name"))
 def q_length_stats(spark, sf_dir):
     f = MT.text_features(_pairs(spark, sf_dir))
     aggs = []
@@ -302,25 +324,32 @@ def q_length_stats(spark, sf_dir):
     return R(f.groupBy("model_name").agg(*aggs))
 
 
-PER_SAMPLE_COLS = ["rouge1", "rouge2", "bleu", "distinct_1", "distinct_2", "distinct_3", "format_compliance",
+PER_SAMPLE_COLS = ["rouge1", "rouge2", "rougeL", "bleu", "distinct_1", "distinct_2", "distinct_3", "format_compliance",
                    "has_greeting_rate", "has_body_rate", "has_closing_rate"] + [
     f"{side}_{s}_{k}" for side in ("pred", "ref") for s in MT.LENGTH_STATS for k in ("mean", "std")]
 
-PS_CTES = MCTES + f""",
+_PER_SAMPLE = f""",
 per_sample AS (
   SELECT model_name, sample_id, coalesce(task_type, 'unknown') AS task_type, substr(prompt, 1, 200) AS prompt,
          substr(prediction, 1, 500) AS prediction, substr(reference, 1, 500) AS reference,
-         rouge1, rouge2, bleu, distinct_1, distinct_2, distinct_3,
+         rouge1, rouge2, {{rougeL}}bleu, distinct_1, distinct_2, distinct_3,
          {O.compliance_sql()} AS format_compliance,
          CAST(has_greeting AS DOUBLE) AS has_greeting_rate, CAST(has_body AS DOUBLE) AS has_body_rate,
          CAST(has_closing AS DOUBLE) AS has_closing_rate,
          {', '.join(f"CAST({side}_{s} AS DOUBLE) AS {side}_{s}_mean, CAST(0.0 AS DOUBLE) AS {side}_{s}_std" for side in ('pred', 'ref') for s in MT.LENGTH_STATS)}
   FROM pair_metrics)
 """
+PS_CTES = MCTES + _PER_SAMPLE.replace("{rougeL}", 'rougeL AS "rougeL", ')
+PS_STEM_CTES = STEM_CTES + _PER_SAMPLE.replace("{rougeL}", "")  # for reports that use no ROUGE-L
+
 
+def per_sample_table(spark, sf_dir):
+    return MT.per_sample(_pairs(spark, sf_dir))
 
-def per_sample_table(spark, sf_dir, with_lcs=False):
-    return MT.per_sample(_pairs(spark, sf_dir), with_lcs=with_lcs)
+
+def shown_table(spark, sf_dir, rouge1: bool = False):
+    """What the error reports read: task and cut texts per sample, and stemmed rouge1 of the whole texts."""
+    return MT.shown(_pairs(spark, sf_dir), rouge1=rouge1)
 
 
 @register("per_sample_metrics", _with(PS_CTES, "SELECT model_name, sample_id, task_type, prompt, prediction, reference, "
@@ -329,13 +358,39 @@ def q_per_sample_metrics(spark, sf_dir):
     return R(per_sample_table(spark, sf_dir))
 
 
-_EVAL_METRICS = (["rouge1", "rouge2", "bleu", "format_compliance", "has_greeting_rate", "has_body_rate",
+_EMB = f""",
+emb_n AS (SELECT count(*) AS n FROM embeddings),
+etok AS (
+  SELECT model_name, sample_id, side, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM (
+    SELECT model_name, sample_id, 'p' AS side, {O.ws_tokens('lower(prediction)')} AS t FROM pairs
+    UNION ALL SELECT model_name, sample_id, 'r' AS side, {O.ws_tokens('lower(reference)')} AS t FROM pairs) s),
+ev AS (
+  SELECT e.model_name, e.sample_id, e.side, e.pos, CAST(x.embedding AS DOUBLE[]) AS v
+  FROM etok e CROSS JOIN emb_n
+  JOIN embeddings x ON x.vec_id = CAST('0x' || substr(md5(e.token), 1, 15) AS BIGINT) % emb_n.n),
+best AS (
+  SELECT a.model_name, a.sample_id, a.side, a.pos, max(list_cosine_similarity(a.v, b.v)) AS s
+  FROM ev a JOIN ev b ON a.model_name = b.model_name AND a.sample_id = b.sample_id AND a.side <> b.side
+  GROUP BY ALL),
+pr AS (
+  SELECT model_name, sample_id, avg(s) FILTER (WHERE side = 'p') AS precision, avg(s) FILTER (WHERE side = 'r') AS recall
+  FROM best GROUP BY ALL),
+em AS (
+  SELECT p.model_name, p.sample_id, coalesce(pr.precision, 0.0) AS precision, coalesce(pr.recall, 0.0) AS recall
+  FROM pairs p LEFT JOIN pr ON p.model_name = pr.model_name AND p.sample_id = pr.sample_id),
+em_f AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM em)
+"""
+
+
+
+_EVAL_METRICS = (["rouge1", "rouge2", "rougeL", "bleu", "format_compliance", "has_greeting_rate", "has_body_rate",
                   "has_closing_rate"] + [f"{side}_{s}_{k}" for side in ("pred", "ref") for s in MT.LENGTH_STATS
                                          for k in ("mean", "std")])
 
-_EVAL_SQL = f"""
+_EVAL_SQL = _EMB + f"""
 , run AS (
-  SELECT model_name, avg(rouge1) AS rouge1, avg(rouge2) AS rouge2,
+  SELECT model_name, avg(rouge1) AS rouge1, avg(rouge2) AS rouge2, avg(rougeL) AS "rougeL",
          CASE WHEN sum(num1) = 0 THEN 0.0 ELSE
            (CASE WHEN sum(hyp_len) > sum(ref_len) THEN 1.0 WHEN sum(hyp_len) = 0 THEN 0.0
                  ELSE exp(1.0 - sum(ref_len) / sum(hyp_len)) END) * exp({_BLEU_CORPUS_SQL}) END AS bleu,
@@ -354,13 +409,21 @@ dn AS (
   GROUP BY model_name, n),
 run_metrics AS (
   SELECT model_name, metric, value FROM (UNPIVOT run ON {', '.join(_EVAL_METRICS)} INTO NAME metric VALUE value)
-  UNION ALL SELECT model_name, metric, value FROM dn)
+  UNION ALL SELECT model_name, metric, value FROM dn
+  UNION ALL SELECT model_name, metric, value FROM (UNPIVOT (
+    SELECT model_name, avg(precision) AS bertscore_precision, avg(recall) AS bertscore_recall, avg(f1) AS bertscore_f1
+    FROM em_f GROUP BY model_name) ON bertscore_precision, bertscore_recall, bertscore_f1 INTO NAME metric VALUE value))
 """
 
 
 @register("evaluate_runs", _with(MCTES + _EVAL_SQL, "SELECT model_name, metric, round(value, 6) AS value FROM run_metrics"))
 def q_evaluate_runs(spark, sf_dir):
-    return R(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False))
+    return R(run_metrics(spark, sf_dir))
+
+
+def run_metrics(spark, sf_dir):
+    """Every metric of every run."""
+    return MT.evaluate(_pairs(spark, sf_dir), embeddings=T.read_table(spark, sf_dir, "embeddings"))
 
 
 @register("metric_mean_std", _with(PS_CTES, """
@@ -380,13 +443,13 @@ from inkwell.operators import reports as RP  # noqa: E402
 
 def labelled_table(spark, sf_dir):
     """Per-sample results with failure labels, materialised (read by several reports)."""
-    return materialize(ER.failure_labels(per_sample_table(spark, sf_dir)), "labelled")
+    return materialize(ER.failure_labels(shown_table(spark, sf_dir, rouge1=True)), "labelled")
 
 
 _NO_GREETING_RE2 = "(?im)^(dear|hi|hello|hey|good)"
 _NO_CLOSING_RE2 = "(?i)(regards|sincerely|best|thanks|thank you)"
 
-LAB_CTES = PS_CTES + f""",
+LAB_CTES = PS_STEM_CTES + f""",
 ps_tok AS (SELECT *, {O.ws_tokens('lower(prediction)')} AS lw, len({O.ws_tokens('prediction')}) AS pwc,
                   len({O.ws_tokens('reference')}) AS rwc FROM per_sample),
 tri AS (SELECT model_name, sample_id, unnest({O.ngrams('lw', 3)}) AS g FROM ps_tok),
@@ -424,7 +487,7 @@ _FLAGS = ("repetition", "too_short", "too_long", "no_greeting", "no_closing", "o
 @register("failure_labels", _with(LAB_CTES, "SELECT model_name, sample_id, failure_str, " + ", ".join(_FLAGS)
                                   + " FROM labelled"))
 def q_failure_labels(spark, sf_dir):
-    return ER.failure_labels(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "failure_str", *_FLAGS)
+    return ER.failure_labels(shown_table(spark, sf_dir, rouge1=True)).select(*MT.KEYS, "failure_str", *_FLAGS)
 
 
 @register("failure_counts", _with(LAB_CTES, "SELECT model_name, mode, count, round(100.0 * count / n_samples, 6) AS pct "
@@ -436,7 +499,7 @@ def q_failure_counts(spark, sf_dir):
 @register("repetition_scores", _with(LAB_CTES, "SELECT model_name, sample_id, round(repetition_score, 6) AS repetition_score "
                                      "FROM labelled"))
 def q_repetition_scores(spark, sf_dir):
-    return R(RP.with_repetition(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score"))
+    return R(RP.with_repetition(shown_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score"))
 
 
 _RULES_SQL = " UNION ALL ".join(
@@ -480,15 +543,17 @@ SELECT model_name, sample_id, round(repetition_score, 6) AS repetition_score, ra
   FROM labelled WHERE model_name IN (SELECT model_name FROM labelled GROUP BY model_name
                                      HAVING max(repetition_score) > 0.1)) w WHERE rank <= 3"""))
 def q_most_repetitive(spark, sf_dir):
-    return R(RP.most_repetitive(per_sample_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score", "rank"))
+    return R(RP.most_repetitive(shown_table(spark, sf_dir)).select(*MT.KEYS, "repetition_score", "rank"))
 
 
 @register("sample_listing", _with(PS_CTES, """
-SELECT model_name, sample_id, task_type, prompt, prediction, reference, round(rouge1, 6) AS rouge1, rank FROM (
+SELECT model_name, sample_id, task_type, prompt, prediction, reference, round(rouge1, 6) AS rouge1,
+       round("rougeL", 6) AS "rougeL", rank FROM (
   SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY sample_id) AS rank FROM per_sample) w WHERE rank <= 5"""))
 def q_sample_listing(spark, sf_dir):
-    return R(RP.sample_listing(per_sample_table(spark, sf_dir)).select(
-        *MT.KEYS, "task_type", "prompt", "prediction", "reference", "rouge1", "rank"))
+    first = RP.sample_listing(_pairs(spark, sf_dir))  # scores are needed for the listed samples only
+    return R(MT.shown(first, rouge1=True, rouge_l=True, carry=("rank",)).select(
+        *MT.KEYS, "task_type", "prompt", "prediction", "reference", "rouge1", "rougeL", "rank"))
 
 
 _TASK_COLS = [c for c in fixed.TASK_METRICS if c in PER_SAMPLE_COLS]
@@ -503,12 +568,12 @@ def q_task_metric_stats(spark, sf_dir):
     return RP.task_metric_stats(per_sample_table(spark, sf_dir))
 
 
-@register("task_types", _with(PS_CTES, "SELECT DISTINCT task_type FROM per_sample"))
+@register("task_types", _with(PS_STEM_CTES, "SELECT DISTINCT task_type FROM per_sample"))
 def q_task_types(spark, sf_dir):
-    return RP.task_types(per_sample_table(spark, sf_dir))
+    return RP.task_types(shown_table(spark, sf_dir))
 
 
-@register("box_stats", _with(PS_CTES, """
+@register("box_stats", _with(PS_STEM_CTES, """
 , quart AS (
   SELECT model_name, task_type, count(*) AS n, quantile_cont(rouge1, [0.25, 0.5, 0.75]) AS q
   FROM per_sample GROUP BY model_name, task_type)
@@ -520,8 +585,7 @@ SELECT p.model_name, p.task_type, any_value(q.n) AS n, round(any_value(q.q[1]),
 FROM per_sample p JOIN quart q ON p.model_name = q.model_name AND p.task_type = q.task_type
 GROUP BY p.model_name, p.task_type""".replace("\n, quart", ", quart", 1)))
 def q_box_stats(spark, sf_dir):
-    # exact distributed quartiles read their input several times: materialise it once
-    return R(RP.box_stats(materialize(per_sample_table(spark, sf_dir), "per_sample")))
+    return R(RP.box_stats(shown_table(spark, sf_dir, rouge1=True)))
 
 
 @register("length_histogram", _with(LAB_CTES, """
@@ -541,7 +605,7 @@ SELECT g.model_name, g.series, CAST(g.bin AS INTEGER) AS bin, round(g.lo + g.bin
 FROM grid g LEFT JOIN counts c ON g.model_name = c.model_name AND g.series = c.series AND g.bin = c.bin
 """.replace("\n, series", ", series", 1)))
 def q_length_histogram(spark, sf_dir):
-    return R(RP.length_histogram(per_sample_table(spark, sf_dir)))
+    return R(RP.length_histogram(shown_table(spark, sf_dir)))
 
 
 @register("length_scatter", _with(LAB_CTES, """
@@ -549,13 +613,13 @@ SELECT l.model_name, l.sample_id, l.rwc AS ref_word_count, l.pwc AS pred_word_co
 FROM labelled l JOIN (SELECT model_name, greatest(max(rwc), max(pwc)) AS line_max FROM labelled GROUP BY model_name) m
   ON l.model_name = m.model_name"""))
 def q_length_scatter(spark, sf_dir):
-    return RP.length_scatter(per_sample_table(spark, sf_dir))
+    return RP.length_scatter(shown_table(spark, sf_dir))
 
 
 # ---- reports over run metrics
 
 def run_metrics_table(spark, sf_dir):
-    return materialize(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False), "run_metrics")
+    return materialize(run_metrics(spark, sf_dir), "run_metrics")
 
 
 _GROUPS_SQL = " UNION ALL ".join(
@@ -722,28 +786,15 @@ def q_pack_sequences(spark, sf_dir):
 
 # ------------------------------------------------------------------ file sources and sinks
 
-import uuid  # noqa: E402
-
-from inkwell.session import ensure_checkpoint_dir  # noqa: E402
-from inkwell.sources import jsonl as JS  # noqa: E402
-from inkwell.sources import maildir as MD  # noqa: E402
-from inkwell.sources import results as RS  # noqa: E402
-
-
-def _scratch(spark, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/inkwell-io/{name}-{uuid.uuid4().hex}"
-
-
 @register("mail_tree_scan", _with(O.CORPUS_CTES,
                                   'SELECT "user", box, subject, from_addr, body, body_hash FROM messages'))
 def q_mail_tree_scan(spark, sf_dir):
-    """raw_messages written as a real mail tree, then scanned back (S1-S4) and
-    run through parse/clean/filter/dedup."""
+    """raw_messages written as a real mail tree, some of its folders with hidden file names, then
+    scanned back (S1-S4) and run through parse/clean/filter/dedup."""
     root = _scratch(spark, "maildir")
-    JS.write_mail_tree(T.raw_messages(spark, sf_dir), root)
+    raw = T.raw_messages(spark, sf_dir)
+    hidden = F.when(F.col("folder") == "notes_inbox", "_").when(F.col("folder") == "sent", ".").otherwise("")
+    JS.write_mail_tree(raw, root, F.concat(hidden, F.col("doc_id").cast("string")))
     raw = MD.read_maildir(spark, root)
     msgs = C.dedup_first(M.prepare_messages(raw, size_col="length"))
     return msgs.select("user", "box", "subject", "from_addr", "body", "body_hash")
@@ -752,21 +803,55 @@ def q_mail_tree_scan(spark, sf_dir):
 @register("jsonl_roundtrip", _with(SPLIT_CTES, "SELECT sample_id, task_type, split, user_content FROM splits"))
 def q_jsonl_roundtrip(spark, sf_dir):
     """Split samples written as JSON Lines (raw + partitioned train/val) and read back (S5-S8)."""
-    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    split = S.stratified_split(samples(spark, sf_dir))
     paths = JS.write_splits(split, _scratch(spark, "samples"))
     back = (JS.read_samples(spark, paths["train"]).withColumn("split", F.lit("train"))
             .unionByName(JS.read_samples(spark, paths["val"]).withColumn("split", F.lit("val"))))
     return back.select("sample_id", "task_type", "split", F.col("messages")[1]["content"].alias("user_content"))
 
 
-@register("results_roundtrip", _with(MCTES + _EVAL_SQL, "SELECT model_name, metric, round(value, 6) AS value FROM run_metrics"))
+@register("results_roundtrip", _with(MCTES + _EVAL_SQL, f"""
+SELECT model_name, metric, round(value, 6) AS value FROM run_metrics
+UNION ALL SELECT model_name, 'num_samples', count(*) FROM pair_metrics GROUP BY model_name
+UNION ALL SELECT DISTINCT model_name, 'max_samples', {fixed.EVAL_MAX_SAMPLES}.0 FROM pair_metrics
+UNION ALL SELECT model_name, 'sum_of_rougeL', round(sum(rougeL), 6) FROM pair_metrics GROUP BY model_name"""))
 def q_results_roundtrip(spark, sf_dir):
-    """Run metrics and per-sample results written as tables and read back (S9-S10)."""
+    """Metrics, per-sample results, sample counts and config written as tables and as a nested run
+    document, the document read back (S9-S10)."""
     out = _scratch(spark, "results")
-    RS.write_results(MT.evaluate(_pairs(spark, sf_dir), with_lcs=False), per_sample_table(spark, sf_dir), out,
-                     {"max_samples": fixed.EVAL_MAX_SAMPLES})
-    metrics, _ = RS.read_results(spark, out)
-    return R(metrics)
+    config = {"max_samples": fixed.EVAL_MAX_SAMPLES}
+    RS.write_results(run_metrics(spark, sf_dir), per_sample_table(spark, sf_dir), out, config)
+    RS.write_run_json(*RS.read_results(spark, out), f"{out}/document", config)
+    metrics, samples, about = RS.read_run_json(spark, f"{out}/document")
+    more = about.select("model_name", F.inline(F.array(
+        F.struct(F.lit("num_samples").alias("metric"), F.col("num_samples").cast("double").alias("value")),
+        F.struct(F.lit("max_samples"), F.col("config")["max_samples"].cast("double")))))
+    sums = samples.groupBy("model_name").agg(F.sum("rougeL").alias("value")).select(
+        "model_name", F.lit("sum_of_rougeL").alias("metric"), "value")
+    return R(metrics.unionByName(more).unionByName(sums))
+
+
+@register("compare_run_document", ORACLE["compare_runs"])
+def q_compare_run_document(spark, sf_dir):
+    """The comparison from a nested run document, whose tuned run is labelled "fine-tuned" (C2, J4)."""
+    path = _scratch(spark, "document")
+    RS.write_run_json(run_metrics(spark, sf_dir), per_sample_table(spark, sf_dir), path)
+    metrics, _, _ = RS.read_run_json(spark, path)
+    return R(RP.compare_runs(metrics))
+
+
+@register("join_predictions", f"""
+WITH pairs AS ({T.view_sql('pairs')})
+SELECT model_name, sample_id, task_type, length(prompt) AS prompt_chars, length(prediction) AS prediction_chars,
+       length(reference) AS reference_chars FROM pairs WHERE length(prediction) % 5 <> 0""")
+def q_join_predictions(spark, sf_dir):
+    """Predictions of two models, some missing, joined to their samples by key (J2)."""
+    p = _pairs(spark, sf_dir)
+    samples = p.where("model_name = 'base'").select("sample_id", "task_type", "prompt", "reference")
+    predictions = p.where(F.length("prediction") % 5 != 0).select("model_name", "sample_id", "prediction")
+    j = RS.join_predictions(samples, predictions)
+    chars = [F.length(c).cast("long").alias(f"{c}_chars") for c in ("prompt", "prediction", "reference")]
+    return j.select("model_name", "sample_id", "task_type", *chars)
 
 
 # ------------------------------------------------------------------ stemming and embedding match
@@ -774,50 +859,26 @@ def q_results_roundtrip(spark, sf_dir):
 from inkwell.operators import embedding as EM  # noqa: E402
 
 
-@register("rouge_stemmed")
+@register("rouge_stemmed", _with(MCTES, "SELECT model_name, sample_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, "
+                                 "round(rougeL, 6) AS \"rougeL\" FROM pair_metrics"))
 def q_rouge_stemmed(spark, sf_dir):
-    """ROUGE-1/2/L with Porter-stemmed tokens (distinct-vocabulary stemming)."""
-    return R(MT.pair_scores(_pairs(spark, sf_dir), stem=True, with_lcs=True).select(
+    """ROUGE-1/2/L with Porter-stemmed tokens."""
+    return R(MT.pair_scores(_pairs(spark, sf_dir), with_bleu=False).select(
         *MT.KEYS, "rouge1", "rouge2", "rougeL"))
 
 
-_EMB_CTES = MCTES + f"""
-, emb_n AS (SELECT count(*) AS n FROM embeddings),
-etok AS (
-  SELECT model_name, sample_id, side, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM (
-    SELECT model_name, sample_id, 'p' AS side, {O.ws_tokens('lower(prediction)')} AS t FROM pairs
-    UNION ALL SELECT model_name, sample_id, 'r' AS side, {O.ws_tokens('lower(reference)')} AS t FROM pairs) s),
-ev AS (
-  SELECT e.model_name, e.sample_id, e.side, e.pos, CAST(x.embedding AS DOUBLE[]) AS v
-  FROM etok e CROSS JOIN emb_n
-  JOIN embeddings x ON x.vec_id = CAST('0x' || substr(md5(e.token), 1, 4) AS BIGINT) % emb_n.n),
-best AS (
-  SELECT a.model_name, a.sample_id, a.side, a.pos, max(list_cosine_similarity(a.v, b.v)) AS s
-  FROM ev a JOIN ev b ON a.model_name = b.model_name AND a.sample_id = b.sample_id AND a.side <> b.side
-  GROUP BY ALL),
-pr AS (
-  SELECT model_name, sample_id, avg(s) FILTER (WHERE side = 'p') AS precision, avg(s) FILTER (WHERE side = 'r') AS recall
-  FROM best GROUP BY ALL),
-em AS (
-  SELECT p.model_name, p.sample_id, coalesce(pr.precision, 0.0) AS precision, coalesce(pr.recall, 0.0) AS recall
-  FROM pairs p LEFT JOIN pr ON p.model_name = pr.model_name AND p.sample_id = pr.sample_id)
-""".replace("\n, emb_n", ", emb_n", 1)
-
-
-@register("embedding_match", _with(_EMB_CTES, """
-SELECT model_name, sample_id, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1
-FROM em"""))
+@register("embedding_match", _with(RAW_CTES + _EMB, """
+SELECT model_name, sample_id, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+FROM em_f"""))
 def q_embedding_match(spark, sf_dir):
     return R(EM.embedding_match(_pairs(spark, sf_dir), T.read_table(spark, sf_dir, "embeddings")))
 
 
-@register("evaluate_full")
+@register("evaluate_full", _with(MCTES + _EVAL_SQL, "SELECT model_name, metric, round(value, 6) AS value FROM run_metrics"))
 def q_evaluate_full(spark, sf_dir):
     """Every corpus metric per run: stemmed ROUGE-1/2/L, BLEU, embedding match,
     distinct-n, format compliance, length stats."""
-    return R(MT.evaluate(_pairs(spark, sf_dir), stem=True, with_lcs=True,
-                         embeddings=T.read_table(spark, sf_dir, "embeddings")))
+    return R(run_metrics(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ pipeline audits
@@ -843,19 +904,19 @@ def q_stage_counts(spark, sf_dir):
 SELECT count(*) AS bodies_in_both FROM (
   SELECT md5(assistant_content) AS h FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1) x"""))
 def q_leakage_audit(spark, sf_dir):
-    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    split = S.stratified_split(samples(spark, sf_dir))
     return S.leakage_audit(split)
 
 
 @register("val_load", _with(SPLIT_CTES, f"""
 SELECT sample_id, task_type, user_content FROM splits WHERE split = 'val'
-ORDER BY sample_id LIMIT {fixed.EVAL_MAX_SAMPLES}"""))
+ORDER BY sample_id LIMIT {VAL_CHECK}"""))
 def q_val_load(spark, sf_dir):
     """Validation samples written as JSONL, then loaded back limited to the first
     ``max_samples`` by id (the evaluation loader; the limit is the feature)."""
-    split = S.stratified_split(materialize(_capped(spark, sf_dir), "capped"))
+    split = S.stratified_split(samples(spark, sf_dir))
     paths = JS.write_splits(split, _scratch(spark, "samples"))
-    val = JS.read_val(spark, paths["val"], fixed.EVAL_MAX_SAMPLES)
+    val = JS.read_val(spark, paths["val"], VAL_CHECK)
     return val.select("sample_id", "task_type", F.col("messages")[1]["content"].alias("user_content"))
 
 

@@ -7,12 +7,12 @@ so samples carry ``sample_id`` and "first n" means smallest ids.
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
+from inkwell.session import ship_package
+from inkwell.sources.maildir import uri
 
 SAMPLE_SCHEMA = ("sample_id string, task_type string, "
                  "messages array<struct<role: string, content: string>>")
@@ -42,19 +42,23 @@ def write_splits(split_samples: DataFrame, out_dir: str) -> dict[str, str]:
     return {"raw": f"{out}/raw", "train": f"{out}/splits/split=train", "val": f"{out}/splits/split=val"}
 
 
-def write_mail_tree(raw: DataFrame, root: str) -> None:
-    """Write raw messages as a mail tree ``<root>/<user>/<folder>/<doc_id>.`` (UTF-8).
+def write_mail_tree(raw: DataFrame, root: str, name: Column | None = None) -> None:
+    """Write raw messages as a mail tree ``<root>/<user>/<folder>/<name>.`` (UTF-8); the name is the doc_id by default.
 
-    Executors write their own rows with Python file I/O, so ``root`` must be a
-    locally mounted shared folder (tests, fixtures); it is not a general sink.
+    Executors write their own rows through the file system that ``root``'s URI names, which all of them share.
     """
-    rows = raw.select("user", "folder", F.col("doc_id").cast("string").alias("name"), "content")
+    ship_package(raw.sparkSession)
+    target = uri(root)
+    rows = raw.select("user", "folder", (F.col("doc_id").cast("string") if name is None else name).alias("name"), "content")
 
     def write_part(it):
+        from pyarrow import fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(target)
         for r in it:
-            d = os.path.join(root, r["user"], r["folder"])
-            os.makedirs(d, exist_ok=True)
-            with open(os.path.join(d, r["name"] + "."), "w", encoding="utf-8", newline="") as fh:
-                fh.write(r["content"])
+            d = f"{base}/{r['user']}/{r['folder']}"
+            fs.create_dir(d, recursive=True)
+            with fs.open_output_stream(f"{d}/{r['name']}.") as out:
+                out.write(r["content"].encode("utf-8"))
 
     rows.foreachPartition(write_part)

@@ -5,9 +5,8 @@
   there, so skipped folders are never opened.
 * Spark's file listing drops names starting with ``_`` or ``.``; reading the
   root recursively would lose every ``_sent_mail`` folder. Selected folders are
-  therefore passed to the reader by name. Hidden names *below* a selected folder
-  cannot be read by Spark's file sources; they are counted and, unless
-  ``allow_hidden_loss``, reported as an error instead of silently lost.
+  therefore passed to the reader by name, and hidden names *below* a selected folder are
+  listed and read by a Spark job over the folder table (``read_hidden``).
 * The size prefilter on ``length`` is pushed into the ``binaryFile`` scan, so
   oversized files are never read.
 * Bytes are decoded as UTF-8 with undecodable bytes dropped (genuine U+FFFD is
@@ -16,10 +15,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
+from inkwell.session import ship_package
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,18 +48,37 @@ def list_folders(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def count_hidden(spark: SparkSession, folder_paths: list[str]) -> int:
-    """Files below the given folders that Spark's listing would skip (hidden names)."""
-    n = 0
-    for fp in folder_paths:
-        fs, p = _fs(spark, fp)
-        base = p.toUri().getPath().rstrip("/")
-        it = fs.listFiles(p, True)
-        while it.hasNext():
-            rel = it.next().getPath().toUri().getPath()[len(base) + 1:]
-            if any(_hidden(part) for part in rel.split("/")):
-                n += 1
-    return n
+def uri(path: str) -> str:
+    """A Hadoop path as a URI of other file system libraries: three slashes, escaped characters."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon:
+        return path
+    return f"{scheme}:///{quote(rest.lstrip('/'))}" if scheme == "file" else f"{scheme}:/{quote(rest)}"
+
+
+def read_hidden(spark: SparkSession, folders: list[tuple[str, str, str]], max_bytes: int) -> DataFrame:
+    """Files below the selected folders whose names Spark's listing drops (a part that starts with _ or .):
+    (path, user, folder, length, bytes). Tasks list and read the folders, one row per folder."""
+    schema = "path string, user string, folder string, length bigint, bytes binary"
+
+    def read(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        for batch in batches:
+            for user, folder, path in zip(batch["user"], batch["folder"], batch["path"]):
+                fs, base = pafs.FileSystem.from_uri(path)
+                base = base.rstrip("/")
+                for info in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
+                    hidden = any(_hidden(part) for part in info.path[len(base) + 1:].split("/"))
+                    if info.type == pafs.FileType.File and hidden and info.size <= max_bytes:
+                        with fs.open_input_stream(info.path) as f:
+                            row = (path.split("://")[0] + ":" + info.path, user, folder, info.size, f.read())
+                        yield pd.DataFrame([row], columns=["path", "user", "folder", "length", "bytes"])
+
+    ship_package(spark)
+    table = spark.createDataFrame([(u, f, uri(p)) for u, f, p in folders], "user string, folder string, path string")
+    return table.repartition(min(len(folders), 10_000)).mapInPandas(read, schema)
 
 
 def decode_text(content) -> F.Column:
@@ -68,12 +89,13 @@ def decode_text(content) -> F.Column:
 
 
 def read_maildir(spark: SparkSession, root: str, max_body_length: int = fixed.MAX_BODY_LENGTH,
-                 allow_hidden_loss: bool = False) -> DataFrame:
+                 hidden: bool = True) -> DataFrame:
     """Raw messages of sent and inbox folders: (path, user, folder, length, content).
 
     ``length`` (bytes) is kept for the size prefilter; apply
     ``prepare_messages(raw, size_col="length")`` next. Files over
-    ``max_body_length + 5000`` bytes are filtered in the scan.
+    ``max_body_length + 5000`` bytes are filtered in the scan. ``hidden=False`` leaves out files whose
+    name, or a folder above it, starts with _ or . (for file systems that only Spark can open).
     """
     folders = list_folders(spark, root)
     chosen = [(u, f, p) for u, f, p in folders if _box(f) is not None]
@@ -81,11 +103,6 @@ def read_maildir(spark: SparkSession, root: str, max_body_length: int = fixed.MA
         schema = "path string, user string, folder string, length bigint, content string"
         return spark.createDataFrame([], schema)
     paths = [p for _, _, p in chosen]
-    if not allow_hidden_loss:
-        hidden = count_hidden(spark, paths)
-        if hidden:
-            raise ValueError(f"{hidden} file(s) with hidden names (_ or .) under selected folders "
-                             "cannot be read by Spark's file sources; pass allow_hidden_loss=True to skip them")
     user_of = spark.createDataFrame([(p.rstrip("/"), u, f) for u, f, p in chosen],
                                     "folder_path string, user string, folder string")
     scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
@@ -97,9 +114,12 @@ def read_maildir(spark: SparkSession, root: str, max_body_length: int = fixed.MA
     root_q = _fs(spark, root)[0].makeQualified(root_uri).toString().rstrip("/")
     rel = F.substring(F.col("path"), len(root_q) + 2, 1 << 30)
     folder_path = F.concat(F.lit(root_q + "/"), F.substring_index(rel, "/", 2))
-    return (scan.select("path", "length", folder_path.alias("folder_path"), decode_text(F.col("content")).alias("content"))
+    seen = (scan.select("path", "length", folder_path.alias("folder_path"), F.col("content").alias("bytes"))
             .join(F.broadcast(user_of), "folder_path")
-            .select("path", "user", "folder", "length", "content"))
+            .select("path", "user", "folder", "length", "bytes"))
+    if hidden:
+        seen = seen.unionByName(read_hidden(spark, chosen, max_body_length + fixed.FILE_SIZE_SLACK))
+    return seen.select("path", "user", "folder", "length", decode_text(F.col("bytes")).alias("content"))
 
 
 def _box(folder: str):

@@ -30,29 +30,66 @@ def read_results(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> tup
     return (spark.read.format(fmt).load(f"{out}/run_metrics"), spark.read.format(fmt).load(f"{out}/per_sample"))
 
 
-def read_run_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nested run document(s) -> (run_metrics(model_name, metric, value), per_sample rows + model_name).
+RUN = """struct<model_name:string, num_samples:bigint, metrics:map<string,double>, per_sample:array<struct<
+    rouge1:double, rouge2:double, rougeL:double, bleu:double, distinct_1:double, distinct_2:double, distinct_3:double,
+    format_compliance:double, has_greeting_rate:double, has_body_rate:double, has_closing_rate:double,
+    pred_word_count_mean:double, pred_word_count_std:double, pred_sentence_count_mean:double,
+    pred_sentence_count_std:double, pred_char_count_mean:double, pred_char_count_std:double,
+    ref_word_count_mean:double, ref_word_count_std:double, ref_sentence_count_mean:double,
+    ref_sentence_count_std:double, ref_char_count_mean:double, ref_char_count_std:double,
+    sample_id:string, task_type:string, prompt:string, prediction:string, reference:string>>>"""
+RUN_DOCUMENT = f"fine_tuned {RUN}, base {RUN}, config map<string,string>"
+SIDES = ("fine_tuned", "base")
 
-    A missing or null ``base`` simply contributes no rows (no comparison).
+
+def write_run_json(run_metrics: DataFrame, per_sample: DataFrame, path: str, config: dict | None = None,
+                   labels: dict | None = None) -> None:
+    """The nested run document: one JSON object with a side per run. The format holds all
+    per-sample rows in one document, so it suits the sample sizes of an evaluation, not a corpus."""
+    labels = labels or {"fine_tuned": "fine-tuned", "base": "base"}
+    fields = ["sample_id", *[c for c in per_sample.columns if c not in ("model_name", "sample_id")]]
+    samples = per_sample.groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("num_samples"), F.sort_array(F.collect_list(F.struct(*fields))).alias("per_sample"))
+    metrics = run_metrics.groupBy("model_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics"))
+    runs = metrics.join(samples, "model_name", "left")
+    side = lambda s: F.max(F.when(F.col("model_name") == s, F.to_json(F.struct(
+        F.lit(labels[s]).alias("model_name"), "num_samples", "metrics", "per_sample"))))
+    cfg = _config_json(config or {})
+    doc = runs.agg(*[F.coalesce(side(s), F.lit("null")).alias(s) for s in SIDES]).select(
+        F.concat(F.lit('{"fine_tuned":'), "fine_tuned", F.lit(',"base":'), "base", F.lit(f',"config":{cfg}}}'))
+        .alias("value"))
+    doc.write.mode("overwrite").text(path)
+
+
+def _config_json(config: dict) -> str:
+    import json
+
+    return json.dumps({k: str(v) for k, v in config.items()}, ensure_ascii=False)
+
+
+def read_run_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nested run document(s) -> run_metrics (model_name, metric, value), per_sample rows with
+    model_name, and runs (model_name, label, num_samples, config).
+
+    ``model_name`` is the side of the document (``fine_tuned`` or ``base``), which the comparison joins on; the
+    name written inside it is kept as ``label``. The schema is fixed, so an empty ``per_sample`` list or a
+    missing or null ``base`` simply contributes no rows.
+    """
+    doc = spark.read.schema(RUN_DOCUMENT).option("multiLine", "true").json(path)
+    runs = doc.select("config", F.inline(F.array(*[
+        F.struct(F.lit(s).alias("model_name"), F.col(s).alias("run")) for s in SIDES]))).where("run IS NOT NULL")
+    metrics = runs.select("model_name", F.explode("run.metrics").alias("metric", "value"))
+    samples = runs.select("model_name", F.inline("run.per_sample"))
+    about = runs.select("model_name", F.col("run.model_name").alias("label"), "run.num_samples", "config")
+    return metrics, samples, about
+
+
+def join_predictions(samples: DataFrame, predictions: DataFrame) -> DataFrame:
+    """J2: (model_name, sample_id, task_type, prompt, prediction, reference) by sample key.
+
+    ``samples``: sample_id, task_type, prompt, reference; ``predictions``: model_name, sample_id, prediction.
+    A sample without a prediction of a model is no pair; neither is a prediction without its sample.
     """
-    doc = spark.read.option("multiLine", "true").option("primitivesAsString", "false").json(path)
-    # a side that is null in every document is inferred as a plain (string) column: no rows
-    sides = [s for s in ("fine_tuned", "base")
-             if s in doc.columns and doc.schema[s].dataType.typeName() == "struct"]
-    metrics, samples = None, None
-    for side in sides:
-        d = doc.where(F.col(side).isNotNull()).select(F.col(side + ".*"))
-        if "metrics" not in d.columns:
-            continue
-        mcols = [f.name for f in d.schema["metrics"].dataType.fields]
-        m = d.select("model_name", F.explode(F.create_map(*[x for c in mcols for x in (F.lit(c), F.col("metrics")[c].cast("double"))]))
-                     .alias("metric", "value"))
-        metrics = m if metrics is None else metrics.unionByName(m)
-        if "per_sample" in d.columns:
-            s = d.select("model_name", F.inline("per_sample"))
-            samples = s if samples is None else samples.unionByName(s, allowMissingColumns=True)
-    if metrics is None:
-        metrics = spark.createDataFrame([], "model_name string, metric string, value double")
-    if samples is None:
-        samples = spark.createDataFrame([], "model_name string")
-    return metrics, samples
+    return predictions.select("model_name", "sample_id", "prediction").join(
+        samples.select("sample_id", "task_type", "prompt", "reference"), "sample_id")

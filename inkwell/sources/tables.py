@@ -40,7 +40,7 @@ SELECT doc_id, user_name, folder,
 FROM (SELECT doc_id, source AS user_name, chr(10) AS nl,
              CASE doc_id % 6 WHEN 0 THEN 'sent' WHEN 1 THEN '_sent_mail' WHEN 2 THEN 'Sent Items'
                              WHEN 3 THEN 'inbox' WHEN 4 THEN 'notes_inbox' ELSE 'all_documents' END AS folder,
-             'topic ' || replace(substr(lower(text), 1, 2), chr(10), ' ') AS topic,
+             'topic ' || CAST(n_chars % 97 AS STRING) AS topic,
              CASE n_chars % 8
                WHEN 1 THEN 'Dear team,' || chr(10) || chr(10) || text || chr(10) || chr(10) || 'Best regards,' || chr(10) || 'A'
                WHEN 2 THEN text || chr(10) || '-----Original Message-----' || chr(10) || 'old text'
@@ -50,7 +50,7 @@ FROM (SELECT doc_id, source AS user_name, chr(10) AS nl,
                WHEN 6 THEN text || chr(10) || chr(10) || chr(10) || chr(10) || 'This message  is confidential.' || chr(10) || 'tail'
                WHEN 7 THEN 'Hi,' || chr(10) || replace(text, ' ', '  ') || chr(10) || 'ENRON DISCLAIMER' || chr(10) || 'tail'
                ELSE text END AS body
-      FROM {documents} WHERE n_chars <= 8000) d
+      FROM {documents}) d
 """
 
 # pairs: (prediction, reference) per sample and model, from assistant turns that
@@ -60,14 +60,14 @@ SELECT sample_id, model_name, CASE WHEN conv_id % 3 = 0 THEN 'reply' ELSE 'compo
        prev_text AS prompt,
        CASE WHEN model_name = 'base' THEN prev_text
             ELSE CASE (conv_id + turn) % 6
-              WHEN 0 THEN 'Dear team,' || nl || nl || substr(text, 1, 300) || nl || nl || 'Best regards,' || nl || 'A'
+              WHEN 0 THEN 'Dear team,' || nl || nl || text || nl || nl || 'Best regards,' || nl || 'A'
               WHEN 1 THEN 'Hi,' || nl || prev_text || nl || 'Thanks.'
-              WHEN 2 THEN substr(text, 1, 40)
+              WHEN 2 THEN reverse(split_part(reverse(text), nl, 1))
               WHEN 3 THEN prev_text || ' ' || prev_text || ' ' || prev_text
               WHEN 4 THEN text
               ELSE 'History of the matter: ' || coalesce(prev2_text, prev_text) END END AS prediction,
        text AS reference
-FROM (SELECT conv_id, turn, role, text, chr(10) AS nl, conv_id * 1000 + turn AS sample_id,
+FROM (SELECT conv_id, turn, role, text, chr(10) AS nl, CAST(conv_id AS STRING) || ':' || CAST(turn AS STRING) AS sample_id,
              lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
              lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text,
              lag(text, 2) OVER (PARTITION BY conv_id ORDER BY turn) AS prev2_text
@@ -79,8 +79,8 @@ WHERE role = 'assistant' AND prev_role = 'user'
 # requests: compose/reply requests of the serving app, one per benchmark item.
 REQUESTS_SQL = """
 SELECT item_id, CASE item_id % 4 WHEN 0 THEN 'Professional' WHEN 1 THEN 'Formal' WHEN 2 THEN 'Casual' ELSE 'Friendly' END AS tone,
-       CASE WHEN item_id % 9 = 0 THEN '  ' ELSE substr(text, 1, 60) END AS subject,
-       CASE WHEN item_id % 2 = 0 THEN substr(text, 61, 80) ELSE '' END AS context,
+       CASE WHEN item_id % 9 = 0 THEN '  ' ELSE split_part(text, chr(10), 1) END AS subject,
+       CASE WHEN item_id % 2 = 0 THEN text ELSE '' END AS context,
        CASE WHEN item_id % 8 = 0 THEN '' ELSE text END AS original_email
 FROM {benchmark}
 """
@@ -127,15 +127,15 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = t.select("*", F.explode(F.array(F.lit("base"), F.lit("fine_tuned"))).alias("model_name"))
     nl = F.lit("\n")
     k = (F.col("conv_id") + F.col("turn")) % 6
-    tuned = (F.when(k == 0, F.concat(F.lit("Dear team,"), nl, nl, F.substring("text", 1, 300), nl, nl,
+    tuned = (F.when(k == 0, F.concat(F.lit("Dear team,"), nl, nl, F.col("text"), nl, nl,
                                      F.lit("Best regards,"), nl, F.lit("A")))
              .when(k == 1, F.concat(F.lit("Hi,"), nl, F.col("prev_text"), nl, F.lit("Thanks.")))
-             .when(k == 2, F.substring("text", 1, 40))
+             .when(k == 2, F.reverse(F.split_part(F.reverse(F.col("text")), nl, F.lit(1))))
              .when(k == 3, F.concat(F.col("prev_text"), F.lit(" "), F.col("prev_text"), F.lit(" "), F.col("prev_text")))
              .when(k == 4, F.col("text"))
              .otherwise(F.concat(F.lit("History of the matter: "), F.coalesce("prev2_text", "prev_text"))))
     return m.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("sample_id"), "model_name",
+        F.concat_ws(":", "conv_id", "turn").alias("sample_id"), "model_name",
         F.when(F.col("conv_id") % 3 == 0, F.lit("reply")).otherwise(F.lit("compose")).alias("task_type"),
         F.col("prev_text").alias("prompt"),
         F.when(F.col("model_name") == "base", F.col("prev_text")).otherwise(tuned).alias("prediction"),

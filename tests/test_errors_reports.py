@@ -48,7 +48,10 @@ def test_ngram_overlap_single_exchange(spark):
     rows = [("m", str(i), "t", "p", "a b c d", "a b x") for i in range(10)]
     df = spark.createDataFrame(rows, "model_name string, sample_id string, task_type string, prompt string, "
                                      "prediction string, reference string")
-    tok = MT.tokenize_pairs(df)
+    tok = df.repartition(*MT.KEYS).select(*MT.KEYS, MT.rouge_tokens("prediction").alias("pred_rt"),
+                                          MT.rouge_tokens("reference").alias("ref_rt"),
+                                          MT.bleu_tokens("prediction").alias("pred_bt"),
+                                          MT.bleu_tokens("reference").alias("ref_bt"))
     plan = MT.ngram_overlap(tok)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 or "AdaptiveSparkPlan" in plan
     assert "CartesianProduct" not in plan
@@ -59,12 +62,11 @@ def test_exact_quantiles_match_numpy(spark):
     rng = random.Random(11)
     rows = [(g, float(rng.choice([rng.random(), 0.5, 0.25]))) for g in ("a", "b", "c") for _ in range(rng.randint(1, 400))]
     df = spark.createDataFrame(rows, "g string, x double")
-    for acc in (10, 1000, 1_000_000):
-        got = {r["g"]: r["q"] for r in RP.exact_quantiles(df, ["g"], "x", (0.25, 0.5, 0.75, 1.0), acc).collect()}
-        for g in ("a", "b", "c"):
-            xs = [x for gg, x in rows if gg == g]
-            want = np.quantile(xs, [0.25, 0.5, 0.75, 1.0])
-            assert np.allclose(got[g], want, rtol=0, atol=1e-12), (acc, g)
+    got = {r["g"]: r["q"] for r in RP.exact_quantiles(df, ["g"], "x", (0.25, 0.5, 0.75, 1.0)).collect()}
+    for g in ("a", "b", "c"):
+        xs = [x for gg, x in rows if gg == g]
+        want = np.quantile(xs, [0.25, 0.5, 0.75, 1.0])
+        assert np.allclose(got[g], want, rtol=0, atol=1e-12), g
 
 
 def test_compare_runs_missing_base_and_metrics(spark):
@@ -77,3 +79,16 @@ def test_compare_runs_missing_base_and_metrics(spark):
     assert got["bertscore_f1"]["fine_tuned"] == 0.0 and got["bertscore_f1"]["delta_display"] == "+0.0000"
     table = RP.results_table(rm).collect()
     assert [(r["metric_group"], r["metric"]) for r in table] == [("N-gram Overlap", "rouge1"), ("N-gram Overlap", "bleu")]
+
+
+def test_box_stats_with_many_ties(spark):
+    import numpy as np
+    rng = random.Random(3)
+    xs = [0.0] * 900 + [rng.random() for _ in range(100)]
+    df = spark.createDataFrame([("m", "t", x) for x in xs], "model_name string, task_type string, rouge1 double")
+    got = RP.box_stats(df).first()
+    q = np.quantile(xs, [0.25, 0.5, 0.75])
+    lo, hi = q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])
+    inside = [x for x in xs if lo <= x <= hi]
+    assert (got.n, got.q1, got.median, got.q3) == (1000, *q)
+    assert (got.whisker_low, got.whisker_high, got.n_outliers) == (min(inside), max(inside), 1000 - len(inside))

@@ -69,7 +69,7 @@ def test_rouge_bleu_distinct_against_models(spark):
     rows.append(("m", "empty", "compose", "p", "", ""))
     df = spark.createDataFrame(rows, "model_name string, sample_id string, task_type string, prompt string, "
                                      "prediction string, reference string")
-    got = {r["sample_id"]: r for r in MT.pair_scores(df).collect()}
+    got = {r["sample_id"]: r for r in MT.pair_scores(df, stem=False).collect()}
     for _, sid, _, _, pred, ref in rows:
         g = got[sid]
         assert abs(g["rouge1"] - rouge_n(pred, ref, 1)) < 1e-12
@@ -130,7 +130,39 @@ def test_results_independent_of_partitioning(spark):
     from conftest import SF_SMALL
     pairs = T.pairs(spark, SF_SMALL)
     a = {(r["model_name"], r["sample_id"]): (r["rouge1"], r["rouge2"], r["bleu"])
-         for r in MT.pair_scores(pairs, with_lcs=False, num_partitions=1).collect()}
+         for r in MT.pair_scores(pairs.repartition(1), with_lcs=False, stem=False).collect()}
     b = {(r["model_name"], r["sample_id"]): (r["rouge1"], r["rouge2"], r["bleu"])
-         for r in MT.pair_scores(pairs.repartition(5), with_lcs=False, num_partitions=7).collect()}
+         for r in MT.pair_scores(pairs.repartition(5), with_lcs=False, stem=False).collect()}
     assert a == b and len(a) > 0
+
+
+def test_stems_as_rouge_tools_give_them():
+    from inkwell.functions.porter import rouge_stem
+
+    want = {"days": "day", "day": "day", "says": "say", "say": "say", "ways": "way", "keys": "key", "dying": "die",
+            "skies": "sky", "news": "news", "flies": "fli", "dies": "die", "tied": "tie", "enjoy": "enjoy",
+            "happily": "happili", "generally": "gener", "geology": "geolog", "proceed": "proceed", "agreed": "agre",
+            "plastered": "plaster", "motoring": "motor", "conflated": "conflat", "troubled": "troubl", "sized": "size",
+            "hopping": "hop", "falling": "fall", "hissing": "hiss", "failing": "fail", "filing": "file",
+            "relational": "relat", "hopefully": "hope", "adjustable": "adjust", "controll": "control"}
+    assert {w: rouge_stem(w) for w in want} == want
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_compute_only_what_is_asked(spark):
+    """Stemmed ROUGE and the LCS: one Python node, no shuffle, no exploded grams."""
+    rows = [("m", str(i), "t", "p", "a b c d", "a b x") for i in range(10)]
+    df = spark.createDataFrame(rows, "model_name string, sample_id string, task_type string, prompt string, "
+                                     "prediction string, reference string")
+    for scores in (MT.pair_scores(df, with_bleu=False), MT.pair_scores(df, stem=False, with_rouge=False, with_bleu=False),
+                   MT.shown(df, rouge1=True)):
+        plan = _plan(scores)
+        assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan and "Generate" not in plan
+    plan = _plan(MT.shown(df))
+    assert "Python" not in plan and "Exchange" not in plan
+    full = _plan(MT.pair_scores(df)).split("== Initial Plan ==")[0]
+    assert full.count("ArrowEvalPython") == 1

@@ -40,7 +40,7 @@ def test_packing_matches_running_sum(spark):
     rows = [(k, rng.choice([0, 1, 5, 40, 130, 600])) for k in rng.sample(range(100000), 300)]
     df = spark.createDataFrame(rows, "k long, n_tokens long")
     got = sorted((r["chunk"], r["k"], r["token_from"], r["token_to"])
-                 for r in PR.pack_sequences(df, "k", window=128, bucket_width=997).collect())
+                 for r in PR.pack_sequences(df, "k", window=128).collect())
     want, start = [], 0
     for k, n in sorted(rows):
         for c in range(start // 128, (start + n - 1) // 128 + 1) if n > 0 else []:

@@ -41,3 +41,15 @@ def test_cap_and_split_counts(spark):
     assert S.cap_samples(df, max_samples=0).count() == 790
     one = spark.createDataFrame([("x", "reply")], "sample_id string, task_type string")
     assert [r["split"] for r in S.stratified_split(one).collect()] == ["val"]
+
+
+def test_any_number_of_strata_and_nulls(spark):
+    rows = [(f"{t}{i}", t) for t, n in (("compose", 50), ("forward", 30), ("reply", 20)) for i in range(n)]
+    rows += [(f"n{i}", None) for i in range(10)]
+    df = spark.createDataFrame(rows, "sample_id string, task_type string")
+    capped = dict(S.cap_samples(df, max_samples=30).groupBy("task_type").count().collect())
+    assert sum(capped.values()) == 30 and capped["compose"] == 13 and capped["forward"] == 8 and capped[None] == 2
+    split = S.stratified_split(df, 0.1).groupBy("task_type", "split").count().collect()
+    assert sum(r["count"] for r in split) == len(rows)
+    assert {r["task_type"]: r["count"] for r in split if r["split"] == "val"} == {
+        "compose": 5, "forward": 3, "reply": 2, None: 1}
