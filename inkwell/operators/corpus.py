@@ -151,10 +151,10 @@ def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
     valid = F.col("reason").isNull()
     by_hash = checked.groupBy("reason", F.when(valid, F.col("h")).alias("h")).agg(
         F.count(F.lit(1)).alias("c"), F.min(F.when(valid, F.struct("user", "path", "box"))).alias("m"))
-    kept = F.array(F.struct(F.lit("files").alias("stage"), F.col("c").alias("n")),
-                   F.struct(F.lit("duplicates"), F.col("c") - 1), F.struct(F.col("m.box"), F.lit(1).cast("long")))
-    lost = F.array(F.struct(F.lit("files").alias("stage"), F.col("c").alias("n")),
-                   F.struct(F.col("reason"), F.col("c")))
+    row = lambda stage, n: F.struct(stage.alias("stage"), n.cast("long").alias("n"))
+    files = row(F.lit("files"), F.col("c"))
+    kept = F.array(files, row(F.lit("duplicates"), F.col("c") - 1), row(F.col("m.box"), F.lit(1)))
+    lost = F.array(files, row(F.col("reason"), F.col("c")))
     rows = by_hash.select(F.inline(F.when(valid, kept).otherwise(lost)))
     always = raw.sparkSession.createDataFrame(
         [(x, 0) for x in ("files", "skipped_folder", "oversize", "no_blank_line", "duplicates")], "stage string, n long")

@@ -825,7 +825,7 @@ def q_results_roundtrip(spark, sf_dir):
     metrics, samples, about = RS.read_run_json(spark, f"{out}/document")
     more = about.select("model_name", F.inline(F.array(
         F.struct(F.lit("num_samples").alias("metric"), F.col("num_samples").cast("double").alias("value")),
-        F.struct(F.lit("max_samples"), F.col("config")["max_samples"].cast("double")))))
+        F.struct(F.lit("max_samples").alias("metric"), F.col("config")["max_samples"].cast("double").alias("value")))))
     sums = samples.groupBy("model_name").agg(F.sum("rougeL").alias("value")).select(
         "model_name", F.lit("sum_of_rougeL").alias("metric"), "value")
     return R(metrics.unionByName(more).unionByName(sums))
