@@ -217,7 +217,8 @@ def covered_spans(rows: DataFrame, window: int, token: int, hot: int, run: int)
     texts = rows.select("__rid", "doc_id", text_or_empty("text").cast("binary").alias("data"))
     facts = store(texts.select("__rid", "doc_id", find("data").alias("a")).select("__rid", "doc_id", "a.*"), "anchors")
     each = facts.select("__rid", F.explode(F.arrays_zip("pos", "h", "low", "high")).alias("a")).select("__rid", "a.*")
-    again = each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    # stored, so that the join below deals both sides out anew and a frequent token's rows can be split
+    again = store(each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "tokens")
     wanted = (each.join(again, "h").groupBy("__rid")  # at most the anchors of one text
               .agg(F.collect_list(F.struct("pos", "h", "low", "high", "n")).alias("wanted")))
     found = store(texts.select("__rid", "data").join(wanted, "__rid"), "candidates")
