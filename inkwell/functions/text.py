@@ -34,11 +34,6 @@ def py_strip(c) -> Column:
     return F.btrim(col_(c), F.lit(PY_WS_CHARS))
 
 
-def is_blank(c) -> Column:
-    """``not s.strip()``."""
-    return py_strip(c) == F.lit("")
-
-
 def ws_tokens(c) -> Column:
     """``s.split()`` — maximal runs of non-whitespace.
 
@@ -97,11 +92,6 @@ def lines(c) -> Column:
     return F.split(col_(c), "\n", -1)
 
 
-def last_or_empty(arr) -> Column:
-    """Last element of an array, or '' when the array is empty."""
-    return F.coalesce(F.try_element_at(col_(arr), F.lit(-1)), F.lit(""))
-
-
 def safe_ratio(num, den) -> Column:
     """num/den as double, 0 when den is 0."""
     return F.coalesce(F.try_divide(col_(num).cast("double"), col_(den).cast("double")), F.lit(0.0))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fixed
 from inkwell.functions.text import let, lower_ws_tokens, ngrams, word_count
 
-# Error-analysis rule sets (distinct from the format-compliance ones): no word
+# fixed values: error-analysis rule sets (distinct from the format-compliance ones): no word
 # boundary after the greeting word, and closings anywhere in the text.
 NO_GREETING = r"(?imdu)^(dear|hi|hello|hey|good)"
 NO_CLOSING = r"(?iu)(regards|sincerely|best|thanks|thank you)"

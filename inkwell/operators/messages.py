@@ -24,7 +24,7 @@ HEADER_FIELDS = (
     ("x_folder", "X-Folder"),
 )
 
-# Cleaning patterns (Java regex). A "cut at first match" is a replace of the match
+# fixed values: cleaning and subject patterns (Java regex). A "cut at first match" is a replace of the match
 # and everything after it; DOTALL + \z makes that one match at most.
 CUT_ORIGINAL = r"(?isu)-{3,}" + PY_WS + r"*Original Message" + PY_WS + r"*-{3,}.*\z"
 CUT_FORWARDED = r"(?isu)-{3,}" + PY_WS + r"*Forwarded by" + PY_WS + r".*?-{3,}.*\z"

@@ -26,7 +26,7 @@ KEYS = ("model_name", "sample_id")
 ROUGE_ORDERS = (1, 2)
 BLEU_ORDERS = (1, 2, 3, 4)
 
-# Format compliance patterns (Java). (?d): only "\n" ends a line, as in Python;
+# fixed values: format compliance patterns (Java). (?d): only "\n" ends a line, as in Python;
 # (?U): Unicode word boundary, as Python's \b on str.
 GREETING = (r"(?imdU)^(dear\b|hi\b|hello\b|hey\b|good" + PY_WS +
             r"+(?:morning|afternoon|evening)\b|greetings\b|to whom)")

@@ -27,6 +27,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Return the active session, or build a local one for tests and benchmarks."""
     active = SparkSession.getActiveSession()
     if active is not None:
+        for k, v in DEFAULT_CONF.items():
+            if active.conf.get(k, None) is None:
+                active.conf.set(k, v)
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -67,12 +70,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -87,9 +84,18 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/inkwell-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    delete_on_exit(spark, path)
     return spark.read.parquet(path)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the application remove an intermediate table when it ends (a returned DataFrame may still read it
+    until then)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers, from whatever folder the job was started.
 

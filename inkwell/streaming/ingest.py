@@ -1,22 +1,23 @@
 """Incremental corpus ingestion with Structured Streaming.
 
 The parser, cleaner and quality filter are stateless column expressions, so
-they run unchanged on a streaming DataFrame. Deduplication becomes streaming
-state keyed by the body hash (the set of hashes seen so far), so a message
-whose body arrived in an earlier trigger is dropped. Within one trigger the
-first message in ``(user, path)`` order wins, as in the batch job; across
-triggers arrival order decides.
+they run unchanged on a streaming DataFrame. Deduplication is streaming
+state keyed by the body hash: a message whose body arrived in an earlier trigger is dropped by a lookup
+of its own key, without reading the sink. Within one trigger the first message in
+``(user, path)`` order wins, as in the batch job; across triggers arrival order decides. The file
+sink's log makes a replayed trigger append nothing twice. The state grows with the distinct bodies; a
+cluster keeps it in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from inkwell.functions import fixed
 from inkwell.operators.corpus import body_hash
 from inkwell.operators.messages import prepare_messages
-from inkwell.sources.maildir import _fs
+from inkwell.session import ship_package
 
 RAW_SCHEMA = "path string, user string, folder string, content string"
 
@@ -33,29 +34,30 @@ def clean_stream(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
     return prepare_messages(raw, min_body_len, max_body_len).withColumn("body_hash", body_hash("body"))
 
 
-def dedup_batch(batch: DataFrame) -> DataFrame:
-    """First message per body hash inside one micro-batch, by (user, path)."""
-    cols = [c for c in batch.columns if c not in ("body_hash", "user", "path")]
-    first = batch.groupBy("body_hash").agg(F.min(F.struct("user", "path", *cols)).alias("m"))
-    return first.select("body_hash", "m.*")
+def first_seen(cleaned: DataFrame) -> DataFrame:
+    """The first message of each body hash over the life of the stream."""
+    ship_package(cleaned.sparkSession)
+
+    def keep_first(key, parts, state):
+        first = None
+        for part in parts:  # the key's rows of this trigger, in bounded pieces
+            if not state.exists:
+                best = part.sort_values(["user", "path"]).head(1)
+                if first is None or (best.iloc[0]["user"], best.iloc[0]["path"]) < (
+                        first.iloc[0]["user"], first.iloc[0]["path"]):
+                    first = best
+        if first is not None:
+            state.update((True,))
+            yield first
+
+    return cleaned.groupBy("body_hash").applyInPandasWithState(
+        keep_first, cleaned.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def start_ingest(raw: DataFrame, sink_path: str, checkpoint_path: str, trigger_once: bool = False):
-    """Run the ingest: stateless cleaning, then per trigger: in-batch first-by-order,
-    anti-join against hashes already in the sink, append. Restartable from
-    ``checkpoint_path``; a replayed trigger finds its committed hashes in the sink
-    and appends nothing twice (the parquet write commits atomically per job)."""
-    cleaned = clean_stream(raw)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = dedup_batch(batch)
-        fs, path = _fs(spark, sink_path)
-        if fs.exists(path):
-            seen = spark.read.parquet(sink_path).select("body_hash")
-            fresh = fresh.join(seen, "body_hash", "left_anti")
-        fresh.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
-
-    writer = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
+    """Run the ingest: stateless cleaning, then first-by-hash state, appended to a Parquet sink.
+    Restartable from ``checkpoint_path``."""
+    writer = (first_seen(clean_stream(raw)).writeStream.format("parquet").outputMode("append")
+              .option("path", sink_path).option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if trigger_once else writer
     return writer.start()
