@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.session import ensure_checkpoint_dir, ship_package
+from inkwell.session import delete_on_exit, ensure_checkpoint_dir, ship_package
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    delete_on_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._inkwell_path = path
     return out
