@@ -33,7 +33,6 @@ from inkwell.llm.common import doc_crc, drop, shared_path, small_batches, store,
 from inkwell.llm.words import LOWER, batch_word_hashes, mix
 
 FLUSH = 1 << 21        # tokens that a task sums before it sends them
-WORD_SHARDS = 6        # bits: word tables have this many shards (their size follows the vocabulary)
 START = np.uint64(0x5BD1E995A5A5F00D)  # the context of a text's first word
 END = np.uint64(0xC2B2AE3D27D4EB4F)    # the token that closes a text
 BLOBS = "kind string, shard long, a binary, b binary, c binary, d binary"
@@ -93,6 +92,11 @@ def _slices(prefix: np.ndarray):
             yield int(prefix[s]), s, e
 
 
+def word_bits(bits: int) -> int:
+    """Shards of the word tables, as bits: they follow the vocabulary, which grows slower than the pairs."""
+    return max(1, (bits + 6) // 2)
+
+
 def _sum_tokens(bits: int):
     """Map side: blobs of word counts and of pair counts."""
     def blobs(parts):
@@ -104,7 +108,7 @@ def _sum_tokens(bits: int):
         word_n = np.bincount(inv[:n], minlength=len(u))
         known = np.flatnonzero(word_n)
         words, word_n = u[known], word_n[known]
-        for shard, s, e in _slices(words >> np.uint64(64 - WORD_SHARDS)):
+        for shard, s, e in _slices(words >> np.uint64(64 - word_bits(bits))):
             yield ("word", shard, words[s:e].tobytes(), _varcounts(word_n[s:e]), b"", b"")
         inv, start_id, lead_ids = inv[:n], inv[n], inv[n + 1:]
         left = np.empty_like(inv)
@@ -180,7 +184,7 @@ def _count_of_counts(c: np.ndarray) -> list[int]:
     return [int(b[1]), int(b[2]), int(b[3]), int(b[4]), len(c), int(c.sum())]
 
 
-def _merge(uri: str):
+def _merge(uri: str, bits: int):
     """Reduce side: merge the blobs of each shard, write its arrays, send on contexts per word."""
     files = Files(uri)
 
@@ -231,7 +235,7 @@ def _merge(uri: str):
         files.write(f"pair-{shard}.bign", count[big])
         yield stat("pair", shard, n)
         after = np.bincount(iw, minlength=len(uw))
-        for to, s, e in _slices(uw >> np.uint64(48 - WORD_SHARDS)):
+        for to, s, e in _slices(uw >> np.uint64(48 - word_bits(bits))):
             yield ("next", to, uw[s:e].tobytes(), _varcounts(after[s:e]), b"", b"")
 
     def handle(batches):
@@ -314,13 +318,13 @@ class Model:
         v48, w48 = contexts(h, firsts) >> np.uint64(16), h >> np.uint64(16)
 
         u, inv = np.unique(h, return_inverse=True)
-        c = self.lookup("word", u, 64, WORD_SHARDS)[:, 0]
+        c = self.lookup("word", u, 64, word_bits(self.bits))[:, 0]
         base = np.log10((c + 1) / (self.word.total + 1.0 * (self.word.types + 1)))
 
         d2, d1 = self.pair.discounts(), self.next.discounts()
         total = max(1, self.next.total)
         x, inv48 = np.unique(w48, return_inverse=True)
-        n = self.lookup("next", x, 48, WORD_SHARDS)[:, 0]
+        n = self.lookup("next", x, 48, word_bits(self.bits))[:, 0]
         more = self.next.types - self.next.n1 - self.next.n2
         rest = (d1[1] * self.next.n1 + d1[2] * self.next.n2 + d1[3] * more) / total if self.next.types else 1.0
         q = np.maximum(n - d1[np.minimum(n, 3).astype(int)], 0) / total + rest / (self.word.types + 1)
@@ -351,8 +355,8 @@ def train(docs: DataFrame) -> Model:
     bits = min(16, max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     by_shard = lambda df: df.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
     sums = docs.select(text_or_empty("text").alias("text")).mapInArrow(_sum_tokens(bits), BLOBS)
-    merged = store(by_shard(sums).mapInArrow(_merge(uri), BLOBS), "lm")
-    after = store(by_shard(merged.where("kind = 'next'")).mapInArrow(_merge(uri), BLOBS), "lm")
+    merged = store(by_shard(sums).mapInArrow(_merge(uri, bits), BLOBS), "lm")
+    after = store(by_shard(merged.where("kind = 'next'")).mapInArrow(_merge(uri, bits), BLOBS), "lm")
     stats = {}
     for r in merged.where("kind LIKE '% stat'").unionByName(after).select("kind", "a").collect():  # one row a shard
         stats[r["kind"]] = stats.get(r["kind"], 0) + np.frombuffer(r["a"], "<i8")
