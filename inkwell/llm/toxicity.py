@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 4
             .select("doc_id", "y", read(text_or_empty("text")).alias("x")).dropDuplicates(["doc_id"])
             .orderBy("doc_id").limit(sample).collect())
     n = len(KINDS)
-    default = Model(np.array([1.0, 1.5, 1.0, 2.0, -0.5, -0.5] + [1.0, 1.0, 1.0, 2.0, 0.0, 0.0]), -3.0)
+    default = Model(np.array([2.0, 2.0, 2.0, 2.5, -0.5, -0.5] + [2.0, 2.0, 2.0, 2.0, 0.0, 0.0]), -3.0)
     if len({r["y"] for r in rows}) < 2:
         return default
     x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
