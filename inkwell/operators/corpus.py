@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fixed
 from inkwell.operators.messages import is_reply_subject, normalise_subject, strip_subject_prefix
 from inkwell.functions.text import py_strip
+from inkwell.session import materialize
 
 MESSAGE_COLUMNS = ("user", "path", "box", "message_id", "date", "from_addr", "to_addr", "cc",
                    "subject", "body", "x_folder")
@@ -31,8 +32,8 @@ def dedup_first(messages: DataFrame) -> DataFrame:
     with a bad subject must not win.
     """
     cols = [c for c in MESSAGE_COLUMNS if c in messages.columns]
-    hashed = messages.select(*cols, body_hash("body").alias("body_hash"))
-    # the choice needs the order only: bodies are not sorted or compared
+    # stored once, so that parsing runs once; the choice then reads three narrow columns, and no body is sorted
+    hashed = materialize(messages.select(*cols, body_hash("body").alias("body_hash")), "hashed")
     first = (hashed.groupBy("body_hash").agg(F.min(F.struct("user", "path")).alias("m"))
              .select("body_hash", F.col("m.user").alias("user"), F.col("m.path").alias("path")))
     return hashed.join(first, ["body_hash", "user", "path"], "left_semi").select(*cols, "body_hash")

@@ -132,7 +132,8 @@ def exact_quantiles(df: DataFrame, group, value: str, probs=(0.25, 0.5, 0.75)) -
 def stored_counts(df: DataFrame, group, value: str) -> DataFrame:
     """Counts of each value (group, x, c), range-partitioned by (group, x) from sampled splitters
     and stored once with the number of their partition (``part``)."""
-    counts = value_counts(df, list(group), value)
+    # stored first: sampling the splitters must not compute the values a second time
+    counts = materialize(value_counts(df, list(group), value), "values")
     return materialize(counts.repartitionByRange(*group, "x").withColumn("part", F.spark_partition_id()), "value_counts")
 
 
@@ -165,8 +166,8 @@ def quantiles_of_counts(counts: DataFrame, group, probs=(0.25, 0.5, 0.75)) -> Da
 def value_counts(df: DataFrame, group, value: str) -> DataFrame:
     """(group, x, c): how often each value occurs in each group; nulls are left out."""
     x = F.col(value).cast("double")
-    return (df.select(*group, x.alias("x")).where(F.col("x").isNotNull())
-            .groupBy(*group, "x").agg(F.count(F.lit(1)).alias("c")))
+    # nulls go by their count of zero: a filter on the value would be pushed down and compute it twice
+    return df.select(*group, x.alias("x")).groupBy(*group, "x").agg(F.count("x").alias("c")).where("c > 0")
 
 
 def box_stats(per_sample: DataFrame, value: str = "rouge1", group=("model_name", "task_type")) -> DataFrame:
