@@ -32,11 +32,21 @@ def vec_id(token, n_vectors):
     return F.pmod(F.conv(F.substring(F.md5(token), 1, HASH_DIGITS), 16, 10).cast("long"), n_vectors)
 
 
+def _stack(vectors) -> np.ndarray:
+    """Rows of float64; a missing vector is a row of zeros."""
+    known = [v for v in vectors if v is not None]
+    if len(known) < len(vectors):
+        zero = np.zeros(len(known[0]) if known else 1, np.float32)
+        known = [zero if v is None else v for v in vectors]
+    return np.concatenate(known).reshape(len(known), -1).astype(np.float64)
+
+
 def _match(pred_w, pred_v, ref_w, ref_v):
     if pred_v is None or ref_v is None or len(pred_v) == 0 or len(ref_v) == 0:
         return 0.0, 0.0, 0.0
-    width = max((len(v) for side in (pred_v, ref_v) for v in side if v is not None), default=1)
-    p, r = (np.array([np.zeros(width) if v is None else v for v in side], np.float64) for side in (pred_v, ref_v))
+    p, r = (_stack(side) for side in (pred_v, ref_v))
+    if p.shape[1] != r.shape[1]:  # one side has no vector at all
+        return 0.0, 0.0, 0.0
     p, r = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (p, r))
     best_p, best_r = np.empty(len(p)), np.full(len(r), -np.inf)
     for i in range(0, len(p), BLOCK):
@@ -61,7 +71,9 @@ def embedding_match(pairs: DataFrame, embeddings: DataFrame, keys=("model_name",
     keys = list(keys)
     ship_package(pairs.sparkSession)
     n_vectors = embeddings.agg(F.count(F.lit(1))).scalar()  # a subquery of the one plan
-    base = pairs.select(*keys, "prediction", "reference").repartition(*keys)
+    # a fixed number: a pair's rows grow by a vector per token, and AQE would coalesce by the texts' bytes
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = pairs.select(*keys, "prediction", "reference").repartition(n, *keys)
     toks = base.select(*keys, F.inline(F.array(
         F.struct(F.lit("p").alias("side"), lower_ws_tokens("prediction").alias("t")),
         F.struct(F.lit("r").alias("side"), lower_ws_tokens("reference").alias("t")))))

@@ -161,7 +161,8 @@ def pair_scores(pairs: DataFrame, keys=KEYS, stem: bool = True, with_lcs: bool =
     bleu_orders = BLEU_ORDERS if with_bleu else ()
     base = pairs.select(*keys, "prediction", "reference", *carry)
     if rouge_orders or bleu_orders:
-        base = base.repartition(*keys)
+        # a fixed number: each row explodes into hundreds of grams, and AQE would coalesce by the rows' bytes
+        base = base.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     tok = base.select("*", rouge_tokens("prediction").alias("pred_rt"), rouge_tokens("reference").alias("ref_rt"),
                       bleu_tokens("prediction").alias("pred_bt"), bleu_tokens("reference").alias("ref_bt"))
     feat_cols = _feature_columns(F.col("prediction"), F.col("reference")) if features else []
