@@ -259,7 +259,7 @@ def covered_spans(rows: DataFrame, window: int, token: int, hot: int, run: int)
     hot_spans = (keyed.join(repeated, ["k1", "k2"]).groupBy("__rid", "pos")
                  .agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
                  .select("__rid", (F.col("pos") - F.col("hi")).alias("s"), (F.col("pos") - F.col("lo") + window).alias("e")))
-    if not many.isEmpty():
+    if not again.where(F.col("n") > hot).isEmpty():
         spans = spans.unionByName(hot_spans)
     per_row = spans.groupBy("__rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     return facts, found.select("__rid", "data").join(per_row, "__rid")
