@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,7 +61,8 @@ dijo dice llamó llama afirmó escribió
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 CLAUSE = re.compile(r"[.!?;:\n\r|]+|, (?:but|aber|mais|pero) ")
-QUOTED = re.compile(r"[\"“„«][^\"”“»\n]{0,300}[\"”“»]")
+BLANK = re.compile(r"\n[^\S\n]*\n")
+MARK = re.compile("[\"“”„«»]")
 CLASS = ({w: "I" for w in INSULTS} | {w: "K" for w in THREATS} | {w: "W" for w in WILL} | {w: "T" for w in TARGETS}
          | {w: "N" for w in NEGATIONS} | {w: "R" for w in REPORTS})
 HEADS = re.compile(r"(?<![^\W_])(?:" + "|".join(sorted(set(INSULTS) | set(THREATS), key=len, reverse=True))
@@ -109,13 +111,60 @@ def read_clause(clause: str, quoted: bool = False) -> list[str]:
     return kinds
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Outermost quotations (first mark, behind the last mark) of any length, in the order of the text.
+
+    One pass over the marks keeps a stack of open ones for "“”„ and one for «». A mark that stands both ways
+    (" anywhere, “ in „…“, ”…”, »…«) opens before a word and closes behind one; where its neighbours do not
+    tell, it closes what is open. An opening mark that is never closed quotes nothing, a closing one that closes nothing
+    neither. A mark at the start of a paragraph goes on with the quotation open in the paragraph before.
+    """
+    spans, stacks = [], ([], [])
+    for m in MARK.finditer(text):
+        mark, at = m.group(), m.start()
+        stack = stacks[mark in "«»"]
+        top = text[stack[-1][0]] if stack else ""
+        before = at == 0 or text[at - 1].isspace() or text[at - 1] in "([{-–—/=:"
+        behind = at + 1 == len(text) or text[at + 1].isspace() or text[at + 1] in ")]}-–—/.,;:!?"
+        opens, closes = before and not behind, behind and not before
+        if mark == "„" or mark == "«" and top != "»" or mark == "“" and top != "„" and not (top == "“" and closes):
+            closing = False
+        elif mark == "«" or mark == "“" or mark == "»" and top == "«" or mark == "”" and top:
+            closing = True
+        else:  # " anywhere, ” or » with nothing open that it ends
+            closing = closes or bool(stack) and not opens
+        if closing:
+            if stack:
+                spans.append((stack.pop()[0], at + 1))
+        elif stack and top == mark and _next_paragraph(text, stack[-1][1], at):
+            stack[-1][1] = at + 1
+        elif mark not in "”»" or opens:
+            stack.append([at, at + 1])
+    out = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _next_paragraph(text: str, start: int, at: int) -> bool:
+    """Whether the paragraph behind the one that ``start`` lies in begins at ``at``."""
+    said = text[start:at]
+    rest = said.rstrip()
+    gap = said[len(rest):].count("\n")
+    return gap == 1 and "\n" not in rest or gap > 1 and not BLANK.search(rest)
+
+
 def features(text: str | None) -> list[float]:
     """Clauses that match and matches by kind, damped; the whole text is read."""
     low = (text or "").lower()
     out = [0.0] * (2 * len(KINDS))
     if not HEADS.search(low):
         return out
-    quotes = [m.span() for m in QUOTED.finditer(low)]
+    quotes = quotations(low)
+    starts = [a for a, _ in quotes]
     at = 0
     count = dict.fromkeys(KINDS, 0)
     clauses = dict.fromkeys(KINDS, 0)
@@ -123,8 +172,9 @@ def features(text: str | None) -> list[float]:
     for s, e in bounds:
         clause = low[at:s]
         if HEADS.search(clause):
-            inside = any(a <= at and s <= b for a, b in quotes)
-            kinds = read_clause(clause, inside)
+            said = list(WORD.finditer(clause))
+            q = bisect_right(starts, at + said[0].start()) - 1  # the quotation that could hold the first word
+            kinds = read_clause(clause, q >= 0 and at + said[-1].end() <= quotes[q][1])
             for k in kinds:
                 count[k] += 1
             for k in set(kinds):

@@ -92,6 +92,34 @@ def test_grammar_reads_clauses():
     assert row["reported"] > 0 and row["insult"] == 0
 
 
+def spoken(text):
+    return {k: v for k, v in zip(toxicity.KINDS, toxicity.features(text)) if v}
+
+
+@pytest.mark.parametrize("a, b", ['""', "“”", "„“", "«»", "»«", "””"])
+def test_quotations_of_any_length(a, b):
+    long = "all of it was fine and well " * 15
+    direct = f"{a}{long}.{b} You are an idiot. {a}ok{b}"
+    assert set(spoken(direct)) == {"aimed insult"}  # stands between two quotations
+    assert set(spoken(f"{a}{long}\n{long}.{b} You are an idiot. {a}ok{b}")) == {"aimed insult"}
+    assert set(spoken(f"{a}{long}. You are an idiot. {long}{b} ok")) == {"reported"}
+    assert set(spoken(f"{a}One line.\nYou are an idiot.\nA third.{b} ok")) == {"reported"}
+    assert set(spoken(f"The end. {a}You are an idiot.{b} Fine.")) == {"reported"}
+    assert set(spoken(f"{a}A {a}good{b} word. You are an idiot. Then so.{b}")) == {"reported"} or a == "”"
+
+
+def test_quotations_stray_and_nested_marks():
+    assert set(spoken('A 5" pipe. You are an idiot. A 6" pipe.')) == {"aimed insult"}
+    assert set(spoken('"Never closed. You are an idiot. "ok"')) == {"aimed insult"}
+    assert set(spoken('"He was «well». You are an idiot. So," it ended.')) == {"reported"}
+    assert set(spoken('"One paragraph.\n\n"You are an idiot.\n\n"A third." Fine.')) == {"reported"}
+    assert toxicity.quotations('("a") b "c"') == [(1, 4), (8, 11)]
+    assert toxicity.quotations("no marks") == []
+    model = toxicity.Model(np.array([2.0, 2.0, 2.0, 2.5, -0.5, -0.5] + [2.0, 2.0, 2.0, 2.0, 0.0, 0.0]), -3.0)
+    text = '"' + "fine words " * 40 + '." You are an idiot. "ok"'
+    assert model.score(np.array([toxicity.features(text)]))[0] >= toxicity.THRESHOLD
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(None, None, None), (1, None, None), (1, 1, 0), (1, 1, 0)],
                                    "doc_id long, quality int, toxic int")
