@@ -1,10 +1,11 @@
-"""Evaluation results: table sinks and the nested run-JSON scan.
+"""Evaluation results: table sinks, the run document and its nested one-object form.
 
 Our sink writes three tables (run metrics long form, per-sample results, run
-config) instead of one nested document, so no step holds all per-sample rows.
-The scan reads the nested run document format (``fine_tuned``/``base`` each with
-``model_name, num_samples, metrics{...}, per_sample[...]``; ``base`` may be null
-or absent) into the same two tables.
+config) instead of one nested document, so no step holds all per-sample rows. The
+run document is re-aimed likewise: a header row per run (label, counts, metrics,
+config) beside per-sample JSON Lines. The nested one-object form (``fine_tuned``/``base``
+each with ``model_name, num_samples, metrics{...}, per_sample[...]``; ``base`` may be null
+or absent) is read into the same tables, and written for bounded samples only.
 """
 
 from __future__ import annotations
@@ -30,29 +31,74 @@ def read_results(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> tup
     return (spark.read.format(fmt).load(f"{out}/run_metrics"), spark.read.format(fmt).load(f"{out}/per_sample"))
 
 
-RUN = """struct<model_name:string, num_samples:bigint, metrics:map<string,double>, per_sample:array<struct<
+SAMPLE = """
     rouge1:double, rouge2:double, rougeL:double, bleu:double, distinct_1:double, distinct_2:double, distinct_3:double,
     format_compliance:double, has_greeting_rate:double, has_body_rate:double, has_closing_rate:double,
     pred_word_count_mean:double, pred_word_count_std:double, pred_sentence_count_mean:double,
     pred_sentence_count_std:double, pred_char_count_mean:double, pred_char_count_std:double,
     ref_word_count_mean:double, ref_word_count_std:double, ref_sentence_count_mean:double,
     ref_sentence_count_std:double, ref_char_count_mean:double, ref_char_count_std:double,
-    sample_id:string, task_type:string, prompt:string, prediction:string, reference:string>>>"""
+    sample_id:string, task_type:string, prompt:string, prediction:string, reference:string"""
+RUN = f"struct<model_name:string, num_samples:bigint, metrics:map<string,double>, per_sample:array<struct<{SAMPLE}>>>"
 RUN_DOCUMENT = f"fine_tuned {RUN}, base {RUN}, config map<string,string>"
 SIDES = ("fine_tuned", "base")
+LABELS = {"fine_tuned": "fine-tuned"}  # names written in a document where they differ from the run's
+HEADER = "model_name string, label string, num_samples bigint, metrics map<string,double>, config map<string,string>"
+
+
+def write_run_header(run_metrics: DataFrame, counts: DataFrame, path: str, config: dict | None = None,
+                     labels: dict | None = None) -> None:
+    """``<path>/runs``: one JSON line per run with its label, sample count, metrics and the config.
+
+    ``counts``: model_name, num_samples; a run without a row there has a null count.
+    """
+    of = F.create_map(*[F.lit(x) for kv in (LABELS if labels is None else labels).items() for x in kv] or [
+        F.lit(""), F.lit("")])
+    cfg = [F.lit(x) for k, v in (config or {}).items() for x in (k, str(v))]
+    (_metric_maps(run_metrics).join(counts.select("model_name", "num_samples"), "model_name", "left")
+     .select("model_name", F.coalesce(of[F.col("model_name")], "model_name").alias("label"), "num_samples", "metrics",
+             F.create_map(*cfg).cast("map<string,string>").alias("config"))
+     .write.mode("overwrite").json(f"{path.rstrip('/')}/runs"))
+
+
+def write_run(run_metrics: DataFrame, per_sample: DataFrame, path: str, config: dict | None = None,
+              labels: dict | None = None) -> None:
+    """The run document: the header rows, and every per-sample row as a JSON line under its
+    ``model_name=``. Each task writes its own rows, so no step holds a run's samples."""
+    counts = per_sample.groupBy("model_name").agg(F.count(F.lit(1)).alias("num_samples"))
+    write_run_header(run_metrics, counts, path, config, labels)
+    per_sample.write.mode("overwrite").partitionBy("model_name").json(f"{path.rstrip('/')}/per_sample")
+
+
+def read_run_header(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """run_metrics (model_name, metric, value) and runs (model_name, label, num_samples, config)."""
+    runs = spark.read.schema(HEADER).json(f"{path.rstrip('/')}/runs")
+    return (runs.select("model_name", F.explode("metrics").alias("metric", "value")),
+            runs.select("model_name", "label", "num_samples", "config"))
+
+
+def read_run(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A run document -> run_metrics, per_sample rows with model_name, and runs, as ``read_run_json`` gives them."""
+    metrics, about = read_run_header(spark, path)
+    fields = SAMPLE.replace(":", " ")
+    samples = spark.read.schema(f"{fields}, model_name string").json(f"{path.rstrip('/')}/per_sample")
+    return metrics, samples.select("model_name", *[c for c in samples.columns if c != "model_name"]), about
+
+
+def _metric_maps(run_metrics: DataFrame) -> DataFrame:
+    return run_metrics.groupBy("model_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics"))
 
 
 def write_run_json(run_metrics: DataFrame, per_sample: DataFrame, path: str, config: dict | None = None,
                    labels: dict | None = None) -> None:
-    """The nested run document: one JSON object with a side per run. The format holds all
-    per-sample rows in one document, so it suits the sample sizes of an evaluation, not a corpus."""
+    """Export of the nested one-object form: a side per run. It holds all per-sample rows in one document
+    of one task, so it is for bounded samples; ``write_run`` is for any number."""
     labels = labels or {"fine_tuned": "fine-tuned", "base": "base"}
     fields = ["sample_id", *[c for c in per_sample.columns if c not in ("model_name", "sample_id")]]
     samples = per_sample.groupBy("model_name").agg(
         F.count(F.lit(1)).alias("num_samples"), F.sort_array(F.collect_list(F.struct(*fields))).alias("per_sample"))
-    metrics = run_metrics.groupBy("model_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics"))
-    runs = metrics.join(samples, "model_name", "left")
+    runs = _metric_maps(run_metrics).join(samples, "model_name", "left")
     side = lambda s: F.max(F.when(F.col("model_name") == s, F.to_json(F.struct(
         F.lit(labels[s]).alias("model_name"), "num_samples", "metrics", "per_sample"))))
     cfg = _config_json(config or {})

@@ -3,7 +3,8 @@
 import json
 
 from inkwell.operators.reports import compare_runs
-from inkwell.sources.results import join_predictions, read_results, read_run_json, write_results, write_run_json
+from inkwell.sources.results import (join_predictions, read_results, read_run, read_run_header, read_run_json,
+                                     write_results, write_run, write_run_json)
 
 
 def _run(name, rouge):
@@ -46,6 +47,27 @@ def test_run_document_round_trip(spark, tmp_path):
         ("base", "base", 2), ("fine_tuned", "fine-tuned", None)}
 
 
+def test_run_is_written_in_parallel(spark, tmp_path):
+    rm = spark.createDataFrame([("base", "rouge1", 0.5), ("base", "bleu", 0.1), ("fine_tuned", "rouge1", 0.75), ("7", "bleu", 0.2)],
+                               "model_name string, metric string, value double")
+    rows = [(m, f"s{i}", i / 64, None if i % 9 == 0 else f"a \"quoted\"\nline {i}", "t", "é")
+            for m in ("base", "7") for i in range(40)]
+    ps = spark.createDataFrame(rows, "model_name string, sample_id string, rouge1 double, prediction string, task_type string, "
+                                     "reference string").repartition(4)
+    write_run(rm, ps, str(tmp_path / "doc"), {"max_samples": 7})
+    assert len(list((tmp_path / "doc/per_sample").glob("model_name=base/part-*.json"))) > 1  # no task holds a run
+    metrics, samples, about = read_run(spark, str(tmp_path / "doc"))
+    assert {tuple(r) for r in metrics.collect()} == {tuple(r) for r in rm.collect()}
+    assert {(r.model_name, r.sample_id, r.rouge1, r.prediction, r.task_type, r.reference) for r in samples.collect()} \
+        == set(rows) and samples.count() == 80
+    assert {(r.model_name, r.label, r.num_samples, r.config["max_samples"]) for r in about.collect()} == {
+        ("base", "base", 40, "7"), ("fine_tuned", "fine-tuned", None, "7"), ("7", "7", 40, "7")}
+    head, _ = read_run_header(spark, str(tmp_path / "doc"))
+    assert "per_sample" not in head._jdf.queryExecution().toString()
+    row = {r["metric"]: r for r in compare_runs(head).collect()}["rouge1"]
+    assert (row["base"], row["fine_tuned"]) == (0.5, 0.75)
+
+
 def test_predictions_join_by_key(spark):
     s = spark.createDataFrame([("1", "t", "p", "r1"), ("2", "t", "p", "r2")],
                               "sample_id string, task_type string, prompt string, reference string")
