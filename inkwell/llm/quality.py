@@ -6,7 +6,9 @@ marginal probability of being good; their mean, weighted by the lines' lengths,
 quality, mapped to a probability by a fitted logistic curve.
 
 Labels are known for documents only, so in training every line bears its document's label. The field is fitted on
-a bounded sample: at most SAMPLE labelled documents of at most SAMPLE_LINES lines each. Scoring reads all
+a bounded sample: at most SAMPLE labelled documents, one row each, and of a longer document a block of SAMPLE_LINES
+lines that are not empty, begun where the hash of its doc_id says (a block of over SAMPLE_BYTES bytes is cut to as
+many characters as surely fit). Scoring reads all
 lines of all documents; the lines of many documents are worked through side by side.
 """
 
@@ -25,6 +27,7 @@ from inkwell.llm.learn import logistic, sigmoid
 
 SAMPLE = 2000
 SAMPLE_LINES = 100
+SAMPLE_BYTES = 64_000
 OWN = 13  # features of a line
 STEPS = 60
 
@@ -179,16 +182,20 @@ def train(texts: list, labels: list[int], l2: float = 1.0, steps: int = STEPS) -
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES, folds: int = 3,
         held: int = 1) -> Model:
     """The field fitted on labelled rows outside the held-out fold: at most ``sample`` documents (those of
-    smallest hash of the doc_id) of at most ``sample_lines`` lines. Rows without doc_id or label teach nothing."""
+    smallest hash of the doc_id), one row of each doc_id, and at most ``sample_lines`` lines in a row of each.
+    Rows without doc_id or label teach nothing."""
     known = (labels.select("doc_id", F.col("quality").cast("int").alias("y"))
              .where("doc_id IS NOT NULL AND y IS NOT NULL").where(F.pmod(doc_crc(), F.lit(folds)) != held)
              .groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    text = text_or_empty("text")
-    rows = (docs.select("doc_id", text.alias("text"))
-            .where((F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < sample_lines)
-                   & (F.octet_length("text") <= 64 * sample_lines * 10))
-            .join(F.broadcast(known), "doc_id")  # at most ``sample`` small rows
-            .orderBy("doc_id", "text").limit(sample).collect())
+    lines = F.filter(F.split(text_or_empty("text"), "\n"), lambda x: x.rlike(r"\S"))
+    spare = F.greatest(F.size("lines") - sample_lines, F.lit(0))
+    first = F.pmod(F.xxhash64("doc_id"), spare + 1).cast("int") + 1
+    block = F.array_join(F.slice("lines", first, sample_lines), "\n")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most ``sample`` small rows
+            .select("doc_id", "y", lines.alias("lines")).select("doc_id", "y", block.alias("text"))
+            .withColumn("text", F.when(F.octet_length("text") > SAMPLE_BYTES, F.substring("text", 1, SAMPLE_BYTES // 4))
+                        .otherwise(F.col("text")))
+            .groupBy("doc_id", "y").agg(F.min("text").alias("text")).orderBy("doc_id").collect())
     return train([r["text"] for r in rows], [r["y"] for r in rows])
 
 

@@ -76,6 +76,23 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
         assert quality.score_documents(odd_docs, m).count() == odd_docs.count()
 
 
+def test_quality_learns_from_long_and_repeated_documents(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1][:40]
+    good, bad = "A calm sentence of several plain words.", "BUY!!! $$$ | *** !!!"
+    rows = [(i, "\n\n".join([good if k % 2 else bad] * 300)) for k, i in enumerate(ids)]
+    rows += [(ids[0], bad)] * 500 + [(ids[1], "ü" * 200_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    taught = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda texts, ys: taught.extend(zip(texts, ys)) or train(texts, ys))
+    model = quality.fit(docs, labels, sample=40, sample_lines=20)
+    assert len(taught) == 40 and sum(y for _, y in taught) == 20
+    assert all(len(quality.lines_of(t)) <= 20 and len(t.encode()) <= quality.SAMPLE_BYTES for t, _ in taught)
+    up, down = model.score([good + "\n" + good, bad + "\n" + bad])
+    assert up > 0.5 > down
+
+
 def kinds(text):
     return toxicity.read_clause(text.lower())
 
