@@ -3,8 +3,8 @@
 A text is cut into clauses. Each clause is a string of words, and small finite-state transducers
 read it: *insult*, *threat*, *target*, *negation* and *reported speech*. Composed, they give
 each match a kind: an insult or threat may be aimed (a target stands near it), negated (a negation
-governs it) or reported (it is quoted or put in another's mouth). So matched clauses are scored, not
-words alone. The weights of the kinds are learned from labelled documents by logistic regression on a
+governs it) or reported (it is quoted or put in another's mouth). So matches are scored as read in their
+clauses, not words alone; README says what this simplifies. The weights of the kinds are learned from labelled documents by logistic regression on a
 bounded sample; the lexicons are fixed lists.
 """
 
@@ -70,7 +70,7 @@ HEADS = re.compile(r"(?<![^\W_])(?:" + "|".join(sorted(set(INSULTS) | set(THREAT
 
 
 class Transducer:
-    """A weighted automaton over word classes: it opens on ``on`` and stays open for ``reach`` words."""
+    """An automaton over word classes: it opens on ``on`` and stays open for ``reach`` words."""
 
     def __init__(self, on: str, reach: int):
         self.on, self.reach = on, reach
@@ -158,7 +158,7 @@ def _next_paragraph(text: str, start: int, at: int) -> bool:
 
 
 def features(text: str | None) -> list[float]:
-    """Clauses that match and matches by kind, damped; the whole text is read."""
+    """Per kind the matches, damped, then whether there is any; the whole text is read."""
     low = (text or "").lower()
     out = [0.0] * (2 * len(KINDS))
     if not HEADS.search(low):
@@ -167,7 +167,6 @@ def features(text: str | None) -> list[float]:
     starts = [a for a, _ in quotes]
     at = 0
     count = dict.fromkeys(KINDS, 0)
-    clauses = dict.fromkeys(KINDS, 0)
     bounds = [m.span() for m in CLAUSE.finditer(low)] + [(len(low), len(low))]
     for s, e in bounds:
         clause = low[at:s]
@@ -177,8 +176,6 @@ def features(text: str | None) -> list[float]:
             kinds = read_clause(clause, q >= 0 and at + said[-1].end() <= quotes[q][1])
             for k in kinds:
                 count[k] += 1
-            for k in set(kinds):
-                clauses[k] += 1
         at = e
     for i, k in enumerate(KINDS):
         out[i] = math.log1p(count[k])
