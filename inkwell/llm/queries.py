@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (chat, decontaminate, exact_dedup, ngram_lm, packing, quality, simhash, suffix_dedup, token_counts,
+from inkwell.llm import (chat, decontaminate, exact_dedup, merkle, ngram_lm, packing, quality, simhash, suffix_dedup, token_counts,
                          toxicity)
 from inkwell.llm.common import read_table
 
@@ -23,6 +23,13 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII string, bit by bit."""
+    step = "list_reduce(list_prepend(xor(c, b), [0,0,0,0,0,0,0,0]::UBIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    octets = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octets}), lambda c, b: {step}), 4294967295::UBIGINT)"
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -116,3 +123,52 @@ SELECT doc_id, item_id, item_shingles, shared_shingles, shared_shingles / item_s
 FROM shared JOIN sizes USING (item_id) WHERE shared_shingles >= 0.8 * item_shingles - 1e-9""")
 def op10(spark, sf_dir):
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_PART = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_HEAD = " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Levels of a forest of ``leaves`` (tree, pos, h), and the digests beside each node of a run."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS lvl, pos AS idx, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM {name} WHERE n > 1
+  GROUP BY tree, lvl, idx // 3, n),
+{name}_sides AS (
+  SELECT a.tree, a.lvl, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.lvl = b.lvl AND a.idx // 3 = b.idx // 3 WHERE a.n > 1
+  GROUP BY a.tree, a.lvl, a.idx)"""
+
+
+@register("op11_merkle", rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS rid, coalesce('=' || source, '') AS tree,
+         sha256({_HEAD} || {_PART.format("text")}) AS h,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0
+              THEN sha256({_HEAD} || {_PART.format("replace(text, chr(10), '')")}) END AS bad FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h, rid) - 1 AS pos FROM d),
+{_tree("sub", "leaves")},
+subroots AS (SELECT '' AS tree, tree AS of, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM sub WHERE n = 1),
+{_tree("upper", "subroots")},
+walk AS (
+  SELECT rid, tree, 0 AS lvl, pos AS idx, coalesce(bad, h) AS cur, '' AS proof FROM leaves
+  UNION ALL
+  SELECT rid, tree, lvl + 1, idx // 3, sha256(l || cur || r), proof || l || r
+  FROM walk JOIN sub_sides USING (tree, lvl, idx)),
+climb AS (
+  SELECT w.rid, s.tree, 0 AS lvl, s.pos AS idx, w.cur, w.proof, s.h AS subroot
+  FROM (SELECT rid, tree, arg_max(cur, lvl) AS cur, arg_max(proof, lvl) AS proof FROM walk GROUP BY rid, tree) w
+  JOIN subroots s ON s.of = w.tree
+  UNION ALL
+  SELECT rid, tree, lvl + 1, idx // 3, sha256(l || cur || r), proof || l || r, subroot
+  FROM climb JOIN upper_sides USING (tree, lvl, idx)),
+done AS (SELECT rid, any_value(subroot) AS subroot, arg_max(cur, lvl) AS folded_root, arg_max(proof, lvl) AS proof
+         FROM climb GROUP BY rid)
+SELECT doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM d JOIN done USING (rid), (SELECT h AS root FROM upper WHERE n = 1)""")
+def op11(spark, sf_dir):
+    return merkle.verify(read_table(spark, sf_dir, "documents"))
