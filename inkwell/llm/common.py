@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.session import delete_on_exit, ensure_checkpoint_dir, ship_package
@@ -87,3 +87,20 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+
+
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``pos``, a row's place in its ``tree`` (from 0), and ``n``, the rows of the tree.
+
+    Range partitions keep a large tree in many tasks; their sizes, one row per tree and partition, give offsets.
+    """
+    at = F.monotonically_increasing_id()  # partition << 33 | place in it
+    ranged = rows.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
+    placed = store(ranged.select("*", at.alias("_at")), "placed").withColumn("_part", F.shiftright("_at", 33))
+    runs = placed.groupBy("tree", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_c"))
+    whole = Window.partitionBy("tree")
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("tree", "_part", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+                       F.sum("_c").over(whole).alias("n"))
+    return (placed.join(runs, ["tree", "_part"]).withColumn("pos", F.col("_at") + F.col("_shift"))
+            .drop("_at", "_part", "_first", "_shift"))

@@ -15,10 +15,10 @@ proportion to the blocks that ask, and a block asks one copy, so that no key of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import row_id, store
+from inkwell.llm.common import numbered, row_id, store
 
 ARITY = 3
 HEIGHT = 4            # levels inside a block: 81 leaves
@@ -46,23 +46,6 @@ def leaf_digest(columns) -> Column:
     return F.sha2(F.concat(*[part(c) for c in columns]), 256)
 
 
-def numbered(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """``leaves`` with ``pos``, its place in its ``tree`` (from 0), and ``n``, the leaves of the tree.
-
-    Range partitions keep a large tree in many tasks; their sizes, one row per tree and partition, give offsets.
-    """
-    at = F.monotonically_increasing_id()  # partition << 33 | place in it
-    ranged = leaves.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
-    placed = store(ranged.select("*", at.alias("_at")), "placed").withColumn("_part", F.shiftright("_at", 33))
-    runs = placed.groupBy("tree", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_c"))
-    whole = Window.partitionBy("tree")
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("tree", "_part", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-                       F.sum("_c").over(whole).alias("n"))
-    return (placed.join(runs, ["tree", "_part"]).withColumn("pos", F.col("_at") + F.col("_shift"))
-            .drop("_at", "_part", "_first", "_shift"))
-
-
 def gather(nodes: DataFrame, place: str, payload: list[str]) -> DataFrame:
     """One row per block: tree, n, block, items (its nodes by place), at most ``BLOCK`` of them."""
     block = F.floor(F.col(place) / BLOCK).cast("long")

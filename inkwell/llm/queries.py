@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (chat, decontaminate, exact_dedup, merkle, ngram_lm, packing, quality, simhash, suffix_dedup, token_counts,
+from inkwell.llm import (chat, decontaminate, exact_dedup, merkle, ngram_lm, packing, prefix_trie, quality, simhash, suffix_dedup, token_counts,
                          toxicity)
 from inkwell.llm.common import read_table
 
@@ -172,3 +172,31 @@ SELECT doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, folded_r
 FROM d JOIN done USING (rid), (SELECT h AS root FROM upper WHERE n = 1)""")
 def op11(spark, sf_dir):
     return merkle.verify(read_table(spark, sf_dir, "documents"))
+
+
+@register("op13_prefix_trie", rf"""
+WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+        || coalesce(text, ''))) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+r AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d, role, text FROM (
+        SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND pos < h
+        UNION ALL SELECT conv_id, 1, pos, role, text FROM o JOIN c USING (conv_id) WHERE pos >= h)),
+p AS (SELECT conv_id, d, length(text) AS chars, string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '')
+             OVER (PARTITION BY conv_id ORDER BY d) AS key FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved
+      FROM p GROUP BY d, key),
+u AS (SELECT n.*, q.key AS parent FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.d = n.d - 1),
+kids AS (SELECT d - 1 AS d, parent AS key, count(*) AS n_children FROM u WHERE d > 0 GROUP BY ALL),
+ends AS (SELECT d, key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS s
+         FROM p JOIN (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id) USING (conv_id, d) GROUP BY d, key),
+sums AS (SELECT p.d, p.key, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+         FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.d LEFT JOIN kids k ON k.d = n.d AND k.key = n.key
+         GROUP BY p.d, p.key)
+SELECT u.conv_id, u.d::BIGINT AS depth, a.conv_id AS parent_conv_id, u.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       sums.n_leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, coalesce(s, sha256('')) AS ends_sha256
+FROM u LEFT JOIN n a ON a.d = u.d - 1 AND a.key = u.parent LEFT JOIN kids k ON k.d = u.d AND k.key = u.key
+LEFT JOIN ends e ON e.d = u.d AND e.key = u.key JOIN sums ON sums.d = u.d AND sums.key = u.key""")
+def op13(spark, sf_dir):
+    return prefix_trie.shared_trie(read_table(spark, sf_dir, "conversations")).drop("key")
