@@ -50,7 +50,7 @@ def share_heads(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations rebuilt with their range's head: rows (conv_id, pos, x, chars, len) and members (conv_id, len).
 
     Conversation c takes the first h turns of c - c % SHARED (all, if it has fewer; none, if there is none) and its own
-    turns after its first h; h = crc32(c) % HEADS.
+    turns after its first h; h = crc32(c) % HEADS. The remainder is that of SQL (negative for a negative id).
     """
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEADS
     convs = turns.where("pos = 0").select("conv_id", "n", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % SHARED).alias("base"))

@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (chat, decontaminate, exact_dedup, merkle, ngram_lm, packing, prefix_trie, quality, simhash, suffix_dedup, token_counts,
-                         toxicity)
+from inkwell.llm import (chat, decontaminate, exact_dedup, license_scan, merkle, ngram_lm, packing, prefix_trie, quality,
+                         simhash, suffix_dedup, token_counts, toxicity)
 from inkwell.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,36 @@ FROM u LEFT JOIN n a ON a.d = u.d - 1 AND a.key = u.parent LEFT JOIN kids k ON k
 LEFT JOIN ends e ON e.d = u.d AND e.key = u.key JOIN sums ON sums.d = u.d AND sums.key = u.key""")
 def op13(spark, sf_dir):
     return prefix_trie.shared_trie(read_table(spark, sf_dir, "conversations")).drop("key")
+
+
+def _regex(items: list) -> str:
+    """A template as a regular expression over words that each have a space behind them."""
+    one = {bytes: lambda x: x.decode() + " ", list: lambda x: f"(?:{_regex(x)})?",
+           tuple: lambda x: "(?:[^ ]+ ){%d,%d}" % x}
+    return "".join(one[type(x)](x) for x in items)
+
+
+def _licenses() -> str:
+    """(label, words of mandatory wording, expression) of every template as a SQL list."""
+    known = [*license_scan.PHRASES, *license_scan.TEMPLATES]
+    rows = [(label, license_scan.parse(text)) for label, text in known]
+    return ", ".join(f"('{label}', {sum(isinstance(x, bytes) for x in items)}, ' {_regex(items)}')" for label, items in rows)
+
+
+_PHRASES = ", ".join(f"('{label}', '{phrase}')" for label, phrase in license_scan.PHRASES)
+
+
+@register("op12_license_scan", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT label, string_split(phrase, ' ') AS words FROM (VALUES {_PHRASES}) v(label, phrase)),
+base AS (SELECT rid, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(words)] = words)) AS place FROM d, p),
+b AS (SELECT rid, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM base GROUP BY rid),
+t AS (SELECT * FROM (VALUES {_licenses()}) v(label, wording, expression)),
+m AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(wording) AS wording
+      FROM d, t WHERE regexp_matches(' ' || array_to_string(w, ' ') || ' ', expression) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(m.labels, '') AS labels, coalesce(wording / (wording + 1.0), 0)::DOUBLE AS score
+FROM d LEFT JOIN b USING (rid) LEFT JOIN m USING (rid)""")
+def op12(spark, sf_dir):
+    return license_scan.summary(read_table(spark, sf_dir, "documents"))

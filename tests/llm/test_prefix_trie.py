@@ -1,6 +1,7 @@
 """The trie against plain Python: odd rows, long chains, many equal conversations, shared heads."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -22,7 +23,7 @@ def brute(rows):
     built = {}
     for c, ts in own.items():
         h = zlib.crc32(str(c).encode()) % 6
-        built[c] = tuple(own.get(c - c % 100, [])[:h] + ts[h:])
+        built[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + ts[h:])
     nodes = {}
     for c in sorted(built):
         for d in range(len(built[c]) + 1):
