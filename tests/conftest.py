@@ -12,6 +12,3 @@ def spark():
 
     s = get_session("local[4]", 4)
     yield s
-
-
-SF_SMALL = "/root/testdata/sf0.001"

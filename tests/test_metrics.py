@@ -127,7 +127,7 @@ def test_stemmed_rouge_against_model(spark):
 
 def test_results_independent_of_partitioning(spark):
     from inkwell.sources import tables as T
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     pairs = T.pairs(spark, SF_SMALL)
     a = {(r["model_name"], r["sample_id"]): (r["rouge1"], r["rouge2"], r["bleu"])
          for r in MT.pair_scores(pairs.repartition(1), with_lcs=False, stem=False).collect()}

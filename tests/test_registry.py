@@ -3,7 +3,7 @@ cross products and runs Python only where the operator needs it; entry() works."
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from inkwell.plans import registry
 
 # stemmed ROUGE, the LCS and the vector match are Arrow steps; all else is JVM expressions

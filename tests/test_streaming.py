@@ -5,7 +5,7 @@ from inkwell.operators import messages as M
 from inkwell.sources import tables as T
 from inkwell.streaming.ingest import read_raw_stream, start_ingest
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_stream_matches_batch(spark, tmp_path):
