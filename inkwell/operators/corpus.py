@@ -82,15 +82,17 @@ def reply_pairs(messages: DataFrame) -> DataFrame:
     """Sent replies ('Re:' subjects) joined to the first inbox message with the same subject.
 
     The inbox side is reduced to one row per subject first, so the join cannot fan
-    out; many replies may share one original. It is a plain equi-join: Spark broadcasts the
-    originals if their measured size allows, and otherwise AQE splits a subject that holds
-    many replies, as the other side has one row for it.
+    out; many replies may share one original. The originals are stored: were they aggregated in the join's
+    own plan, aggregate and join would share one exchange, which AQE must leave whole. As it is, Spark broadcasts them
+    if their measured size allows, and otherwise both sides are plain exchanges, in which AQE splits a
+    subject that holds many replies and gives each part the one original.
     """
     replies = (messages.where((F.col("box") == "sent") & is_reply_subject("subject"))
                .select("path", normalise_subject("subject").alias("norm_subject"),
                        py_strip("body").alias("reply_body"))
                .where(F.col("norm_subject") != ""))
-    joined = replies.join(first_inbox_by_subject(messages), "norm_subject", "inner")
+    originals = materialize(first_inbox_by_subject(messages), "originals")
+    joined = replies.join(originals, "norm_subject", "inner")
     joined = joined.where((F.col("orig_body") != "") & (F.col("reply_body") != ""))
     prompt = F.concat(F.lit(fixed.REPLY_PREFIX + "\n\nFrom: "), F.col("from_addr"),
                       F.lit("\nSubject: "), F.col("orig_subject"), F.lit("\n\n"), F.col("orig_body"))

@@ -6,86 +6,122 @@ Per pair: precision = mean over prediction tokens of the best cosine against the
 reference tokens, recall the converse, F1 from both; 0 when a side is empty.
 A token whose ``vec_id`` is missing from the table has a zero vector and so matches nothing.
 
-Plan: tokens are counted per (pair, side, token) after the pair partitioning
-(no shuffle) and joined to the float32 vectors by a join that Spark
-chooses from measured sizes. A pair's tokens are bounded by its two texts. The best matches of one
-pair come from NumPy products of blocks of rows with a running maximum inside an Arrow UDF;
-no pair rows are ever emitted and no full similarity matrix is held.
+Plan: vectors by dictionary. A pair's tokens become vector numbers of eight bytes inside its row. Pairs are dealt to
+partitions by their key; the distinct numbers of each partition are joined to the vector table, so a
+vector goes to a partition once, however many of its tokens refer to it. There it arrives before the pairs, sorted by
+number: one block that the pairs refer to by index. The best matches of a pair come from NumPy products of
+blocks of rows with a running maximum; no token is a row of its own beside its vector, no pair rows are emitted and no
+full similarity matrix is held. A worker holds the distinct vectors of one partition, which shrink with more partitions.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from inkwell.functions.text import lower_ws_tokens
-from inkwell.session import ship_package
+from inkwell.session import materialize, ship_package
 
 HASH_DIGITS = 15  # hex digits of the token's hash that pick its vector
 BLOCK = 1024      # prediction tokens compared at once
+SCORES = ("precision", "recall", "f1")
 
 
 def vec_id(token, n_vectors):
     return F.pmod(F.conv(F.substring(F.md5(token), 1, HASH_DIGITS), 16, 10).cast("long"), n_vectors)
 
 
-def _stack(vectors) -> np.ndarray:
-    """Rows of float64; a missing vector is a row of zeros."""
-    known = [v for v in vectors if v is not None]
-    if len(known) < len(vectors):
-        zero = np.zeros(len(known[0]) if known else 1, np.float32)
-        known = [zero if v is None else v for v in vectors]
-    return np.concatenate(known).reshape(len(known), -1).astype(np.float64)
+class Dictionary:
+    """A partition's distinct vectors: their numbers in order, and a block of rows."""
 
+    def __init__(self):
+        self.numbers, self.rows = [], []
+        self.block = None
 
-def _match(pred_w, pred_v, ref_w, ref_v):
-    if pred_v is None or ref_v is None or len(pred_v) == 0 or len(ref_v) == 0:
-        return 0.0, 0.0, 0.0
-    p, r = (_stack(side) for side in (pred_v, ref_v))
-    if p.shape[1] != r.shape[1]:  # one side has no vector at all
+    def add(self, numbers: np.ndarray, vectors: pa.ListArray) -> None:
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+        self.numbers.append(numbers)
+        self.rows.append(flat.reshape(len(numbers), -1))
+
+    def close(self) -> None:
+        if self.rows:
+            self.numbers, self.block = np.concatenate(self.numbers), np.concatenate(self.rows)
+            self.rows = []
+            self.length = np.maximum(np.sqrt((self.block.astype(np.float64) ** 2).sum(axis=1)), 1e-300)
+
+    def unit(self, numbers: np.ndarray) -> np.ndarray:
+        """Unit vectors of these numbers; zeros for one that has none."""
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        out = self.block[at].astype(np.float64) / self.length[at][:, None]
+        out[self.numbers[at] != numbers] = 0.0
+        return out
+
+
+def match(pred: np.ndarray, ref: np.ndarray, words: Dictionary) -> tuple[float, float, float]:
+    """precision, recall, f1 of two token sequences, given as vector numbers."""
+    if len(pred) == 0 or len(ref) == 0 or words.block is None:
         return 0.0, 0.0, 0.0
-    p, r = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (p, r))
+    (pn, pw), (rn, rw) = (np.unique(x, return_counts=True) for x in (pred, ref))
+    p, r = words.unit(pn), words.unit(rn)
     best_p, best_r = np.empty(len(p)), np.full(len(r), -np.inf)
     for i in range(0, len(p), BLOCK):
         sim = p[i:i + BLOCK] @ r.T
         best_p[i:i + BLOCK] = sim.max(axis=1)
         best_r = np.maximum(best_r, sim.max(axis=0))
-    pw, rw = np.asarray(pred_w, dtype=np.float64), np.asarray(ref_w, dtype=np.float64)
     prec, rec = float((best_p * pw).sum() / pw.sum()), float((best_r * rw).sum() / rw.sum())
-    f = 2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
-    return prec, rec, f
-
-
-@F.pandas_udf(StructType([StructField("precision", DoubleType()), StructField("recall", DoubleType()),
-                            StructField("f1", DoubleType())]))
-def match_udf(pred_w: pd.Series, pred_v: pd.Series, ref_w: pd.Series, ref_v: pd.Series) -> pd.DataFrame:
-    out = [_match(a, b, c, d) for a, b, c, d in zip(pred_w, pred_v, ref_w, ref_v)]
-    return pd.DataFrame(out, columns=["precision", "recall", "f1"])
+    return prec, rec, 2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
+
+
+def _score(keys: list[str]):
+    """Reads a partition's vectors, then its pairs."""
+    def run(batches):
+        words, closed = Dictionary(), False
+        for batch in batches:
+            vectors = batch.filter(pa.compute.is_valid(batch["v"]))
+            if len(vectors):
+                words.add(vectors["vid"].to_numpy(zero_copy_only=False), vectors["v"])
+            pairs = batch.filter(pa.compute.is_null(batch["v"]))
+            if not len(pairs):
+                continue
+            if not closed:
+                words.close()
+                closed = True
+            sides = []
+            for name in ("pred", "ref"):
+                column = pairs[name]
+                flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().fill_null(0).to_numpy())
+                sides.append(np.split(flat, ends[:-1]))
+            scores = np.array([match(p, r, words) for p, r in zip(*sides)])
+            yield pa.RecordBatch.from_arrays([*[pairs[k] for k in keys], *[pa.array(scores[:, i]) for i in range(3)]],
+                                             names=[*keys, *SCORES])
+
+    return run
 
 
 def embedding_match(pairs: DataFrame, embeddings: DataFrame, keys=("model_name", "sample_id")) -> DataFrame:
     """Per-pair (precision, recall, f1) of greedy token-vector matching."""
     keys = list(keys)
-    ship_package(pairs.sparkSession)
+    spark = pairs.sparkSession
+    ship_package(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_vectors = embeddings.agg(F.count(F.lit(1))).scalar()  # a subquery of the one plan
-    # a fixed number: a pair's rows grow by a vector per token, and AQE would coalesce by the texts' bytes
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = pairs.select(*keys, "prediction", "reference").repartition(n, *keys)
-    toks = base.select(*keys, F.inline(F.array(
-        F.struct(F.lit("p").alias("side"), lower_ws_tokens("prediction").alias("t")),
-        F.struct(F.lit("r").alias("side"), lower_ws_tokens("reference").alias("t")))))
-    counted = (toks.select(*keys, "side", F.explode("t").alias("token"))
-               .groupBy(*keys, "side", "token").agg(F.count(F.lit(1)).alias("w")))
-    vecs = embeddings.select(F.col("vec_id").alias("vid"), F.col("embedding").cast("array<float>").alias("v"))
-    with_v = counted.withColumn("vid", vec_id(F.col("token"), n_vectors)).join(vecs, "vid", "left")
-    side = lambda s: F.filter("items", lambda x: x["side"] == F.lit(s))
-    gathered = with_v.groupBy(*keys).agg(F.collect_list(F.struct("side", "w", "v")).alias("items"))
-    scored = gathered.select(
-        *keys, match_udf(F.transform(side("p"), lambda x: x["w"]), F.transform(side("p"), lambda x: x["v"]),
-                         F.transform(side("r"), lambda x: x["w"]), F.transform(side("r"), lambda x: x["v"])).alias("m"))
-    # pairs whose texts have no tokens at all score 0
-    return base.select(*keys).join(scored, keys, "left").select(
-        *keys, *[F.coalesce(F.col("m")[c], F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")])
+    toks = pairs.select(*keys, lower_ws_tokens("prediction").alias("p"), lower_ws_tokens("reference").alias("r"),
+                        n_vectors.alias("n"))
+    code = lambda c: F.transform(c, lambda t: vec_id(t, F.col("n")))
+    # stored: read once for the dictionary and once for the scores
+    coded = materialize(toks.select(*keys, code("p").alias("pred"), code("r").alias("ref"),
+                                    F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part")), "coded")
+    asked = (coded.select("part", F.explode(F.array_union(F.coalesce("pred", F.array().cast("array<bigint>")),
+                                                          F.coalesce("ref", F.array().cast("array<bigint>")))).alias("vid"))
+             .distinct())
+    vectors = embeddings.select(F.col("vec_id").cast("long").alias("vid"), F.col("embedding").cast("array<float>").alias("v")).where(
+        "vid IS NOT NULL AND v IS NOT NULL")
+    blocks = asked.join(vectors, "vid").select("part", "vid", "v")
+    both = blocks.unionByName(coded, allowMissingColumns=True)
+    schema = StructType([*[coded.schema[k] for k in keys], *[StructField(s, DoubleType()) for s in SCORES]])
+    return (both.repartitionById(parts, "part").sortWithinPartitions(F.col("vid").asc_nulls_last())
+            .mapInArrow(_score(keys), schema))

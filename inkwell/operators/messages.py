@@ -25,15 +25,16 @@ HEADER_FIELDS = (
 )
 
 # fixed values: cleaning and subject patterns (Java regex). A "cut at first match" is a replace of the match
-# and everything after it; DOTALL + \z makes that one match at most.
-CUT_ORIGINAL = r"(?isu)-{3,}" + PY_WS + r"*Original Message" + PY_WS + r"*-{3,}.*\z"
-CUT_FORWARDED = r"(?isu)-{3,}" + PY_WS + r"*Forwarded by" + PY_WS + r".*?-{3,}.*\z"
-CUT_WROTE = r"(?isu)On .+? wrote:.*\z"
-QUOTED_LINE = r"^" + PY_WS + r"*>"
+# and everything after it; DOTALL + \z makes that one match at most. Possessive runs that start where a run starts
+# are read once. A pair is an opening and what must follow it somewhere (``cut_at_pair``).
+CUT_ORIGINAL = r"(?isu)(?<!-)-{3,}+" + PY_WS + r"*+Original Message" + PY_WS + r"*+-{3,}.*\z"
+CUT_FORWARDED = r"(?isu)(?<!-)-{3,}+" + PY_WS + r"*+Forwarded by" + PY_WS + r".*?-{3,}.*\z"
+CUT_WROTE = ("On ", r".+? wrote:")
+QUOTED_LINE = r"^" + PY_WS + r"*+>"
 DISCLAIMERS = (
-    r"(?isu)(?:This message|This e-?mail|This communication).*?(?:confidential|privileged).*",
-    r"(?isu)ENRON DISCLAIMER.*",
-    r"(?isu)\*{3,}.*?ECONNECTION.*",
+    ("(?:This message|This e-?mail|This communication)", ".*?(?:confidential|privileged)"),
+    ("ENRON DISCLAIMER", ""),
+    (r"\*{3}", ".*?ECONNECTION"),
 )
 SUBJECT_PREFIX = r"(?iu)^(?:Re|Fw|Fwd)" + PY_WS + r"*:" + PY_WS + r"*"
 REPLY_SUBJECT = r"(?iu)^Re" + PY_WS + r"*:"
@@ -133,6 +134,20 @@ def drop_quoted_lines(text) -> Column:
     return F.array_join(F.filter(lines(text), lambda ln: ~ln.rlike(QUOTED_LINE)), "\n")
 
 
+def cut_at_pair(opening: str, rest: str):
+    """Cut a text where ``opening`` and ``rest`` match one after the other, from there to its end (a column function).
+
+    ``rest`` reaches any distance, so if it fails behind the first opening it fails behind every later one: the
+    first is tried alone, which takes linear time where a search for both would start again at each opening.
+    """
+    def cut(t):
+        tail = F.regexp_extract(t, f"(?isu){opening}.*\\z", 0)
+        return let(tail, lambda x: F.when((x != F.lit("")) & x.rlike(f"(?isu)\\A{opening}{rest}"),
+                                          F.left(t, F.length(t) - F.length(x))).otherwise(t))
+
+    return cut
+
+
 def clean_body(text) -> Column:
     """Cut reply/forward chains, drop quoted lines and disclaimers, collapse whitespace.
 
@@ -160,13 +175,12 @@ def clean_body(text) -> Column:
         guarded = (
             (has("original message"), rx(CUT_ORIGINAL)),
             (has("forwarded by"), rx(CUT_FORWARDED)),
-            # "On .+? wrote:" retries a lazy scan at every "on " (quadratic on prose).
-            (has(" wrote:"), rx(CUT_WROTE)),
+            (has(" wrote:"), cut_at_pair(*CUT_WROTE)),
             (has(">"), drop_quoted_lines),
             (has("this message", "this email", "this e-mail", "this communication")
-             & has("confidential", "privileged"), rx(DISCLAIMERS[0])),
-            (has("enron disclaimer"), rx(DISCLAIMERS[1])),
-            (has("econnection") & has("***"), rx(DISCLAIMERS[2])),
+             & has("confidential", "privileged"), cut_at_pair(*DISCLAIMERS[0])),
+            (has("enron disclaimer"), cut_at_pair(*DISCLAIMERS[1])),
+            (has("econnection") & has("***"), cut_at_pair(*DISCLAIMERS[2])),
         )
         def step(guard, fn):
             return lambda x: F.when(guard, fn(x)).otherwise(x)

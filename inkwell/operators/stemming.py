@@ -1,8 +1,7 @@
-"""Stemmed ROUGE counts of token arrays.
+"""ROUGE and BLEU counts of a pair, inside its row.
 
-One Arrow step reads both token arrays of a pair and returns counts only: clipped overlaps
-per n-gram order and the LCS length. Stems are remembered per worker, so a word is stemmed once
-and no token is exploded or shuffled.
+One Arrow step reads a pair and returns counts only: clipped overlaps per n-gram order and the LCS
+length. Stems are remembered per worker, so a word is stemmed once, and no token or gram is exploded or shuffled.
 """
 
 from __future__ import annotations
@@ -53,18 +52,56 @@ def lcs_length(a, b) -> int:
 def clipped(a: list, b: list, n: int) -> int:
     """Clipped n-gram matches of two token lists."""
     grams = lambda t: Counter(zip(*(t[i:] for i in range(n))))
-    return (grams(a) & grams(b)).total()
+    held = grams(b)
+    return sum(min(k, held[g]) for g, k in grams(a).items() if g in held)
+
+
+def clipped_upto(a: list, b: list, orders: int) -> list[int]:
+    """Clipped matches of the orders 1, 2, ... A pair without a common n-gram has no longer one, so its higher orders
+    are not counted."""
+    out = [0] * orders
+    for n in range(1, orders + 1):
+        out[n - 1] = clipped(a, b, n)
+        if not out[n - 1]:
+            break
+    return out
 
 
-def rouge_counts(stem: bool, overlaps: bool, lcs: bool):
-    """Arrow function of two token arrays: struct of the asked counts (0 where not asked)."""
-    @F.pandas_udf("struct<overlap1:long,overlap2:long,lcs:long>")
-    def counts(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-        out = []
-        for p, r in zip(pred, ref):
-            p, r = (stems(p), stems(r)) if stem else (list(p), list(r))
-            out.append((clipped(p, r, 1) if overlaps else 0, clipped(p, r, 2) if overlaps else 0,
-                        lcs_length(p, r) if lcs else 0))
-        return pd.DataFrame(out, columns=["overlap1", "overlap2", "lcs"])
+def pair_counts(stem: bool, rouge: bool, lcs: bool, bleu_orders: int):
+    """Arrow function of a pair that returns counts only: ``rouge`` (clipped matches of orders 1 and 2), ``lcs``, ``bleu``
+    (clipped matches of its orders) and the lengths ``hyp_len``, ``ref_len``; 0 or empty where not asked.
 
-    return counts
+    It reads the pair's two texts, for BLEU (tokens of ``str.split``), and, where ROUGE or the LCS are asked, its two
+    ROUGE token arrays. Grams live in the row's own counters, so none is ever a row.
+    """
+    schema = "struct<rouge:array<long>,lcs:long,bleu:array<long>,hyp_len:long,ref_len:long>"
+
+    def count(p, r, pt, rt):
+        out = [[0, 0], 0, [], 0, 0]
+        if pt is not None:
+            pt, rt = (stems(pt), stems(rt)) if stem else (list(pt), list(rt))
+            out[:2] = clipped_upto(pt, rt, 2) if rouge else [0, 0], lcs_length(pt, rt) if lcs else 0
+        if bleu_orders:
+            a, b = p.split(), r.split()
+            out[2:] = clipped_upto(a, b, bleu_orders), len(a), len(b)
+        return out
+
+    names = ["rouge", "lcs", "bleu", "hyp_len", "ref_len"]
+    if not (rouge or lcs):
+        @F.pandas_udf(schema)
+        def texts_only(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([count(p, r, None, None) for p, r in zip(pred, ref)], columns=names)
+
+        return lambda p, r, pt, rt: texts_only(p, r)
+    if not bleu_orders:
+        @F.pandas_udf(schema)
+        def tokens_only(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([count(None, None, p, r) for p, r in zip(pred, ref)], columns=names)
+
+        return lambda p, r, pt, rt: tokens_only(pt, rt)
+
+    @F.pandas_udf(schema)
+    def both(pred: pd.Series, ref: pd.Series, pred_tokens: pd.Series, ref_tokens: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([count(*x) for x in zip(pred, ref, pred_tokens, ref_tokens)], columns=names)
+
+    return both

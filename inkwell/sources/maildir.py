@@ -9,8 +9,7 @@
   listed and read by a Spark job over the folder table (``read_hidden``).
 * The size prefilter on ``length`` is pushed into the ``binaryFile`` scan, so
   oversized files are never read.
-* Bytes are decoded as UTF-8 with undecodable bytes dropped (genuine U+FFFD is
-  dropped too), and ``\\r\\n`` / ``\\r`` become ``\\n``.
+* Bytes are decoded as UTF-8 with exactly the undecodable bytes dropped, and ``\\r\\n`` / ``\\r`` become ``\\n``.
 """
 
 from __future__ import annotations
@@ -81,10 +80,21 @@ def read_hidden(spark: SparkSession, folders: list[tuple[str, str, str]], max_by
     return table.repartition(min(len(folders), 10_000)).mapInPandas(read, schema)
 
 
+# one or more well-formed UTF-8 sequences, as characters of the bytes' Latin-1 view
+WELL_FORMED = (r"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+               r"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+               r"|\xf4[\x80-\x8f][\x80-\xbf]{2})")
+
+
 def decode_text(content) -> F.Column:
-    """UTF-8 decode, undecodable bytes dropped, universal newlines."""
-    text = F.make_valid_utf8(content.cast("string"))
-    text = F.replace(text, F.lit("\ufffd"), F.lit(""))
+    """UTF-8 decode, exactly the undecodable bytes dropped (``errors="ignore"``), universal newlines.
+
+    Bytes outside well-formed sequences go from the Latin-1 view of the bytes, so a genuine U+FFFD stays. Only files
+    that are not valid UTF-8 take that way.
+    """
+    latin = F.decode(content, "ISO-8859-1")
+    kept = F.encode(F.regexp_replace(latin, f"({WELL_FORMED})|[\\x80-\\xff]", "$1"), "ISO-8859-1")
+    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(kept.cast("string"))
     return F.regexp_replace(text, "\r\n?", "\n")
 
 

@@ -116,9 +116,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each assistant turn answering a user turn becomes one pair per model; the
     model rows come from exploding the two names, not from a join, and the lag
-    windows are per conversation (a handful of turns).
+    windows are per conversation (a handful of turns). The window's own shuffle keeps the
+    session's number of partitions: scoring a pair costs far more than its bytes, by which AQE would merge them.
     """
-    conv = read_table(spark, sf_dir, "conversations")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conv = read_table(spark, sf_dir, "conversations").repartition(n, "conv_id")
     w = Window.partitionBy("conv_id").orderBy("turn")
     t = conv.select("conv_id", "turn", "role", "text",
                     F.lag("role").over(w).alias("prev_role"), F.lag("text").over(w).alias("prev_text"),

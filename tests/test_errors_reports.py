@@ -44,19 +44,6 @@ def test_labels_order_and_none(spark):
     assert got[2] == "too_short, no_greeting, no_closing, off_topic"
 
 
-def test_ngram_overlap_single_exchange(spark):
-    rows = [("m", str(i), "t", "p", "a b c d", "a b x") for i in range(10)]
-    df = spark.createDataFrame(rows, "model_name string, sample_id string, task_type string, prompt string, "
-                                     "prediction string, reference string")
-    tok = df.repartition(*MT.KEYS).select(*MT.KEYS, MT.rouge_tokens("prediction").alias("pred_rt"),
-                                          MT.rouge_tokens("reference").alias("ref_rt"),
-                                          MT.bleu_tokens("prediction").alias("pred_bt"),
-                                          MT.bleu_tokens("reference").alias("ref_bt"))
-    plan = MT.ngram_overlap(tok)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 or "AdaptiveSparkPlan" in plan
-    assert "CartesianProduct" not in plan
-
-
 def test_exact_quantiles_match_numpy(spark):
     import numpy as np
     rng = random.Random(11)

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from inkwell.operators import metrics as MT
+from inkwell.operators.stemming import clipped_upto
 
 
 def lcs_dp(a, b):
@@ -164,5 +165,76 @@ def test_plans_compute_only_what_is_asked(spark):
         assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan and "Generate" not in plan
     plan = _plan(MT.shown(df))
     assert "Python" not in plan and "Exchange" not in plan
-    full = _plan(MT.pair_scores(df)).split("== Initial Plan ==")[0]
-    assert full.count("ArrowEvalPython") == 1
+    for scores in (MT.pair_scores(df, features=True), MT.pair_scores(df, with_rouge=False, with_lcs=False),
+                   MT.pair_scores(df, stem=False, with_lcs=False)):
+        plan = _plan(scores)
+        assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan and "Generate" not in plan
+    assert "ArrowEvalPython" in _plan(MT.bleu_corpus(df)) and "Generate" not in _plan(MT.bleu_corpus(df))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=30), st.lists(st.sampled_from("abc"), max_size=30))
+def test_clipped_counts_inside_the_row(a, b):
+    want = []
+    for n in (1, 2, 3, 4):
+        p, r = ([tuple(t[i:i + n]) for i in range(len(t) - n + 1)] for t in (a, b))
+        want.append(sum(min(p.count(g), r.count(g)) for g in set(p)))
+    assert clipped_upto(a, b, 4) == want
+
+
+def test_bleu_tokens_are_those_of_split(spark):
+    """Odd white space, empty texts and a very long text; every asked subset of counts agrees."""
+    from inkwell.functions.text import PY_WS_CHARS
+    texts = ["a\x1cb\u00a0c", "", " \n", "x" + PY_WS_CHARS + "y", "İ ß i̇", "w " * 20_000 + "end", "a b c d e"]
+    rows = [("m", f"{i}:{j}", p, r) for i, p in enumerate(texts) for j, r in enumerate(texts)]
+    df = spark.createDataFrame(rows, "model_name string, sample_id string, prediction string, reference string")
+    got = {r.sample_id: r for r in MT.pair_scores(df, with_rouge=False, with_lcs=False).collect()}
+    both = {r.sample_id: r for r in MT.pair_scores(df).collect()}
+    for _, i, p, r in rows:
+        a, b = p.split(), r.split()
+        assert (got[i].hyp_len, got[i].ref_len) == (len(a), len(b))
+        assert [got[i][f"bleu_num_{n}"] for n in (1, 2, 3, 4)] == clipped_upto(a, b, 4)
+        assert got[i].bleu == both[i].bleu
+
+
+def test_embedding_match_against_model(spark):
+    """Vectors by dictionary: against every token with its own vector; missing vectors, empty and null sides."""
+    import hashlib
+
+    import numpy as np
+
+    from inkwell.operators.embedding import embedding_match
+    rng = np.random.default_rng(3)
+    vectors = {i: rng.normal(size=5).astype(np.float32) for i in range(40) if i % 9}
+    table = [(i, vectors.get(i, [0.0] * 5) if i % 9 else None) for i in range(40)]
+    emb = spark.createDataFrame([(i, None if v is None else [float(x) for x in v]) for i, v in table],
+                                "vec_id long, embedding array<float>")
+    words = [f"Word{i}" for i in range(60)]
+    texts = ["", " ", "word1", *[" ".join(rng.choice(words, size=rng.integers(1, 30))) for _ in range(20)]]
+    rows = [("m", str(k), str(rng.choice(texts)), str(rng.choice(texts))) for k in range(80)] + [("m", "n", None, "a")]
+    got = {r.sample_id: tuple(r)[2:] for r in embedding_match(spark.createDataFrame(
+        rows, "model_name string, sample_id string, prediction string, reference string"), emb).collect()}
+    assert len(got) == len(rows)
+
+    def unit(t):
+        v = vectors.get(int(hashlib.md5(t.encode()).hexdigest()[:15], 16) % 40)
+        return np.zeros(5) if v is None else v.astype(float) / np.linalg.norm(v.astype(float))
+
+    for _, k, p, r in rows:
+        p, r = (p or "").lower().split(), (r or "").lower().split()
+        want = (0.0, 0.0, 0.0)
+        if p and r:
+            sim = np.array([[unit(a) @ unit(b) for b in r] for a in p])
+            x, y = sim.max(1).mean(), sim.max(0).mean()
+            want = (x, y, 2 * x * y / (x + y) if x + y > 0 else 0.0)
+        assert np.allclose(got[k], want, atol=1e-9), (k, got[k], want)
+
+
+def test_vectors_move_once_a_partition(spark):
+    """A vector is joined once per partition that needs it, not once per token."""
+    from inkwell.operators.embedding import embedding_match
+    emb = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(8)], "vec_id long, embedding array<float>")
+    df = spark.createDataFrame([("m", str(i), "a b c d " * 50, "a b x " * 50) for i in range(50)],
+                               "model_name string, sample_id string, prediction string, reference string")
+    plan = _plan(embedding_match(df, emb))
+    assert "collect_list" not in plan and "MapInArrow" in plan
