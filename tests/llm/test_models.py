@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -36,11 +37,15 @@ def test_quality_held_out(spark):
 
 def test_toxicity_held_out(spark):
     docs, labels = tables(spark)
-    rows = held_out(toxicity.score_documents(docs, toxicity.fit(docs, labels)), labels, "toxic")
-    caught = [y for _, p, y in rows if p]
-    assert np.mean(caught) > 0.97  # what it rejects is toxic
-    # some labels are noise (toxic without a toxic word), which bounds the recall
-    assert sum(caught) > 0.5 * sum(y for *_, y in rows)
+    y = {r.doc_id: r.toxic for r in labels.collect()}
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    rows = [(lang[r.doc_id], r.predicted, y[r.doc_id]) for r in
+            toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect() if r.held_out and y.get(r.doc_id) is not None]
+    assert np.mean([p for _, p, t in rows if t]) >= 0.85
+    assert np.mean([p == 0 for _, p, t in rows if not t]) >= 0.97
+    assert np.mean([t for _, p, t in rows if p]) >= 0.9
+    for each in set(lang.values()):
+        assert np.mean([p for la, p, t in rows if t and la == each]) >= 0.7
 
 
 def test_forward_backward_matches_enumeration():
@@ -93,24 +98,74 @@ def test_quality_learns_from_long_and_repeated_documents(spark, monkeypatch):
     assert up > 0.5 > down
 
 
-def kinds(text):
-    return toxicity.read_clause(text.lower())
+PLAIN = toxicity.Lexicon()
+BASE, AIMED = toxicity.PRIOR, toxicity.PRIOR + toxicity.AIMED
+
+
+def weight(clause, lexicon=PLAIN):
+    return toxicity.read_clause(toxicity.WORD.findall(clause.lower()), lexicon)
 
 
 def test_grammar_reads_clauses():
-    assert kinds("you are an idiot") == ["aimed insult"]
-    assert kinds("what an idiot") == ["insult"]
-    assert kinds("that is not stupid") == ["negated"]
-    assert kinds("a critic called it worthless") == ["reported"]
-    assert kinds("i will kill you") == ["aimed threat"]
-    assert kinds("the cold may kill the crops") == []
-    assert kinds("nothing here at all") == []
-    row = dict(zip(toxicity.KINDS, toxicity.features('It said "a real moron". Fine.')))
-    assert row["reported"] > 0 and row["insult"] == 0
+    assert weight("you are an idiot") == AIMED and weight("what an idiot") == BASE
+    assert weight("that is not stupid") == pytest.approx(BASE * toxicity.DENIED)
+    assert weight("a critic called it worthless") == pytest.approx(BASE * toxicity.SAID)
+    assert weight("i will kill you") == AIMED and weight("the cold may kill the crops") == 0
+    assert weight("nothing here at all") == 0
+    assert weight("idiot idiot idiot") == BASE  # one clause, one score
+    got, clauses = toxicity.clause_weights('It said "a real moron". What an idiot! Fine.', PLAIN)
+    assert clauses == 3 and got == pytest.approx([BASE * toxicity.SAID, BASE])
+
+
+def test_clause_weights_against_brute_force():
+    """Clause by clause from the rules, with a learned lexicon of words and beginnings."""
+    rng = random.Random(4)
+    lexicon = toxicity.Lexicon({"zorp": (40, 38), "blarg*": (30, 29), "idiot": (50, 1), "meh": (50, 20), "rare": (4, 4)}, 1000, 100)
+    odds = lambda n, t: math.log((t + 0.5) / 101) - math.log((n - t + 0.5) / 901)
+    vocabulary = ["zorp", "blargon", "blarg", "idiot", "moron", "kill", "will", "you", "not", "said", "meh", "rare", "a", "b", "c"]
+    direct = {"zorp": odds(40, 38), "blargon": odds(30, 29), "moron": toxicity.PRIOR, "kill": toxicity.PRIOR, "meh": odds(50, 20)}
+
+    def brute(words):
+        best = 0.0
+        for i, w in enumerate(words):
+            x = direct.get(w, 0.0)
+            if not x or w == "meh" and x < toxicity.INFORMED:
+                continue
+            before, behind = words[max(0, i - toxicity.REACH):i], words[i + 1:i + 1 + toxicity.REACH]
+            if w == "kill" and not ("will" in before and "you" in behind):
+                continue
+            x += toxicity.AIMED * ("you" in before or "you" in behind)
+            x *= toxicity.DENIED if "not" in before else 1
+            x *= toxicity.SAID if "said" in words[:i] else 1
+            best = max(best, x)
+        return best
+
+    for _ in range(500):
+        clauses = [[rng.choice(vocabulary) for _ in range(rng.randint(1, 9))] for _ in range(rng.randint(1, 4))]
+        got, n = toxicity.clause_weights(". ".join(" ".join(c) for c in clauses), lexicon)
+        want = [x for x in map(brute, clauses) if x]
+        assert got == pytest.approx(want) and n == (len(clauses) if n else 0)
+
+
+def test_lexicon_is_counted_as_in_plain_python(spark):
+    rows = [(i, f"word{i % 3} blarg{i % 5} common idiot" if i % 4 == 0 else f"word{i % 3} common") for i in range(200)] + [(900, None)]
+    taught = spark.createDataFrame([(i, int(i % 4 == 0), t) for i, t in rows], "doc_id long, y int, text string")
+    got = toxicity.learn_lexicon(taught, 201, 50)
+    held, bad = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        found = {e for w in toxicity.WORD.findall(t or "") for e in toxicity.entries(w)}
+        held.update(found)
+        bad.update(found if i % 4 == 0 else ())
+    assert all(v == (held[e], bad[e]) for e, v in got.seen.items())
+    assert {"blarg*", "idiot", "blarg0", "blarg4"} <= set(got.seen) and "common" not in got.seen and "word*" not in got.seen
+    assert got.weight("blargnew") > 3 and got.weight("common") == 0
+    assert got.entry_weight("blarg*", 1) < got.entry_weight("blarg*")
 
 
 def spoken(text):
-    return {k: v for k, v in zip(toxicity.KINDS, toxicity.features(text)) if v}
+    """What kinds of matches a text of fixed words holds, by their weight."""
+    names = {AIMED: "aimed insult", AIMED * toxicity.SAID: "reported"}
+    return {names[w] for w in toxicity.clause_weights(text, PLAIN)[0]}
 
 
 @pytest.mark.parametrize("a, b", ['""', "“”", "„“", "«»", "»«", "””"])
@@ -132,9 +187,9 @@ def test_quotations_stray_and_nested_marks():
     assert set(spoken('"One paragraph.\n\n"You are an idiot.\n\n"A third." Fine.')) == {"reported"}
     assert toxicity.quotations('("a") b "c"') == [(1, 4), (8, 11)]
     assert toxicity.quotations("no marks") == []
-    model = toxicity.Model(np.array([2.0, 2.0, 2.0, 2.5, -0.5, -0.5] + [2.0, 2.0, 2.0, 2.0, 0.0, 0.0]), -3.0)
+    model = toxicity.fit_default()
     text = '"' + "fine words " * 40 + '." You are an idiot. "ok"'
-    assert model.score(np.array([toxicity.features(text)]))[0] >= toxicity.THRESHOLD
+    assert model.score([text, "fine words"])[0] >= toxicity.THRESHOLD > model.score(["fine words", None])[1]
 
 
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
