@@ -118,7 +118,8 @@ def dedup_rows(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key_bits: int =
     """``exact_dedup`` for rows (doc_id, text) that carry ``__rid``."""
     rows = document_names(docs, block_bytes, key_bits)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("__rid"))
-    groups = rows.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+    # stored, so that the join deals both sides out by exchanges of their own and AQE may split a hot name's rows
+    groups = store(rows.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size")), "groups")
     return rows.join(groups, ["level", "name"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("__rid") == F.col("first.__rid")).alias("kept"), "text_sha256", "__rid")
