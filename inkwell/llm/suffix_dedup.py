@@ -255,14 +255,20 @@ def covered_spans(rows: DataFrame, window: int, token: int, hot: int, run: int)
                                       F.substring("right", F.lit(1), F.lit(window) - F.col("a"))).alias("w"))
     keyed = windows.select("__rid", "pos", "a", F.xxhash64("w").alias("k1"),
                            F.xxhash64(F.lit(1), "w").alias("k2"))
-    repeated = keyed.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    if again.where(F.col("n") > hot).isEmpty():
+        return facts, _with_spans(found, spans)
+    # stored like the tokens above, for the same reason
+    repeated = store(keyed.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "windows")
     hot_spans = (keyed.join(repeated, ["k1", "k2"]).groupBy("__rid", "pos")
                  .agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
                  .select("__rid", (F.col("pos") - F.col("hi")).alias("s"), (F.col("pos") - F.col("lo") + window).alias("e")))
-    if not again.where(F.col("n") > hot).isEmpty():
-        spans = spans.unionByName(hot_spans)
+    return facts, _with_spans(found, spans.unionByName(hot_spans))
+
+
+def _with_spans(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """The texts with candidates, each with its covered spans."""
     per_row = spans.groupBy("__rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    return facts, found.select("__rid", "data").join(per_row, "__rid")
+    return found.select("__rid", "data").join(per_row, "__rid")
 
 
 CUT = "struct<n_removed:long,n_spans:long,kept:binary>"
