@@ -100,9 +100,10 @@ g AS (SELECT conv_id, count(*) AS n_turns,
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        formatted_chars FROM g""")
 def op9(spark, sf_dir):
-    both = "</s>[INST] ok [/INST]"
-    fixed = spark.createDataFrame([(-1, 0, "user", both), (-1, 1, "assistant", both)],
-                                  "conv_id long, turn long, role string, text string")
+    both = F.lit("</s>[INST] ok [/INST]")
+    two = [F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"),
+                    both.alias("text")) for k, role in enumerate(("user", "assistant"))]
+    fixed = spark.range(1).select(F.inline(F.array(*two)))
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(fixed)
     return chat.digest(chat.format_paths(chat.reply_paths(chat.chain(turns))))
 
