@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
-from inkwell.session import ship_package
 from inkwell.sources.maildir import uri
+from inkwell.sources.mailtree import register
 
 SAMPLE_SCHEMA = ("sample_id string, task_type string, "
                  "messages array<struct<role: string, content: string>>")
@@ -45,20 +45,9 @@ def write_splits(split_samples: DataFrame, out_dir: str) -> dict[str, str]:
 def write_mail_tree(raw: DataFrame, root: str, name: Column | None = None) -> None:
     """Write raw messages as a mail tree ``<root>/<user>/<folder>/<name>.`` (UTF-8); the name is the doc_id by default.
 
-    Executors write their own rows through the file system that ``root``'s URI names, which all of them share.
+    Tasks write through the file system that ``root``'s URI names, which all of them share; the files appear when the
+    whole job has succeeded (see ``mailtree``).
     """
-    ship_package(raw.sparkSession)
-    target = uri(root)
+    register(raw.sparkSession)
     rows = raw.select("user", "folder", (F.col("doc_id").cast("string") if name is None else name).alias("name"), "content")
-
-    def write_part(it):
-        from pyarrow import fs as pafs
-
-        fs, base = pafs.FileSystem.from_uri(target)
-        for r in it:
-            d = f"{base}/{r['user']}/{r['folder']}"
-            fs.create_dir(d, recursive=True)
-            with fs.open_output_stream(f"{d}/{r['name']}.") as out:
-                out.write(r["content"].encode("utf-8"))
-
-    rows.foreachPartition(write_part)
+    rows.write.format("mailtree").option("path", uri(root)).mode("append").save()

@@ -1,15 +1,11 @@
 """Mail-tree source: ``<root>/<user>/<folder>/**/<file>`` -> raw message table.
 
-* Users and their immediate folders are listed on the driver with the Hadoop
-  FileSystem API (metadata only); the folder rule picks sent/inbox folders
-  there, so skipped folders are never opened.
-* Spark's file listing drops names starting with ``_`` or ``.``; reading the
-  root recursively would lose every ``_sent_mail`` folder. Selected folders are
-  therefore passed to the reader by name, and hidden names *below* a selected folder are
-  listed and read by a Spark job over the folder table (``read_hidden``).
-* The size prefilter on ``length`` is pushed into the ``binaryFile`` scan, so
-  oversized files are never read.
+* The tree is listed and read by tasks (``mailtree``); the driver sees the users' names alone. The folder rule
+  picks sent/inbox folders at the listing, so skipped folders are never opened, and hidden names
+  (``_sent_mail``) are files like others.
+* The size prefilter on ``length`` is pushed into the listing, so oversized files are never read.
 * Bytes are decoded as UTF-8 with exactly the undecodable bytes dropped, and ``\\r\\n`` / ``\\r`` become ``\\n``.
+* Spark's own file source (``hidden=False``) is kept for stores that only Spark can open.
 """
 
 from __future__ import annotations
@@ -20,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
-from inkwell.session import ship_package
+from inkwell.sources.mailtree import is_mail_folder, list_tree, read_contents
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,10 +25,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _hidden(name: str) -> bool:
-    return name.startswith("_") or name.startswith(".")
-
-
 def list_folders(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     """(user, folder, folder path) for every immediate folder of every user, users sorted."""
     fs, rootp = _fs(spark, root)
@@ -55,31 +47,6 @@ def uri(path: str) -> str:
     return f"{scheme}:///{quote(rest.lstrip('/'))}" if scheme == "file" else f"{scheme}:/{quote(rest)}"
 
 
-def read_hidden(spark: SparkSession, folders: list[tuple[str, str, str]], max_bytes: int) -> DataFrame:
-    """Files below the selected folders whose names Spark's listing drops (a part that starts with _ or .):
-    (path, user, folder, length, bytes). Tasks list and read the folders, one row per folder."""
-    schema = "path string, user string, folder string, length bigint, bytes binary"
-
-    def read(batches):
-        import pandas as pd
-        from pyarrow import fs as pafs
-
-        for batch in batches:
-            for user, folder, path in zip(batch["user"], batch["folder"], batch["path"]):
-                fs, base = pafs.FileSystem.from_uri(path)
-                base = base.rstrip("/")
-                for info in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
-                    hidden = any(_hidden(part) for part in info.path[len(base) + 1:].split("/"))
-                    if info.type == pafs.FileType.File and hidden and info.size <= max_bytes:
-                        with fs.open_input_stream(info.path) as f:
-                            row = (path.split("://")[0] + ":" + info.path, user, folder, info.size, f.read())
-                        yield pd.DataFrame([row], columns=["path", "user", "folder", "length", "bytes"])
-
-    ship_package(spark)
-    table = spark.createDataFrame([(u, f, uri(p)) for u, f, p in folders], "user string, folder string, path string")
-    return table.repartition(min(len(folders), 10_000)).mapInPandas(read, schema)
-
-
 # one or more well-formed UTF-8 sequences, as characters of the bytes' Latin-1 view
 WELL_FORMED = (r"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
                r"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
@@ -104,39 +71,39 @@ def read_maildir(spark: SparkSession, root: str, max_body_length: int = fixed.MA
 
     ``length`` (bytes) is kept for the size prefilter; apply
     ``prepare_messages(raw, size_col="length")`` next. Files over
-    ``max_body_length + 5000`` bytes are filtered in the scan. ``hidden=False`` leaves out files whose
-    name, or a folder above it, starts with _ or . (for file systems that only Spark can open).
+    ``max_body_length + 5000`` bytes are left out by the listing. ``hidden=False`` reads through Spark's own file
+    source, for file systems that only Spark can open; it leaves out files whose name, or a folder above it, starts
+    with _ or . and lists the folders on the driver.
     """
-    folders = list_folders(spark, root)
-    chosen = [(u, f, p) for u, f, p in folders if _box(f) is not None]
+    most = max_body_length + fixed.FILE_SIZE_SLACK
+    fs, rootp = _fs(spark, root)
+    if not fs.exists(rootp):
+        raise FileNotFoundError(f"maildir not found: {root}")
+    if hidden:
+        tree = uri(fs.makeQualified(rootp).toString())
+        seen = read_contents(list_tree(spark, tree, most), tree)
+    else:
+        seen = _read_plain(spark, root, most)
+    return seen.select("path", "user", "folder", "length", decode_text(F.col("bytes")).alias("content"))
+
+
+def _read_plain(spark: SparkSession, root: str, most: int) -> DataFrame:
+    """Files of the selected folders by the ``binaryFile`` source."""
+    chosen = [(u, f, p) for u, f, p in list_folders(spark, root) if is_mail_folder(f)]
     if not chosen:
-        schema = "path string, user string, folder string, length bigint, content string"
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "path string, user string, folder string, length bigint, bytes binary")
     paths = [p for _, _, p in chosen]
     user_of = spark.createDataFrame([(p.rstrip("/"), u, f) for u, f, p in chosen],
                                     "folder_path string, user string, folder string")
     scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-            .where(F.col("length") <= max_body_length + fixed.FILE_SIZE_SLACK))
+            .where(F.col("length") <= most))
     # Each file belongs to the selected folder whose path prefixes it: derive the
     # folder path from the file path (user dir + immediate folder) and join the
     # small folder table (one row per selected folder, broadcast).
-    root_uri = _fs(spark, root)[1]
-    root_q = _fs(spark, root)[0].makeQualified(root_uri).toString().rstrip("/")
+    fs, rootp = _fs(spark, root)
+    root_q = fs.makeQualified(rootp).toString().rstrip("/")
     rel = F.substring(F.col("path"), len(root_q) + 2, 1 << 30)
     folder_path = F.concat(F.lit(root_q + "/"), F.substring_index(rel, "/", 2))
-    seen = (scan.select("path", "length", folder_path.alias("folder_path"), F.col("content").alias("bytes"))
+    return (scan.select("path", "length", folder_path.alias("folder_path"), F.col("content").alias("bytes"))
             .join(F.broadcast(user_of), "folder_path")
             .select("path", "user", "folder", "length", "bytes"))
-    if hidden:
-        seen = seen.unionByName(read_hidden(spark, chosen, max_body_length + fixed.FILE_SIZE_SLACK))
-    return seen.select("path", "user", "folder", "length", decode_text(F.col("bytes")).alias("content"))
-
-
-def _box(folder: str):
-    n = folder.lower().strip("_").replace(" ", "_")
-    if n in fixed.SENT_FOLDER_NAMES:
-        return "sent"
-    if n in fixed.INBOX_FOLDER_NAMES:
-        return "inbox"
-    return None
-

@@ -82,3 +82,67 @@ def test_replies_to_a_hot_subject(spark):
     assert len(plain) == 21  # 20 hot "Re: budget" replies + "Re: t3"
     budget = [r for r in plain if "Subject: budget" in r[3]]
     assert len(budget) == 20 and all(r[3].endswith("original budget") for r in budget)
+
+
+def test_size_bound_reaches_the_listing(spark, tmp_path):
+    from inkwell.sources.mailtree import list_tree
+    root = str(tmp_path / "maildir")
+    make_tree(root, hidden_file=True)
+    df = list_tree(spark, "file://" + root, 1000)
+    assert {r.length <= 1000 for r in df.collect()} == {True} and df.count() == 7
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan mailtree" in plan and "Filter " not in plan
+    assert list_tree(spark, "file://" + root, 10).count() == 0
+
+
+def test_odd_trees(spark, tmp_path):
+    """Empty tree, files beside users and folders, names with spaces, marks and non-ASCII letters, many users."""
+    root = str(tmp_path / "mail dir é#%")
+    os.makedirs(root)
+    assert read_maildir(spark, root).count() == 0
+    _write(root, "stray", b"x")
+    _write(root, "zoë q/stray", b"x")
+    _write(root, "zoë q/Sent Items/a b/ü#1%20.", b"Subject: s\n\nb")
+    for k in range(20):
+        _write(root, f"u{k:02d}/inbox/{k}.", b"Subject: s\n\nb")
+    os.makedirs(os.path.join(root, "empty", "inbox"))
+    got = read_maildir(spark, root).collect()
+    assert len(got) == 21 and {r.user for r in got} == {"zoë q", *(f"u{k:02d}" for k in range(20))}
+    assert [r.path for r in got if r.folder == "Sent Items"] == [f"file:{root}/zoë q/Sent Items/a b/ü#1%20."]
+
+
+def tree_files(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs if not f.endswith(".crc"))
+
+
+def test_writer_commits_whole_jobs(spark, tmp_path):
+    """Attempts that fail half-way leave nothing behind: neither in a job whose retry succeeds nor in one that fails."""
+    import glob
+
+    import pyarrow as pa
+
+    from inkwell.sources.jsonl import write_mail_tree
+    from inkwell.sources.mailtree import MailTreeWriter
+    root = str(tmp_path / "tree")
+    raw = spark.range(40).selectExpr("id AS doc_id", "concat('u', id % 3) AS user", "'inbox' AS folder", "concat('text ', id) AS content")
+    write_mail_tree(raw.repartition(4), root)
+    want = sorted(f"u{i % 3}/inbox/{i}." for i in range(40))
+    assert tree_files(root) == want and not glob.glob(root + "/.staging*")
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark makes of the task's error
+        write_mail_tree(raw.selectExpr("doc_id + 100 AS doc_id", "user", "folder", "content", "doc_id AS k").where(
+            "IF(k = 33, raise_error('task fails'), true)").repartition(1), root)
+    assert tree_files(root) == want and not glob.glob(root + "/.staging*")
+
+    writer = MailTreeWriter("file://" + root)
+    batch = pa.RecordBatch.from_pydict({"user": ["v", "v"], "folder": ["sent", "sent"], "name": ["1", "2"], "content": ["one", None]})
+
+    def half():
+        yield batch
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError):
+        writer.write(half())
+    speculative, counted = writer.write(iter([batch])), writer.write(iter([batch]))
+    assert speculative.folder != counted.folder and tree_files(root + "/v") == []
+    writer.commit([counted, None])
+    assert tree_files(root) == sorted([*want, "v/sent/1.", "v/sent/2."]) and not glob.glob(root + "/.staging*")
