@@ -233,6 +233,9 @@ STEM_CTES = O.metric_ctes(lcs=False)               # stemmed ROUGE-1/2
 RAW_CTES = O.metric_ctes(stem=False, lcs=False)    # ROUGE-1/2 without stems
 
 
+SHARD = 100  # conversations of one nested run document
+
+
 def _pairs(spark, sf_dir):
     return T.pairs(spark, sf_dir)
 
@@ -810,6 +813,14 @@ def q_jsonl_roundtrip(spark, sf_dir):
     return back.select("sample_id", "task_type", "split", F.col("messages")[1]["content"].alias("user_content"))
 
 
+@register("jsonl_all", _with(SPLIT_CTES, "SELECT sample_id, task_type, user_content FROM splits"))
+def q_jsonl_all(spark, sf_dir):
+    """The sink of all samples, before the split, read back (S8's third file)."""
+    paths = JS.write_splits(S.stratified_split(samples(spark, sf_dir)), _scratch(spark, "samples"))
+    return JS.read_samples(spark, paths["raw"]).select(
+        "sample_id", "task_type", F.col("messages")[1]["content"].alias("user_content"))
+
+
 @register("results_roundtrip", _with(MCTES + _EVAL_SQL, f"""
 SELECT model_name, metric, round(value, 6) AS value FROM run_metrics
 UNION ALL SELECT model_name, 'num_samples', count(*) FROM pair_metrics GROUP BY model_name
@@ -831,6 +842,30 @@ def q_results_roundtrip(spark, sf_dir):
     return R(metrics.unionByName(more).unionByName(sums))
 
 
+@register("nested_results", _with(PS_CTES, f"""
+SELECT model_name, task_type AS item, 'sum_of_rougeL' AS metric, round(sum("rougeL"), 6) AS value FROM per_sample
+GROUP BY model_name, task_type
+UNION ALL SELECT model_name, CASE model_name WHEN 'fine_tuned' THEN 'fine-tuned' ELSE model_name END, 'num_samples',
+                 count(*)::DOUBLE FROM per_sample GROUP BY model_name
+UNION ALL SELECT model_name, 'mean of documents', 'rouge1', round(avg(m), 6) FROM (
+  SELECT model_name, avg(rouge1) AS m FROM per_sample
+  GROUP BY model_name, CAST(split_part(sample_id, ':', 1) AS BIGINT) // {SHARD}) d GROUP BY model_name"""))
+def q_nested_results(spark, sf_dir):
+    """Per-sample results written as nested run documents, one for each SHARD conversations, and read back
+    into samples, counts, labels and metrics (S10)."""
+    path = _scratch(spark, "nested")
+    shown = MT.shown(_pairs(spark, sf_dir), rouge1=True, rouge_l=True)
+    shard = F.floor(F.split_part("sample_id", F.lit(":"), F.lit(1)).cast("long") / SHARD)
+    RS.write_run_documents(shown, shard, ["rouge1", "rougeL"], path)
+    metrics, read, about = RS.read_run_json(spark, path, lines=True)
+    sums = read.groupBy("model_name", F.col("task_type").alias("item")).agg(F.sum("rougeL").alias("value"))
+    counts = about.groupBy("model_name", F.col("label").alias("item")).agg(F.sum("num_samples").cast("double").alias("value"))
+    means = metrics.where("metric = 'rouge1'").groupBy("model_name").agg(F.avg("value").alias("value"))
+    out = lambda df, item, metric: df.select("model_name", item, F.lit(metric).alias("metric"), "value")
+    return R(out(sums, "item", "sum_of_rougeL").unionByName(out(counts, "item", "num_samples")).unionByName(
+        out(means, F.lit("mean of documents").alias("item"), "rouge1")))
+
+
 @register("compare_run_document", ORACLE["compare_runs"])
 def q_compare_run_document(spark, sf_dir):
     """The comparison from a run document's header, whose tuned run is labelled "fine-tuned" (C2, J4)."""

@@ -108,21 +108,42 @@ def write_run_json(run_metrics: DataFrame, per_sample: DataFrame, path: str, con
     doc.write.mode("overwrite").text(path)
 
 
+def write_run_documents(per_sample: DataFrame, shard, metrics, path: str, config: dict | None = None,
+                        labels: dict | None = None) -> None:
+    """Nested run documents, one JSON line for each value of ``shard`` (a column that bounds the samples of a document).
+
+    A document holds both runs' samples of its shard, their count, and the means of ``metrics`` over them; a run without a
+    sample in it is absent there. Documents are written by as many tasks as shards are dealt to.
+    """
+    labels = LABELS if labels is None else labels
+    fields = ["sample_id", *[c for c in per_sample.columns if c not in ("model_name", "sample_id")]]
+    means = F.create_map(*[x for m in metrics for x in (F.lit(m), F.avg(m))])
+    sides = per_sample.withColumn("_shard", shard).groupBy("_shard", "model_name").agg(
+        F.count(F.lit(1)).alias("num_samples"), means.alias("metrics"),
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("per_sample"))
+    side = lambda s: F.any_value(F.when(F.col("model_name") == s, F.struct(
+        F.lit(labels.get(s, s)).alias("model_name"), "num_samples", "metrics", "per_sample")), ignoreNulls=True)
+    cfg = [F.lit(x) for k, v in (config or {}).items() for x in (k, str(v))]
+    (sides.groupBy("_shard").agg(*[side(s).alias(s) for s in SIDES])
+     .select(*SIDES, F.create_map(*cfg).cast("map<string,string>").alias("config"))
+     .write.mode("overwrite").json(path))
+
+
 def _config_json(config: dict) -> str:
     import json
 
     return json.dumps({k: str(v) for k, v in config.items()}, ensure_ascii=False)
 
 
-def read_run_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nested run document(s) -> run_metrics (model_name, metric, value), per_sample rows with
+def read_run_json(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nested run document(s), one a file or (``lines``) one a line -> run_metrics (model_name, metric, value), per_sample rows with
     model_name, and runs (model_name, label, num_samples, config).
 
     ``model_name`` is the side of the document (``fine_tuned`` or ``base``), which the comparison joins on; the
     name written inside it is kept as ``label``. The schema is fixed, so an empty ``per_sample`` list or a
     missing or null ``base`` simply contributes no rows.
     """
-    doc = spark.read.schema(RUN_DOCUMENT).option("multiLine", "true").json(path)
+    doc = spark.read.schema(RUN_DOCUMENT).option("multiLine", str(not lines).lower()).json(path)
     runs = doc.select("config", F.inline(F.array(*[
         F.struct(F.lit(s).alias("model_name"), F.col(s).alias("run")) for s in SIDES]))).where("run IS NOT NULL")
     metrics = runs.select("model_name", F.explode("run.metrics").alias("metric", "value"))

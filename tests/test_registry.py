@@ -7,7 +7,8 @@ from small_tables import SF_SMALL
 from inkwell.plans import registry
 
 # the counts of a pair (ROUGE, LCS, BLEU) and the vector match are Arrow steps; all else is JVM expressions
-PYTHON_ALLOWED = {"rouge_l", "rouge_n", "rouge_stemmed", "bleu_per_sample", "bleu_corpus", "embedding_match", "evaluate_full", "evaluate_runs", "mail_tree_scan",
+PYTHON_ALLOWED = {"nested_results", "rouge_l", "rouge_n", "rouge_stemmed", "bleu_per_sample", "bleu_corpus", "embedding_match", "evaluate_full",
+                  "evaluate_runs", "mail_tree_scan",
                   "per_sample_metrics", "metric_mean_std", "task_metric_stats", "failure_labels", "sample_listing"}
 # file scans of queries that once read their input more often (further reads are of stored narrow tables)
 MOST_SCANS = {"stage_counts": 1, "rouge_stemmed": 1, "rouge_l": 1, "task_types": 1, "length_histogram": 2,
