@@ -28,6 +28,7 @@ from inkwell.session import materialize, ship_package
 
 HASH_DIGITS = 15  # hex digits of the token's hash that pick its vector
 BLOCK = 1024      # prediction tokens compared at once
+PAIRS = 600       # pairs that share one dictionary, at least (fewer only if there are no more)
 SCORES = ("precision", "recall", "f1")
 
 
@@ -107,14 +108,15 @@ def embedding_match(pairs: DataFrame, embeddings: DataFrame, keys=("model_name",
     keys = list(keys)
     spark = pairs.sparkSession
     ship_package(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_vectors = embeddings.agg(F.count(F.lit(1))).scalar()  # a subquery of the one plan
     toks = pairs.select(*keys, lower_ws_tokens("prediction").alias("p"), lower_ws_tokens("reference").alias("r"),
                         n_vectors.alias("n"))
     code = lambda c: F.transform(c, lambda t: vec_id(t, F.col("n")))
     # stored: read once for the dictionary and once for the scores
-    coded = materialize(toks.select(*keys, code("p").alias("pred"), code("r").alias("ref"),
-                                    F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part")), "coded")
+    coded = materialize(toks.select(*keys, code("p").alias("pred"), code("r").alias("ref")), "coded")
+    # a vector is sent once per partition: more of them than the session's number, or for a few pairs each, gain nothing
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-coded.count() // PAIRS)))
+    coded = coded.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
     asked = (coded.select("part", F.explode(F.array_union(F.coalesce("pred", F.array().cast("array<bigint>")),
                                                           F.coalesce("ref", F.array().cast("array<bigint>")))).alias("vid"))
              .distinct())
