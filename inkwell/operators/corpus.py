@@ -8,7 +8,9 @@ sends at most one row per map task to its reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkwell.functions import fixed
@@ -18,6 +20,7 @@ from inkwell.session import materialize
 
 MESSAGE_COLUMNS = ("user", "path", "box", "message_id", "date", "from_addr", "to_addr", "cc",
                    "subject", "body", "x_folder")
+REJECT_REASONS = ("skipped_folder", "oversize", "no_blank_line", "body_length", "blank_subject", "auto_subject")
 SAMPLE_SCHEMA = ("sample_id", "task_type", "messages")
 
 
@@ -119,14 +122,13 @@ def user_box_counts(messages: DataFrame) -> DataFrame:
     return messages.rollup("user", "box").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
-                 max_body_len: int = fixed.MAX_BODY_LENGTH, size_col: str | None = None) -> DataFrame:
-    """Rows removed or kept at each corpus stage, as ``(stage, n)``.
+def checked_messages(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
+                     max_body_len: int = fixed.MAX_BODY_LENGTH, size_col: str | None = None) -> DataFrame:
+    """One row per file with the first check it fails: ``user, path, box, reason``, the message columns and ``body_hash``.
 
-    Stages, in pipeline order: files, skipped_folder, oversize, no_blank_line,
-    body_length, blank_subject, auto_subject (first failing check), duplicates,
-    and the kept messages per box (sent, inbox). One scan and one parse give a narrow row per file
-    (stage, or the body's hash); one aggregate by hash and one of its few kinds follow.
+    Checks, in pipeline order: skipped_folder, oversize, no_blank_line, body_length, blank_subject,
+    auto_subject; ``reason`` is null for a message that passes all. The text of a file that fails one of the first
+    three is not parsed, and no rejected file keeps message columns.
     """
     from inkwell.operators.messages import clean_body, evaluated_once, folder_box, message_columns
 
@@ -134,7 +136,7 @@ def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
     size = F.col(size_col) if size_col else F.octet_length("content")
     early = (F.when(F.col("box").isNull(), F.lit("skipped_folder"))
              .when(F.col("_size") > limit, F.lit("oversize"))
-             .when(F.instr("content", "\n\n") == 0, F.lit("no_blank_line")))
+             .when(F.coalesce(F.instr("content", "\n\n"), F.lit(0)) == 0, F.lit("no_blank_line")))
     tagged = raw.select("user", "path", "content", folder_box("folder").alias("box"), size.alias("_size"))
     tagged = tagged.select("user", "path", "box", early.alias("_early"), "content")
     parsed = message_columns(
@@ -149,10 +151,25 @@ def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
               .when((n < min_body_len) | (n > max_body_len), F.lit("body_length"))
               .when(py_strip("subject") == "", F.lit("blank_subject"))
               .when(auto, F.lit("auto_subject")))
-    checked = evaluated_once(evaluated_once(parsed.select("user", "path", "box", "_early", "subject", "body")).select(
-        "user", "path", "box", reason.alias("reason"), body_hash("body").alias("h")))
+    message = [c for c in MESSAGE_COLUMNS if c not in ("user", "path", "box")]
+    checked = evaluated_once(evaluated_once(parsed.select("user", "path", "box", "_early", *message)).select(
+        "user", "path", "box", reason.alias("reason"), *message, body_hash("body").alias("body_hash")))
     valid = F.col("reason").isNull()
-    by_hash = checked.groupBy("reason", F.when(valid, F.col("h")).alias("h")).agg(
+    return checked.select("user", "path", "box", "reason",
+                          *[F.when(valid, F.col(c)).alias(c) for c in (*message, "body_hash")])
+
+
+def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
+                 max_body_len: int = fixed.MAX_BODY_LENGTH, size_col: str | None = None) -> DataFrame:
+    """Rows removed or kept at each corpus stage, as ``(stage, n)``.
+
+    Stages: files, the checks of ``checked_messages``, duplicates, and the kept messages per box (sent, inbox).
+    One scan and one parse give a narrow row per file (stage, or the body's hash); one aggregate by hash and
+    one of its few kinds follow. ``build_corpus`` gives the same counts beside the corpus itself.
+    """
+    checked = checked_messages(raw, min_body_len, max_body_len, size_col)
+    valid = F.col("reason").isNull()
+    by_hash = checked.groupBy("reason", F.col("body_hash").alias("h")).agg(
         F.count(F.lit(1)).alias("c"), F.min(F.when(valid, F.struct("user", "path", "box"))).alias("m"))
     row = lambda stage, n: F.struct(stage.alias("stage"), n.cast("long").alias("n"))
     files = row(F.lit("files"), F.col("c"))
@@ -162,3 +179,44 @@ def stage_counts(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
     always = raw.sparkSession.createDataFrame(
         [(x, 0) for x in ("files", "skipped_folder", "oversize", "no_blank_line", "duplicates")], "stage string, n long")
     return rows.unionByName(always).groupBy("stage").agg(F.sum("n").alias("n"))
+
+
+class Corpus(NamedTuple):
+    """What one pass over the files leaves: the deduplicated messages, every rejected file with its reason, and
+    the counts of the stages."""
+
+    messages: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def build_corpus(raw: DataFrame, min_body_len: int = fixed.MIN_BODY_LENGTH,
+                 max_body_len: int = fixed.MAX_BODY_LENGTH, size_col: str | None = None) -> Corpus:
+    """Messages, rejects and counts from one scan and one parse of ``raw``.
+
+    The job that stores the checked files counts them as they pass (``DataFrame.observe``), so the counts of the
+    checks need no second read. First copies are chosen from narrow columns of the stored table; the others are
+    rejects with reason ``duplicates``. ``rejects`` is (user, path, reason); a path that occurs
+    more than once is judged row by row. ``counts`` names every stage, also those without a file.
+    """
+    checked = checked_messages(raw, min_body_len, max_body_len, size_col)
+    seen = Observation("checked files")
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, 1)), F.lit(0))
+    watched = checked.observe(seen, F.count(F.lit(1)).alias("files"),
+                              *[of(F.col("reason") == r).alias(r) for r in REJECT_REASONS])
+    files = materialize(watched, "checked").withColumn(
+        "_row", F.struct("_metadata.file_path", "_metadata.row_index"))
+    valid = files.where(F.col("reason").isNull())
+    # the row's place last: of two rows with one user and path, one stays
+    first = materialize(valid.groupBy("body_hash").agg(F.min(F.struct("user", "path", "_row", "box")).alias("m"))
+                        .select("body_hash", F.col("m._row").alias("_row"), F.col("m.box").alias("box")), "first")
+    winners = first.select("body_hash", "_row")
+    messages = valid.join(winners, ["body_hash", "_row"], "left_semi").select(*MESSAGE_COLUMNS, "body_hash")
+    copies = valid.join(winners, ["body_hash", "_row"], "left_anti")
+    rejects = files.where(F.col("reason").isNotNull()).select("user", "path", "reason").unionByName(
+        copies.select("user", "path", F.lit("duplicates").alias("reason")))
+    boxes = first.agg(*[of(F.col("box") == b).alias(b) for b in ("sent", "inbox")]).first().asDict()
+    counts = dict(seen.get)
+    kept = sum(boxes.values())
+    passed = counts["files"] - sum(counts[r] for r in REJECT_REASONS)
+    return Corpus(messages, rejects, {**counts, "duplicates": passed - kept, **boxes})

@@ -919,23 +919,41 @@ def q_evaluate_full(spark, sf_dir):
 
 # ------------------------------------------------------------------ pipeline audits
 
-@register("stage_counts", _with(O.CORPUS_CTES, f"""
+_REJECTED = f"""
 , rejected AS (
-  SELECT CASE WHEN length(c.body) < 50 OR length(c.body) > 2000 THEN 'body_length'
+  SELECT c.doc_id, CASE WHEN length(c.body) < 50 OR length(c.body) > 2000 THEN 'body_length'
               WHEN {O.strip('c.subject')} = '' THEN 'blank_subject'
               ELSE 'auto_subject' END AS stage
-  FROM cleaned c WHERE c.doc_id NOT IN (SELECT doc_id FROM valid))
+  FROM cleaned c WHERE c.doc_id NOT IN (SELECT doc_id FROM valid))""".replace("\n,", ",", 1)
+
+_STAGES = _with(O.CORPUS_CTES, _REJECTED + """
 SELECT 'files' AS stage, count(*) AS n FROM raw_messages
 UNION ALL SELECT 'skipped_folder', count(*) FROM sel WHERE box IS NULL
 UNION ALL SELECT 'oversize', count(*) FROM chosen WHERE octet_length(encode(content)) > 7000
 UNION ALL SELECT 'no_blank_line', count(*) FROM sized WHERE pos = 0
 UNION ALL SELECT stage, count(*) FROM rejected GROUP BY stage
 UNION ALL SELECT 'duplicates', (SELECT count(*) FROM valid) - (SELECT count(*) FROM messages)
-UNION ALL SELECT box, count(*) FROM messages GROUP BY box""".replace("\n, rejected", ", rejected", 1)))
+UNION ALL SELECT box, count(*) FROM messages GROUP BY box""")
+
+
+@register("stage_counts", _STAGES)
 def q_stage_counts(spark, sf_dir):
     return C.stage_counts(T.raw_messages(spark, sf_dir))
 
 
+@register("reject_list", _with(O.CORPUS_CTES, _REJECTED + """
+SELECT user_name AS "user", r.path, CASE
+    WHEN s.box IS NULL THEN 'skipped_folder'
+    WHEN z.doc_id IS NULL THEN 'oversize'
+    WHEN z.pos = 0 THEN 'no_blank_line'
+    ELSE coalesce(j.stage, 'duplicates') END AS reason
+FROM raw_messages r JOIN sel s USING (doc_id) LEFT JOIN sized z USING (doc_id) LEFT JOIN rejected j USING (doc_id)
+WHERE r.path NOT IN (SELECT path FROM messages)"""))
+def q_reject_list(spark, sf_dir):
+    """Every file that the corpus leaves out, with its reason; messages and counts come from the same pass."""
+    return C.build_corpus(T.raw_messages(spark, sf_dir)).rejects
+
+
 @register("leakage_audit", _with(SPLIT_CTES, """
 SELECT count(*) AS bodies_in_both FROM (
   SELECT md5(assistant_content) AS h FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1) x"""))
