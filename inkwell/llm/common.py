@@ -49,8 +49,8 @@ def drop(*tables: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def row_id(df: DataFrame, *columns, keep_all: bool = False) -> DataFrame:
-    """``df`` (the named columns, or all) with a stable row identity ``__rid``.
+def row_id(df: DataFrame, *columns) -> DataFrame:
+    """The named columns of ``df`` with a stable row identity ``__rid``.
 
     The identity is (hash of file, row index in that file) of a file source, so that two
     scans of one table agree whatever their splits. An input that is no
@@ -58,16 +58,21 @@ def row_id(df: DataFrame, *columns, keep_all: bool = False) -> DataFrame:
     """
     rid = F.struct(F.xxhash64("_metadata.file_path").alias("f"),
                    F.col("_metadata.row_index").alias("r")).alias("__rid")
-    cols = ["*"] if keep_all else [F.col(c) if isinstance(c, str) else c for c in columns]
+    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
     try:
         return df.select(*cols, rid)
     except AnalysisException:
         return store(df, "rows").select(*cols, rid)
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``__rid`` of each row, and the whole row as ``__row``, so that no column of it can clash."""
+    return row_id(docs, F.struct("*").alias("__row"), "doc_id", "text")
+
+
 def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``rows`` whose ``__rid`` is in ``kept``; ``__rid`` is dropped."""
-    return rows.join(kept.select("__rid"), "__rid", "left_semi").drop("__rid")
+    """The rows (see ``whole_rows``) whose ``__rid`` is in ``kept``, as they came."""
+    return rows.join(kept.select("__rid"), "__rid", "left_semi").select("__row.*")
 
 
 def text_or_empty(column="text"):

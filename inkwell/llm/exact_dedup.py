@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import let
-from inkwell.llm.common import drop, keep_rows, row_id, store, text_or_empty
+from inkwell.llm.common import drop, keep_rows, row_id, store, text_or_empty, whole_rows
 
 BLOCK_BYTES = 4096
 NO_PARTNER = -(1 << 63)  # partner of an odd last name
@@ -126,6 +126,10 @@ def dedup_rows(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key_bits: int =
 
 
 def drop_exact_copies(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` (all its columns) without later copies: one row of each group of equal texts stays."""
-    rows = row_id(docs, keep_all=True)
+    """``docs`` (all its columns) without later copies: one row of each group of equal texts stays.
+
+    That row has the smallest doc_id (null ids last; of repeated rows one stays). Null and empty texts are equal, so one of
+    them stays; further columns of any name are kept; an empty table gives an empty result.
+    """
+    rows = whole_rows(docs)
     return keep_rows(rows, dedup_rows(rows, **kw).where("kept"))

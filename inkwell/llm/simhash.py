@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import drop, keep_rows, row_id, small_batches, store, text_or_empty
+from inkwell.llm.common import drop, keep_rows, row_id, small_batches, store, text_or_empty, whole_rows
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -296,6 +296,10 @@ def near_rows(rows: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` (all its columns) with one row of each component, that of the smallest doc_id."""
-    rows = row_id(docs, keep_all=True)
+    """``docs`` (all its columns) with one row of each component, that of the smallest doc_id.
+
+    Null ids come last, and of repeated rows one stays. Null, empty and blank texts all have fingerprint zero, so one of
+    them stays; further columns of any name are kept; an empty table gives an empty result.
+    """
+    rows = whole_rows(docs)
     return keep_rows(rows, near_rows(rows, shingle, max_bits).where("first"))

@@ -61,6 +61,19 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, odd_docs, no_docs):
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(1, "one text of five words", "r", "w", 7, [1], 0.5), (1, "one text of five words", "r", "w", 7, [1], 0.5),
+            (None, None, None, None, None, None, None), (2, "another text, quite unlike it", "s", "x", 8, [], 0.1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __rid string, __row string, doc long, found array<int>, __toxicity double")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert {r.doc_id for r in out.collect()} == {1, 2, None}
+        assert all(tuple(r) in rows for r in out.collect())
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in pieces) == [(False, 1), (False, 1), (False, 2), (True, 0)]
+
+
 @pytest.mark.parametrize("text", ["", None, "A b"])
 def test_words(text):
     assert words(text) == ["a", "b"] if text else words(text) == []
