@@ -10,7 +10,7 @@ searched at that width.
 
 The sketches are a table of (width, hash, item), the items another; both stay in Spark. Documents are read
 once. A worker keeps of a document's shingles those whose hash is set in a bitmap over the items' hashes, and
-drops documents without a hash of the sketches' bitmap; so few shingles of few documents move. The bitmaps have at most
+drops documents without a hash of the sketches' bitmap; so few shingles of few documents move. The bitmaps have
 2^FILTER_BITS bits each, whatever the benchmark's size: a fuller one lets more shingles through and loses none.
 What is left meets the sketch table by an equi-join; the candidates are verified by exact containment
 of shingle strings, one pair a row.
@@ -28,7 +28,7 @@ from inkwell.llm.words import LOWER, batch_word_hashes, gram_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-FILTER_BITS = 27       # a bitmap's bits as a power of two, at most: 16 MB
+FILTER_BITS = 27       # a bitmap's bits as a power of two: 16 MB
 GRAMS = "struct<width:int,grams:array<struct<hash:long,gram:string>>>"
 FOUND = "array<struct<width:int,hash:long,gram:string>>"
 
@@ -66,7 +66,7 @@ def item_table(benchmark: DataFrame, width: int, threshold: float) -> DataFrame:
 
 
 def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A bit for the trailing ``bits`` bits of each ``hash``, as bytes; at most 2^bits bits reach the driver."""
+    """A bit for the trailing ``bits`` bits of each ``hash``, as bytes; blocks without a bit do not reach the driver."""
     place = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)) + 1  # the bitmap functions count from one
     blocks = (hashes.groupBy(F.bitmap_bucket_number(place).alias("block"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bytes")).collect())
@@ -119,12 +119,10 @@ def matched_rows(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE, th
     spark = docs.sparkSession
     small_batches(spark, 500)
     items = item_table(benchmark, width, threshold)
-    total = items.agg(F.sum("n")).first()[0] or 0
-    bits = max(6, min(filter_bits, (64 * total).bit_length()))
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most ``width`` of them
     sent = spark.sparkContext.broadcast(tuple(
-        _bitmap(items.select(F.explode(hashes).alias("hash")), bits) for hashes in ("sketch", "grams.hash")))
-    found = _finder(sent, widths, bits)(text_or_empty("text"))
+        _bitmap(items.select(F.explode(hashes).alias("hash")), filter_bits) for hashes in ("sketch", "grams.hash")))
+    found = _finder(sent, widths, filter_bits)(text_or_empty("text"))
     # stored: the pass over the documents is done once, and AQE may split a document or a hash of many rows
     hits = store(docs.select(F.col("__rid").alias("doc"), "doc_id", found.alias("found"))
                  .where(F.col("found").isNotNull()), "hits")
