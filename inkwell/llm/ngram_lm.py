@@ -1,24 +1,25 @@
 """Interpolated modified Kneser-Ney language model, counted in Spark, stored as sorted hash arrays.
 
-Counting. Each task hashes its words (64 bits), sums equal pairs of neighbours in memory, and
+Counting. Each task hashes its words (64 bits), sums equal n-grams of the model's order in memory, and
 sends the sums as blobs to shards by the leading bits of the context's hash. A shard's task merges its
-blobs, writes its part of the model, and sends on how many contexts each word follows. A pair's entry is
-its 64-bit key and a one-byte count; counts beyond that stand in a short list beside it.
+blobs, writes its part of that order, and sends on, for each n-gram without its first word, in how many
+contexts it was seen. Those are the counts of the next lower order, merged the same way, down to single words. An
+n-gram's entry is its 64-bit key and a one-byte count; counts beyond that stand in a short list beside it.
 
 Model. Every shard is a few flat arrays sorted by key in the shared folder. As keys begin with the context's leading
 bits, the shards together are one sorted array. Workers map the files into memory and look keys up
 by binary search; pages that are not touched are not read, and the file cache is shared by all workers of a
 machine. On a file system that cannot be mapped, a worker copies a shard when it first needs it.
 
-Scoring. p(w|v) = max(c(vw) - D, 0)/c(v) + g(v) q(w), and q(w) = max(n(w) - D', 0)/n + g'/(V + 1), with
-n(w) the number of contexts of w, and three discounts per order from the counts of counts. An unknown
-context leaves q(w), an unknown word its uniform share. The order is two: see the README for the disk
-that three would take.
+Scoring. p(w|v) = max(c(vw) - D, 0)/c(v) + g(v) p(w|v'), with v' the context v without its first word, down to
+q(w) = max(n(w) - D', 0)/n + g'/(V + 1), with n(w) the number of contexts of w, and three discounts per order
+from the counts of counts. An unknown context leaves the shorter one's value, an unknown word its uniform share. A text
+begins with as many start marks as the longest context holds. The order is a parameter, two by default: the
+README has the disk that two and three take.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import doc_crc, drop, shared_path, small_batches, store, text_or_empty
 from inkwell.llm.words import LOWER, batch_word_hashes, mix
 
+ORDER = 2              # words of the longest n-gram
 FLUSH = 1 << 21        # tokens that a task sums before it sends them
 START = np.uint64(0x5BD1E995A5A5F00D)  # the context of a text's first word
 END = np.uint64(0xC2B2AE3D27D4EB4F)    # the token that closes a text
@@ -47,12 +49,15 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, firsts + np.arange(n + 1)
 
 
-def contexts(h: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """The hash before each token."""
-    v = np.empty_like(h)
-    v[1:] = h[:-1]
-    v[firsts[:-1]] = START
-    return v
+def histories(h: np.ndarray, firsts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The hashes of the one, two, ... ``order`` - 1 tokens before each token."""
+    out = []
+    for _ in range(order - 1):
+        v = np.empty_like(h)
+        v[1:] = mix(out[-1][:-1] * np.uint64(3)) + h[:-1] if out else h[:-1]
+        v[firsts[:-1]] = START
+        out.append(v)
+    return out
 
 
 def pair_key(v48: np.ndarray, w48: np.ndarray) -> np.ndarray:
@@ -97,42 +102,40 @@ def word_bits(bits: int) -> int:
     return max(1, (bits + 6) // 2)
 
 
-def _sum_tokens(bits: int):
-    """Map side: blobs of word counts and of pair counts."""
+def _gram_blobs(order: int, head: np.ndarray, word: np.ndarray, times: np.ndarray, shorter: list[np.ndarray], bits: int):
+    """Blobs of counted n-grams, sorted by the 48-bit hash of their context: each context once, with the number of
+    its words and its shorter contexts, then the words and the counts."""
+    for shard, s, e in _slices(head >> np.uint64(48 - bits)):
+        at = np.flatnonzero(np.diff(head[s:e], prepend=head[s] + np.uint64(1)))
+        runs = np.diff(np.append(at, e - s)).astype(np.uint64)
+        a = np.concatenate([head[s:e][at], runs, *[x[s:e][at] for x in shorter]]).astype("<u8")
+        yield (f"gram{order}", shard, a.tobytes(), *_pack48(word[s:e]), _varcounts(times[s:e]))
+
+
+def _sum_tokens(bits: int, order: int):
+    """Map side: blobs of word counts and of n-gram counts."""
     def blobs(parts):
         h = np.concatenate([p[0] for p in parts])
-        n = len(h)
-        begins = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
-        leads = np.array([p[1][0] for p in parts], np.uint64)  # the token before each part
-        u, inv = np.unique(np.concatenate([h, [START], leads]), return_inverse=True)
-        word_n = np.bincount(inv[:n], minlength=len(u))
-        known = np.flatnonzero(word_n)
-        words, word_n = u[known], word_n[known]
-        for shard, s, e in _slices(words >> np.uint64(64 - word_bits(bits))):
-            yield ("word", shard, words[s:e].tobytes(), _varcounts(word_n[s:e]), b"", b"")
-        inv, start_id, lead_ids = inv[:n], inv[n], inv[n + 1:]
-        left = np.empty_like(inv)
-        left[1:] = inv[:-1]
-        left[np.concatenate([p[1] for p in parts]) == START] = start_id
-        left[begins] = lead_ids
-        pair = np.sort(left.astype(np.int64) * len(u) + inv)
-        first = np.flatnonzero(np.diff(pair, prepend=-1))
-        times = np.diff(np.append(first, len(pair)))
-        pair = pair[first]
-        ctx, word = pair // len(u), u[pair % len(u)] >> np.uint64(16)
-        head = u[ctx]
-        for shard, s, e in _slices(head >> np.uint64(64 - bits)):
-            at = np.flatnonzero(np.diff(ctx[s:e], prepend=-1))
-            yield ("pair", shard, (head[s:e][at] >> np.uint64(16)).astype("<u8").tobytes()
-                   + np.diff(np.append(at, e - s)).astype("<u8").tobytes(), *_pack48(word[s:e]), _varcounts(times[s:e]))
+        u, inv = np.unique(h, return_inverse=True)
+        word_n = np.bincount(inv, minlength=len(u))
+        for shard, s, e in _slices(u >> np.uint64(64 - word_bits(bits))):
+            yield ("word", shard, u[s:e].tobytes(), _varcounts(word_n[s:e]), b"", b"")
+        *shorter, longest = [np.concatenate(x) for x in zip(*[p[1] for p in parts])]
+        contexts, place, ids = np.unique(longest, return_index=True, return_inverse=True)
+        gram = np.sort(ids.astype(np.int64) * len(u) + inv)
+        first = np.flatnonzero(np.diff(gram, prepend=-1))
+        times = np.diff(np.append(first, len(gram)))
+        ctx, word = gram[first] // len(u), gram[first] % len(u)
+        yield from _gram_blobs(order, contexts[ctx] >> np.uint64(16), u[word] >> np.uint64(16), times,
+                               [x[place[ctx]] >> np.uint64(16) for x in reversed(shorter)], bits)
 
     def handle(batches):
         parts, size = [], 0
         for batch in batches:
             h, firsts = tokens(batch.column("text").to_pylist())
-            v = contexts(h, firsts)
+            v = histories(h, firsts, order)
             for s in range(0, len(h), FLUSH):
-                parts.append((h[s:s + FLUSH], v[s:s + FLUSH]))
+                parts.append((h[s:s + FLUSH], [x[s:s + FLUSH] for x in v]))
                 size += len(parts[-1][0])
                 if size >= FLUSH:
                     yield _rows(list(blobs(parts)))
@@ -170,13 +173,13 @@ class Files:
         info = fs.get_file_info(f"{path}/{name}")
         if info.type == pafs.FileType.NotFound or not info.size:
             return np.empty(0, dtype)
-        local = f"{path}/{name}"
-        if not isinstance(fs, pafs.LocalFileSystem):  # a copy of the shared file, one for each worker
-            handle, local = tempfile.mkstemp(prefix="inkwell-lm-")
-            with fs.open_input_stream(f"{path}/{name}") as src, os.fdopen(handle, "wb") as dst:
-                while chunk := src.read(1 << 24):
-                    dst.write(chunk)
-        return np.memmap(local, dtype, "r")
+        if isinstance(fs, pafs.LocalFileSystem):
+            return np.memmap(f"{path}/{name}", dtype, "r")
+        with fs.open_input_stream(f"{path}/{name}") as src, tempfile.TemporaryFile() as dst:
+            while chunk := src.read(1 << 24):  # a worker's own copy, gone with its last mapping
+                dst.write(chunk)
+            dst.flush()
+            return np.memmap(dst, dtype, "r")
 
 
 def _count_of_counts(c: np.ndarray) -> list[int]:
@@ -185,7 +188,7 @@ def _count_of_counts(c: np.ndarray) -> list[int]:
 
 
 def _merge(uri: str, bits: int):
-    """Reduce side: merge the blobs of each shard, write its arrays, send on contexts per word."""
+    """Reduce side: merge the blobs of each shard, write its arrays, send on the counts of the next lower order."""
     files = Files(uri)
 
     def stat(kind, shard, c):
@@ -201,55 +204,68 @@ def _merge(uri: str, bits: int):
         files.write(f"{kind}-{shard}.n", total)
         yield stat(kind, shard, total)
 
-    def pairs(shard, rows):
-        heads, ws, ns = [], [], []
+    def grams(order, shard, rows):
+        heads, runs, ws, ns, shorter = [], [], [], [], [[] for _ in range(order - 2)]
         for r in rows:
             w = _unpack48(r["b"], r["c"])
-            a = np.frombuffer(r["a"], "<u8")
-            k = len(a) // 2
-            heads.append(np.repeat(a[:k], a[k:].astype(np.int64)))
+            a = np.frombuffer(r["a"], "<u8").reshape(order, -1)
+            heads.append(a[0])
+            runs.append(a[1].astype(np.int64))
+            for x, y in zip(shorter, a[2:]):
+                x.append(y)
             ws.append(w)
             ns.append(_counts(r["d"], len(w)))
-        v, w, n = np.concatenate(heads), np.concatenate(ws), np.concatenate(ns)
-        uv, iv = np.unique(v, return_inverse=True)
+        w, n = np.concatenate(ws), np.concatenate(ns)
+        uv, place, iv = np.unique(np.concatenate(heads), return_index=True, return_inverse=True)
+        shorter = [np.concatenate(x)[place] for x in shorter]
         uw, iw = np.unique(w, return_inverse=True)
-        pid = iv.astype(np.int64) * len(uw) + iw
-        del v, w, iv, iw, heads, ws
-        order = np.argsort(pid)
-        pid, n = pid[order], n[order]
+        pid = np.repeat(iv.astype(np.int64), np.concatenate(runs)) * len(uw) + iw
+        del w, iv, iw, heads, runs, ws
+        by = np.argsort(pid)
+        pid, n = pid[by], n[by]
         first = np.flatnonzero(np.diff(pid, prepend=-1))
         n = np.add.reduceat(n, first)
         pid = pid[first]
         iv, iw = pid // len(uw), pid % len(uw)
         starts = np.flatnonzero(np.diff(iv, prepend=-1))
         ctx = np.stack([np.add.reduceat(x, starts) for x in (n, n == 1, n == 2, n >= 3)], 1).astype(np.float64)
-        files.write(f"ctx-{shard}.key", uv)
-        files.write(f"ctx-{shard}.n", ctx)
+        files.write(f"ctx{order}-{shard}.key", uv)
+        files.write(f"ctx{order}-{shard}.n", ctx)
         key = pair_key(uv[iv], uw[iw])
         by = np.argsort(key)
         key, count = key[by], n[by]
         big = count > 254
-        files.write(f"pair-{shard}.key", key)
-        files.write(f"pair-{shard}.n", np.where(big, 255, count).astype(np.uint8))
-        files.write(f"pair-{shard}.bigkey", key[big])
-        files.write(f"pair-{shard}.bign", count[big])
-        yield stat("pair", shard, n)
+        files.write(f"gram{order}-{shard}.key", key)
+        files.write(f"gram{order}-{shard}.n", np.where(big, 255, count).astype(np.uint8))
+        files.write(f"gram{order}-{shard}.bigkey", key[big])
+        files.write(f"gram{order}-{shard}.bign", count[big])
+        yield stat(f"gram{order}", shard, n)
+        if order > 2:  # each n-gram counts once for what is left of it without its first word
+            by = np.lexsort((iw, shorter[0][iv]))
+            head, iw = shorter[0][iv][by], iw[by]
+            first = np.flatnonzero((np.diff(head, prepend=head[0] + np.uint64(1)) != 0) | (np.diff(iw, prepend=-1) != 0))
+            yield from _gram_blobs(order - 1, head[first], uw[iw[first]], np.diff(np.append(first, len(iw))),
+                                   [x[iv[by[first]]] for x in shorter[1:]], bits)
+            return
         after = np.bincount(iw, minlength=len(uw))
         for to, s, e in _slices(uw >> np.uint64(48 - word_bits(bits))):
             yield ("next", to, uw[s:e].tobytes(), _varcounts(after[s:e]), b"", b"")
 
+    def merged(kind, shard, rows):
+        return _rows(list(grams(int(kind[4:]), shard, rows) if kind.startswith("gram") else words(kind, shard, rows)))
+
     def handle(batches):
         held, key = [], None
         for batch in batches:
             for r in batch.to_pylist():
                 k = (r["kind"], r["shard"])
                 if held and k != key:
-                    yield _rows(list(pairs(key[1], held) if key[0] == "pair" else words(*key, held)))
+                    yield merged(*key, held)
                     held = []
                 key = k
                 held.append(r)
         if held:
-            yield _rows(list(pairs(key[1], held) if key[0] == "pair" else words(*key, held)))
+            yield merged(*key, held)
 
     return handle
 
@@ -280,16 +296,16 @@ class Model:
     uri: str
     bits: int
     word: Order
-    pair: Order
     next: Order
+    grams: dict[int, Order]
 
     def table(self, kind: str, shard: int) -> dict[str, np.ndarray]:
         """Memory maps of a shard, opened once per worker."""
         at = (self.uri, kind, shard)
         if at not in _maps:
             f = Files(self.uri)
-            spec = {"pair": {"key": "<u8", "n": np.uint8, "bigkey": "<u8", "bign": "<i8"},
-                    "ctx": {"key": "<u8", "n": "<f8"}}.get(kind, {"key": "<u8", "n": "<i8"})
+            spec = {"gram": {"key": "<u8", "n": np.uint8, "bigkey": "<u8", "bign": "<i8"},
+                    "ctx": {"key": "<u8", "n": "<f8"}}.get(kind.rstrip("0123456789"), {"key": "<u8", "n": "<i8"})
             _maps[at] = {x: f.read(f"{kind}-{shard}.{x}", d) for x, d in spec.items()}
         return _maps[at]
 
@@ -303,7 +319,7 @@ class Model:
             at = np.minimum(np.searchsorted(t["key"], keys[s:e]), len(t["key"]) - 1)
             hit = t["key"][at] == keys[s:e]
             n = np.asarray(t["n"].reshape(-1, columns)[at], np.float64)
-            if kind == "pair" and len(t["bigkey"]):
+            if "bigkey" in t and len(t["bigkey"]):
                 big = np.flatnonzero(n[:, 0] == 255)
                 n[big, 0] = t["bign"][np.minimum(np.searchsorted(t["bigkey"], keys[s:e][big]), len(t["bign"]) - 1)]
             out[s:e] = np.where(hit[:, None], n, 0)
@@ -315,13 +331,13 @@ class Model:
         lengths = np.diff(firsts)
         if not len(lengths):
             return pd.DataFrame({"n_tokens": [], "n_known": [], "base_score": [], "score": []})
-        v48, w48 = contexts(h, firsts) >> np.uint64(16), h >> np.uint64(16)
+        w48 = h >> np.uint64(16)
 
         u, inv = np.unique(h, return_inverse=True)
         c = self.lookup("word", u, 64, word_bits(self.bits))[:, 0]
         base = np.log10((c + 1) / (self.word.total + 1.0 * (self.word.types + 1)))
 
-        d2, d1 = self.pair.discounts(), self.next.discounts()
+        d1 = self.next.discounts()
         total = max(1, self.next.total)
         x, inv48 = np.unique(w48, return_inverse=True)
         n = self.lookup("next", x, 48, word_bits(self.bits))[:, 0]
@@ -329,15 +345,17 @@ class Model:
         rest = (d1[1] * self.next.n1 + d1[2] * self.next.n2 + d1[3] * more) / total if self.next.types else 1.0
         q = np.maximum(n - d1[np.minimum(n, 3).astype(int)], 0) / total + rest / (self.word.types + 1)
 
-        x, invctx = np.unique(v48, return_inverse=True)
-        ctx = self.lookup("ctx", x, 48, self.bits, 4)
-        seen = ctx[:, 0] > 0
-        gamma = np.where(seen, (ctx[:, 1:] @ d2[1:]) / np.maximum(ctx[:, 0], 1), 1.0)
-
-        x, invpair = np.unique(pair_key(v48, w48), return_inverse=True)
-        n2 = self.lookup("pair", x, 64, self.bits)[:, 0]
-        top = np.maximum(n2 - d2[np.minimum(n2, 3).astype(int)], 0)
-        p = top[invpair] / np.maximum(ctx[:, 0], 1)[invctx] * seen[invctx] + gamma[invctx] * q[inv48]
+        p = q[inv48]
+        for k, history in enumerate(histories(h, firsts, max(self.grams)), 2):
+            v48, d = history >> np.uint64(16), self.grams[k].discounts()
+            x, invctx = np.unique(v48, return_inverse=True)
+            ctx = self.lookup(f"ctx{k}", x, 48, self.bits, 4)
+            seen = ctx[:, 0] > 0
+            gamma = np.where(seen, (ctx[:, 1:] @ d[1:]) / np.maximum(ctx[:, 0], 1), 1.0)
+            x, invgram = np.unique(pair_key(v48, w48), return_inverse=True)
+            n = self.lookup(f"gram{k}", x, 64, self.bits)[:, 0]
+            top = np.maximum(n - d[np.minimum(n, 3).astype(int)], 0)
+            p = top[invgram] / np.maximum(ctx[:, 0], 1)[invctx] * seen[invctx] + gamma[invctx] * p
         return pd.DataFrame({
             "n_tokens": lengths, "n_known": np.add.reduceat((c > 0)[inv].astype(np.int64), firsts[:-1]),
             "base_score": np.add.reduceat(base[inv], firsts[:-1]),
@@ -347,25 +365,30 @@ class Model:
 _maps: dict[tuple, dict[str, np.ndarray]] = {}
 
 
-def train(docs: DataFrame) -> Model:
+def train(docs: DataFrame, order: int = ORDER) -> Model:
     """The model of all texts of ``docs`` (null as empty); its files lie in the shared folder."""
     spark = docs.sparkSession
     small_batches(spark, 500)
     uri = shared_path(spark, "lm")
     bits = min(16, max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
-    by_shard = lambda df: df.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
-    sums = docs.select(text_or_empty("text").alias("text")).mapInArrow(_sum_tokens(bits), BLOBS)
-    merged = store(by_shard(sums).mapInArrow(_merge(uri, bits), BLOBS), "lm")
-    after = store(by_shard(merged.where("kind = 'next'")).mapInArrow(_merge(uri, bits), BLOBS), "lm")
+
+    def merge(blobs):
+        shards = blobs.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
+        return store(shards.mapInArrow(_merge(uri, bits), BLOBS), "lm")
+
+    steps = [merge(docs.select(text_or_empty("text").alias("text")).mapInArrow(_sum_tokens(bits, order), BLOBS))]
+    for kind in [*(f"gram{k}" for k in range(order - 1, 1, -1)), "next"]:
+        steps.append(merge(steps[-1].where(F.col("kind") == kind)))
     stats = {}
-    for r in merged.where("kind LIKE '% stat'").unionByName(after).select("kind", "a").collect():  # one row a shard
-        stats[r["kind"]] = stats.get(r["kind"], 0) + np.frombuffer(r["a"], "<i8")
-    drop(merged, after)
+    for step in steps:
+        for r in step.where("kind LIKE '% stat'").select("kind", "a").collect():  # one row a shard
+            stats[r["kind"]] = stats.get(r["kind"], 0) + np.frombuffer(r["a"], "<i8")
+    drop(*steps)
     of = lambda k: Order(*map(int, stats.get(f"{k} stat", np.zeros(6, np.int64))))
-    return Model(uri, bits, of("word"), of("pair"), of("next"))
+    return Model(uri, bits, of("word"), of("next"), {k: of(f"gram{k}") for k in range(2, order + 1)})
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
     """Learn from the rows outside the held-out fold, score all: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
 
@@ -374,7 +397,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
     """
     small_batches(docs.sparkSession, 1000)
     held_out = F.pmod(doc_crc(), F.lit(folds)) == held
-    model = train(docs.where(~held_out))
+    model = train(docs.where(~held_out), order)
 
     @F.pandas_udf("struct<n_tokens:long,n_known:long,base_score:double,score:double>")
     def score(texts: pd.Series) -> pd.DataFrame:

@@ -212,45 +212,48 @@ def discounts(counts):
     return [0] + [min(max(x, 0.05), k + 1) for k, x in enumerate(d)]
 
 
-def kneser_ney(rows):
+def kneser_ney(rows, order=2):
     """Scores by plain counting; also checks that each context's probabilities sum to one."""
     start, end = "\0s", "\0e"
     text = {i: words(t) + [end] for i, t in rows}
+    grams_of = lambda t, k: zip(*[([start] * (k - 1) + t)[j:] for j in range(k)])
     train = [text[i] for i, _ in rows if (zlib.crc32(str(i).encode()) if i is not None else 0) % 7 != 2]
     uni = collections.Counter(w for t in train for w in t)
-    pair = collections.Counter(p for t in train for p in zip([start] + t, t))
-    ctx, kinds_, after = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0]), collections.Counter()
-    for (v, w), c in pair.items():
-        ctx[v] += c
-        kinds_[v][min(c, 3) - 1] += 1
-        after[w] += 1
-    d2, d1 = discounts(list(pair.values())), discounts(list(after.values()))
-    total, size, n = sum(after.values()) or 1, len(uni), sum(uni.values())
-    rest = sum(d1[min(c, 3)] for c in after.values()) / total if after else 1.0
-
-    def q(w):
-        return max(after[w] - d1[min(after[w], 3)], 0) / total + rest / (size + 1)
+    count = {order: collections.Counter(g for t in train for g in grams_of(t, order))}
+    for k in range(order - 1, 0, -1):
+        count[k] = collections.Counter(g[1:] for g in count[k + 1])
+    total, kinds_ = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
+    for k in range(2, order + 1):
+        for g, c in count[k].items():
+            total[g[:-1]] += c
+            kinds_[g[:-1]][min(c, 3) - 1] += 1
+    d = {k: discounts(list(count[k].values())) for k in count}
+    after, all_after = count[1], sum(count[1].values()) or 1
+    size, n = len(uni), sum(uni.values())
+    rest = sum(d[1][min(c, 3)] for c in after.values()) / all_after if after else 1.0
 
     def p(v, w):
-        if not ctx[v]:
-            return q(w)
-        c = pair[(v, w)]
-        return max(c - d2[min(c, 3)], 0) / ctx[v] + sum(d2[k + 1] * kinds_[v][k] for k in range(3)) / ctx[v] * q(w)
-
-    for v in list(ctx)[:5]:
+        if not v:
+            return max(after[w,] - d[1][min(after[w,], 3)], 0) / all_after + rest / (size + 1)
+        if not total[v]:
+            return p(v[1:], w)
+        k, c = len(v) + 1, count[len(v) + 1][(*v, w)]
+        return (max(c - d[k][min(c, 3)], 0) + sum(d[k][j + 1] * kinds_[v][j] for j in range(3)) * p(v[1:], w)) / total[v]
+
+    for v in list(total)[:5]:
         assert abs(sum(p(v, w) for w in uni) + p(v, "\0unknown") - 1) < 1e-9
     return {i: (len(t), sum(uni[w] > 0 for w in t), n, sum(math.log10((uni[w] + 1) / (n + size + 1)) for w in t),
-                sum(math.log10(p(v, w)) for v, w in zip([start] + t, t))) for i, t in text.items()}
+                sum(math.log10(p(g[:-1], g[-1])) for g in grams_of(t, order))) for i, t in text.items()}
 
 
-@pytest.mark.parametrize("flush", [1 << 21, 3000])
-def test_language_model(spark, monkeypatch, flush):
+@pytest.mark.parametrize("flush,order", [(1 << 21, 2), (3000, 2), (1 << 21, 3), (3000, 4)])
+def test_language_model(spark, monkeypatch, flush, order):
     monkeypatch.setattr(ngram_lm, "FLUSH", flush)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     extra = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "the " * 3000), (None, "x Y")]
     docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
-    want = kneser_ney([(r.doc_id, r.text) for r in docs.collect()])
-    got = {r.doc_id: r for r in ngram_lm.score_documents(docs).collect()}
+    want = kneser_ney([(r.doc_id, r.text) for r in docs.collect()], order)
+    got = {r.doc_id: r for r in ngram_lm.score_documents(docs, order=order).collect()}
     assert set(got) == set(want)
     for i, w in want.items():
         g = got[i]
