@@ -7,7 +7,14 @@ contexts it was seen. Those are the counts of the next lower order, merged the s
 n-gram's entry is its 64-bit key and a one-byte count; counts beyond that stand in a short list beside it.
 
 Model. Every shard is a few flat arrays sorted by key in the shared folder. As keys begin with the context's leading
-bits, the shards together are one sorted array. Workers map the files into memory and look keys up
+bits, the shards together are one sorted array.
+
+Hot contexts. A first pass finds every context that holds at least one part in S of all tokens, S being the number of
+shards (it keeps at most SPREAD S). Their n-grams go to shards by the hash of context and word, so no task holds all words that
+follow a frequent context; each shard sends its share of the context's totals, which a second small pass adds up. A shard's blobs
+are merged whenever PILE bytes have come, so a task holds its distinct n-grams, not every blob that names them.
+
+Reading. Workers map the files into memory and look keys up
 by binary search; pages that are not touched are not read, and the file cache is shared by all workers of a
 machine. On a file system that cannot be mapped, a worker copies a shard when it first needs it.
 
@@ -15,7 +22,7 @@ Scoring. p(w|v) = max(c(vw) - D, 0)/c(v) + g(v) p(w|v'), with v' the context v w
 q(w) = max(n(w) - D', 0)/n + g'/(V + 1), with n(w) the number of contexts of w, and three discounts per order
 from the counts of counts. An unknown context leaves the shorter one's value, an unknown word its uniform share. A text
 begins with as many start marks as the longest context holds. The order is a parameter, two by default: the
-README has the disk that two and three take.
+README has the disk that two takes.
 """
 
 from __future__ import annotations
@@ -35,6 +42,8 @@ from inkwell.llm.words import LOWER, batch_word_hashes, mix
 
 ORDER = 2              # words of the longest n-gram
 FLUSH = 1 << 21        # tokens that a task sums before it sends them
+SPREAD = 2             # a task names a context that holds one part in SPREAD * shards of what it sums
+PILE = 1 << 25         # bytes of blobs that a shard's task holds before it merges them
 START = np.uint64(0x5BD1E995A5A5F00D)  # the context of a text's first word
 END = np.uint64(0xC2B2AE3D27D4EB4F)    # the token that closes a text
 BLOBS = "kind string, shard long, a binary, b binary, c binary, d binary"
@@ -65,6 +74,18 @@ def pair_key(v48: np.ndarray, w48: np.ndarray) -> np.ndarray:
     return (v48 >> np.uint64(32) << np.uint64(48)) | (mix(v48 * np.uint64(0x9E3779B97F4A7C15) + w48) >> np.uint64(16))
 
 
+def spread_key(v48: np.ndarray, w48: np.ndarray) -> np.ndarray:
+    """Key of a pair whose context is hot: its leading bits follow the word as well."""
+    return mix(mix(v48 * np.uint64(0x9E3779B97F4A7C15)) + w48)
+
+
+def _among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted array ``few``."""
+    if not len(few):
+        return np.zeros(len(values), bool)
+    return few[np.minimum(np.searchsorted(few, values), len(few) - 1)] == values
+
+
 def _pack48(x: np.ndarray) -> tuple[bytes, bytes]:
     return (x >> np.uint64(16)).astype("<u4").tobytes(), (x & np.uint64(0xFFFF)).astype("<u2").tobytes()
 
@@ -102,17 +123,76 @@ def word_bits(bits: int) -> int:
     return max(1, (bits + 6) // 2)
 
 
-def _gram_blobs(order: int, head: np.ndarray, word: np.ndarray, times: np.ndarray, shorter: list[np.ndarray], bits: int):
-    """Blobs of counted n-grams, sorted by the 48-bit hash of their context: each context once, with the number of
+def _pack_grams(kind: str, shard: int, head, word, times, shorter) -> tuple:
+    """A blob of counted n-grams, sorted by the 48-bit hash of their context: each context once, with the number of
     its words and its shorter contexts, then the words and the counts."""
-    for shard, s, e in _slices(head >> np.uint64(48 - bits)):
-        at = np.flatnonzero(np.diff(head[s:e], prepend=head[s] + np.uint64(1)))
-        runs = np.diff(np.append(at, e - s)).astype(np.uint64)
-        a = np.concatenate([head[s:e][at], runs, *[x[s:e][at] for x in shorter]]).astype("<u8")
-        yield (f"gram{order}", shard, a.tobytes(), *_pack48(word[s:e]), _varcounts(times[s:e]))
+    at = np.flatnonzero(np.diff(head, prepend=head[0] + np.uint64(1)))
+    runs = np.diff(np.append(at, len(head))).astype(np.uint64)
+    a = np.concatenate([head[at], runs, *[x[at] for x in shorter]]).astype("<u8")
+    return (kind, shard, a.tobytes(), *_pack48(word), _varcounts(times))
+
+
+def _gram_blobs(order: int, head: np.ndarray, word: np.ndarray, times: np.ndarray, shorter: list[np.ndarray], bits: int,
+                hot: dict[int, np.ndarray]):
+    """Blobs of n-grams, which come sorted by their context: by shards of the context, or of the pair where it is hot."""
+    heavy = _among(head, hot[order])
+    columns = [head, word, times, *shorter]
+    light = [x[~heavy] for x in columns] if heavy.any() else columns
+    for shard, s, e in _slices(light[0] >> np.uint64(48 - bits)):
+        head, word, times, *shorter = [x[s:e] for x in light]
+        yield _pack_grams(f"gram{order}", shard, head, word, times, shorter)
+    split = [x[heavy] for x in columns]
+    place = spread_key(split[0], split[1]) >> np.uint64(64 - bits)
+    by = np.lexsort((split[0], place))
+    for shard, s, e in _slices(place[by]):
+        head, word, times, *shorter = [x[by[s:e]] for x in split]
+        yield _pack_grams(f"hot{order}", shard, head, word, times, shorter)
+
+
+def _frequent(bits: int, order: int):
+    """Map side: of each FLUSH tokens, the contexts that hold one part in SPREAD * shards of them, and (0, 0, tokens)."""
+    def named(parts):
+        n = sum(len(p[0]) for p in parts)
+        found = [(0, 0, n)]
+        for k, history in enumerate(zip(*parts), 2):
+            v, c = np.unique(np.concatenate(history) >> np.uint64(16), return_counts=True)
+            often = c * (SPREAD << bits) >= n
+            found += [(k, int(x), int(y)) for x, y in zip(v[often], c[often])]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["k", "v", "n"])
+
+    def handle(batches):
+        parts, size = [], 0
+        for batch in batches:
+            h, firsts = tokens(batch.column("text").to_pylist())
+            v = histories(h, firsts, order)
+            for s in range(0, len(h), FLUSH):
+                parts.append([x[s:s + FLUSH] for x in v])
+                size += len(parts[-1][0])
+                if size >= FLUSH:
+                    yield named(parts)
+                    parts, size = [], 0
+        if size:
+            yield named(parts)
+
+    return handle
 
 
-def _sum_tokens(bits: int, order: int):
+def hot_contexts(texts: DataFrame, bits: int, order: int) -> dict[int, np.ndarray]:
+    """Of each order, the sorted 48-bit hashes of its hot contexts.
+
+    A context that holds at least 1/S of all tokens is named for all but 1/(SPREAD S) of them, so it is found; what is
+    kept holds 1/(SPREAD S) or more, which bounds the list whatever the corpus. Which contexts are hot moves n-grams to
+    other shards and changes no count.
+    """
+    sums = store(texts.mapInArrow(_frequent(bits, order), "k long, v long, n long")
+                 .groupBy("k", "v").agg(F.sum("n").alias("n")), "contexts")
+    total = sums.where("k = 0").agg(F.max("n")).first()[0] or 0
+    kept = sums.where((F.col("k") > 0) & (F.col("n") * (SPREAD << bits) >= total)).collect()  # at most SPREAD * S an order
+    drop(sums)
+    return {k: np.array(sorted(r["v"] for r in kept if r["k"] == k), np.uint64) for k in range(2, order + 1)}
+
+
+def _sum_tokens(bits: int, order: int, hot: dict[int, np.ndarray]):
     """Map side: blobs of word counts and of n-gram counts."""
     def blobs(parts):
         h = np.concatenate([p[0] for p in parts])
@@ -127,7 +207,7 @@ def _sum_tokens(bits: int, order: int):
         times = np.diff(np.append(first, len(gram)))
         ctx, word = gram[first] // len(u), gram[first] % len(u)
         yield from _gram_blobs(order, contexts[ctx] >> np.uint64(16), u[word] >> np.uint64(16), times,
-                               [x[place[ctx]] >> np.uint64(16) for x in reversed(shorter)], bits)
+                               [x[place[ctx]] >> np.uint64(16) for x in reversed(shorter)], bits, hot)
 
     def handle(batches):
         parts, size = [], 0
@@ -187,34 +267,33 @@ def _count_of_counts(c: np.ndarray) -> list[int]:
     return [int(b[1]), int(b[2]), int(b[3]), int(b[4]), len(c), int(c.sum())]
 
 
-def _merge(uri: str, bits: int):
+def _merge(uri: str, bits: int, hot: dict[int, np.ndarray]):
     """Reduce side: merge the blobs of each shard, write its arrays, send on the counts of the next lower order."""
     files = Files(uri)
 
     def stat(kind, shard, c):
         return (f"{kind} stat", shard, np.array(_count_of_counts(c), "<i8").tobytes(), b"", b"", b"")
 
-    def words(kind, shard, rows):
-        w = np.concatenate([np.frombuffer(r["a"], "<u8") for r in rows])
-        n = np.concatenate([_counts(r["b"], len(r["a"]) // 8) for r in rows])
+    def summed_words(rows):
+        w = np.concatenate([np.frombuffer(r[0], "<u8") for r in rows])
+        n = np.concatenate([_counts(r[1], len(r[0]) // 8) for r in rows])
         u, inv = np.unique(w, return_inverse=True)
         total = np.zeros(len(u), np.int64)
         np.add.at(total, inv, n)
-        files.write(f"{kind}-{shard}.key", u)
-        files.write(f"{kind}-{shard}.n", total)
-        yield stat(kind, shard, total)
+        return u, total
 
-    def grams(order, shard, rows):
+    def summed_grams(order, rows):
+        """Contexts, their shorter ones, words, and of each n-gram (sorted by context) the places in both and its count."""
         heads, runs, ws, ns, shorter = [], [], [], [], [[] for _ in range(order - 2)]
-        for r in rows:
-            w = _unpack48(r["b"], r["c"])
-            a = np.frombuffer(r["a"], "<u8").reshape(order, -1)
+        for a, hi, lo, times in rows:
+            w = _unpack48(hi, lo)
+            a = np.frombuffer(a, "<u8").reshape(order, -1)
             heads.append(a[0])
             runs.append(a[1].astype(np.int64))
             for x, y in zip(shorter, a[2:]):
                 x.append(y)
             ws.append(w)
-            ns.append(_counts(r["d"], len(w)))
+            ns.append(_counts(times, len(w)))
         w, n = np.concatenate(ws), np.concatenate(ns)
         uv, place, iv = np.unique(np.concatenate(heads), return_index=True, return_inverse=True)
         shorter = [np.concatenate(x)[place] for x in shorter]
@@ -226,44 +305,71 @@ def _merge(uri: str, bits: int):
         first = np.flatnonzero(np.diff(pid, prepend=-1))
         n = np.add.reduceat(n, first)
         pid = pid[first]
-        iv, iw = pid // len(uw), pid % len(uw)
+        return uv, shorter, uw, pid // len(uw), pid % len(uw), n
+
+    def compact(kind, shard, rows):
+        """One blob for many of a shard."""
+        if not kind.startswith(("gram", "hot")):
+            u, n = summed_words(rows)
+            return (u.tobytes(), _varcounts(n), b"", b"")
+        uv, shorter, uw, iv, iw, n = summed_grams(int(kind.lstrip("gramhot")), rows)
+        return _pack_grams(kind, shard, uv[iv], uw[iw], n, [x[iv] for x in shorter])[2:]
+
+    def words(kind, shard, rows):
+        u, total = summed_words(rows)
+        files.write(f"{kind}-{shard}.key", u)
+        files.write(f"{kind}-{shard}.n", total)
+        yield stat(kind, shard, total)
+
+    def grams(kind, shard, rows):
+        order = int(kind.lstrip("gramhot"))
+        uv, shorter, uw, iv, iw, n = summed_grams(order, rows)
         starts = np.flatnonzero(np.diff(iv, prepend=-1))
         ctx = np.stack([np.add.reduceat(x, starts) for x in (n, n == 1, n == 2, n >= 3)], 1).astype(np.float64)
-        files.write(f"ctx{order}-{shard}.key", uv)
-        files.write(f"ctx{order}-{shard}.n", ctx)
-        key = pair_key(uv[iv], uw[iw])
+        if kind.startswith("hot"):  # this shard's part of the totals
+            yield (f"ctx{order}", shard, uv.tobytes(), ctx.tobytes(), b"", b"")
+            key = spread_key(uv[iv], uw[iw])
+        else:
+            files.write(f"ctx{order}-{shard}.key", uv)
+            files.write(f"ctx{order}-{shard}.n", ctx)
+            key = pair_key(uv[iv], uw[iw])
         by = np.argsort(key)
         key, count = key[by], n[by]
         big = count > 254
-        files.write(f"gram{order}-{shard}.key", key)
-        files.write(f"gram{order}-{shard}.n", np.where(big, 255, count).astype(np.uint8))
-        files.write(f"gram{order}-{shard}.bigkey", key[big])
-        files.write(f"gram{order}-{shard}.bign", count[big])
+        files.write(f"{kind}-{shard}.key", key)
+        files.write(f"{kind}-{shard}.n", np.where(big, 255, count).astype(np.uint8))
+        files.write(f"{kind}-{shard}.bigkey", key[big])
+        files.write(f"{kind}-{shard}.bign", count[big])
         yield stat(f"gram{order}", shard, n)
         if order > 2:  # each n-gram counts once for what is left of it without its first word
             by = np.lexsort((iw, shorter[0][iv]))
             head, iw = shorter[0][iv][by], iw[by]
             first = np.flatnonzero((np.diff(head, prepend=head[0] + np.uint64(1)) != 0) | (np.diff(iw, prepend=-1) != 0))
             yield from _gram_blobs(order - 1, head[first], uw[iw[first]], np.diff(np.append(first, len(iw))),
-                                   [x[iv[by[first]]] for x in shorter[1:]], bits)
+                                   [x[iv[by[first]]] for x in shorter[1:]], bits, hot)
             return
         after = np.bincount(iw, minlength=len(uw))
         for to, s, e in _slices(uw >> np.uint64(48 - word_bits(bits))):
             yield ("next", to, uw[s:e].tobytes(), _varcounts(after[s:e]), b"", b"")
 
     def merged(kind, shard, rows):
-        return _rows(list(grams(int(kind[4:]), shard, rows) if kind.startswith("gram") else words(kind, shard, rows)))
+        return _rows(list((grams if kind.startswith(("gram", "hot")) else words)(kind, shard, rows)))
 
     def handle(batches):
-        held, key = [], None
+        held, key, size, bound = [], None, 0, PILE
         for batch in batches:
-            for r in batch.to_pylist():
-                k = (r["kind"], r["shard"])
-                if held and k != key:
+            for i in range(batch.num_rows):
+                kind, shard, *blob = [c[i].as_py() for c in batch.columns]
+                if held and (kind, shard) != key:
                     yield merged(*key, held)
-                    held = []
-                key = k
-                held.append(r)
+                    held, size, bound = [], 0, PILE
+                key = kind, shard
+                held.append(blob)
+                size += sum(map(len, blob))
+                if size > bound:
+                    held = [compact(*key, held)]
+                    size = sum(map(len, held[0]))
+                    bound = max(PILE, 2 * size)
         if held:
             yield merged(*key, held)
 
@@ -298,14 +404,15 @@ class Model:
     word: Order
     next: Order
     grams: dict[int, Order]
+    hot: dict[int, tuple[np.ndarray, np.ndarray]]  # of each order, its hot contexts and their totals
 
     def table(self, kind: str, shard: int) -> dict[str, np.ndarray]:
         """Memory maps of a shard, opened once per worker."""
         at = (self.uri, kind, shard)
         if at not in _maps:
             f = Files(self.uri)
-            spec = {"gram": {"key": "<u8", "n": np.uint8, "bigkey": "<u8", "bign": "<i8"},
-                    "ctx": {"key": "<u8", "n": "<f8"}}.get(kind.rstrip("0123456789"), {"key": "<u8", "n": "<i8"})
+            gram = {"key": "<u8", "n": np.uint8, "bigkey": "<u8", "bign": "<i8"}
+            spec = {"gram": gram, "hot": gram, "ctx": {"key": "<u8", "n": "<f8"}}.get(kind.rstrip("0123456789"), {"key": "<u8", "n": "<i8"})
             _maps[at] = {x: f.read(f"{kind}-{shard}.{x}", d) for x, d in spec.items()}
         return _maps[at]
 
@@ -350,12 +457,18 @@ class Model:
             v48, d = history >> np.uint64(16), self.grams[k].discounts()
             x, invctx = np.unique(v48, return_inverse=True)
             ctx = self.lookup(f"ctx{k}", x, 48, self.bits, 4)
+            few, totals = self.hot[k]
+            split = _among(x, few)
+            ctx[split] = totals[np.searchsorted(few, x[split])]
             seen = ctx[:, 0] > 0
             gamma = np.where(seen, (ctx[:, 1:] @ d[1:]) / np.maximum(ctx[:, 0], 1), 1.0)
-            x, invgram = np.unique(pair_key(v48, w48), return_inverse=True)
-            n = self.lookup(f"gram{k}", x, 64, self.bits)[:, 0]
+            heavy = split[invctx]
+            n = np.zeros(len(v48))
+            for kind, key, at in (("gram", pair_key, np.flatnonzero(~heavy)), ("hot", spread_key, np.flatnonzero(heavy))):
+                x, invgram = np.unique(key(v48[at], w48[at]), return_inverse=True)
+                n[at] = self.lookup(f"{kind}{k}", x, 64, self.bits)[invgram, 0]
             top = np.maximum(n - d[np.minimum(n, 3).astype(int)], 0)
-            p = top[invgram] / np.maximum(ctx[:, 0], 1)[invctx] * seen[invctx] + gamma[invctx] * p
+            p = top / np.maximum(ctx[:, 0], 1)[invctx] * seen[invctx] + gamma[invctx] * p
         return pd.DataFrame({
             "n_tokens": lengths, "n_known": np.add.reduceat((c > 0)[inv].astype(np.int64), firsts[:-1]),
             "base_score": np.add.reduceat(base[inv], firsts[:-1]),
@@ -372,20 +485,42 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     uri = shared_path(spark, "lm")
     bits = min(16, max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
 
+    texts = docs.select(text_or_empty("text").alias("text"))
+    hot = hot_contexts(texts, bits, order)
+
     def merge(blobs):
         shards = blobs.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
-        return store(shards.mapInArrow(_merge(uri, bits), BLOBS), "lm")
+        return store(shards.mapInArrow(_merge(uri, bits, hot), BLOBS), "lm")
 
-    steps = [merge(docs.select(text_or_empty("text").alias("text")).mapInArrow(_sum_tokens(bits, order), BLOBS))]
-    for kind in [*(f"gram{k}" for k in range(order - 1, 1, -1)), "next"]:
-        steps.append(merge(steps[-1].where(F.col("kind") == kind)))
-    stats = {}
+    steps = [merge(texts.mapInArrow(_sum_tokens(bits, order, hot), BLOBS))]
+    for k in range(order - 1, 1, -1):
+        steps.append(merge(steps[-1].where(F.col("kind").isin(f"gram{k}", f"hot{k}"))))
+    steps.append(merge(steps[-1].where(F.col("kind") == "next")))
+    stats, totals = {}, {}
     for step in steps:
         for r in step.where("kind LIKE '% stat'").select("kind", "a").collect():  # one row a shard
             stats[r["kind"]] = stats.get(r["kind"], 0) + np.frombuffer(r["a"], "<i8")
+    for step, k in zip(steps, range(order, 1, -1)):
+        totals[k] = _hot_totals(step.where(F.col("kind") == f"ctx{k}"))
     drop(*steps)
     of = lambda k: Order(*map(int, stats.get(f"{k} stat", np.zeros(6, np.int64))))
-    return Model(uri, bits, of("word"), of("next"), {k: of(f"gram{k}") for k in range(2, order + 1)})
+    return Model(uri, bits, of("word"), of("next"), {k: of(f"gram{k}") for k in range(2, order + 1)}, totals)
+
+
+def _hot_totals(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hot contexts in order and their totals: the sums of their shards' parts."""
+    def unpack(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                v = np.frombuffer(batch.column("a")[i].as_py(), "<u8").astype(np.int64)
+                ctx = np.frombuffer(batch.column("b")[i].as_py(), "<f8").reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(v), *[pa.array(x) for x in ctx.T.copy()]],
+                                                 names=["v", "n", "n1", "n2", "n3"])
+
+    rows = (parts.select("a", "b").mapInArrow(unpack, "v long, n double, n1 double, n2 double, n3 double")
+            .groupBy("v").agg(*[F.sum(c) for c in ("n", "n1", "n2", "n3")]).collect())  # at most SPREAD * S
+    rows.sort()
+    return (np.array([r[0] for r in rows], np.uint64), np.array([r[1:] for r in rows], np.float64).reshape(-1, 4))
 
 
 def score_documents(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:

@@ -246,9 +246,13 @@ def kneser_ney(rows, order=2):
                 sum(math.log10(p(g[:-1], g[-1])) for g in grams_of(t, order))) for i, t in text.items()}
 
 
-@pytest.mark.parametrize("flush,order", [(1 << 21, 2), (3000, 2), (1 << 21, 3), (3000, 4)])
-def test_language_model(spark, monkeypatch, flush, order):
+@pytest.mark.parametrize("flush,order,spread,pile", [
+    (1 << 21, 2, 2, 1 << 25), (3000, 2, 2, 2000), (1 << 21, 3, 40, 1 << 25), (3000, 4, 40, 5000), (3000, 2, 300, 5000)])
+def test_language_model(spark, monkeypatch, flush, order, spread, pile):
+    """``spread`` makes more or fewer contexts hot, ``pile`` merges a shard's blobs early: the scores stay."""
     monkeypatch.setattr(ngram_lm, "FLUSH", flush)
+    monkeypatch.setattr(ngram_lm, "SPREAD", spread)
+    monkeypatch.setattr(ngram_lm, "PILE", pile)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     extra = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "the " * 3000), (None, "x Y")]
     docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
@@ -261,6 +265,24 @@ def test_language_model(spark, monkeypatch, flush, order):
         assert g.base_score == pytest.approx(w[3], rel=1e-9) and g.score == pytest.approx(w[4], rel=1e-9)
 
 
+def test_hot_contexts_are_found_and_spread(spark):
+    """A word in half of all places: found, bounded, and its n-grams go to many shards."""
+    rng = random.Random(3)
+    texts = [" ".join(f"hot w{rng.randrange(400)}" for _ in range(200)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bits = 4
+    found = ngram_lm.hot_contexts(docs.select("text"), bits, 3)
+    h, firsts = ngram_lm.tokens(texts)
+    for k, history in enumerate(ngram_lm.histories(h, firsts, 3), 2):
+        v, c = np.unique(history >> np.uint64(16), return_counts=True)
+        assert set(v[c * (1 << bits) >= len(h)]) <= set(found[k]) and len(found[k]) <= ngram_lm.SPREAD << bits
+    v = ngram_lm.histories(h, firsts, 2)[0] >> np.uint64(16)
+    at = np.isin(v, found[2])
+    assert at.sum() > len(h) / 3
+    shard = ngram_lm.spread_key(v[at], h[at] >> np.uint64(16)) >> np.uint64(64 - bits)
+    assert np.bincount(shard.astype(int), minlength=1 << bits).max() < at.sum() / 4
+
+
 def test_language_model_beats_its_base_on_held_out_text(spark):
     docs, _ = tables(spark, "/root/testdata/sf0.01")
     rows = [r for r in ngram_lm.score_documents(docs).collect() if r.held_out]
