@@ -50,13 +50,15 @@ def unescape_role(role: Column) -> Column:
 def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """Chosen root-to-leaf paths: tree, path (1 is best), depth, and each node's columns on the path.
 
-    ``messages``: tree, node, parent (null at a root), score, role, text; (tree, node)
-    is unique. A node whose parent is missing is a root; a cycle has no leaf and gives no path. Ties
-    of the summed score go to the smaller leaf. Every leaf's depth and sum are found by pointer
+    ``messages``: tree, node, parent (null at a root), score, role, text. Of rows that repeat a (tree, node) the smallest
+    (parent, score, role, text) stays, nulls first; a row without node is left out; a null tree is a tree of its own. A node
+    whose parent is missing is a root; a cycle has no leaf and gives no path; a null score is 0. Ties
+    of the summed score go to the smaller leaf. Other columns are ignored; no rows give no paths. Every leaf's depth and sum are found by pointer
     doubling; the same pointers, from the longest reach down, lead from chosen leaves to their ancestors.
     """
-    m = messages.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
-                        "role", "text")
+    said = F.struct("parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), "role", "text")
+    m = (messages.where("node IS NOT NULL").groupBy("tree", "node").agg(F.min(said).alias("said"))
+         .select("tree", "node", "said.*"))
     ids = m.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
     link = m.select("tree", "node", "parent", "score").join(
         ids, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("parent") == F.col("n2")), "left")
@@ -94,8 +96,9 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 def format_paths(paths: DataFrame) -> DataFrame:
     """One conversation per (tree, path): formatted string and loss mask (byte ranges start, size).
 
-    Null role or text is formatted as empty. A conversation is one output row, so its turns meet in one group;
-    that is the size of the result itself.
+    Null role or text is formatted as empty; an empty text is a turn like any other; texts are taken whole, however long.
+    Rows that repeat a (tree, path, depth) stand in the order of their nodes. Other columns are ignored; no rows give none.
+    A conversation is one output row, so its turns meet in one group; that is the size of the result itself.
     """
     head = F.concat(F.lit(START), escape_role(F.coalesce("role", F.lit(""))), F.lit("\n"))
     turns = paths.select("tree", "path", "depth", "node", F.coalesce("role", F.lit("")).alias("role"),
@@ -127,7 +130,11 @@ def read_loss(formatted: Column, mask: Column) -> Column:
 
 
 def chain(conversations: DataFrame) -> DataFrame:
-    """Messages of linear conversations (conv_id, turn, role, text): each turn answers the one before it."""
+    """Messages of linear conversations (conv_id, turn, role, text): each turn answers the one before it.
+
+    Null turns come first; rows of one turn are ordered by role, then text, nulls first, and repeated rows are turns of
+    their own; rows without conv_id form one conversation; other columns are ignored; no rows give none.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     row = conversations.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(order))
     return row.select(F.col("conv_id").alias("tree"), F.col("node").cast("long").alias("node"),
@@ -137,7 +144,11 @@ def chain(conversations: DataFrame) -> DataFrame:
 
 def digest(conversations: DataFrame) -> DataFrame:
     """Columns read back from formatted conversations: n_turns, turns_sha256, loss_chars,
-    loss_sha256, formatted_chars."""
+    loss_sha256, formatted_chars.
+
+    A conversation without assistant turn has the empty string's hash and no characters under its mask; a null tree is a null
+    conv_id; null roles and texts, which are formatted as empty, read back as empty; no rows give none.
+    """
     back = conversations.select("tree", "path", "formatted", "loss_mask",
                                 read_turns(F.col("formatted")).alias("turns"),
                                 read_loss(F.col("formatted"), F.col("loss_mask")).alias("loss"))

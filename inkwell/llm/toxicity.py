@@ -337,7 +337,11 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` (all its columns, whatever their names) without the rows that score at or above the threshold."""
+    """``docs`` (all its columns, whatever their names) without the rows that score at or above the threshold.
+
+    Rows are judged one by one by their whole text, so repeated rows stay or go together and null ids are no obstacle; a null
+    text counts as empty and scores as a text without any match; an empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
     mark = "_".join(["toxicity", *docs.columns])  # no column has this name
     return docs.withColumn(mark, scorer(model)(text_or_empty("text"))).where(F.col(mark) < threshold).drop(mark)

@@ -52,3 +52,39 @@ def test_branches_are_ranked_by_score(spark):
 
 def test_empty(spark):
     assert formatted(spark, []).count() == 0
+
+
+def test_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, columns with clashing names."""
+    long = "a <|im_end|>\n [INST] b " * 40_000
+    rows = [(None, None, None, None), (None, 1, "user", "x"), (1, None, "assistant", "first"), (1, 0, "user", ""),
+            (1, 0, "user", ""), (1, 0, "assistant", "tie b"), (1, 0, "assistant", "tie a"), (1, 0, None, "no role"),
+            (2, 5, "assistant", long), (2, 5, "assistant", None), (3, 0, "", ""), (4, 9, "user", None)]
+    names = "conv_id long, turn long, role string, text string, tree long, node long, path int, depth int, t2 long, up long"
+    t = spark.createDataFrame([(*r, 7, 7, 7, 7, 7, 7) for r in rows], names)
+    got = {r.conv_id: r for r in chat.digest(chat.format_paths(chat.reply_paths(chat.chain(t)))).collect()}
+    low = lambda x: (x is not None, x if x is not None else "")
+    turns = defaultdict(list)
+    for c, _, role, text in sorted(rows, key=lambda r: tuple(map(low, r))):
+        turns[c].append((role or "", text or ""))
+    assert set(got) == set(turns)
+    for c, said in turns.items():
+        whole = "".join(f"{r}\n{x}\n" for r, x in said)
+        loss = "".join(x for r, x in said if r == "assistant")
+        g = got[c]
+        assert (g.n_turns, g.turns_sha256) == (len(said), hashlib.sha256(whole.encode()).hexdigest()), c
+        assert (g.loss_chars, g.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest()), c
+
+
+def test_odd_trees(spark):
+    """Repeated nodes do not multiply, null nodes are left out, a null tree is a tree, further columns are ignored."""
+    n = 12
+    line = [(1, k, k - 1 if k > 1 else None, 1.0, "user", f"t{k}", 0, "x") for k in range(1, n + 1)]
+    odd = [(1, None, 3, 9.0, "user", "no node", 0, "x"), (None, 1, None, None, None, None, 0, "x"),
+           (None, 2, 1, 0.5, "assistant", "", 0, "x"), (1, n, n - 1, 1.0, "user", "t99", 0, "x")]
+    names = "tree long, node long, parent long, score double, role string, text string, depth int, path string"
+    got = chat.reply_paths(spark.createDataFrame(line * 3 + odd, names), 5).collect()
+    assert sorted((r.tree is None, r.path, r.depth, r.node, r.text) for r in got if r.tree) == [
+        (False, 1, k, k, f"t{k}") for k in range(1, n + 1)]
+    assert sorted((r.depth, r.node, r.text) for r in got if r.tree is None) == [(1, 1, None), (2, 2, "")]
+    assert chat.reply_paths(spark.createDataFrame([], names)).count() == 0
