@@ -238,3 +238,42 @@ def test_vectors_move_once_a_partition(spark):
                                "model_name string, sample_id string, prediction string, reference string")
     plan = _plan(embedding_match(df, emb))
     assert "collect_list" not in plan and "MapInArrow" in plan
+
+
+def test_vectors_of_a_worker_are_bounded(spark, monkeypatch):
+    """A vector table beyond HELD_MB: more groups than partitions, each with few vectors, and the same scores."""
+    import numpy as np
+    import pyarrow as pa
+
+    from inkwell.operators import embedding as EM
+    rng = np.random.default_rng(5)
+    n, dim = 3000, 8
+    emb = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=dim)]) for i in range(n)],
+                                "vec_id long, embedding array<float>")
+    text = lambda: " ".join(f"w{i}" for i in rng.integers(0, 9000, size=20))
+    df = spark.createDataFrame([("m", str(k), text(), text()) for k in range(300)] + [(None, None, text(), "w1")] * 2,
+                               "model_name string, sample_id string, prediction string, reference string").repartition(3)
+
+    def scores():
+        return sorted((r.sample_id or "", r.precision, r.recall, r.f1) for r in EM.embedding_match(df, emb).collect())
+
+    whole = scores()
+    held = 500
+    monkeypatch.setattr(EM, "HELD_MB", held * 4 * dim / 2 ** 20)
+    assert EM.groups_needed(300 * 40, n, dim) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert np.allclose([x[1:] for x in scores()], [x[1:] for x in whole], atol=1e-12) and len(whole) == 302
+    # so many numbers give about ``held`` different ones in each group
+    groups = EM.groups_needed(10 ** 6, n, dim)
+    assert len(np.unique(rng.integers(0, n, size=10 ** 6 // groups))) < 1.1 * held
+
+    # what a worker holds is one group's, however many groups a partition has
+    sizes = []
+    close = EM.Dictionary.close
+    monkeypatch.setattr(EM.Dictionary, "close", lambda self: (close(self), sizes.append(len(self.numbers)))[0])
+    row = lambda g, vid, v, p: dict(part=g, vid=vid, v=v, pred=p, ref=p, k="x")
+    schema = pa.schema([("part", pa.int32()), ("vid", pa.int64()), ("v", pa.list_(pa.float32())), ("pred", pa.list_(pa.int64())),
+                        ("ref", pa.list_(pa.int64())), ("k", pa.string())])
+    rows = [r for g in range(6) for r in [row(g, g, [1.0, 0.0], None), row(g, g + 9, [0.0, 1.0], None), row(g, None, None, [g, g + 9])]]
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=4)
+    got = pa.Table.from_batches(list(EM._score(["k"])(iter(batches)))).to_pylist()
+    assert sizes == [2] * 6 and [r["f1"] for r in got] == [1.0] * 6
