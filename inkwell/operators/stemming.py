@@ -2,18 +2,20 @@
 
 One Arrow step reads a pair and returns counts only: clipped overlaps per n-gram order and the LCS
 length. Stems are remembered per worker, so a word is stemmed once, and no token or gram is exploded or shuffled.
+A batch stays in Arrow's form; ROWS pairs of it at a time become Python strings, so a worker's memory does not follow the batch.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from inkwell.functions.porter import rouge_stem
 
-REMEMBERED = 500_000
+REMEMBERED = 200_000  # stems a worker holds at most
+ROWS = 64             # pairs of a batch that are Python objects at once
 _stems: dict[str, str] = {}
 
 
@@ -25,7 +27,8 @@ def stems(tokens) -> list[str]:
     for t in tokens:
         s = _stems.get(t)
         if s is None:
-            s = _stems[t] = rouge_stem(t)
+            s = rouge_stem(t)
+            _stems[t] = s = t if s == t else s  # most words are their own stem: one string, not two
         out.append(s)
     return out
 
@@ -87,21 +90,31 @@ def pair_counts(stem: bool, rouge: bool, lcs: bool, bleu_orders: int):
         return out
 
     names = ["rouge", "lcs", "bleu", "hyp_len", "ref_len"]
+    longs = pa.list_(pa.int64())
+    kind = pa.struct(list(zip(names, [longs, pa.int64(), longs, pa.int64(), pa.int64()])))
+
+    def counted(count, *columns: pa.Array) -> pa.Array:
+        done = [pa.array([], kind)]
+        for i in range(0, len(columns[0]), ROWS):
+            rows = zip(*(c.slice(i, ROWS).to_pylist() for c in columns))
+            done.append(pa.array([dict(zip(names, count(*x))) for x in rows], kind))
+        return pa.concat_arrays(done)
+
     if not (rouge or lcs):
-        @F.pandas_udf(schema)
-        def texts_only(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([count(p, r, None, None) for p, r in zip(pred, ref)], columns=names)
+        @F.arrow_udf(schema)
+        def texts_only(pred: pa.Array, ref: pa.Array) -> pa.Array:
+            return counted(lambda p, r: count(p, r, None, None), pred, ref)
 
         return lambda p, r, pt, rt: texts_only(p, r)
     if not bleu_orders:
-        @F.pandas_udf(schema)
-        def tokens_only(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([count(None, None, p, r) for p, r in zip(pred, ref)], columns=names)
+        @F.arrow_udf(schema)
+        def tokens_only(pred: pa.Array, ref: pa.Array) -> pa.Array:
+            return counted(lambda pt, rt: count(None, None, pt, rt), pred, ref)
 
         return lambda p, r, pt, rt: tokens_only(pt, rt)
 
-    @F.pandas_udf(schema)
-    def both(pred: pd.Series, ref: pd.Series, pred_tokens: pd.Series, ref_tokens: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([count(*x) for x in zip(pred, ref, pred_tokens, ref_tokens)], columns=names)
+    @F.arrow_udf(schema)
+    def both(pred: pa.Array, ref: pa.Array, pred_tokens: pa.Array, ref_tokens: pa.Array) -> pa.Array:
+        return counted(count, pred, ref, pred_tokens, ref_tokens)
 
     return both

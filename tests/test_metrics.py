@@ -277,3 +277,25 @@ def test_vectors_of_a_worker_are_bounded(spark, monkeypatch):
     batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=4)
     got = pa.Table.from_batches(list(EM._score(["k"])(iter(batches)))).to_pylist()
     assert sizes == [2] * 6 and [r["f1"] for r in got] == [1.0] * 6
+
+
+def test_pair_counts_hold_few_python_objects():
+    """A large batch stays in Arrow's form: only some of its pairs are Python strings at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from inkwell.operators.stemming import lcs_length, pair_counts
+    n = 4000
+    texts = [" ".join(f"t{(i + j) % 50}" for j in range(60)) for i in range(n)]
+    text, tokens = pa.array(texts), pa.array([t.split() for t in texts])
+    count = pair_counts(True, True, True, 4).func
+    count(text[:10], text[:10], tokens[:10], tokens[:10])
+    tracemalloc.start()
+    got = count(text, text, tokens, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == n and got[7].as_py() == {"rouge": [60, 59], "lcs": lcs_length(tokens[7].as_py(), tokens[7].as_py()),
+                                                "bleu": [60, 59, 58, 57], "hyp_len": 60, "ref_len": 60}
+    assert peak < 4_000_000, peak  # as lists of strings the batch takes over 25 MB
+    assert len(count(text[:0], text[:0], tokens[:0], tokens[:0])) == 0
