@@ -8,6 +8,7 @@ A batch stays in Arrow's form; ROWS pairs of it at a time become Python strings,
 from __future__ import annotations
 
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -70,6 +71,15 @@ def clipped_upto(a: list, b: list, orders: int) -> list[int]:
     return out
 
 
+def objects(column: pa.Array) -> list:
+    """A slice of texts, or of token lists, as Python objects (neither is null here)."""
+    if not pa.types.is_list(column.type):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    flat = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = [0, *accumulate(column.value_lengths().to_pylist())]
+    return [flat[i:j] for i, j in zip(ends, ends[1:])]
+
+
 def pair_counts(stem: bool, rouge: bool, lcs: bool, bleu_orders: int):
     """Arrow function of a pair that returns counts only: ``rouge`` (clipped matches of orders 1 and 2), ``lcs``, ``bleu``
     (clipped matches of its orders) and the lengths ``hyp_len``, ``ref_len``; 0 or empty where not asked.
@@ -82,7 +92,7 @@ def pair_counts(stem: bool, rouge: bool, lcs: bool, bleu_orders: int):
     def count(p, r, pt, rt):
         out = [[0, 0], 0, [], 0, 0]
         if pt is not None:
-            pt, rt = (stems(pt), stems(rt)) if stem else (list(pt), list(rt))
+            pt, rt = (stems(pt), stems(rt)) if stem else (pt, rt)
             out[:2] = clipped_upto(pt, rt, 2) if rouge else [0, 0], lcs_length(pt, rt) if lcs else 0
         if bleu_orders:
             a, b = p.split(), r.split()
@@ -96,7 +106,7 @@ def pair_counts(stem: bool, rouge: bool, lcs: bool, bleu_orders: int):
     def counted(count, *columns: pa.Array) -> pa.Array:
         done = [pa.array([], kind)]
         for i in range(0, len(columns[0]), ROWS):
-            rows = zip(*(c.slice(i, ROWS).to_pylist() for c in columns))
+            rows = zip(*(objects(c.slice(i, ROWS)) for c in columns))
             done.append(pa.array([dict(zip(names, count(*x))) for x in rows], kind))
         return pa.concat_arrays(done)
 
